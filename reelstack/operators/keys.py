@@ -26,6 +26,7 @@ from ..functions._util import as_cols, names
 from ..session import checkpoint_root, shuffle_partitions
 
 _B, _I, _N, _FIRST, _OFF = "_rk_bucket", "_rk_index", "_rk_count", "_rk_first", "_rk_offset"
+_SB = "_rk_stats_bucket"
 
 
 def with_prefix(prefix: str, number: Column) -> Column:
@@ -59,21 +60,24 @@ def row_number_scaled(df: DataFrame, order, name: str, partition_by=(),
               # in-bucket index of every row, cuts the lineage.
               .checkpoint(eager=True))
     # One row per (bucket, group): how many rows and where the group starts.
-    stats = ranged.groupBy(_B, *part).agg(F.count(F.lit(1)).alias(_N), F.min(_I).alias(_FIRST))
-    before = (Window.partitionBy(*part) if part else Window).orderBy(_B) \
+    # Its columns are renamed so the join back is not an ambiguous self-join.
+    groups = [f"_rk_g{i}" for i in range(len(part))]
+    stats = (ranged.groupBy(F.col(_B).alias(_SB), *[F.col(p).alias(g) for p, g in zip(part, groups)])
+             .agg(F.count(F.lit(1)).alias(_N), F.min(_I).alias(_FIRST)))
+    before = (Window.partitionBy(*groups) if groups else Window).orderBy(_SB) \
         .rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0))).drop(_N)
     if part:
         # Up to buckets + groups rows: AQE broadcasts it only when the measured
         # size is small, otherwise it is a shuffled join.
-        cond = reduce(lambda a, b: a & b,
-                      [ranged[_B] == stats[_B]] + [ranged[p].eqNullSafe(stats[p]) for p in part])
-        joined = ranged.join(stats, cond).drop(stats[_B], *[stats[p] for p in part])
+        cond = reduce(lambda a, b: a & b, [F.col(_B) == F.col(_SB)]
+                      + [F.col(p).eqNullSafe(F.col(g)) for p, g in zip(part, groups)])
+        joined = ranged.join(stats, cond)
     else:
         # Exactly one row per bucket: bounded by ``buckets``.
-        joined = ranged.join(F.broadcast(stats), on=_B)
+        joined = ranged.join(F.broadcast(stats), F.col(_B) == F.col(_SB))
     number = F.col(_OFF) + (F.col(_I) - F.col(_FIRST)) + F.lit(1)
-    return joined.withColumn(name, number).drop(_B, _I, _FIRST, _OFF)
+    return joined.select(*[F.col(c) for c in df.columns], number.alias(name))
 
 
 def dense_key_scaled(df: DataFrame, order, name: str, prefix: str | None = None,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -36,8 +37,15 @@ def scan_layer(spark: SparkSession, root: str, table: str | None = None,
     # Read only the wanted partition folder (basePath keeps the ``dt`` column):
     # the other partitions are never even listed.
     day = str(dt).replace("/", "-")
-    df = spark.read.option("basePath", path).parquet(f"{path}/dt={day}")
-    return df.filter(F.col("dt") == F.lit(day).cast("date"))
+    wanted = F.col("dt") == F.lit(day).cast("date")
+    try:
+        df = spark.read.option("basePath", path).parquet(f"{path}/dt={day}")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        # No such partition: the pruned read of the root gives the empty table.
+        df = spark.read.parquet(path)
+    return df.filter(wanted)
 
 
 def land_raw(spark: SparkSession, src: str, layer: str, as_of, file_col: str = "file") -> str:

@@ -1,0 +1,125 @@
+"""Readers, landing, page flattening and sinks (FIXTURES A1-A5)."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelstack import sources as src
+from reelstack.schemas import API_RAW, MOVIES_CSV, PAGES_RAW
+from reelstack.session import scratch_path
+
+from .conftest import rows
+
+
+def _page(ano, genre, page, status, total, ids):
+    return (ano, genre, page, status, total,
+            [(i, f"m{i}", "2001-01-01", 1.0, 5.0, 40, False) for i in ids])
+
+
+@pytest.fixture()
+def pages(spark):
+    data = [
+        _page(2001, 14, 1, 200, 2, [1, 2]), _page(2001, 14, 2, 200, 2, [3, 7]),
+        _page(2001, 14, 3, 200, 2, [99]),                    # beyond total_pages: never read
+        _page(2001, 878, 1, 200, 5, [7, 8]), _page(2001, 878, 2, 200, 5, [9]),
+        _page(2001, 878, 3, 500, 5, []),                     # failure: pages 3-5 vanish
+        _page(2001, 878, 4, 200, 5, [10]), _page(2001, 878, 5, 200, 5, [11]),
+        _page(2002, 14, 1, 200, 0, []),                      # no results at all
+        _page(2002, 878, 500, 200, 600, [20]), _page(2002, 878, 501, 200, 600, [21]),
+    ] + [_page(2002, 878, p, 200, 600, [1000 + p]) for p in range(1, 500)]
+    return spark.createDataFrame(data, PAGES_RAW)
+
+
+def test_flatten_pages_stop_rules(spark, pages):
+    out = src.flatten_pages(pages, ["ano", "genre_id"], max_pages=500)
+    got = {(r.ano, r.genre_id, r.id) for r in out.collect()}
+    assert (2001, 14, 99) not in got and (2001, 878, 10) not in got
+    assert (2002, 878, 20) in got and (2002, 878, 21) not in got
+    assert {(2001, 14, 1), (2001, 14, 3), (2001, 878, 7), (2001, 878, 9)} <= got
+    assert out.filter("ano = 2002 AND genre_id = 14").count() == 0
+    assert out.filter("id = 2").first().position == 1
+
+
+def test_raw_rows_first_genre_wins_and_details_by_id(spark, pages):
+    from reelstack.plans.jobs import raw_rows
+    details = spark.createDataFrame([(7, 100, "tt7", 95, 2923706026), (1, 0, None, 80, None)],
+                                    "id long, budget long, imdb_id string, runtime int, revenue long")
+    out = raw_rows(pages, details, rename_map={"ano": "Ano", "genre_id": "Genre_ID"})
+    seven = out.filter("id = 7").collect()
+    assert len(seven) == 1 and seven[0].Genre_ID == 14 and seven[0].revenue == 2923706026
+    assert out.filter("id = 2").first().imdb_id is None          # missing detail: nulls
+    assert out.select("id").distinct().count() == out.count()
+
+
+@pytest.mark.parametrize("n", [0, 1, 100, 101, 250])
+def test_sink_ndjson_exact_chunks(spark, n):
+    df = spark.range(n).select(F.col("id").alias("id"), (F.col("id") * 2).alias("v"))
+    path = src.sink_ndjson(df, scratch_path(spark, "nd"), 100, order="id")
+    stats = src.file_stats(spark, path, "json", schema="id long, v long").first()
+    assert stats.n_rows == n and stats.n_files == -(-n // 100)
+    back = spark.read.schema("id long, v long").json(path)
+    per_file = back.groupBy(F.input_file_name()).agg(F.min("id").alias("lo"),
+                                                    F.count("*").alias("c")).collect()
+    assert all(r.lo % 100 == 0 and r.c <= 100 for r in per_file)
+
+
+def test_sink_ndjson_unordered_respects_max_records(spark):
+    df = spark.range(250).repartition(3)
+    path = src.sink_ndjson(df, scratch_path(spark, "nd2"), 100)
+    per_file = spark.read.json(path).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in per_file) == 250 and max(r["count"] for r in per_file) <= 100
+
+
+def test_sink_parquet_single_file_and_guard(spark):
+    df = spark.range(1000).repartition(4)
+    one = src.sink_parquet(df, scratch_path(spark, "one"), single_file=True)
+    assert src.file_stats(spark, one).first() == (1, 1000)
+    many = src.sink_parquet(df, scratch_path(spark, "many"), single_file=True,
+                            single_file_max_rows=300)
+    assert src.file_stats(spark, many).first() == (4, 1000)
+
+
+def test_sink_partitioned_and_scan_layer_dt(spark):
+    root = scratch_path(spark, "trt")
+    df = spark.createDataFrame([("tt1", 1), ("tt2", 2)], "imdb_id string, v int")
+    src.sink_partitioned(df, root, dt="2024-04-12")
+    src.sink_partitioned(df.limit(1), root, dt="2024-04-13")
+    src.sink_partitioned(df.filter("v = 2"), root, dt="2024-04-12")  # dynamic overwrite
+    assert rows(src.scan_layer(spark, root, dt="2024-04-12"), "imdb_id") == [("tt2",)]
+    assert src.scan_layer(spark, root, dt="2024/04/13").count() == 1
+    assert src.scan_layer(spark, root).count() == 2
+    assert dict(src.scan_layer(spark, root).dtypes)["dt"] == "date"
+
+
+def test_scan_csv_pipe_quoted_pipe_and_dirty_values(spark, tmp_path):
+    header = "|".join(MOVIES_CSV.names)
+    line1 = '|'.join(['tt1', '"A|B"', 'x', '2005', '\\N', 'Fantasy', '7.5', '29.9'] + ['z'] * 7)
+    line2 = '|'.join(['tt2', 'T', 'x', '', '95', '', '', '30'] + [''] * 7)
+    path = tmp_path / "movies.csv"
+    path.write_text("\n".join([header, line1, line2]) + "\n")
+    df = src.scan_csv_pipe(spark, str(path))
+    got = {r.id: r for r in df.collect()}
+    assert got["tt1"].tituloPincipal == "A|B" and got["tt1"].tempoMinutos == "\\N"
+    assert got["tt2"].anoLancamento is None and df.dtypes[0] == ("id", "string")
+
+
+def test_scan_ndjson_declared_schema(spark):
+    path = scratch_path(spark, "api")
+    spark.createDataFrame([(2001, 14, 7, "m", "d", 1.0, 2.0, 30, False, 5, "tt7", 90, 6)],
+                          API_RAW).write.json(path)
+    df = src.scan_ndjson(spark, path, API_RAW)
+    assert df.schema == API_RAW and df.first().imdb_id == "tt7"
+
+
+def test_land_raw_date_path_and_file_name(spark, tmp_path):
+    srcdir = tmp_path / "local"
+    srcdir.mkdir()
+    (srcdir / "movies.csv").write_text("a|b\n1|2\n")
+    (srcdir / "series.csv").write_text("c\n3\n")
+    landed = src.land_raw(spark, str(srcdir), scratch_path(spark, "Raw/Local/CSV"), "2024-04-12")
+    assert landed.endswith("/2024/04/12")
+    back = spark.read.text(landed)
+    assert rows(back, "file", "value") == [("movies.csv", "1|2"), ("movies.csv", "a|b"),
+                                           ("series.csv", "3"), ("series.csv", "c")]
+    assert os.path.isdir(landed.replace("file:", "") + "/file=movies.csv")
