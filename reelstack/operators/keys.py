@@ -3,16 +3,20 @@
 * ``dense_key``        – ``prefix || row_number() OVER (ORDER BY ...)``. A window
   without PARTITION BY runs in one task, so use it only where the row count
   has a known small bound (years of a date dimension, an id allow-list).
-* ``dense_key_scaled`` – the same numbers without a single task: rows are range
-  partitioned on the order, the bucket of every row and its place inside the
-  bucket are fixed once by a reliable checkpoint (so a retried or recomputed
-  stage cannot move a row), then each row adds the count of rows in the
-  buckets before it. Only per-bucket counts, one row per bucket, travel to a
-  broadcast.
-* ``row_number_scaled`` – the general form: ``row_number() OVER (PARTITION BY
-  g ORDER BY o)`` that also splits a group holding a large share of all rows.
+* ``dense_key_scaled`` – the same numbers without a single task.
+* ``row_number_scaled`` – the general form, ``row_number() OVER (PARTITION BY g
+  ORDER BY o)``, which also splits a group holding a large share of all rows.
 * ``unique_key``       – ``monotonically_increasing_id() + 1``: unique, not dense,
   depends on partitioning.
+
+How the scaled numbering works: split points of the sort key (group columns,
+then order columns) are taken once from a bounded sample and frozen as
+literals. Every row gets the bucket between two split points through a
+binary-search expression, so buckets follow the sort order, are about equally
+full whatever the group sizes, and a recomputed stage assigns the same
+buckets. Rows are numbered inside (bucket, group) by a window, and each
+(bucket, group) adds the number of rows of its group in earlier buckets.
+Only those per-bucket counts travel to a broadcast.
 """
 
 from __future__ import annotations
@@ -22,11 +26,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions._util import as_cols, names
-from ..session import checkpoint_root, shuffle_partitions
+from ..functions._util import names
+from ..session import shuffle_partitions
 
-_B, _I, _N, _FIRST, _OFF = "_rk_bucket", "_rk_index", "_rk_count", "_rk_first", "_rk_offset"
+_B, _N, _OFF, _LOCAL = "_rk_bucket", "_rk_count", "_rk_offset", "_rk_local"
 _SB = "_rk_stats_bucket"
+# Sample rows per bucket used to place the split points.
+SAMPLE_PER_BUCKET = 64
+# Buckets per shuffle partition: several small buckets per task even out hash placement.
+BUCKETS_PER_PARTITION = 4
+_SEED = 20240412
 
 
 def with_prefix(prefix: str, number: Column) -> Column:
@@ -35,49 +44,80 @@ def with_prefix(prefix: str, number: Column) -> Column:
 
 def dense_key(df: DataFrame, order, name: str, prefix: str | None = None) -> DataFrame:
     """Dense key 1..n in ``order`` (single-task window: small inputs only)."""
-    number = F.row_number().over(Window.orderBy(*as_cols(order)))
+    order = [order] if isinstance(order, (str, Column)) else list(order)
+    number = F.row_number().over(Window.orderBy(*[F.col(c) if isinstance(c, str) else c
+                                                  for c in order]))
     return df.withColumn(name, with_prefix(prefix, number) if prefix is not None else number)
 
 
+def split_points(df: DataFrame, cols: list[str], buckets: int) -> list[tuple]:
+    """Up to ``buckets - 1`` ascending split points of ``cols`` (nulls first),
+    from a sample of at most about ``2 * buckets * SAMPLE_PER_BUCKET`` rows —
+    the only data that reaches the driver."""
+    if buckets <= 1:
+        return []
+    keys = df.select(*cols)
+    total = keys.count()
+    if total == 0:
+        return []
+    fraction = min(1.0, 2.0 * buckets * SAMPLE_PER_BUCKET / total)
+    sample = keys.sample(False, fraction, _SEED).orderBy(*cols).collect()
+    points, last = [], None
+    for i in range(1, buckets):
+        if not sample:
+            break
+        point = tuple(sample[(i * len(sample)) // buckets])
+        if point != last:
+            points.append(point)
+            last = point
+    return points
+
+
+def bucket_of(df: DataFrame, cols: list[str], points: list[tuple]) -> Column:
+    """Number of split points <= struct(cols): a balanced binary search over
+    literal structs (depth log2 of the bucket count), compared with Spark's
+    struct ordering, which puts nulls first like the ascending window order."""
+    if not points:
+        return F.lit(0)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    key = F.struct(*[F.col(c) for c in cols])
+    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, p)]) for p in points]
+
+    def search(lo: int, hi: int) -> Column:  # the answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(key < lits[mid - 1], search(lo, mid - 1)).otherwise(search(mid, hi))
+    return search(0, len(points))
+
+
 def row_number_scaled(df: DataFrame, order, name: str, partition_by=(),
                       buckets: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY partition_by ORDER BY order)`` as a
-    bigint, computed without sending any group or the whole input to one task.
-
-    The order (with the partition columns) should be total; ties are numbered
-    in an arbitrary but fixed order.
-    """
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    part = names(partition_by)
-    sort_cols = [*as_cols(part), *as_cols(order)]
-    n = buckets or shuffle_partitions(spark)
-    ranged = (df.repartitionByRange(n, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn(_B, F.spark_partition_id())
-              .withColumn(_I, F.monotonically_increasing_id())
-              # Reliable checkpoint in the shared folder: fixes bucket and
-              # in-bucket index of every row, cuts the lineage.
-              .checkpoint(eager=True))
-    # One row per (bucket, group): how many rows and where the group starts.
-    # Its columns are renamed so the join back is not an ambiguous self-join.
+    bigint (ascending, nulls first), without sending any group or the whole
+    input to one task. Give a total order for a reproducible numbering."""
+    part, order = names(partition_by), names(order)
+    cols = [*part, *order]
+    n = buckets or BUCKETS_PER_PARTITION * shuffle_partitions(df.sparkSession)
+    tagged = df.withColumn(_B, bucket_of(df, cols, split_points(df, cols, n)))
+
     groups = [f"_rk_g{i}" for i in range(len(part))]
-    stats = (ranged.groupBy(F.col(_B).alias(_SB), *[F.col(p).alias(g) for p, g in zip(part, groups)])
-             .agg(F.count(F.lit(1)).alias(_N), F.min(_I).alias(_FIRST)))
-    before = (Window.partitionBy(*groups) if groups else Window).orderBy(_SB) \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    stats = (tagged.groupBy(F.col(_B).alias(_SB), *[F.col(p).alias(g) for p, g in zip(part, groups)])
+             .agg(F.count(F.lit(1)).alias(_N)))
+    before = ((Window.partitionBy(*groups) if groups else Window).orderBy(_SB)
+              .rowsBetween(Window.unboundedPreceding, -1))
     stats = stats.withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0))).drop(_N)
-    if part:
-        # Up to buckets + groups rows: AQE broadcasts it only when the measured
-        # size is small, otherwise it is a shuffled join.
-        cond = reduce(lambda a, b: a & b, [F.col(_B) == F.col(_SB)]
-                      + [F.col(p).eqNullSafe(F.col(g)) for p, g in zip(part, groups)])
-        joined = ranged.join(stats, cond)
-    else:
-        # Exactly one row per bucket: bounded by ``buckets``.
-        joined = ranged.join(F.broadcast(stats), F.col(_B) == F.col(_SB))
-    number = F.col(_OFF) + (F.col(_I) - F.col(_FIRST)) + F.lit(1)
-    return joined.select(*[F.col(c) for c in df.columns], number.alias(name))
+
+    local = Window.partitionBy(_B, *part).orderBy(*[F.col(c) for c in order])
+    numbered = tagged.withColumn(_LOCAL, F.row_number().over(local))
+    cond = reduce(lambda a, b: a & b, [F.col(_B) == F.col(_SB)]
+                  + [F.col(p).eqNullSafe(F.col(g)) for p, g in zip(part, groups)])
+    # Without groups the offsets are one row per bucket, bounded by ``n``;
+    # with groups there are up to buckets + groups rows and AQE decides from
+    # the measured size whether to broadcast them.
+    joined = numbered.join(stats if part else F.broadcast(stats), cond)
+    number = F.col(_OFF) + F.col(_LOCAL)
+    return joined.select(*[F.col(c) for c in df.columns], number.cast("bigint").alias(name))
 
 
 def dense_key_scaled(df: DataFrame, order, name: str, prefix: str | None = None,

@@ -9,8 +9,9 @@ Grain and stability (the reference leaves both to chance):
   movies of each year; ``operators.fanout_counts`` reports that size);
 * every key follows a total order (year; movie id), so a rerun — or a stage
   recomputed after a lost executor — yields the same keys;
-* title and adult dimensions share one ranking of the movie ids, computed once
-  and without a single-task window.
+* title and adult dimensions share one ranking of the movie ids, computed once,
+  without a single-task window, and stored with the base, so the fact reads
+  its title and adult keys from the same rows instead of joining on the id.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from ..operators.filters import keep_ids
 from ..operators.joins import join_on_key, lookup_key
 from ..operators.keys import dense_key, row_number_scaled, with_prefix
 from ..params import GENERAL_PREFIXES, SUBSET_PREFIXES
+from ..session import materialize
 
 # Measures of the fact, in output order (``id_genero`` only in the general star).
 FACT_MEASURES = ["orcamento", "receita", "tempoMinutos", "id_genero", "popularidade",
@@ -84,27 +86,35 @@ def build_star(base: DataFrame, spec: StarSpec, measures=None, key: str = "imdb_
     date_p, title_p, adult_p = spec.prefixes
     measures = [m for m in (measures or FACT_MEASURES)
                 if m in base.columns and (spec.with_genre or m != "id_genero")]
+    if small:
+        ranked = dense_key(base, key, "_rank")
+    else:
+        # Number the base itself, once: both dimensions and the fact are then
+        # projections of one stored table, so the fact needs no join on the id.
+        # The base is stored first because the numbering reads it three times
+        # (split points, bucket counts, numbering) and it may be a costly join.
+        ranked = materialize(row_number_scaled(materialize(base, "star_base"), key, "_rank"),
+                             "star_ranked")
 
     # Years: a natural small bound, so a global window and a broadcast are safe.
-    years = base.select(F.col(year).alias("Ano_Lancamento")).distinct()
+    years = ranked.select(F.col(year).alias("Ano_Lancamento")).distinct()
     date_dim = dense_key(years, "Ano_Lancamento", spec.date_key, date_p)
 
-    ids = base.select(key, *[c for c in (title, adult) if c in base.columns])
-    ranked = (dense_key(ids, key, "_rank") if small else row_number_scaled(ids, key, "_rank"))
-    ranked = (ranked.withColumn(spec.title_key, with_prefix(title_p, F.col("_rank")))
-              .withColumn(spec.adult_key, with_prefix(adult_p, F.col("_rank"))))
-    title_dim = ranked.select(
-        (F.col(title) if title in base.columns else F.lit(None).cast("string")).alias("Titulo"),
-        F.col(key).alias(spec.title_id), spec.title_key)
-    adult_dim = ranked.select(
-        (F.col(adult) if adult in base.columns else F.lit(None).cast("boolean")).alias("Adulto"),
-        F.col(key).alias(spec.adult_id), spec.adult_key)
+    def text_or_null(c: str, dtype: str):
+        return F.col(c) if c in base.columns else F.lit(None).cast(dtype)
+
+    title_dim = ranked.select(text_or_null(title, "string").alias("Titulo"),
+                              F.col(key).alias(spec.title_id),
+                              with_prefix(title_p, F.col("_rank")).alias(spec.title_key))
+    adult_dim = ranked.select(text_or_null(adult, "boolean").alias("Adulto"),
+                              F.col(key).alias(spec.adult_id),
+                              with_prefix(adult_p, F.col("_rank")).alias(spec.adult_key))
 
     # The base is unique per id, so SELECT DISTINCT of the fact row is the identity.
-    fact = base.select(F.col(key).alias(spec.fact_id), *measures, F.col(year).alias("_year"))
+    fact = ranked.select(F.col(key).alias(spec.fact_id), *measures, F.col(year).alias("_year"),
+                         with_prefix(title_p, F.col("_rank")).alias(spec.title_key),
+                         with_prefix(adult_p, F.col("_rank")).alias(spec.adult_key))
     fact = lookup_key(fact, date_dim, "_year", "Ano_Lancamento", spec.date_key, bounded=True)
-    fact = lookup_key(fact, ranked, spec.fact_id, key, [spec.title_key, spec.adult_key],
-                      bounded=small)
     fact = fact.select(spec.fact_id, *measures, spec.date_key, spec.title_key, spec.adult_key)
     return {spec.fact: fact, spec.date_dim: date_dim, spec.title_dim: title_dim,
             spec.adult_dim: adult_dim}

@@ -62,3 +62,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back. It cuts the lineage (a lost executor recomputes from the files,
+    not from the inputs), and later passes read only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
