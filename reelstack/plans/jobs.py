@@ -109,10 +109,10 @@ API_RENAMES = {
 }
 
 
-def trusted_api(raw: DataFrame, params: ApiParams = ApiParams()) -> DataFrame:
-    """Raw API rows -> trusted API rows: money as bigint (no int32 overflow),
-    positive budget and revenue, enough votes and minutes, an imdb id; sorted
-    by imdb id (tight file statistics), extraction date stamped."""
+def trusted_api_rows(raw: DataFrame, params: ApiParams = ApiParams()) -> DataFrame:
+    """The row-by-row part of the trusted API job (also valid on a stream):
+    money as bigint (no int32 overflow), positive budget and revenue, enough
+    votes and minutes, an imdb id, imdb id moved last."""
     df = rename(drop_cols(raw, "release_date"), API_RENAMES)
     df = df.withColumns({
         "orcamento": to_long("orcamento"), "receita": to_long("receita"),
@@ -122,7 +122,13 @@ def trusted_api(raw: DataFrame, params: ApiParams = ApiParams()) -> DataFrame:
                    & at_least("contagem_de_voto", params.min_votes)
                    & at_least("duracao", params.min_minutes)
                    & present("imdb_id"))
-    df = sort_by(move_last(df, "imdb_id"), "imdb_id")
+    return move_last(df, "imdb_id")
+
+
+def trusted_api(raw: DataFrame, params: ApiParams = ApiParams()) -> DataFrame:
+    """Raw API rows -> trusted API rows, sorted by imdb id (tight file
+    statistics on the key), extraction date stamped."""
+    df = sort_by(trusted_api_rows(raw, params), "imdb_id")
     return stamp(df, "data_coleta_tmdb", params.extraction_date)
 
 
