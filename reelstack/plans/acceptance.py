@@ -82,10 +82,13 @@ def _event_pages(spark, d, fail_genre: str | None = "error", fail_page: int = 41
     if fail_genre is not None:
         status = F.when((F.col("genre") == fail_genre) & (F.col("page") == fail_page),
                         F.lit(500)).otherwise(F.lit(200))
-    return paginate(events.withColumnRenamed("event_type", "genre")
-                    .withColumnRenamed("event_id", "id").withColumnRenamed("value", "popularity"),
-                    group_by="genre", order="id", page_size=20,
-                    result_cols=["id", "popularity", "user_id"], status=status)
+    pages = paginate(events.withColumnRenamed("event_type", "genre")
+                     .withColumnRenamed("event_id", "id").withColumnRenamed("value", "popularity"),
+                     group_by="genre", order="id", page_size=20,
+                     result_cols=["id", "popularity", "user_id"], status=status)
+    # Land the page documents as NDJSON (the raw layer) and read them back.
+    path = sink_ndjson(pages, scratch_path(spark, "pages"), max_records=10_000)
+    return scan_ndjson(spark, path, pages.schema)
 
 
 def q_flatten_pages(spark, d):
@@ -262,7 +265,7 @@ def q_join_inner_key(spark, d):
     # (map-side partial aggregation), so a hot id cannot multiply the join.
     lines = op.distinct_rows(table(spark, d, "lineitem"), ["l_orderkey"]) \
         .withColumnRenamed("l_orderkey", "imdb_id")
-    return op.keep_one(op.join_on_key(orders, lines, "imdb_id"), "imdb_id")
+    return op.distinct_rows(op.join_on_key(orders, lines, "imdb_id"))
 
 
 def q_join_left_details(spark, d):
