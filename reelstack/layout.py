@@ -17,15 +17,24 @@ def date_path(day: dt.date | str) -> str:
 class Layout:
     root: str
 
+    def raw_files_root(self, kind: str) -> str:
+        """Landed CSV extracts of one kind (``Movies``, ``Series``)."""
+        return f"{self.root}/Raw/Local/CSV/{kind}"
+
     def raw_files(self, kind: str, day) -> str:
-        """Landed CSV extracts: ``Raw/Local/CSV/{kind}/yyyy/MM/dd``."""
-        return f"{self.root}/Raw/Local/CSV/{kind}/{date_path(day)}"
+        """One day of landed extracts: ``Raw/Local/CSV/{kind}/yyyy/MM/dd``."""
+        return f"{self.raw_files_root(kind)}/{date_path(day)}"
 
     def raw_pages(self, day) -> str:
-        return f"{self.root}/Raw/TMDB/pages/{date_path(day)}"
+        return f"{self.root}/Raw/API/pages/{date_path(day)}"
+
+    @property
+    def raw_api_root(self) -> str:
+        """Raw API layer: one ``yyyy/MM/dd`` folder of NDJSON per extraction."""
+        return f"{self.root}/Raw/API/json"
 
     def raw_api(self, day) -> str:
-        return f"{self.root}/Raw/TMDB/json/{date_path(day)}"
+        return f"{self.raw_api_root}/{date_path(day)}"
 
     @property
     def trusted_movies(self) -> str:
@@ -34,7 +43,7 @@ class Layout:
     @property
     def trusted_api(self) -> str:
         """Partitioned by ``dt``; read the root and filter on ``dt``."""
-        return f"{self.root}/TRT/TMDB"
+        return f"{self.root}/TRT/API"
 
     def refined(self, star: str = "geral") -> str:
         return f"{self.root}/Refined/{star}"

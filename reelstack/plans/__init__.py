@@ -1,11 +1,11 @@
 """Star builder, layer jobs and the acceptance query set."""
 
-from .jobs import (raw_ingest_job, raw_rows, star_job, trusted_api, trusted_api_job,
+from .jobs import (land_extracts_job, raw_ingest_job, raw_rows, star_job, trusted_api, trusted_api_job,
                    trusted_api_rows, trusted_catalog, trusted_catalog_job)
 from .star import GENERAL, SUBSET, StarSpec, build_star, joined_base, star_general, star_subset
 
 __all__ = [
-    "raw_ingest_job", "raw_rows", "star_job", "trusted_api", "trusted_api_job", "trusted_api_rows",
+    "land_extracts_job", "raw_ingest_job", "raw_rows", "star_job", "trusted_api", "trusted_api_job", "trusted_api_rows",
     "trusted_catalog", "trusted_catalog_job",
     "GENERAL", "SUBSET", "StarSpec", "build_star", "joined_base", "star_general", "star_subset",
 ]

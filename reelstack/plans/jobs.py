@@ -17,13 +17,20 @@ from ..operators.ordering import sort_by
 from ..params import MAX_PAGES, RECORDS_PER_FILE, ApiParams, CatalogParams
 from ..schemas import API_RAW, MOVIES_CSV
 from ..sources.pages import flatten_pages
-from ..sources.readers import scan_csv_pipe, scan_layer, scan_ndjson
+from ..sources.readers import land_raw, scan_csv_pipe, scan_layer, scan_ndjson
 from ..sources.sinks import sink_ndjson, sink_parquet, sink_partitioned, write_star
 from .star import star_general, star_subset
 
 # --------------------------------------------------------------------------- raw
 
 
+def land_extracts_job(spark: SparkSession, sources: dict[str, str], layout: Layout, day) -> dict:
+    """Land local extract files (for example ``{"Movies": ..., "Series": ...}``)
+    under ``Raw/Local/CSV/{kind}/yyyy/MM/dd``; returns the landed folders."""
+    return {kind: land_raw(spark, src, layout.raw_files_root(kind), day)
+            for kind, src in sources.items()}
+
+
 def raw_rows(pages: DataFrame, details: DataFrame, keys=("ano", "genre_id"), id_col: str = "id",
              details_key: str = "id", max_pages: int | None = MAX_PAGES,
              rename_map: dict | None = None) -> DataFrame:
@@ -93,10 +100,12 @@ def trusted_catalog(csv: DataFrame, params: CatalogParams = CatalogParams(), id_
     return keep_one(kept, "imdb_id")
 
 
-def trusted_catalog_job(spark: SparkSession, src: str, layout: Layout,
+def trusted_catalog_job(spark: SparkSession, layout: Layout, day,
                         params: CatalogParams = CatalogParams(), single_file: bool = True) -> str:
-    movies = trusted_catalog(scan_csv_pipe(spark, src, MOVIES_CSV), params)
-    return sink_parquet(movies, layout.trusted_movies, single_file=single_file)
+    """Landed movies CSV of ``day`` -> trusted movies Parquet."""
+    csv = scan_csv_pipe(spark, layout.raw_files("Movies", day), MOVIES_CSV)
+    return sink_parquet(trusted_catalog(csv, params), layout.trusted_movies,
+                        single_file=single_file)
 
 
 # ------------------------------------------------------------------- trusted api

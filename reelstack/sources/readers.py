@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +20,23 @@ def scan_ndjson(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 
 
 def scan_csv_pipe(spark: SparkSession, path: str, schema: StructType = MOVIES_CSV) -> DataFrame:
-    """Pipe-separated CSV with a header; columns are read as declared
-    (all text for the movies extract) and typed later by lenient casts."""
-    return (spark.read.schema(schema)
-            .option("header", True).option("sep", "|")
-            .option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    """Pipe-separated CSV with a header line; columns are read as declared
+    (all text for the movies extract) and typed later by lenient casts.
+
+    The header is removed as a row equal to the column names rather than by
+    the reader's ``header`` option: that option drops the first line of every
+    part file, and a landed file is split into several parts, only the first
+    of which starts with the header.
+    """
+    df = (spark.read.schema(schema)
+          .option("header", False).option("sep", "|")
+          .option("quote", '"').option("escape", '"')
+          .option("mode", "PERMISSIVE")
+          .csv(path))
+    is_header = reduce(lambda a, b: a & b,
+                       [F.col(f.name).cast("string").eqNullSafe(F.lit(f.name))
+                        for f in schema.fields])
+    return df.filter(~is_header)
 
 
 def scan_layer(spark: SparkSession, root: str, table: str | None = None,

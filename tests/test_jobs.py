@@ -1,5 +1,7 @@
 """Layer jobs end to end on hand-made rows (FIXTURES A4, A6-A8)."""
 
+import glob
+
 from pyspark.sql import functions as F
 
 from reelstack.layout import Layout
@@ -158,3 +160,28 @@ def test_raw_to_trusted_files(spark, tmp_path):
     jobs.trusted_api_job(spark, out, layout, "2024-04-12")
     api = scan_layer(spark, layout.trusted_api, dt="2024-04-12")
     assert rows(api, "imdb_id", "orcamento") == [("tt1", 100)]
+
+
+def test_land_then_trusted_catalog_from_split_parts(spark, tmp_path):
+    """A landed CSV split into several part files keeps every data row."""
+    layout = Layout(scratch_path(spark, "lake"))
+    local = tmp_path / "extract"
+    local.mkdir()
+    header = "|".join(MOVIES_CSV.names)
+    lines = [header] + ["|".join(v or "" for v in _csv_row(f"tt{i:03d}", genre="Fantasy"))
+                        for i in range(300)]
+    (local / "movies.csv").write_text("\n".join(lines) + "\n")
+    (local / "series.csv").write_text("a|b\n1|2\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # force several parts
+    try:
+        landed = jobs.land_extracts_job(spark, {"Movies": str(local / "movies.csv"),
+                                                "Series": str(local / "series.csv")},
+                                        layout, "2024-04-12")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert landed["Movies"].endswith("Movies/2024/04/12")
+    parts = glob.glob(landed["Movies"].replace("file:", "") + "/file=movies.csv/part-*")
+    assert len(parts) > 1, parts
+    out = jobs.trusted_catalog_job(spark, layout, "2024-04-12")
+    movies = spark.read.parquet(out)
+    assert movies.count() == 300 and movies.select("imdb_id").distinct().count() == 300

@@ -21,13 +21,13 @@ def test_stream_processes_new_days_exactly_once(spark):
     layout = Layout(scratch_path(spark, "lake"))
     out, ckpt = layout.trusted_api, scratch_path(spark, "stream_ckpt")
     _raw(spark, range(1, 8)).write.json(layout.raw_api("2024-04-11"))
-    q = run_trusted_api_stream(spark, f"{layout.root}/Raw/TMDB/json", out, ckpt)
+    q = run_trusted_api_stream(spark, layout.raw_api_root, out, ckpt)
     q.awaitTermination()
     first = spark.read.parquet(out)
     assert rows(first, "imdb_id", "dt") == [(f"tt{i}", datetime.date(2024, 4, 11))
                                             for i in (4, 5, 6, 7)]
     _raw(spark, range(8, 12)).write.json(layout.raw_api("2024-04-12"))
-    q = run_trusted_api_stream(spark, f"{layout.root}/Raw/TMDB/json", out, ckpt)
+    q = run_trusted_api_stream(spark, layout.raw_api_root, out, ckpt)
     q.awaitTermination()
     both = spark.read.parquet(out)
     assert both.count() == 8 and both.select("imdb_id").distinct().count() == 8
