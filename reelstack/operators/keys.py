@@ -35,6 +35,12 @@ _SB = "_rk_stats_bucket"
 SAMPLE_PER_BUCKET = 64
 # Buckets per shuffle partition: several small buckets per task even out hash placement.
 BUCKETS_PER_PARTITION = 4
+# The lookup stays one compiled expression (under the 64 KB method limit, for
+# composite keys too) up to this many buckets. Each bucket is numbered by one
+# task, so 512 buckets put ~2 GB per task on a 1 TB input.
+MAX_BUCKETS = 512
+# No bucket smaller than this: small inputs get few buckets and a small lookup.
+MIN_ROWS_PER_BUCKET = 10_000
 _SEED = 20240412
 
 
@@ -53,12 +59,12 @@ def dense_key(df: DataFrame, order, name: str, prefix: str | None = None) -> Dat
 def split_points(df: DataFrame, cols: list[str], buckets: int) -> list[tuple]:
     """Up to ``buckets - 1`` ascending split points of ``cols`` (nulls first),
     from a sample of at most about ``2 * buckets * SAMPLE_PER_BUCKET`` rows —
-    the only data that reaches the driver."""
-    if buckets <= 1:
-        return []
+    the only data that reaches the driver. Fewer buckets are used when the
+    input holds under ``MIN_ROWS_PER_BUCKET`` rows per bucket."""
     keys = df.select(*cols)
     total = keys.count()
-    if total == 0:
+    buckets = min(buckets, MAX_BUCKETS, -(-total // MIN_ROWS_PER_BUCKET))
+    if buckets <= 1:
         return []
     fraction = min(1.0, 2.0 * buckets * SAMPLE_PER_BUCKET / total)
     sample = keys.sample(False, fraction, _SEED).orderBy(*cols).collect()
@@ -73,22 +79,49 @@ def split_points(df: DataFrame, cols: list[str], buckets: int) -> list[tuple]:
     return points
 
 
-def bucket_of(df: DataFrame, cols: list[str], points: list[tuple]) -> Column:
-    """Number of split points <= struct(cols): a balanced binary search over
-    literal structs (depth log2 of the bucket count), compared with Spark's
-    struct ordering, which puts nulls first like the ascending window order."""
-    if not points:
-        return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(c) for c in cols])
-    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, p)]) for p in points]
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def with_bucket(df: DataFrame, cols: list[str], points: list[tuple], name: str) -> DataFrame:
+    """Add ``name`` = number of split points <= the sort key of the row.
 
-    def search(lo: int, hi: int) -> Column:  # the answer lies in [lo, hi]
+    The lookup is a balanced binary search (depth log2 of the bucket count)
+    written as one SQL CASE expression whose split points are bound parameter
+    markers. A single key column is compared directly, with nulls in bucket 0
+    (nulls sort first); several columns are compared as structs, whose
+    ordering puts nulls first too. Only monotonicity in the sort order
+    matters for the numbering; the split points just balance the buckets.
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    args: dict = {}
+
+    def param(i: int, j: int, value) -> str:
+        args[f"rk{i}_{j}"] = value
+        return f"CAST(:rk{i}_{j} AS {types[cols[j]]})"
+
+    if len(cols) == 1:
+        points = [p for p in points if p[0] is not None]
+        key = _quote(cols[0])
+        bounds = [param(i, 0, p[0]) for i, p in enumerate(points)]
+    else:
+        key = "named_struct(" + ", ".join(f"'{c}', {_quote(c)}" for c in cols) + ")"
+        bounds = ["named_struct(" + ", ".join(f"'{c}', {param(i, j, v)}"
+                                              for j, (c, v) in enumerate(zip(cols, p))) + ")"
+                  for i, p in enumerate(points)]
+
+    def search(lo: int, hi: int) -> str:  # the answer lies in [lo, hi]
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(key < lits[mid - 1], search(lo, mid - 1)).otherwise(search(mid, hi))
-    return search(0, len(points))
+        return f"CASE WHEN {key} < {bounds[mid - 1]} THEN {search(lo, mid - 1)} " \
+               f"ELSE {search(mid, hi)} END"
+
+    expr = search(0, len(bounds))
+    if len(cols) == 1:
+        expr = f"CASE WHEN {key} IS NULL THEN 0 ELSE {expr} END"
+    return df.sparkSession.sql(f"SELECT *, {expr} AS {_quote(name)} FROM {{src}}",
+                               args=args or None, src=df)
 
 
 def row_number_scaled(df: DataFrame, order, name: str, partition_by=(),
@@ -99,7 +132,7 @@ def row_number_scaled(df: DataFrame, order, name: str, partition_by=(),
     part, order = names(partition_by), names(order)
     cols = [*part, *order]
     n = buckets or BUCKETS_PER_PARTITION * shuffle_partitions(df.sparkSession)
-    tagged = df.withColumn(_B, bucket_of(df, cols, split_points(df, cols, n)))
+    tagged = with_bucket(df, cols, split_points(df, cols, n), _B)
 
     groups = [f"_rk_g{i}" for i in range(len(part))]
     stats = (tagged.groupBy(F.col(_B).alias(_SB), *[F.col(p).alias(g) for p, g in zip(part, groups)])

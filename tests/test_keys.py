@@ -5,11 +5,20 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import pytest
+
 from reelstack import operators as op
+from reelstack.operators import keys as keys_mod
 
 from .conftest import rows
 
 
+@pytest.fixture(autouse=True)
+def many_buckets_on_small_inputs(monkeypatch):
+    """Exercise the multi-bucket path even on a few rows."""
+    monkeypatch.setattr(keys_mod, "MIN_ROWS_PER_BUCKET", 1)
+
+
 def test_dense_key_prefixed(spark):
     df = spark.createDataFrame([(2003,), (2001,), (2002,)], "ano int")
     assert rows(op.dense_key(df, "ano", "id_data", "dt")) == [(2001, "dt1"), (2002, "dt2"),

@@ -33,7 +33,9 @@ def test_keep_first_limits_before_the_shuffle(spark):
     assert kinds.index("exchange") < kinds.index("partial") and partial >= 0
 
 
-def test_scaled_key_never_funnels_rows_into_one_partition(spark):
+def test_scaled_key_never_funnels_rows_into_one_partition(spark, monkeypatch):
+    from reelstack.operators import keys as keys_mod
+    monkeypatch.setattr(keys_mod, "MIN_ROWS_PER_BUCKET", 1)
     df = table(spark, SF001, "orders").select("o_orderkey")
     text = plan(op.dense_key_scaled(df, "o_orderkey", "k", "tig"))
     lines = text.splitlines()
@@ -41,6 +43,7 @@ def test_scaled_key_never_funnels_rows_into_one_partition(spark):
     assert singles, "the per-bucket offsets are a tiny single-partition window"
     for i in singles:  # ... and what enters it is the per-bucket aggregate only
         assert "HashAggregate" in lines[i + 1]
+    assert "hashpartitioning(_rk_bucket" in text  # rows are spread by bucket
     plain = plan(op.dense_key(df, "o_orderkey", "k", "tig"))
     assert "SinglePartition" in plain  # the reason dense_key is for small inputs only
 
