@@ -43,3 +43,10 @@ def profile(df: DataFrame, cols=None, digits: int | None = 4) -> DataFrame:
         for i, c in enumerate(cols)
     ]))
     return row.select(rows.alias("p")).select("p.*")
+
+
+def describe(df: DataFrame, cols=None) -> DataFrame:
+    """count, mean, stddev, min, max of numeric *and* text columns, every
+    statistic as text, one row per statistic (Spark's ``describe``: one
+    aggregation pass). ``profile`` is the typed form for numeric columns."""
+    return df.describe(*(cols or []))

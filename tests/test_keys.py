@@ -62,3 +62,14 @@ def test_scaled_keys_are_stable_across_runs_and_partitionings(spark):
     a = op.dense_key_scaled(df.repartition(3), "k", "n", "ti", buckets=5)
     b = op.dense_key_scaled(df.repartition(11), "k", "n", "ti", buckets=9)
     assert rows(a) == rows(b)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 1000)), min_size=1, max_size=80,
+                unique=True), st.integers(1, 7))
+def test_keep_first_is_independent_of_partitioning(spark, data, parts):
+    df = spark.createDataFrame(data, "id int, ord int")
+    one = rows(op.keep_first(df.coalesce(1), "id", ["ord"]))
+    many = rows(op.keep_first(df.repartition(parts), "id", ["ord"]))
+    expected = sorted((i, min(o for j, o in data if j == i)) for i in {i for i, _ in data})
+    assert one == many == expected

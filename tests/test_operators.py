@@ -123,3 +123,9 @@ def test_unique_key_is_unique(spark):
     assert out.select("k").distinct().count() == 1000
     assert out.agg(F.min("k")).first()[0] == 1
     assert dict(out.dtypes)["k"] == "bigint" and LongType
+
+
+def test_describe_covers_text_columns(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 3)], "t string, x int")
+    stats = {r.summary: r for r in op.describe(df).collect()}
+    assert stats["count"].t == "2" and stats["min"].t == "a" and stats["max"].x == "3"
