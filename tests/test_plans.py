@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from reelstack import operators as op
 from reelstack.plans.acceptance import QUERIES, table
+from reelstack.session import scratch_path
 
 from .conftest import SF001
 
@@ -80,3 +81,32 @@ def test_union_branches_scans_once(spark):
 def test_no_python_evaluation(spark, name):
     text = plan(QUERIES[name](spark, SF001))
     assert not any(node in text for node in PYTHON_NODES), name
+
+
+def test_star_fact_needs_no_shuffled_join(spark):
+    from reelstack.plans.star import GENERAL, build_star, joined_base
+    movies = table(spark, SF001, "lineitem").select(F.col("l_orderkey").alias("imdb_id"))
+    api = table(spark, SF001, "orders").select(
+        F.col("o_orderkey").alias("imdb_id"), F.year("o_orderdate").alias("anoLancamento_tmdb"),
+        F.col("o_totalprice").alias("orcamento"))
+    fact = build_star(joined_base(movies, api), GENERAL, measures=["orcamento"])[GENERAL.fact]
+    text = plan(fact)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    # the only shuffle left is the tiny DISTINCT of years feeding the broadcast
+    exchanges = [ln for ln in text.splitlines() if "Exchange hashpartitioning" in ln]
+    assert all("Ano_Lancamento" in ln or "anoLancamento_tmdb" in ln for ln in exchanges), exchanges
+
+
+def test_flatten_pages_never_shuffles_pages_by_group(spark):
+    from reelstack.sources import flatten_pages
+    pages = spark.createDataFrame(
+        [(2001, 14, 1, 200, 1, [(1, "a", "d", 1.0, 1.0, 1, False)])],
+        "ano int, genre_id int, page int, status int, total_pages int, "
+        "results array<struct<id:bigint,title:string,release_date:string,popularity:double,"
+        "vote_average:double,vote_count:bigint,adult:boolean>>")
+    path = scratch_path(spark, "pages")
+    pages.write.json(path)
+    landed = spark.read.schema(pages.schema).json(path)
+    text = plan(flatten_pages(landed, ["ano", "genre_id"]))
+    kept_side = text.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in kept_side
