@@ -12,6 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Largest row count a size-checked side may have to be broadcast.
+BROADCAST_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` holds at most ``max_rows`` rows, checked
+    with a bounded count; otherwise ``df`` unchanged (AQE then chooses the
+    join from measured sizes). For small per-group tables whose other side
+    must not be shuffled by group."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
 
 def join_on_key(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,
                 how: str = "inner") -> DataFrame:

@@ -30,7 +30,7 @@ from ..functions._util import names
 from ..session import shuffle_partitions
 
 _B, _N, _OFF, _LOCAL = "_rk_bucket", "_rk_count", "_rk_offset", "_rk_local"
-_SB = "_rk_stats_bucket"
+_SB, _G, _SG = "_rk_stats_bucket", "_rk_group", "_rk_stats_group"
 # Sample rows per bucket used to place the split points.
 SAMPLE_PER_BUCKET = 64
 # Buckets per shuffle partition: several small buckets per task even out hash placement.
@@ -134,20 +134,26 @@ def row_number_scaled(df: DataFrame, order, name: str, partition_by=(),
     n = buckets or BUCKETS_PER_PARTITION * shuffle_partitions(df.sparkSession)
     tagged = with_bucket(df, cols, split_points(df, cols, n), _B)
 
-    groups = [f"_rk_g{i}" for i in range(len(part))]
-    stats = (tagged.groupBy(F.col(_B).alias(_SB), *[F.col(p).alias(g) for p, g in zip(part, groups)])
+    # The group travels as one struct column: struct equality treats null
+    # fields as equal (the null-safe group match), and a plain equi-join on
+    # (bucket, group) is satisfied by the numbering window's partitioning.
+    if part:
+        tagged = tagged.withColumn(_G, F.struct(*[F.col(c) for c in part]))
+    gcols = [_G] if part else []
+    stats = (tagged.groupBy(F.col(_B).alias(_SB), *[F.col(_G).alias(_SG)] * bool(part))
              .agg(F.count(F.lit(1)).alias(_N)))
-    before = ((Window.partitionBy(*groups) if groups else Window).orderBy(_SB)
+    before = ((Window.partitionBy(_SG) if part else Window).orderBy(_SB)
               .rowsBetween(Window.unboundedPreceding, -1))
     stats = stats.withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0))).drop(_N)
 
-    local = Window.partitionBy(_B, *part).orderBy(*[F.col(c) for c in order])
+    local = Window.partitionBy(_B, *gcols).orderBy(*[F.col(c) for c in order])
     numbered = tagged.withColumn(_LOCAL, F.row_number().over(local))
-    cond = reduce(lambda a, b: a & b, [F.col(_B) == F.col(_SB)]
-                  + [F.col(p).eqNullSafe(F.col(g)) for p, g in zip(part, groups)])
-    # Without groups the offsets are one row per bucket, bounded by ``n``;
-    # with groups there are up to buckets + groups rows and AQE decides from
-    # the measured size whether to broadcast them.
+    cond = F.col(_B) == F.col(_SB)
+    if part:
+        cond = cond & (F.col(_G) == F.col(_SG))
+    # Without groups the offsets are one row per bucket, bounded by the bucket
+    # count; with groups there are up to buckets + groups rows and AQE decides
+    # from the measured size whether to broadcast them.
     joined = numbered.join(stats if part else F.broadcast(stats), cond)
     number = F.col(_OFF) + F.col(_LOCAL)
     return joined.select(*[F.col(c) for c in df.columns], number.cast("bigint").alias(name))

@@ -13,22 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._util import as_cols, names
+from ..operators.joins import broadcast_if_small
 from ..operators.keys import row_number_scaled
 
 _RN = "_pg_rn"
 
 
 def paginate(df: DataFrame, group_by, order, page_size: int, result_cols,
-             status: Column | None = None, page_col: str = "page",
-             groups_bounded: bool = True) -> DataFrame:
+             status: Column | None = None, page_col: str = "page") -> DataFrame:
     """Landed page documents of ``df``: per group, rows in ``order`` cut into
     pages of ``page_size``. Columns: group columns, page, status, total_pages,
     results (array of structs of ``result_cols`` in row order).
 
     ``status`` is an expression over the group columns and ``page`` (200 when
     omitted). A page holds at most ``page_size`` rows, so no group larger than
-    that is ever collected. ``groups_bounded`` (see ``flatten_pages``)
-    broadcasts the one-row-per-group page totals.
+    that is ever collected. The one-row-per-group page totals are broadcast
+    when a bounded count shows they are small.
     """
     groups = names(group_by)
     result_cols = names(result_cols)
@@ -39,7 +39,7 @@ def paginate(df: DataFrame, group_by, order, page_size: int, result_cols,
                  .alias("_rows")))
     totals = (df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
               .withColumn("total_pages", F.ceil(F.col("_n") / page_size)).drop("_n"))
-    docs = docs.join(F.broadcast(totals) if groups_bounded else totals, on=groups)
+    docs = docs.join(broadcast_if_small(totals), on=groups)
     return docs.select(
         *groups, F.col(page_col).cast("bigint").alias(page_col),
         (status if status is not None else F.lit(200)).alias("status"),
@@ -50,8 +50,7 @@ def paginate(df: DataFrame, group_by, order, page_size: int, result_cols,
 
 
 def flatten_pages(pages: DataFrame, keys, max_pages: int | None = 500,
-                  page_col: str = "page", pos_col: str | None = "position",
-                  groups_bounded: bool = True) -> DataFrame:
+                  page_col: str = "page", pos_col: str | None = "position") -> DataFrame:
     """Rows of the pages a sequential crawl would have read, one per result.
 
     A page of a crawl group is kept when its status is 200, it is at most
@@ -60,12 +59,11 @@ def flatten_pages(pages: DataFrame, keys, max_pages: int | None = 500,
     0-based place of the row inside its page, so (keys, page, position) is the
     crawl order.
 
-    The stop points are one row per crawl group. A crawl group is one
-    (year, genre) request series, so there are at most years x genres of them
-    (30 for the reference crawl) and ``groups_bounded`` broadcasts them: the
-    pages are never shuffled by group, which would put every page of a genre
-    into one task. Pass ``groups_bounded=False`` when groups are open-ended;
-    AQE then picks the join from the measured size.
+    The stop points are one row per crawl group: one (year, genre) request
+    series, so at most years x genres rows (30 for the reference crawl). They
+    are broadcast after a bounded count confirms they are small, so the pages
+    are never shuffled by group (which would put every page of a genre into
+    one task); past the bound AQE picks the join from measured sizes.
     """
     keys = names(keys)
     page = F.col(page_col)
@@ -73,7 +71,7 @@ def flatten_pages(pages: DataFrame, keys, max_pages: int | None = 500,
         F.min(F.when(F.col("status") != 200, page)).alias("_first_fail"),
         F.min(F.when((F.col("status") == 200) & (page >= F.col("total_pages")), page))
         .alias("_last")))
-    kept = pages.join(F.broadcast(ends) if groups_bounded else ends, on=keys, how="left").filter(
+    kept = pages.join(broadcast_if_small(ends), on=keys, how="left").filter(
         (F.col("status") == 200) & (page >= 1)
         & (F.col("_first_fail").isNull() | (page < F.col("_first_fail")))
         & (F.col("_last").isNull() | (page <= F.col("_last")))
