@@ -21,8 +21,6 @@ Only those per-bucket counts travel to a broadcast.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
