@@ -183,7 +183,7 @@ def q_cast_overflow_safe(spark, d):
         "p_partkey",
         F.when(F.col("p_partkey") % 3 == 0, F.lit(2923706026).cast("bigint") + F.col("p_partkey"))
          .otherwise(F.col("p_partkey")).alias("receita"))
-    out = part.withColumn("receita_int", F.col("receita").try_cast("int"))
+    out = part.withColumn("receita_int", fn.to_int("receita"))
     return out.filter(fn.positive("receita"))
 
 

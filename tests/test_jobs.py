@@ -185,3 +185,15 @@ def test_land_then_trusted_catalog_from_split_parts(spark, tmp_path):
     out = jobs.trusted_catalog_job(spark, layout, "2024-04-12")
     movies = spark.read.parquet(out)
     assert movies.count() == 300 and movies.select("imdb_id").distinct().count() == 300
+
+
+def test_star_of_an_empty_join(spark):
+    from reelstack.plans.star import GENERAL, build_star, joined_base
+    movies = spark.createDataFrame([("tt1", "A")], "imdb_id string, tituloPrincipal string")
+    api = spark.createDataFrame([("tt2", 2001, 10, False)],
+                                "imdb_id string, anoLancamento_tmdb int, orcamento long, "
+                                "adulto boolean")
+    tables = build_star(joined_base(movies, api), GENERAL)
+    assert {name: df.count() for name, df in tables.items()} == dict.fromkeys(tables, 0)
+    assert tables[GENERAL.fact].columns == ["fato_imdb_id", "orcamento", "id_data", "id_titulo",
+                                            "id_adulto"]

@@ -73,3 +73,9 @@ def test_keep_first_is_independent_of_partitioning(spark, data, parts):
     many = rows(op.keep_first(df.repartition(parts), "id", ["ord"]))
     expected = sorted((i, min(o for j, o in data if j == i)) for i in {i for i, _ in data})
     assert one == many == expected
+
+
+def test_scaled_numbering_of_empty_input(spark):
+    df = spark.createDataFrame([], "k long, g string")
+    assert op.dense_key_scaled(df, "k", "n", "ti").count() == 0
+    assert op.row_number_scaled(df, "k", "n", partition_by="g").count() == 0

@@ -123,3 +123,14 @@ def test_land_raw_date_path_and_file_name(spark, tmp_path):
     assert rows(back, "file", "value") == [("movies.csv", "1|2"), ("movies.csv", "a|b"),
                                            ("series.csv", "3"), ("series.csv", "c")]
     assert os.path.isdir(landed.replace("file:", "") + "/file=movies.csv")
+
+
+def test_raw_rows_same_id_on_two_pages_keeps_earlier_page(spark):
+    from reelstack.plans.jobs import raw_rows
+    r = lambda i, pop: (i, f"m{i}", "2001-01-01", pop, 5.0, 40, False)
+    pages = spark.createDataFrame([(2001, 14, 1, 200, 2, [r(5, 1.0), r(6, 1.0)]),
+                                   (2001, 14, 2, 200, 2, [r(5, 2.0)])], PAGES_RAW)
+    details = spark.createDataFrame([], "id long, budget long, imdb_id string, runtime int, "
+                                        "revenue long")
+    out = raw_rows(pages, details)
+    assert rows(out, "id", "popularity") == [(5, 1.0), (6, 1.0)]
