@@ -2,10 +2,10 @@
 
 from .jobs import (land_extracts_job, raw_ingest_job, raw_rows, star_job, trusted_api, trusted_api_job,
                    trusted_api_rows, trusted_catalog, trusted_catalog_job)
-from .star import GENERAL, SUBSET, StarSpec, build_star, joined_base, star_general, star_subset
+from .star import GENERAL, GENERAL_TABELA_KEYS, SUBSET, StarSpec, build_star, joined_base, star_general, star_subset
 
 __all__ = [
     "land_extracts_job", "raw_ingest_job", "raw_rows", "star_job", "trusted_api", "trusted_api_job", "trusted_api_rows",
     "trusted_catalog", "trusted_catalog_job",
-    "GENERAL", "SUBSET", "StarSpec", "build_star", "joined_base", "star_general", "star_subset",
+    "GENERAL", "GENERAL_TABELA_KEYS", "SUBSET", "StarSpec", "build_star", "joined_base", "star_general", "star_subset",
 ]

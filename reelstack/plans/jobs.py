@@ -19,7 +19,7 @@ from ..schemas import API_RAW, MOVIES_CSV
 from ..sources.pages import flatten_pages
 from ..sources.readers import land_raw, scan_csv_pipe, scan_layer, scan_ndjson
 from ..sources.sinks import sink_ndjson, sink_parquet, sink_partitioned, write_star
-from .star import star_general, star_subset
+from .star import GENERAL, StarSpec, star_general, star_subset
 
 # --------------------------------------------------------------------------- raw
 
@@ -151,10 +151,12 @@ def trusted_api_job(spark: SparkSession, src: str, layout: Layout, dt: str,
 
 
 def star_job(spark: SparkSession, layout: Layout, dt: str, star: str = "geral",
-             ids=None, measures=None) -> dict[str, str]:
-    """Read both trusted tables, build the star, write its four tables."""
+             ids=None, measures=None, spec: StarSpec = GENERAL) -> dict[str, str]:
+    """Read both trusted tables, build the star, write its four tables.
+    Without ``ids`` it is the general star (``spec`` picks the key naming),
+    with ``ids`` the star of that id allow-list."""
     movies = scan_layer(spark, layout.trusted_movies)
     api = scan_layer(spark, layout.trusted_api, dt=dt).drop("dt")
-    tables = (star_general(movies, api, measures) if ids is None
+    tables = (star_general(movies, api, measures, spec) if ids is None
               else star_subset(movies, api, ids, measures))
     return write_star(tables, layout.refined(star))

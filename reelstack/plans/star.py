@@ -55,6 +55,14 @@ GENERAL = StarSpec(
     adult_id="adulto_imdb_id", date_key="id_data", title_key="id_titulo",
     adult_key="id_adulto", prefixes=GENERAL_PREFIXES, with_genre=True)
 
+# Same star with the other naming of the reference's general star: keys
+# ``id_tabela_*`` and no genre id in the fact.
+GENERAL_TABELA_KEYS = StarSpec(
+    fact="tabela_fato", date_dim="tabela_data", title_dim="tabela_titulo",
+    adult_dim="tabela_adulto", fact_id="fato_imdb_id", title_id="titulo_imdb_id",
+    adult_id="adulto_imdb_id", date_key="id_tabela_data", title_key="id_tabela_titulo",
+    adult_key="id_tabela_adulto", prefixes=GENERAL_PREFIXES, with_genre=False)
+
 SUBSET = StarSpec(
     fact="tabela_fato_sagas", date_dim="tabela_sagas_data", title_dim="tabela_sagas_titulo",
     adult_dim="tabela_sagas_adulto", fact_id="fs_movie_imdb_id", title_id="ts_imdb_id",
@@ -120,8 +128,9 @@ def build_star(base: DataFrame, spec: StarSpec, measures=None, key: str = "imdb_
             spec.adult_dim: adult_dim}
 
 
-def star_general(movies: DataFrame, api: DataFrame, measures=None) -> dict[str, DataFrame]:
-    return build_star(joined_base(movies, api), GENERAL, measures)
+def star_general(movies: DataFrame, api: DataFrame, measures=None,
+                 spec: StarSpec = GENERAL) -> dict[str, DataFrame]:
+    return build_star(joined_base(movies, api), spec, measures)
 
 
 def star_subset(movies: DataFrame, api: DataFrame, ids, measures=None) -> dict[str, DataFrame]:

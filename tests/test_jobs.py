@@ -197,3 +197,16 @@ def test_star_of_an_empty_join(spark):
     assert {name: df.count() for name, df in tables.items()} == dict.fromkeys(tables, 0)
     assert tables[GENERAL.fact].columns == ["fato_imdb_id", "orcamento", "id_data", "id_titulo",
                                             "id_adulto"]
+
+
+def test_star_with_tabela_key_names(spark):
+    from reelstack.plans.star import GENERAL_TABELA_KEYS
+    layout, dt = Layout(scratch_path(spark, "lake")), "2024-04-12"
+    _trusted_layers(spark, layout, dt)
+    paths = jobs.star_job(spark, layout, dt, spec=GENERAL_TABELA_KEYS)
+    fact = spark.read.parquet(paths["tabela_fato"])
+    assert fact.columns == ["fato_imdb_id", "orcamento", "receita", "tempoMinutos",
+                            "popularidade", "contagem_de_voto", "votacao_media",
+                            "data_coleta_tmdb", "id_tabela_data", "id_tabela_titulo",
+                            "id_tabela_adulto"]
+    assert rows(fact, "fato_imdb_id", "id_tabela_titulo")[0] == ("tt1", "tig1")
