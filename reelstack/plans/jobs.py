@@ -14,6 +14,7 @@ from ..operators.dedup import keep_first, keep_one
 from ..operators.joins import enrich
 from ..operators.projection import drop_cols, move_last, rename, stamp
 from ..operators.ordering import sort_by
+from ..operators.profile import count_tables, profile
 from ..params import MAX_PAGES, RECORDS_PER_FILE, ApiParams, CatalogParams
 from ..schemas import API_RAW, MOVIES_CSV
 from ..sources.pages import flatten_pages
@@ -160,3 +161,11 @@ def star_job(spark: SparkSession, layout: Layout, dt: str, star: str = "geral",
     tables = (star_general(movies, api, measures, spec) if ids is None
               else star_subset(movies, api, ids, measures))
     return write_star(tables, layout.refined(star))
+
+
+def star_report(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Row count of every written star table (one job) and the typed profile
+    of the fact's numeric columns (one pass)."""
+    tables = {name: spark.read.parquet(path) for name, path in paths.items()}
+    fact = next(df for name, df in tables.items() if name.startswith("tabela_fato"))
+    return count_tables(tables), profile(fact)

@@ -63,3 +63,8 @@ def test_layers_end_to_end(spark, tmp_path):
     titles = spark.read.parquet(subset["tabela_sagas_titulo"])
     assert rows(titles, "ts_imdb_id", "Titulo") == [(SUBSET_IDS[0], f"T {SUBSET_IDS[0]}"),
                                                     (SUBSET_IDS[1], f"T {SUBSET_IDS[1]}")]
+    counts, prof = jobs.star_report(spark, subset)
+    assert dict((r.tbl, r.n) for r in counts.collect()) == {
+        "tabela_fato_sagas": 2, "tabela_sagas_data": 1, "tabela_sagas_titulo": 2,
+        "tabela_sagas_adulto": 2}
+    assert {r.col for r in prof.collect()} >= {"orcamento", "receita", "popularidade"}
