@@ -1,5 +1,8 @@
 """Surrogate keys: the distributed numbering equals the single-task window."""
 
+import datetime
+import decimal
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -79,3 +82,22 @@ def test_scaled_numbering_of_empty_input(spark):
     df = spark.createDataFrame([], "k long, g string")
     assert op.dense_key_scaled(df, "k", "n", "ti").count() == 0
     assert op.row_number_scaled(df, "k", "n", partition_by="g").count() == 0
+
+
+@pytest.mark.parametrize("dtype, make", [
+    ("date", lambda i: datetime.date(2000, 1, 1) + datetime.timedelta(days=i)),
+    ("timestamp_ntz", lambda i: datetime.datetime(2000, 1, 1, 0, 0, i % 60, i)),
+    ("double", lambda i: i / 7.0 - 50),
+    ("decimal(12,2)", lambda i: decimal.Decimal(i) / 4),
+    ("string", lambda i: f"tt{i * 37 % 1000:07d}"),
+    ("boolean", lambda i: i % 3 == 0),
+])
+def test_scaled_numbering_key_types(spark, dtype, make):
+    data = [(make(i) if i % 17 else None, i) for i in range(400)]
+    df = spark.createDataFrame(data, f"k {dtype}, i int")
+    w = Window.orderBy("k", "i")
+    expected = rows(df.withColumn("n", F.row_number().over(w).cast("bigint")))
+    got = rows(op.row_number_scaled(df, ["k", "i"], "n", buckets=7))
+    assert got == expected
+    single = rows(op.row_number_scaled(df.select("k").distinct(), "k", "n", buckets=5))
+    assert [r[1] for r in single] == list(range(1, len(single) + 1))
