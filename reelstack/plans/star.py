@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedup import keep_first
+from ..operators.dedup import distinct_rows, keep_first
 from ..operators.filters import keep_ids
 from ..operators.joins import join_on_key, lookup_key
 from ..operators.keys import dense_key, row_number_scaled, with_prefix
@@ -79,7 +79,8 @@ def joined_base(movies: DataFrame, api: DataFrame, key: str = "imdb_id") -> Data
     """
     def one_per_key(df: DataFrame) -> DataFrame:
         others = [c for c in df.columns if c != key]
-        return keep_first(df, key, others or [key])
+        # Key only: a DISTINCT (hash aggregation, combined map-side) does it.
+        return keep_first(df, key, others) if others else distinct_rows(df)
     return join_on_key(one_per_key(movies), one_per_key(api), key)
 
 

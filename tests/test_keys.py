@@ -3,13 +3,12 @@
 import datetime
 import decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-import pytest
-
 from reelstack import operators as op
 from reelstack.operators import keys as keys_mod
 
