@@ -111,6 +111,7 @@ def trusted_catalog_job(spark: SparkSession, layout: Layout, day,
 
 # ------------------------------------------------------------------- trusted api
 
+# Raw API names -> trusted API names, as the reference names them.
 API_RENAMES = {
     "Ano": "anoLancamento_tmdb", "Genre_ID": "id_genero", "id": "id_tmdb", "title": "titulo",
     "popularity": "popularidade", "vote_average": "votacao_media",

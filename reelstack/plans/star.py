@@ -28,6 +28,8 @@ from ..operators.keys import dense_key, row_number_scaled, with_prefix
 from ..params import GENERAL_PREFIXES, SUBSET_PREFIXES
 from ..session import materialize
 
+# Fixed values (FACT_MEASURES and the three StarSpec blocks below): table,
+# column and key names of the reference's stars.
 # Measures of the fact, in output order (``id_genero`` only in the general star).
 FACT_MEASURES = ["orcamento", "receita", "tempoMinutos", "id_genero", "popularidade",
                  "contagem_de_voto", "votacao_media", "data_coleta_tmdb"]

@@ -1,4 +1,9 @@
-"""Declared schemas of every layer (nothing is inferred at read time)."""
+"""Declared schemas of every layer (nothing is inferred at read time).
+
+Fixed values: the column names below (including the extract's own spelling
+``tituloPincipal``) must equal the reference's, so the layers it writes and
+reads keep their names.
+"""
 
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType,
                                StringType, StructField, StructType)
