@@ -123,10 +123,16 @@ def q_sink_single_file(spark, d):
 
 
 def q_sink_partition_dt(spark, d):
-    orders = table(spark, d, "orders").withColumn("dt", F.to_date("o_orderdate"))
-    path = sink_partitioned(orders.select("o_orderkey", "o_totalprice", "dt"),
-                            scratch_path(spark, "orders_by_dt"))
-    return scan_layer(spark, path, dt="1997-05-28").select("o_orderkey", "o_totalprice")
+    """Two extractions land in their own ``dt=`` partitions (the second write
+    replaces only its own partition); one is read back by folder, and the
+    date predicate is pushed into the Parquet scan."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    root = scratch_path(spark, "orders_by_dt")
+    sink_partitioned(orders, root, dt="2024-04-11")
+    sink_partitioned(orders, root, dt="2024-04-12")
+    day = scan_layer(spark, root, dt="2024-04-12")
+    return (day.filter(F.col("o_orderdate") == F.lit("1997-05-28 00:00:00").cast("timestamp_ntz"))
+            .select("o_orderkey", "o_totalprice"))
 
 
 def q_sink_star_roundtrip(spark, d):

@@ -1,5 +1,6 @@
 """Readers, landing, page flattening and sinks (FIXTURES A1-A5)."""
 
+import datetime
 import os
 
 import pytest
@@ -134,3 +135,14 @@ def test_raw_rows_same_id_on_two_pages_keeps_earlier_page(spark):
                                         "revenue long")
     out = raw_rows(pages, details)
     assert rows(out, "id", "popularity") == [(5, 1.0), (6, 1.0)]
+
+
+def test_sink_partitioned_by_column_replaces_only_present_dates(spark):
+    root = scratch_path(spark, "by_day")
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02")],
+                               "k int, d string").withColumn("dt", F.to_date("d")).drop("d")
+    src.sink_partitioned(df, root)                      # REBALANCE(dt) path
+    src.sink_partitioned(df.filter("k = 3"), root)      # rewrites 2024-01-02 only
+    back = src.scan_layer(spark, root)
+    assert rows(back, "k", "dt") == [(1, datetime.date(2024, 1, 1)),
+                                     (3, datetime.date(2024, 1, 2))]
