@@ -30,13 +30,14 @@ def stamp(df: DataFrame, name: str, value) -> DataFrame:
 
 def fill_nulls(df: DataFrame, values: dict[str, object]) -> DataFrame:
     """Replace nulls per column. Each value is cast to its column's type, so
-    ``{'text_col': 0}`` fills ``'0'`` and ``{'int_col': 0}`` fills 0."""
+    ``{'text_col': 0}`` fills ``'0'`` and ``{'int_col': 0}`` fills 0; a value
+    that does not convert (``{'int_col': 'x'}``) leaves the column as it is."""
     types = dict(df.dtypes)
     fills = {}
     for name, value in values.items():
         if name not in types:
             continue
-        fills[name] = F.coalesce(F.col(name), F.lit(value).cast(types[name]))
+        fills[name] = F.coalesce(F.col(name), F.lit(value).try_cast(types[name]))
     return df.withColumns(fills) if fills else df
 
 

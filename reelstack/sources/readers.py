@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import base_name
 from ..layout import date_path
@@ -20,23 +20,30 @@ def scan_ndjson(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 
 
 def scan_csv_pipe(spark: SparkSession, path: str, schema: StructType = MOVIES_CSV) -> DataFrame:
-    """Pipe-separated CSV with a header line; columns are read as declared
-    (all text for the movies extract) and typed later by lenient casts.
+    """Pipe-separated CSV with a header line, columns matched by *name*.
 
-    The header is removed as a row equal to the column names rather than by
-    the reader's ``header`` option: that option drops the first line of every
-    part file, and a landed file is split into several parts, only the first
-    of which starts with the header.
+    The header gives the file's column order (Spark reads its first line
+    only); the data is read as text in that order and the declared columns
+    are then selected by name, cast to their declared types (a declared
+    column missing from the file is null). The header is removed as a row
+    equal to the column names rather than by the reader's ``header`` option:
+    that option drops the first line of every part file, and a landed file is
+    split into several parts, only the first of which starts with the header.
     """
-    df = (spark.read.schema(schema)
-          .option("header", False).option("sep", "|")
-          .option("quote", '"').option("escape", '"')
-          .option("mode", "PERMISSIVE")
-          .csv(path))
+    def reader():
+        return (spark.read.option("sep", "|").option("quote", '"').option("escape", '"')
+                .option("mode", "PERMISSIVE"))
+
+    names = reader().option("header", True).csv(path).columns
+    as_text = StructType([StructField(n, StringType(), True) for n in names])
+    df = reader().schema(as_text).option("header", False).csv(path)
+    header_names = [n for n in names if n in df.columns]
     is_header = reduce(lambda a, b: a & b,
-                       [F.col(f.name).cast("string").eqNullSafe(F.lit(f.name))
-                        for f in schema.fields])
-    return df.filter(~is_header)
+                       [F.col(n).eqNullSafe(F.lit(n)) for n in header_names])
+    df = df.filter(~is_header)
+    return df.select(*[
+        (F.col(f.name) if f.name in names else F.lit(None)).try_cast(f.dataType).alias(f.name)
+        for f in schema.fields])
 
 
 def scan_layer(spark: SparkSession, root: str, table: str | None = None,

@@ -146,3 +146,20 @@ def test_sink_partitioned_by_column_replaces_only_present_dates(spark):
     back = src.scan_layer(spark, root)
     assert rows(back, "k", "dt") == [(1, datetime.date(2024, 1, 1)),
                                      (3, datetime.date(2024, 1, 2))]
+
+
+def test_scan_csv_pipe_matches_columns_by_header_name(spark, tmp_path):
+    names = list(reversed(MOVIES_CSV.names))  # another column order than declared
+    row = {n: f"v_{n}" for n in names}
+    row.update(id="tt7", personagem="Harry Potter")
+    path = tmp_path / "movies.csv"
+    path.write_text("|".join(names) + "\n" + "|".join(row[n] for n in names) + "\n")
+    got = src.scan_csv_pipe(spark, str(path)).first()
+    assert got.id == "tt7" and got.personagem == "Harry Potter"
+    assert got.tituloPincipal == "v_tituloPincipal"
+
+
+def test_fill_nulls_ignores_a_value_that_does_not_convert(spark):
+    from reelstack.operators import fill_nulls
+    df = spark.createDataFrame([(None,)], "m int")
+    assert fill_nulls(df, {"m": "x"}).first().m is None
