@@ -11,32 +11,42 @@
 
 How the scaled numbering works: split points of the sort key (group columns,
 then order columns) are taken once from a bounded sample and frozen as
-literals. Every row gets the bucket between two split points through a
-binary-search expression, so buckets follow the sort order, are about equally
-full whatever the group sizes, and a recomputed stage assigns the same
-buckets. Rows are numbered inside (bucket, group) by a window, and each
-(bucket, group) adds the number of rows of its group in earlier buckets.
-Only those per-bucket counts travel to a broadcast.
+literals. Every row gets the bucket between two split points: a compiled
+binary search over up to 511 coarse points, then, past that, a short sorted
+array of fine points per coarse bucket from a broadcast table (up to 8192
+buckets). Buckets follow the sort order, are about equally full whatever the
+group sizes, and a recomputed stage assigns the same buckets. Rows are
+numbered inside (bucket, group) by a window, and each (bucket, group) adds
+the number of rows of its group in earlier buckets. Only those per-bucket
+counts travel to a broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from ..functions._util import names
 from ..session import shuffle_partitions
 
 _B, _N, _OFF, _LOCAL = "_rk_bucket", "_rk_count", "_rk_offset", "_rk_local"
 _SB, _G, _SG = "_rk_stats_bucket", "_rk_group", "_rk_stats_group"
-# Sample rows per bucket used to place the split points.
+# Sample rows per bucket used to place the split points, and the most sample
+# rows that ever reach the driver.
 SAMPLE_PER_BUCKET = 64
+MAX_SAMPLE = 200_000
 # Buckets per shuffle partition: several small buckets per task even out hash placement.
 BUCKETS_PER_PARTITION = 4
-# The lookup stays one compiled expression (under the 64 KB method limit, for
-# composite keys too) up to this many buckets. Each bucket is numbered by one
-# task, so 512 buckets put ~2 GB per task on a 1 TB input.
-MAX_BUCKETS = 512
+# Coarse buckets come from one compiled binary search, which stays under the
+# 64 KB generated-method limit (composite keys too) up to this many buckets.
+MAX_COARSE = 512
+# Each coarse bucket splits into up to this many fine buckets through a short
+# array of split points from a broadcast table of one row per coarse bucket.
+FINE_PER_COARSE = 16
+# Each bucket is numbered by one task: 8192 buckets put ~120 MB per task on a
+# 1 TB input and keep a large cluster busy.
+MAX_BUCKETS = MAX_COARSE * FINE_PER_COARSE
 # No bucket smaller than this: small inputs get few buckets and a small lookup.
 MIN_ROWS_PER_BUCKET = 10_000
 _SEED = 20240412
@@ -64,7 +74,7 @@ def split_points(df: DataFrame, cols: list[str], buckets: int) -> list[tuple]:
     buckets = min(buckets, MAX_BUCKETS, -(-total // MIN_ROWS_PER_BUCKET))
     if buckets <= 1:
         return []
-    fraction = min(1.0, 2.0 * buckets * SAMPLE_PER_BUCKET / total)
+    fraction = min(1.0, min(MAX_SAMPLE, 2.0 * buckets * SAMPLE_PER_BUCKET) / total)
     sample = keys.sample(False, fraction, _SEED).orderBy(*cols).collect()
     points, last = [], None
     for i in range(1, buckets):
@@ -84,13 +94,43 @@ def _quote(name: str) -> str:
 def with_bucket(df: DataFrame, cols: list[str], points: list[tuple], name: str) -> DataFrame:
     """Add ``name`` = number of split points <= the sort key of the row.
 
-    The lookup is a balanced binary search (depth log2 of the bucket count)
-    written as one SQL CASE expression whose split points are bound parameter
-    markers. A single key column is compared directly, with nulls in bucket 0
-    (nulls sort first); several columns are compared as structs, whose
-    ordering puts nulls first too. Only monotonicity in the sort order
-    matters for the numbering; the split points just balance the buckets.
+    Up to ``MAX_COARSE - 1`` points, the lookup is a balanced binary search
+    (depth log2 of the bucket count) written as one SQL CASE expression whose
+    split points are bound parameter markers. With more points, every
+    ``FINE_PER_COARSE``-th point goes into that search (the coarse bucket) and
+    the points in between sit, as one short sorted array per coarse bucket,
+    in a broadcast table of at most ``MAX_COARSE`` rows; the fine bucket is
+    the count of array points <= the key. A single key column is compared
+    directly, with nulls in bucket 0 (nulls sort first); several columns are
+    compared as structs, whose ordering puts nulls first too. Only
+    monotonicity in the sort order matters for the numbering; the split
+    points just balance the buckets.
     """
+    if len(cols) == 1:
+        points = [p for p in points if p[0] is not None]
+    if len(points) < MAX_COARSE:
+        return _with_coarse_bucket(df, cols, points, name)
+    fine = FINE_PER_COARSE
+    coarse_points = points[fine - 1::fine]
+    coarse = "_rk_coarse"
+    out = _with_coarse_bucket(df, cols, coarse_points, coarse)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    element = (types[cols[0]] if len(cols) == 1 else
+               StructType([StructField(c, types[c], True) for c in cols]))
+    between = [(c, [p[0] if len(cols) == 1 else p for p in points[c * fine:c * fine + fine - 1]])
+               for c in range(len(coarse_points) + 1)]
+    table = df.sparkSession.createDataFrame(
+        between, StructType([StructField(coarse, IntegerType(), False),
+                             StructField("_rk_fine", ArrayType(element, True), False)]))
+    key = F.col(cols[0]) if len(cols) == 1 else F.struct(*[F.col(c) for c in cols])
+    below = F.size(F.filter("_rk_fine", lambda p: p <= key))
+    return (out.join(F.broadcast(table), on=coarse)
+            .withColumn(name, F.col(coarse) * fine + below)
+            .drop(coarse, "_rk_fine"))
+
+
+def _with_coarse_bucket(df: DataFrame, cols: list[str], points: list[tuple],
+                        name: str) -> DataFrame:
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     args: dict = {}
 
@@ -99,7 +139,6 @@ def with_bucket(df: DataFrame, cols: list[str], points: list[tuple], name: str)
         return f"CAST(:rk{i}_{j} AS {types[cols[j]]})"
 
     if len(cols) == 1:
-        points = [p for p in points if p[0] is not None]
         key = _quote(cols[0])
         bounds = [param(i, 0, p[0]) for i, p in enumerate(points)]
     else:

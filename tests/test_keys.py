@@ -100,3 +100,37 @@ def test_scaled_numbering_key_types(spark, dtype, make):
     assert got == expected
     single = rows(op.row_number_scaled(df.select("k").distinct(), "k", "n", buckets=5))
     assert [r[1] for r in single] == list(range(1, len(single) + 1))
+
+
+@pytest.fixture()
+def two_level(monkeypatch):
+    """Force the coarse + fine bucket lookup on small inputs."""
+    monkeypatch.setattr(keys_mod, "MAX_COARSE", 4)
+    monkeypatch.setattr(keys_mod, "FINE_PER_COARSE", 4)
+
+
+def test_two_level_buckets_with_hot_group(spark, two_level):
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 11).alias("g"),
+        (F.col("id") * 31 % 20_011).alias("o"))
+    w = Window.partitionBy("g").orderBy("o")
+    expected = df.withColumn("rn", F.row_number().over(w).cast("bigint"))
+    got = op.row_number_scaled(df, "o", "rn", partition_by="g", buckets=16)
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+    tagged = keys_mod.with_bucket(df, ["g", "o"], keys_mod.split_points(df, ["g", "o"], 16), "b")
+    assert tagged.select("b").distinct().count() > 8  # really more than the coarse buckets
+
+
+@pytest.mark.parametrize("dtype, make", [
+    ("bigint", lambda i: i * 7919 % 1009),
+    ("string", lambda i: f"tt{i * 37 % 1000:07d}"),
+    ("timestamp_ntz", lambda i: datetime.datetime(2000, 1, 1, 0, 0, i % 60, i)),
+])
+def test_two_level_buckets_key_types(spark, two_level, dtype, make):
+    data = [(make(i) if i % 13 else None, i) for i in range(600)]
+    df = spark.createDataFrame(data, f"k {dtype}, i int")
+    expected = rows(df.withColumn("n", F.row_number().over(Window.orderBy("k", "i"))
+                                  .cast("bigint")))
+    assert rows(op.row_number_scaled(df, ["k", "i"], "n", buckets=16)) == expected
+    single = rows(op.row_number_scaled(df.select("k").distinct(), "k", "n", buckets=16))
+    assert [r[1] for r in single] == list(range(1, len(single) + 1))
