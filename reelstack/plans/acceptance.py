@@ -103,7 +103,8 @@ def q_land_raw(spark, d):
     landed = land_raw(spark, src, scratch_path(spark, "Raw/Local/CSV/Movies"), "2024-04-12")
     back = spark.read.text(landed)
     return back.select(
-        F.regexp_extract(F.input_file_name(), r"/(\d{4}/\d{2}/\d{2})/file=", 1).alias("landed_path"),
+        F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}/\d{2}/\d{2})/file=", 1)
+        .alias("landed_path"),
         F.col("value").alias("line"))
 
 

@@ -45,12 +45,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint directory; set a local one only if unset."""
+    """The session's checkpoint directory. Only a local session (tests) that
+    has none gets a fresh local folder; a cluster must name a shared one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="reelstack-ckpt-"))
     return sc.getCheckpointDir()
 

@@ -76,6 +76,6 @@ def land_raw(spark: SparkSession, src: str, layer: str, as_of, file_col: str = "
     """
     target = f"{layer}/{date_path(as_of)}"
     (spark.read.text(src)
-     .withColumn(file_col, base_name(F.input_file_name()))
+     .withColumn(file_col, base_name(F.col("_metadata.file_path")))
      .write.mode("overwrite").partitionBy(file_col).text(target))
     return target

@@ -83,7 +83,5 @@ def file_stats(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    per_file = (reader.load(path).select(F.input_file_name().alias("_file"))
-                .groupBy("_file").agg(F.count(F.lit(1)).alias("_n")))
-    return per_file.agg(F.count(F.lit(1)).alias("n_files"),
-                        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"))
+    return reader.load(path).agg(F.count_distinct("_metadata.file_path").alias("n_files"),
+                                 F.count(F.lit(1)).alias("n_rows"))

@@ -33,7 +33,7 @@ def trusted_api_stream(spark: SparkSession, raw_root: str, params: ApiParams = A
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(f"{raw_root}/*/*/*")
-    day = F.regexp_extract(F.input_file_name(), _DAY, 1)
+    day = F.regexp_extract(F.col("_metadata.file_path"), _DAY, 1)
     rows = trusted_api_rows(raw.withColumn("_day", day), params)
     return (rows.withColumn("data_coleta_tmdb", F.col("_day"))
             .withColumn("dt", F.to_date("_day", "yyyy/MM/dd"))

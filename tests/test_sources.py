@@ -60,7 +60,7 @@ def test_sink_ndjson_exact_chunks(spark, n):
     stats = src.file_stats(spark, path, "json", schema="id long, v long").first()
     assert stats.n_rows == n and stats.n_files == -(-n // 100)
     back = spark.read.schema("id long, v long").json(path)
-    per_file = back.groupBy(F.input_file_name()).agg(F.min("id").alias("lo"),
+    per_file = back.groupBy(F.col("_metadata.file_path")).agg(F.min("id").alias("lo"),
                                                     F.count("*").alias("c")).collect()
     assert all(r.lo % 100 == 0 and r.c <= 100 for r in per_file)
 
@@ -68,7 +68,7 @@ def test_sink_ndjson_exact_chunks(spark, n):
 def test_sink_ndjson_unordered_respects_max_records(spark):
     df = spark.range(250).repartition(3)
     path = src.sink_ndjson(df, scratch_path(spark, "nd2"), 100)
-    per_file = spark.read.json(path).groupBy(F.input_file_name()).count().collect()
+    per_file = spark.read.json(path).groupBy(F.col("_metadata.file_path")).count().collect()
     assert sum(r["count"] for r in per_file) == 250 and max(r["count"] for r in per_file) <= 100
 
 
