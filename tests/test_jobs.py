@@ -2,6 +2,8 @@
 
 import glob
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from reelstack.layout import Layout
@@ -210,3 +212,40 @@ def test_star_with_tabela_key_names(spark):
                             "data_coleta_tmdb", "id_tabela_data", "id_tabela_titulo",
                             "id_tabela_adulto"]
     assert rows(fact, "fato_imdb_id", "id_tabela_titulo")[0] == ("tt1", "tig1")
+
+
+_MOVIE = st.fixed_dictionaries({
+    "anoLancamento": st.sampled_from([None, "2000", "2001", "2015", "2016", "x", "2005.0"]),
+    "tempoMinutos": st.sampled_from([None, "79", "80", "95.5", "\\N", ""]),
+    "genero": st.sampled_from([None, "Fantasy", "Drama", "Sci-Fi,Drama", "fantasy"]),
+    "numeroVotos": st.sampled_from([None, "29", "30", "100", "", "29.9"]),
+})
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.dictionaries(st.sampled_from(["tt0092115", "tt1", "tt2", "tt3", "tt4", "tt5"]),
+                       _MOVIE, min_size=1),
+       st.lists(st.tuples(st.integers(0, 5), st.sampled_from(
+           [None, "Harry Potter", "Bella Swan", "Katniss Everdeen", "x"])), max_size=25))
+def test_one_pass_catalogue_equals_branch_form(spark, movies, cast):
+    ids = sorted(movies)
+    data = []
+    for i, character in cast + [(k, None) for k in range(len(ids))]:
+        imdb = ids[i % len(ids)]
+        data.append(_csv_row(imdb, character=character, **{
+            {"anoLancamento": "ano", "tempoMinutos": "minutes", "genero": "genre",
+             "numeroVotos": "votes"}[k]: v for k, v in movies[imdb].items()}))
+    csv = spark.createDataFrame(data, MOVIES_CSV)
+    p = CatalogParams()
+    from reelstack import functions as fn
+    # The branch form, step by step as the reference runs it.
+    sagas = [csv.filter(F.col("personagem").rlike(w)) for w in p.saga_keywords]
+    saga = sagas[0].union(sagas[1]).union(sagas[2]).filter(~F.col("id").isin(p.deny_ids))
+    gen = csv.fillna({"genero": ""}).withColumn(
+        "anoLancamento", fn.to_int(F.coalesce("anoLancamento", F.lit("0"))))
+    gen = gen.filter(F.col("genero").rlike("|".join(p.genre_keywords))
+                     & F.col("anoLancamento").between(2001, 2015)).dropDuplicates(["id"])
+    gen = gen.filter(F.coalesce(fn.to_int("tempoMinutos"), F.lit(0)) >= 80) \
+        .filter(fn.to_double("numeroVotos") >= 30)
+    branch_ids = {r.id for r in saga.select("id").union(gen.select("id")).distinct().collect()}
+    assert branch_ids == {r.imdb_id for r in jobs.trusted_catalog(csv).collect()}
