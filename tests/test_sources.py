@@ -4,6 +4,8 @@ import datetime
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from reelstack import sources as src
@@ -163,3 +165,36 @@ def test_fill_nulls_ignores_a_value_that_does_not_convert(spark):
     from reelstack.operators import fill_nulls
     df = spark.createDataFrame([(None,)], "m int")
     assert fill_nulls(df, {"m": "x"}).first().m is None
+
+
+def _crawl(pages_by_group, max_pages):
+    """The sequential crawl: page 1 upward; stop at a failed response or after
+    the page that reaches total_pages; never beyond max_pages."""
+    out = []
+    for (ano, genre), pages in sorted(pages_by_group.items()):
+        for page in range(1, max_pages + 1):
+            if page > len(pages):
+                break
+            status, total, ids = pages[page - 1]
+            if status != 200:
+                break
+            out += [(ano, genre, page, pos, i) for pos, i in enumerate(ids)]
+            if page >= total:
+                break
+    return sorted(out)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.dictionaries(
+    st.tuples(st.sampled_from([2001, 2002]), st.sampled_from([14, 878])),
+    st.lists(st.tuples(st.sampled_from([200, 200, 200, 500]), st.integers(0, 7),
+                       st.lists(st.integers(1, 50), max_size=3)), min_size=1, max_size=7),
+    min_size=1), st.integers(1, 6))
+def test_flatten_pages_equals_sequential_crawl(spark, pages_by_group, max_pages):
+    data = [(ano, genre, page, status, total, [(i, "t", "d", 1.0, 1.0, 1, False) for i in ids])
+            for (ano, genre), pages in pages_by_group.items()
+            for page, (status, total, ids) in enumerate(pages, start=1)]
+    df = spark.createDataFrame(data, PAGES_RAW)
+    got = src.flatten_pages(df, ["ano", "genre_id"], max_pages=max_pages)
+    assert rows(got, "ano", "genre_id", "page", "position", "id") == \
+        _crawl(pages_by_group, max_pages)
