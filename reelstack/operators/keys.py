@@ -91,6 +91,10 @@ def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _text(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def with_bucket(df: DataFrame, cols: list[str], points: list[tuple], name: str) -> DataFrame:
     """Add ``name`` = number of split points <= the sort key of the row.
 
@@ -142,8 +146,8 @@ def _with_coarse_bucket(df: DataFrame, cols: list[str], points: list[tuple],
         key = _quote(cols[0])
         bounds = [param(i, 0, p[0]) for i, p in enumerate(points)]
     else:
-        key = "named_struct(" + ", ".join(f"'{c}', {_quote(c)}" for c in cols) + ")"
-        bounds = ["named_struct(" + ", ".join(f"'{c}', {param(i, j, v)}"
+        key = "named_struct(" + ", ".join(f"{_text(c)}, {_quote(c)}" for c in cols) + ")"
+        bounds = ["named_struct(" + ", ".join(f"{_text(c)}, {param(i, j, v)}"
                                               for j, (c, v) in enumerate(zip(cols, p))) + ")"
                   for i, p in enumerate(points)]
 

@@ -134,3 +134,10 @@ def test_two_level_buckets_key_types(spark, two_level, dtype, make):
     assert rows(op.row_number_scaled(df, ["k", "i"], "n", buckets=16)) == expected
     single = rows(op.row_number_scaled(df.select("k").distinct(), "k", "n", buckets=16))
     assert [r[1] for r in single] == list(range(1, len(single) + 1))
+
+
+def test_scaled_numbering_with_awkward_column_names(spark):
+    df = spark.createDataFrame([(i % 3, i) for i in range(50)], "`it's` int, `a b` int")
+    w = Window.orderBy("it's", "a b")
+    expected = rows(df.withColumn("n", F.row_number().over(w).cast("bigint")))
+    assert rows(op.row_number_scaled(df, ["it's", "a b"], "n", buckets=4)) == expected
