@@ -22,15 +22,18 @@ def sink_ndjson(df: DataFrame, path: str, max_records: int = 100, order=None,
     Without ``order`` each task rolls its own files. With ``order`` the files
     are exact chunks of the ordered rows: rows 1-100 in one file, 101-200 in
     the next, ..., so there are ceil(n / max_records) files. The chunk of each
-    row comes from a distributed row number; whole chunks are range
-    partitioned, so a file boundary always meets a chunk boundary.
+    row comes from a distributed row number; rows are hash partitioned by
+    chunk (a chunk never splits) and sorted by row number inside each task,
+    so every chunk is a run of ``max_records`` rows (only the very last one
+    is shorter, and it comes last) and a file boundary always meets a chunk
+    boundary.
     """
     writer_df = df
     if order is not None:
         cols = df.columns
         numbered = row_number_scaled(df, order, "_nd_rn")
         chunked = numbered.withColumn("_nd_chunk", F.floor((F.col("_nd_rn") - 1) / max_records))
-        writer_df = (chunked.repartitionByRange(shuffle_partitions(df.sparkSession), "_nd_chunk")
+        writer_df = (chunked.repartition(shuffle_partitions(df.sparkSession), "_nd_chunk")
                      .sortWithinPartitions("_nd_rn")
                      .select(*cols))
     (writer_df.write.mode(mode).option("maxRecordsPerFile", max_records).json(path))

@@ -55,7 +55,7 @@ def test_raw_rows_first_genre_wins_and_details_by_id(spark, pages):
     assert out.select("id").distinct().count() == out.count()
 
 
-@pytest.mark.parametrize("n", [0, 1, 100, 101, 250])
+@pytest.mark.parametrize("n", [0, 1, 100, 101, 250, 1234])
 def test_sink_ndjson_exact_chunks(spark, n):
     df = spark.range(n).select(F.col("id").alias("id"), (F.col("id") * 2).alias("v"))
     path = src.sink_ndjson(df, scratch_path(spark, "nd"), 100, order="id")
