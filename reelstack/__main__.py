@@ -27,8 +27,8 @@ def parse(argv) -> argparse.Namespace:
                                     "star", "report"])
     ap.add_argument("--root", required=True, help="lake root (shared storage)")
     ap.add_argument("--day", required=True, help="extraction day, YYYY-MM-DD")
-    ap.add_argument("--movies", help="land: local movies extract")
-    ap.add_argument("--series", help="land: local series extract")
+    ap.add_argument("--movies", help="land: movies extract (a path the executors can read)")
+    ap.add_argument("--series", help="land: series extract (a path the executors can read)")
     ap.add_argument("--details", help="raw-ingest: NDJSON detail records, one per movie id")
     ap.add_argument("--exact-files", action="store_true",
                     help="raw-ingest: files hold rows 1-100, 101-200, ... in id order")

@@ -70,9 +70,11 @@ def scan_layer(spark: SparkSession, root: str, table: str | None = None,
 def land_raw(spark: SparkSession, src: str, layer: str, as_of, file_col: str = "file") -> str:
     """Land the text files under ``src`` into ``{layer}/yyyy/MM/dd``.
 
-    Lines are copied as they are; each source file keeps its base name as
-    the ``file=`` sub-folder. Returns the landed folder. Reading it back with
-    ``spark.read.text`` gives the lines and the ``file`` column.
+    Lines are copied as they are, in parallel; each source file keeps its
+    base name as the ``file=`` sub-folder. Returns the landed folder. Reading
+    it back with ``spark.read.text`` gives the lines and the ``file`` column.
+    ``src`` must be readable by the executors (an upload or staging area on
+    shared storage), not a folder on the driver machine only.
     """
     target = f"{layer}/{date_path(as_of)}"
     (spark.read.text(src)
