@@ -25,7 +25,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import (ArrayType, DateType, FractionalType, IntegerType, IntegralType,
+                               StructField, StructType)
 
 from ..functions._util import names
 from ..session import shuffle_partitions
@@ -68,7 +69,12 @@ def split_points(df: DataFrame, cols: list[str], buckets: int) -> list[tuple]:
     """Up to ``buckets - 1`` ascending split points of ``cols`` (nulls first),
     from a sample of at most about ``2 * buckets * SAMPLE_PER_BUCKET`` rows —
     the only data that reaches the driver. Fewer buckets are used when the
-    input holds under ``MIN_ROWS_PER_BUCKET`` rows per bucket."""
+    input holds under ``MIN_ROWS_PER_BUCKET`` rows per bucket. A single
+    numeric or date key takes its points from one aggregation pass
+    (``percentile_approx``) instead."""
+    if len(cols) == 1 and isinstance(df.schema[cols[0]].dataType,
+                                     (IntegralType, FractionalType, DateType)):
+        return _quantile_points(df, cols[0], buckets)
     keys = df.select(*cols)
     total = keys.count()
     buckets = min(buckets, MAX_BUCKETS, -(-total // MIN_ROWS_PER_BUCKET))
@@ -87,6 +93,27 @@ def split_points(df: DataFrame, cols: list[str], buckets: int) -> list[tuple]:
     return points
 
 
+def _quantile_points(df: DataFrame, col: str, buckets: int) -> list[tuple]:
+    """Split points of one numeric or date column and its row count, in a
+    single aggregation (approximate quantiles; nulls are ignored and go to
+    bucket 0)."""
+    b = max(2, min(buckets, MAX_BUCKETS))
+    accuracy = min(1_000_000, max(10_000, 50 * b))
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(col, [i / b for i in range(1, b)], accuracy).alias("q")
+                 ).first()
+    want = min(b, -(-row.n // MIN_ROWS_PER_BUCKET))
+    if want <= 1 or not row.q:
+        return []
+    points, last = [], None
+    for i in range(1, want):
+        value = row.q[(i * b) // want - 1]
+        if value is not None and value != last:
+            points.append((value,))
+            last = value
+    return points
+
+
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
