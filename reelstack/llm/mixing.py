@@ -125,10 +125,10 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
         done = materialize(round_groups(open_rows, level, seed), f"mix_level_{level}")
         hits.append(done.select("source", F.inline("out")))
         open_rows = done.filter("r is not null").select("source", "r.doc_id", "r.size", "n", "r.p")
-    # The last level leaves one document per source (the top of the tree).
-    key = [F.lit(seed), F.lit("last"), F.col("doc_id"), F.col("size"), F.col("source")]
+    # The last level leaves one document per source, the top of the tree: it goes
+    # to the nearer side, so a source ends within half a document of its target.
     hits.append(open_rows.select("source", "doc_id", "size",
-                                 (unit_random(*key) < F.col("p")).cast("int").alias("hit")))
+                                 (F.col("p") >= 0.5).cast("int").alias("hit")))
     extra = hits[0]
     for h in hits[1:]:
         extra = extra.unionByName(h)
