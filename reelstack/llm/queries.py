@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelstack.llm import chat_format, mixing, quality_rules, secret_scans, url_filters
+from reelstack.llm import chat_format, mixing, near_dedup, quality_rules, secret_scans, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.secret_scans(table(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -42,6 +46,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_secret_scans": op2_secret_scans,
+    "op3_near_dedup": op3_near_dedup,
     "op4_mixing": op4_mixing,
     "op6_chat_format": op6_chat_format,
     "op7_url_filters": op7_url_filters,
