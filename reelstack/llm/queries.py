@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelstack.llm import chat_format, mixing, near_dedup, quality_rules, secret_scans, url_filters
+from reelstack.llm import chat_format, decontamination, mixing, near_dedup, quality_rules, secret_scans, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.url_filters(table(spark, sf_dir, "pages"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -50,5 +54,6 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op6_chat_format": op6_chat_format,
     "op7_url_filters": op7_url_filters,
+    "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
