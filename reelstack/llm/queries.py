@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelstack.llm import (chat_format, decontamination, mixing, near_dedup, quality_rules, secret_scans,
+from reelstack.llm import (chat_format, decontamination, lm_scoring, mixing, near_dedup, quality_rules, secret_scans,
                            substring_dedup, url_filters)
 
 
@@ -45,6 +45,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.url_filters(table(spark, sf_dir, "pages"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_url_filters": op7_url_filters,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
