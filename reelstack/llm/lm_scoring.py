@@ -59,6 +59,8 @@ class Model:
 
     def __init__(self, words: np.ndarray, target: np.ndarray, background: np.ndarray,
                  totals: tuple[int, int], texts: tuple[int, int]):
+        # Plain arrays, to be sent to the tasks.
+        self.parts = (words, target, background, totals, texts)
         order = np.argsort(words)
         self.words = words[order]
         self.end = len(words) + 1
@@ -118,7 +120,7 @@ def word_count_batches(batches):
 def bigram_count_batches(model, keep=None):
     """A function from (text) to (bigram, n) per batch, of ``keep`` if given."""
     def run(batches):
-        m = model.value
+        m = Model(*model.value)
         wanted = None if keep is None else keep.value
         for batch in batches:
             grams = [m.bigrams(h, c)[0] for _, _, h, c in text_blocks(batch, 0)]
@@ -215,7 +217,7 @@ def entry_batches(model, head, buckets: int, is_target: bool):
     and bucket, and for scored texts one per unit (bucket -1) with their ids,
     tokens and the part of the score that the head gives."""
     def run(batches):
-        m = model.value
+        m = Model(*model.value)
         grams, difference = head.value
         part, unit = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -317,10 +319,11 @@ def bucket_batches(model):
                     passed.append(batch.filter(own))
                 yield batch.filter(pc.invert(own))
         passed: list = []
+        m = Model(*model.value)
         for bucket, rows in grouped_rows(split(), 0):
             yield from passed
             passed.clear()
-            yield as_batch(list(scored_bucket(model.value, bucket, [(r[1], r[2]) for r in rows])))
+            yield as_batch(list(scored_bucket(m, bucket, [(r[1], r[2]) for r in rows])))
         yield from passed
     return run
 
@@ -349,7 +352,7 @@ def cross_entropy_difference(docs: DataFrame, good: DataFrame) -> DataFrame:
     good = good.select(F.col("doc_id").cast("long").alias("id"))
     target = materialize(target_texts(docs, good), "lm_target")
     shared = shared_model(docs, target)
-    model = sc.broadcast(shared)
+    model = sc.broadcast(shared.parts)
     grams, in_target, in_all = head_bigrams(docs, target, model)
     head = sc.broadcast((grams, shared.difference(grams, in_target, in_all)))
     entries = shared.background.sum() + shared.target.sum()
