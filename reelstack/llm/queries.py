@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelstack.llm import (chat_format, decontamination, lm_scoring, mixing, near_dedup, quality_rules, secret_scans,
+from reelstack.llm import (chat_format, decontamination, html_extract, lm_scoring, mixing, near_dedup, quality_rules, secret_scans,
                            substring_dedup, url_filters)
 
 
@@ -12,6 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.secret_scans(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extract": op1_html_extract,
     "op2_secret_scans": op2_secret_scans,
     "op3_near_dedup": op3_near_dedup,
     "op4_mixing": op4_mixing,
