@@ -15,11 +15,12 @@ from reelstack.session import materialize
 
 
 def _least_neighbour(pairs: DataFrame, with_self: bool) -> DataFrame:
-    """(u, v) plus the least of v over u (and u itself)."""
+    """(u, v) plus the least of v over u (and u itself). The least is stored
+    first: a join of two plain exchanges can split a node with many neighbours."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m"))
     if with_self:
         least = least.withColumn("m", F.least("u", "m"))
-    return pairs.join(least, "u")
+    return pairs.join(materialize(least, "cc_least"), "u")
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:

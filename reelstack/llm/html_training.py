@@ -17,11 +17,11 @@ NOISE = {
     "menu": (("nav", "div", "ul", "nav"), "nav menu navbar navigation breadcrumb breadcrumbs topnav links tabs "
              "pagination pager toc categories"),
     "header": (("header", "div", "header"), "header masthead top topbar banner logo branding head hero tagline"),
-    "footer": (("footer", "div", "footer"), "footer copyright bottom legal colophon credits imprint"),
+    "footer": (("footer", "div", "footer"), "footer copyright bottom legal colophon credits imprint contentinfo"),
     "sidebar": (("aside", "div", "section", "aside"), "sidebar side rail widget related popular trending recommended "
-                "more stories tags archive recent posts latest suggested"),
+                "more stories tags archive recent posts latest suggested complementary"),
     "notice": (("div", "section", "dialog", "p", "aside"), "cookie cookies consent gdpr notice alert popup modal overlay "
-               "message warning announcement paywall disclaimer privacy toast notification notices"),
+               "message warning announcement paywall disclaimer privacy toast notification notices alertdialog"),
     "advert": (("div", "aside", "section", "ins", "div"), "ad ads advert advertisement sponsored promo promotion adslot "
                "adsense sponsor commercial affiliate advertising adverts"),
     "form": (("form", "div", "form"), "search login signup subscribe newsletter contact form register signin feedback "
