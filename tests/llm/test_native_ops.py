@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reelstack.llm import chat_format, graph, mixing, quality_rules, secret_scans, url_filters
 from reelstack.llm.queries import HOSTILE
+from reelstack.session import materialize
 from tests.conftest import SF001
 from tests.llm import edge
 
@@ -48,7 +49,7 @@ def test_quality_metrics(spark, docs):
 
 def test_quality_thresholds_match_exact_quartiles(spark):
     table = edge.frame(spark, given(spark))
-    m = quality_rules.document_metrics(table, ["doc_id", "lang", "source"])
+    m = materialize(quality_rules.document_metrics(table, ["doc_id", "lang", "source"]), "m")
     rows = m.filter("not base_failed").collect()
     found = quality_rules.quartiles(quality_rules.quantile_sketch(m)).collect()
     assert found
@@ -59,7 +60,8 @@ def test_quality_thresholds_match_exact_quartiles(spark):
 
 
 def test_quality_sketches_merge(spark):
-    m = quality_rules.document_metrics(edge.frame(spark, given(spark)), ["doc_id", "lang", "source"])
+    m = materialize(quality_rules.document_metrics(
+        edge.frame(spark, given(spark)), ["doc_id", "lang", "source"]), "m")
     halves = [quality_rules.quantile_sketch(m.filter(f"doc_id % 2 = {k}")) for k in (0, 1)]
     merged = quality_rules.merge_sketches(halves[0].unionByName(halves[1]), "lang", "source")
     whole = quality_rules.quantile_sketch(m).select(*merged.columns)
@@ -164,19 +166,21 @@ def test_mixing_tree_of_many_groups(spark):
 
 
 def test_mixing_is_fair(spark):
-    """Over many seeds a document's mean copies are its wanted copies."""
-    rows = [(i, "w " * (5 + i), "en", s, 0) for i in range(12) for s in ("a", "b")]
-    rows = [(k, *r[1:]) for k, r in enumerate(rows)]
-    total = collections.Counter()
-    table = edge.frame(spark, rows).coalesce(1).cache()
-    sizes = {r[0]: len(edge.words(r[1])) for r in rows}
-    n = 12
-    for seed in range(n):
-        for r in mixing.mix(table, seed=seed).collect():
-            total[r.doc_id] += r.taken / sizes[r.doc_id] / n
-            wanted = r.target / r.source_size
-            assert int(wanted) <= r.taken / sizes[r.doc_id] <= int(wanted) + 1
-    assert len({round(v, 2) for v in total.values()}) > 2
+    """Over many sources, as independent draws: a document's mean outcome is
+    its wanted fraction, and the words of a group are kept."""
+    rows = [(f"s{t}", k, 3 + 2 * k, 7, 0.3) for t in range(1500) for k in range(7)]
+    df = spark.createDataFrame(rows, "source string, doc_id long, size long, n long, p double")
+    out = mixing.round_groups(df, 0, 1).collect()
+    assert len(out) == 1500
+    mean = collections.Counter()
+    for r in out:
+        assert len(r.out) == 6
+        words = sum(x["hit"] * x["size"] for x in r.out) + r.r.p * r.r["size"]
+        assert abs(words - 0.3 * sum(3 + 2 * k for k in range(7))) < 1e-6
+        for x in r.out:
+            mean[x.doc_id] += x.hit / 1500
+        mean[r.r.doc_id] += r.r.p / 1500
+    assert all(abs(v - 0.3) < 0.05 for v in mean.values()) and len(mean) == 7
 
 
 def conversations(spark, name):
