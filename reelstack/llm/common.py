@@ -31,3 +31,10 @@ def only(df: DataFrame, *cols: str) -> DataFrame:
     """The named columns alone: extra columns of the input cannot clash with
     the working columns of an operator."""
     return df.select(*[F.col(f"`{c}`") for c in cols])
+
+
+def with_row(df: DataFrame, *cols: str) -> DataFrame:
+    """The whole row as one struct ``row`` beside the named columns, for
+    operators that hand rows on unchanged; ``row.*`` brings it back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     *[F.col(f"`{c}`") for c in cols])

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from reelstack.llm.common import only
+from reelstack.llm.common import only, with_row
 from reelstack.llm.near_dedup import keyed, working_id
 from reelstack.llm.tokens import U64, blocks, normal, rolling, word_hashes
 from reelstack.session import materialize
@@ -196,6 +196,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any contaminated pair, with their own columns."""
-    cols = docs.columns
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, working_id() == F.col("_bad"), "left_anti").select(*[F.col(f"`{c}`") for c in cols])
+    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("bad")).distinct()
+    rows = with_row(docs, "doc_id", "text").withColumn("id", working_id())
+    return rows.join(bad, F.col("id") == F.col("bad"), "left_anti").select("row.*")

@@ -237,7 +237,8 @@ def entry_batches(model, head, buckets: int, is_target: bool):
                     values, times = np.unique(g[~frequent], return_counts=True)
                     at = np.full(len(values), -1, np.int64)
                 else:
-                    near = np.bincount(where[frequent], difference[np.searchsorted(grams, g[frequent])], len(counts))
+                    near = np.bincount(where[frequent], difference[np.searchsorted(grams, g[frequent])],
+                                       len(counts)).astype(np.float64)
                     values, at = g[~frequent], where[~frequent]
                     order = np.lexsort((at, values))
                     values, at = values[order], at[order]

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reelstack.llm.common import SPACES, only, text_or_empty, words
+from reelstack.llm.common import SPACES, only, text_or_empty, with_row, words
 from reelstack.session import materialize
 
 # Fixed values of the base rules.
@@ -151,7 +151,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns. The text stays with
-    the stored metrics, so the verdict needs no shuffle of texts."""
-    cols = docs.columns
-    return judged(docs, cols).filter("kept").select(*[F.col(f"`{c}`") for c in cols])
+    """The documents that pass, with their own columns. The row stays with the
+    stored metrics, so the verdict needs no shuffle of texts."""
+    rows = with_row(docs, "text", "lang", "source")
+    return judged(rows, ["row"]).filter("kept").select("row.*")

@@ -20,7 +20,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reelstack.llm.common import only, text_or_empty
+from reelstack.llm.common import only, text_or_empty, with_row
 from reelstack.session import materialize, scratch_path
 
 
@@ -151,27 +151,25 @@ def redact(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
     """The documents with every secret replaced by ``[kind]``; ``n_chars``
     (where present) follows the new text. Texts without findings are unchanged
     (a null text stays null)."""
-    cols = docs.columns
     ledger_path = ledger_path or scratch_path(docs.sparkSession, "secret_ledger")
     found = scan(docs, ledger_path)
-    keyed = docs.withColumn("_blob", blob_id(text_or_empty()))
-    found = found.select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
+    keyed = with_row(docs, "text").withColumn("blob", blob_id(text_or_empty()))
     text = F.col("text")
     # Walk the spans by start; one inside an earlier span is already gone.
     piece = lambda a, upto: F.concat(a["out"], F.array(F.substring(text, a["at"] + 1, upto - a["at"])))
     state = "struct<at:int,out:array<string>>"
     clean = F.aggregate(
-        "_found", F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(state),
+        "found", F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(state),
         lambda a, s: F.when(s["start"] < a["at"], F.struct(
             F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(F.struct(
                 s["end"].alias("at"), F.concat(piece(a, s["start"]), F.array(
                     F.concat(F.lit("["), s["kind"], F.lit("]")))).alias("out"))).cast(state),
         lambda a: F.array_join(F.concat(a["out"], F.array(F.substring(
             text, a["at"] + 1, F.greatest(F.char_length(text) - a["at"], F.lit(0))))), ""))
-    joined = keyed.join(found, "_blob", "left").withColumn(
-        "text", F.when(F.col("_found").isNotNull(), clean).otherwise(text))
-    if "n_chars" in cols:
-        joined = joined.withColumn("n_chars", F.when(
-            F.col("_found").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        ).otherwise(F.col("n_chars")))
-    return joined.select(*[F.col(f"`{c}`") for c in cols])
+    hit = F.col("found").isNotNull()
+    joined = keyed.join(found, "blob", "left").withColumn("text", F.when(hit, clean).otherwise(text))
+    row = F.col("row").withField("text", F.col("text"))
+    if "n_chars" in docs.columns:
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        row = row.withField("n_chars", F.when(hit, length).otherwise(F.col("row.n_chars")))
+    return joined.select(row.alias("row")).select("row.*")
