@@ -1,10 +1,10 @@
 """Sources and sinks of the layers."""
 
-from .pages import flatten_pages, paginate
+from .pages import flatten_pages
 from .readers import land_raw, scan_csv_pipe, scan_layer, scan_ndjson
 from .sinks import file_stats, sink_ndjson, sink_parquet, sink_partitioned, write_star
 
 __all__ = [
-    "flatten_pages", "paginate", "land_raw", "scan_csv_pipe", "scan_layer", "scan_ndjson",
+    "flatten_pages", "land_raw", "scan_csv_pipe", "scan_layer", "scan_ndjson",
     "file_stats", "sink_ndjson", "sink_parquet", "sink_partitioned", "write_star",
 ]

@@ -1,55 +1,22 @@
-"""Paginated API documents: building them from rows, and flattening them.
+"""Paginated API documents, flattened.
 
 The reference crawls ``discover`` pages year by year and genre by genre, from
 page 1 upward, and stops a (year, genre) crawl at the first failed response or
-after the page that reaches ``total_pages`` (never beyond 500 pages). Here the
-pages are landed documents and the stop rule becomes a filter computed per
-crawl group, so all groups are flattened in parallel.
+after the page that reaches ``total_pages``. Here the pages are landed documents
+and the stop rule becomes a filter computed per crawl group, so all groups are
+flattened in parallel.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions._util import as_cols, names
-from ..operators.joins import broadcast_if_small
-from ..operators.keys import row_number_scaled
+from ..functions._util import names
+from ..session import materialize
 
-_RN = "_pg_rn"
 
-
-def paginate(df: DataFrame, group_by, order, page_size: int, result_cols,
-             status: Column | None = None, page_col: str = "page") -> DataFrame:
-    """Landed page documents of ``df``: per group, rows in ``order`` cut into
-    pages of ``page_size``. Columns: group columns, page, status, total_pages,
-    results (array of structs of ``result_cols`` in row order).
-
-    ``status`` is an expression over the group columns and ``page`` (200 when
-    omitted). A page holds at most ``page_size`` rows, so no group larger than
-    that is ever collected. The one-row-per-group page totals are broadcast
-    when a bounded count shows they are small.
-    """
-    groups = names(group_by)
-    result_cols = names(result_cols)
-    numbered = row_number_scaled(df, order, _RN, partition_by=groups)
-    paged = numbered.withColumn(page_col, F.floor((F.col(_RN) - 1) / page_size) + 1)
-    docs = (paged.groupBy(*groups, page_col)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(_RN), *as_cols(result_cols))))
-                 .alias("_rows")))
-    totals = (df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("total_pages", F.ceil(F.col("_n") / page_size)).drop("_n"))
-    docs = docs.join(broadcast_if_small(totals), on=groups)
-    return docs.select(
-        *groups, F.col(page_col).cast("bigint").alias(page_col),
-        (status if status is not None else F.lit(200)).alias("status"),
-        F.col("total_pages").cast("bigint").alias("total_pages"),
-        F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in result_cols]))
-        .alias("results"),
-    )
-
-
-def flatten_pages(pages: DataFrame, keys, max_pages: int | None = 500,
+def flatten_pages(pages: DataFrame, keys, max_pages: int | None = None,
                   page_col: str = "page", pos_col: str | None = "position") -> DataFrame:
     """Rows of the pages a sequential crawl would have read, one per result.
 
@@ -59,19 +26,20 @@ def flatten_pages(pages: DataFrame, keys, max_pages: int | None = 500,
     0-based place of the row inside its page, so (keys, page, position) is the
     crawl order.
 
-    The stop points are one row per crawl group: one (year, genre) request
-    series, so at most years x genres rows (30 for the reference crawl). They
-    are broadcast after a bounded count confirms they are small, so the pages
-    are never shuffled by group (which would put every page of a genre into
-    one task); past the bound AQE picks the join from measured sizes.
+    The landed pages are already what the crawl's page cap let through;
+    ``max_pages`` applies such a cap again, for documents landed without it.
+
+    The stop points are one row per crawl group, taken in one pass over the
+    small fields (a reader with a declared schema parses no results for it) and
+    stored; AQE picks the join with the pages from its measured size.
     """
     keys = names(keys)
     page = F.col(page_col)
-    ends = (pages.groupBy(*keys).agg(
+    ends = materialize(pages.groupBy(*keys).agg(
         F.min(F.when(F.col("status") != 200, page)).alias("_first_fail"),
         F.min(F.when((F.col("status") == 200) & (page >= F.col("total_pages")), page))
-        .alias("_last")))
-    kept = pages.join(broadcast_if_small(ends), on=keys, how="left").filter(
+        .alias("_last")), "stop_points")
+    kept = pages.join(ends, on=keys, how="left").filter(
         (F.col("status") == 200) & (page >= 1)
         & (F.col("_first_fail").isNull() | (page < F.col("_first_fail")))
         & (F.col("_last").isNull() | (page <= F.col("_last")))

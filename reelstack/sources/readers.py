@@ -19,31 +19,56 @@ def scan_ndjson(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.read.schema(schema).json(path)
 
 
-def scan_csv_pipe(spark: SparkSession, path: str, schema: StructType = MOVIES_CSV) -> DataFrame:
+def _csv_headers(spark: SparkSession, path: str, schema: StructType, key: str) -> dict[str, list[str]]:
+    """Header line -> the files (or landed ``file=`` folders) that hold it. A
+    header is a line that names the key and at least half of the declared
+    columns, wherever in the folder it stands."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    fields = F.transform(F.split("value", r"\|"), lambda f: F.btrim(f, F.lit(' "\r')))
+    declared = F.array(*[F.lit(f.name) for f in schema.fields])
+    file = F.col("_metadata.file_path")
+    folder = F.regexp_extract(file, r"^(.*/file=[^/]*)/[^/]*$", 1)
+    found = (lines.filter(F.array_contains(fields, key)
+                          & (2 * F.size(F.array_intersect(fields, declared)) >= len(schema.fields)))
+             .select("value", F.when(folder != "", folder).otherwise(file).alias("place")).distinct())
+    places: dict[str, list[str]] = {}
+    for row in found.collect():  # one row per landed file
+        places.setdefault(row.value.rstrip("\r"), []).append(row.place)
+    return places
+
+
+def scan_csv_pipe(spark: SparkSession, path: str, schema: StructType = MOVIES_CSV,
+                  key: str | None = None) -> DataFrame:
     """Pipe-separated CSV with a header line, columns matched by *name*.
 
-    The header gives the file's column order (Spark reads its first line
-    only); the data is read as text in that order and the declared columns
-    are then selected by name, cast to their declared types (a declared
-    column missing from the file is null). The header is removed as a row
-    equal to the column names rather than by the reader's ``header`` option:
-    that option drops the first line of every part file, and a landed file is
-    split into several parts, only the first of which starts with the header.
+    The header is looked for by its content: a landed file is split into
+    parts, only one of which holds it, and Spark's own header option would
+    take the first line of any part. Files whose headers order the columns
+    differently are read in their own order. The data is read as text, the
+    header rows are dropped, and the declared columns are selected by name and
+    cast (a declared column missing from the file is null). Without a header
+    that names ``key`` (the first declared column) the read raises.
     """
-    def reader():
-        return (spark.read.option("sep", "|").option("quote", '"').option("escape", '"')
-                .option("mode", "PERMISSIVE"))
-
-    names = reader().option("header", True).csv(path).columns
-    as_text = StructType([StructField(n, StringType(), True) for n in names])
-    df = reader().schema(as_text).option("header", False).csv(path)
-    header_names = [n for n in names if n in df.columns]
-    is_header = reduce(lambda a, b: a & b,
-                       [F.col(n).eqNullSafe(F.lit(n)) for n in header_names])
-    df = df.filter(~is_header)
-    return df.select(*[
-        (F.col(f.name) if f.name in names else F.lit(None)).try_cast(f.dataType).alias(f.name)
-        for f in schema.fields])
+    key = key or schema.fields[0].name
+    places = _csv_headers(spark, path, schema, key)
+    if not places:
+        raise ValueError(f"{path}: no header line with the column {key!r}")
+
+    def read(header: str, where) -> DataFrame:
+        names = [f.strip(' "') for f in header.split("|")]
+        as_text = StructType([StructField(n, StringType(), True) for n in names])
+        df = (spark.read.option("sep", "|").option("quote", '"').option("escape", '"')
+              .option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
+              .schema(as_text).csv(where))
+        is_header = reduce(lambda a, b: a & b, [F.col(f"`{n}`").eqNullSafe(F.lit(n)) for n in names])
+        return df.filter(~is_header).select(*[
+            (F.col(f"`{f.name}`") if f.name in names else F.lit(None)).try_cast(f.dataType).alias(f.name)
+            for f in schema.fields])
+
+    if len(places) == 1:
+        # One order of columns: it holds for parts without a header too.
+        return read(next(iter(places)), path)
+    return reduce(DataFrame.unionByName, [read(header, where) for header, where in sorted(places.items())])
 
 
 def scan_layer(spark: SparkSession, root: str, table: str | None = None,
@@ -67,17 +92,21 @@ def scan_layer(spark: SparkSession, root: str, table: str | None = None,
     return df.filter(wanted)
 
 
-def land_raw(spark: SparkSession, src: str, layer: str, as_of, file_col: str = "file") -> str:
+def land_raw(spark: SparkSession, src: str, layer: str, as_of, file_col: str = "file",
+             name: str | None = None) -> str:
     """Land the text files under ``src`` into ``{layer}/yyyy/MM/dd``.
 
     Lines are copied as they are, in parallel; each source file keeps its
-    base name as the ``file=`` sub-folder. Returns the landed folder. Reading
+    base name as the ``file=`` sub-folder, and only the sub-folders of the same
+    names are replaced, whatever the session's overwrite mode. Returns the landed folder. Reading
     it back with ``spark.read.text`` gives the lines and the ``file`` column.
+    ``name`` lands a folder of parts as one file of that name.
     ``src`` must be readable by the executors (an upload or staging area on
     shared storage), not a folder on the driver machine only.
     """
     target = f"{layer}/{date_path(as_of)}"
     (spark.read.text(src)
-     .withColumn(file_col, base_name(F.col("_metadata.file_path")))
-     .write.mode("overwrite").partitionBy(file_col).text(target))
+     .withColumn(file_col, F.lit(name) if name else base_name(F.col("_metadata.file_path")))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(file_col).text(target))
     return target

@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import row_number_scaled
 from ..session import shuffle_partitions
 
-# A single-file write funnels all rows through one task; allow it only below this.
-SINGLE_FILE_MAX_ROWS = 20_000_000
+# Rows per NDJSON file unless the caller asks for another number.
+NDJSON_RECORDS = 100_000
 
 
-def sink_ndjson(df: DataFrame, path: str, max_records: int = 100, order=None,
+def sink_ndjson(df: DataFrame, path: str, max_records: int = NDJSON_RECORDS, order=None,
                 mode: str = "overwrite") -> str:
     """NDJSON files of at most ``max_records`` rows each (also when there are
     fewer rows than that: something is always written).
 
     Without ``order`` each task rolls its own files. With ``order`` the files
-    are exact chunks of the ordered rows: rows 1-100 in one file, 101-200 in
-    the next, ..., so there are ceil(n / max_records) files. The chunk of each
+    are exact chunks of the ordered rows (with 100: rows 1-100 in one file,
+    101-200 in the next, ...), so there are ceil(n / max_records) files. The chunk of each
     row comes from a distributed row number; rows are hash partitioned by
     chunk (a chunk never splits) and sorted by row number inside each task,
     so every chunk is a run of ``max_records`` rows (only the very last one
@@ -40,34 +38,28 @@ def sink_ndjson(df: DataFrame, path: str, max_records: int = 100, order=None,
     return path
 
 
-def sink_parquet(df: DataFrame, path: str, single_file: bool = False,
-                 single_file_max_rows: int = SINGLE_FILE_MAX_ROWS, mode: str = "overwrite") -> str:
-    """Parquet overwrite. ``single_file`` writes one file when the row count is
-    at most ``single_file_max_rows``; above it the rows are spread over
-    ceil(n / single_file_max_rows) files instead of one oversized task. The
-    last stage is repartitioned, not coalesced, so upstream work stays
-    parallel."""
-    out = df
-    if single_file:
-        n = df.count()
-        out = df.repartition(max(1, math.ceil(n / single_file_max_rows)))
-    out.write.mode(mode).parquet(path)
+def sink_parquet(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
+    """Parquet overwrite. ``single_file`` always writes one file, through one
+    task: ask for it only where a reader needs it. The last stage is
+    repartitioned, not coalesced, so upstream work stays parallel."""
+    (df.repartition(1) if single_file else df).write.mode(mode).parquet(path)
     return path
 
 
 def sink_partitioned(df: DataFrame, path: str, dt=None, partition_col: str = "dt",
                      mode: str = "overwrite") -> str:
     """Parquet partitioned by ``partition_col``. With ``dt`` every row goes to
-    that one ``dt=YYYY-MM-DD`` partition; otherwise the column must exist.
-    Only the partitions present in ``df`` are replaced (dynamic overwrite)."""
+    that one ``dt=YYYY-MM-DD`` partition, which is replaced even by an empty
+    input; the other partitions stay. Otherwise the column must exist, and the
+    partitions present in ``df`` are replaced (dynamic overwrite)."""
     if dt is not None:
-        df = df.withColumn(partition_col, F.lit(str(dt).replace("/", "-")).cast("date"))
-    else:
-        # Many partition values: without this every task writes a file into
-        # every folder. REBALANCE groups rows by value and lets AQE split a
-        # value holding a large share of the rows across several tasks.
-        df = df.hint("rebalance", partition_col)
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        day = str(dt).replace("/", "-")
+        df.drop(partition_col).write.mode(mode).parquet(f"{path}/{partition_col}={day}")
+        return path
+    # Many partition values: without this every task writes a file into every
+    # folder. REBALANCE groups rows by value and lets AQE split a value holding
+    # a large share of the rows across several tasks.
+    (df.hint("rebalance", partition_col).write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     return path
 

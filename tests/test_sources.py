@@ -74,15 +74,66 @@ def test_sink_ndjson_unordered_respects_max_records(spark):
     assert sum(r["count"] for r in per_file) == 250 and max(r["count"] for r in per_file) <= 100
 
 
-def test_sink_parquet_single_file_and_guard(spark):
+def test_sink_parquet_single_file_only_when_asked(spark):
     df = spark.range(1000).repartition(4)
     one = src.sink_parquet(df, scratch_path(spark, "one"), single_file=True)
     assert src.file_stats(spark, one).first() == (1, 1000)
-    many = src.sink_parquet(df, scratch_path(spark, "many"), single_file=True,
-                            single_file_max_rows=300)
+    many = src.sink_parquet(df, scratch_path(spark, "many"))
     assert src.file_stats(spark, many).first() == (4, 1000)
 
 
+def test_an_empty_extraction_replaces_its_day_only(spark):
+    root = scratch_path(spark, "trt")
+    df = spark.createDataFrame([("tt1", 1), ("tt2", 2)], "imdb_id string, v int")
+    for dt in ("2024-04-12", "2024-04-13"):
+        src.sink_partitioned(df, root, dt=dt)
+    src.sink_partitioned(df.limit(0), root, dt="2024-04-12")
+    assert src.scan_layer(spark, root, dt="2024-04-12").count() == 0
+    assert src.scan_layer(spark, root, dt="2024-04-13").count() == 2
+
+
+def _csv_lines(ids, width=1):
+    return ["|".join([f"tt{i}" + "x" * (i % width)] + ["v"] * (len(MOVIES_CSV) - 1)) for i in ids]
+
+
+def test_header_is_found_in_any_part(spark, tmp_path):
+    """The header stands in the smallest part, and never becomes a row."""
+    folder = tmp_path / "movies"
+    folder.mkdir()
+    header = "|".join(MOVIES_CSV.names)
+    (folder / "part-1.csv").write_text("\n".join(_csv_lines(range(500, 1000), 9)) + "\n")
+    (folder / "part-0.csv").write_text("\n".join([header, *_csv_lines(range(500))]) + "\n")
+    df = src.scan_csv_pipe(spark, str(folder))
+    assert df.count() == 1000 and df.filter("id is null or id = 'id'").count() == 0
+
+
+def test_landed_files_keep_their_rows_and_column_orders(spark, tmp_path):
+    names = MOVIES_CSV.names
+    turned = list(reversed(names))
+    root = scratch_path(spark, "Raw")
+    for name, order in (("a.csv", names), ("b.csv", turned)):
+        rows_ = [{**dict.fromkeys(names, f"{name}"), "id": f"{name}{i}" + "y" * (i // 100)} for i in range(400)]
+        (tmp_path / name).write_text("\n".join(["|".join(order), *["|".join(r[c] for c in order) for r in rows_]]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")  # several parts per file
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        for name in ("a.csv", "b.csv", "a.csv"):
+            landed = src.land_raw(spark, str(tmp_path / name), root, "2024-04-12")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    df = src.scan_csv_pipe(spark, landed)
+    assert df.count() == 800 and df.filter("id = 'id'").count() == 0
+    assert df.filter("substr(id, 1, 5) = tituloPincipal").count() == 800
+    assert df.columns == names
+
+
+def test_a_missing_header_raises(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("\n".join(_csv_lines(range(5))) + "\n")
+    with pytest.raises(ValueError, match="no header"):
+        src.scan_csv_pipe(spark, str(tmp_path / "m.csv"))
+
+
 def test_sink_partitioned_and_scan_layer_dt(spark):
     root = scratch_path(spark, "trt")
     df = spark.createDataFrame([("tt1", 1), ("tt2", 2)], "imdb_id string, v int")
