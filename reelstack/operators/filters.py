@@ -1,9 +1,11 @@
 """Row filters by id lists.
 
-Short lists become an ``IN`` predicate, which Catalyst pushes into the Parquet
-scan and through joins on the same key. Long lists become a broadcast
-semi/anti join: the list comes from the driver, so its size is known before the
-plan is built and the broadcast is bounded by it.
+A Python list becomes an ``IN`` predicate, whatever its length: it is part of
+the plan already, and Catalyst pushes it into the Parquet scan and through joins
+on the same key. Ids that live in a table come as a DataFrame and become a
+semi/anti join, whose strategy AQE picks from measured sizes. Both forms give
+the same rows: null ids in the list are ignored, and a row with a null id is
+neither allowed nor kept past a deny-list.
 """
 
 from __future__ import annotations
@@ -11,30 +13,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many ids, a hash join beats a long IN list.
-INLIST_MAX = 10_000
 
+def _ids(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
+    return ids.select(F.col(ids.columns[0]).cast(df.schema[col].dataType).alias(col)).na.drop()
 
-def _id_frame(df: DataFrame, col: str, ids) -> DataFrame:
-    dtype = dict(df.dtypes)[col]
-    spark = df.sparkSession
-    return (spark.createDataFrame([(i,) for i in ids], f"_id {dtype}")
-            .withColumnRenamed("_id", col))
+
+def _list(ids) -> list:
+    return [i for i in dict.fromkeys(ids) if i is not None]
 
 
 def keep_ids(df: DataFrame, col: str, ids) -> DataFrame:
-    """Allow-list: keep rows whose ``col`` is one of ``ids``."""
-    ids = list(dict.fromkeys(ids))
-    if len(ids) <= INLIST_MAX:
-        return df.filter(F.col(col).isin(ids))
-    return df.join(F.broadcast(_id_frame(df, col, ids)), on=col, how="left_semi")
+    """Allow-list: keep rows whose ``col`` is one of ``ids`` (a list, or a
+    DataFrame whose first column holds them)."""
+    if isinstance(ids, DataFrame):
+        return df.join(_ids(df, ids, col), on=col, how="left_semi").select(*df.columns)
+    return df.filter(F.col(col).isin(_list(ids)))
 
 
 def drop_ids(df: DataFrame, col: str, ids) -> DataFrame:
-    """Deny-list: drop rows whose ``col`` is one of ``ids`` (null ids stay out
-    of the deny-list, as with ``~isin``, whose null result drops the row)."""
-    ids = list(dict.fromkeys(ids))
-    if len(ids) <= INLIST_MAX:
-        return df.filter(~F.col(col).isin(ids))
-    return (df.filter(F.col(col).isNotNull())
-            .join(F.broadcast(_id_frame(df, col, ids)), on=col, how="left_anti"))
+    """Deny-list: keep rows whose ``col`` is present and none of ``ids``."""
+    present = df.filter(F.col(col).isNotNull())
+    if isinstance(ids, DataFrame):
+        return present.join(_ids(df, ids, col), on=col, how="left_anti").select(*df.columns)
+    return present.filter(~F.col(col).isin(_list(ids)))

@@ -1,10 +1,8 @@
 """Equi-joins of the layered jobs.
 
-No join here forces a strategy on inputs that grow with the data: AQE
-broadcasts a side only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` and falls back to a shuffled
-sort-merge join otherwise (splitting skewed partitions). The explicit
-``broadcast`` is kept for dimensions with a natural bound (years).
+No join here forces a strategy: AQE broadcasts a side only when its measured
+size is under ``spark.sql.autoBroadcastJoinThreshold`` and falls back to a
+shuffled sort-merge join otherwise (splitting skewed partitions).
 """
 
 from __future__ import annotations
@@ -12,17 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count a size-checked side may have to be broadcast.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` holds at most ``max_rows`` rows, checked
-    with a bounded count; otherwise ``df`` unchanged (AQE then chooses the
-    join from measured sizes). For small per-group tables whose other side
-    must not be shuffled by group."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
+from .dedup import keep_first
 
 def join_on_key(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,
                 how: str = "inner") -> DataFrame:
@@ -37,27 +25,25 @@ def join_on_key(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 def enrich(df: DataFrame, details: DataFrame, key: str, details_key: str | None = None) -> DataFrame:
     """Attach a detail record to every row by key; a missing detail gives nulls.
 
-    ``details`` must hold at most one row per key (one record per id).
+    Details are first reduced to one record per key, the first in the total
+    order of their columns, so a repeated detail never multiplies a row.
     """
     details_key = details_key or key
     if details_key != key:
         details = details.withColumnRenamed(details_key, key)
+    details = keep_first(details, key, [c for c in details.columns if c != key] or [key])
     return df.join(details, on=key, how="left")
 
 
-def lookup_key(fact: DataFrame, dim: DataFrame, fact_on: str, dim_on: str, keys,
-               bounded: bool = False) -> DataFrame:
+def lookup_key(fact: DataFrame, dim: DataFrame, fact_on: str, dim_on: str, keys) -> DataFrame:
     """Attach surrogate key column(s) ``keys`` of ``dim`` to ``fact``.
 
     ``dim`` must be unique on ``dim_on`` (a date dimension of DISTINCT years,
-    or a per-id dimension), so the fact keeps its grain. ``bounded=True``
-    broadcasts the dimension; pass it only for a dimension whose row count has
-    a natural bound.
+    or a per-id dimension), so the fact keeps its grain. A fact row
+    whose ``fact_on`` is null has no key and is dropped (inner join).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     side = dim.select(F.col(dim_on).alias("_lk_on"), *keys)
-    if bounded:
-        side = F.broadcast(side)
     return (fact.join(side, fact[fact_on] == side["_lk_on"], "inner").drop("_lk_on"))
 
 

@@ -2,55 +2,31 @@
 
 * ``dense_key``        – ``prefix || row_number() OVER (ORDER BY ...)``. A window
   without PARTITION BY runs in one task, so use it only where the row count
-  has a known small bound (years of a date dimension, an id allow-list).
+  has a known small bound (years of a date dimension).
 * ``dense_key_scaled`` – the same numbers without a single task.
 * ``row_number_scaled`` – the general form, ``row_number() OVER (PARTITION BY g
   ORDER BY o)``, which also splits a group holding a large share of all rows.
 * ``unique_key``       – ``monotonically_increasing_id() + 1``: unique, not dense,
   depends on partitioning.
 
-How the scaled numbering works: split points of the sort key (group columns,
-then order columns) are taken once from a bounded sample and frozen as
-literals. Every row gets the bucket between two split points: a compiled
-binary search over up to 511 coarse points, then, past that, a short sorted
-array of fine points per coarse bucket from a broadcast table (up to 8192
-buckets). Buckets follow the sort order, are about equally full whatever the
-group sizes, and a recomputed stage assigns the same buckets. Rows are
-numbered inside (bucket, group) by a window, and each (bucket, group) adds
-the number of rows of its group in earlier buckets. Only those per-bucket
-counts travel to a broadcast.
+How the scaled numbering works: the rows are range partitioned and sorted by the
+sort key (group columns, then order columns, then a hash of the row, so that rows
+with equal or null keys spread over partitions too). The place of a row inside
+its partition and the row counts of the partitions before it give its rank; a
+group's first rank is taken off again. The ranges follow the data and the
+session's number of shuffle partitions; the sorted rows are stored, so every
+later step sees the same ranks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DateType, FractionalType, IntegerType, IntegralType,
-                               StructField, StructType)
 
 from ..functions._util import names
-from ..session import shuffle_partitions
-
-_B, _N, _OFF, _LOCAL = "_rk_bucket", "_rk_count", "_rk_offset", "_rk_local"
-_SB, _G, _SG = "_rk_stats_bucket", "_rk_group", "_rk_stats_group"
-# Sample rows per bucket used to place the split points, and the most sample
-# rows that ever reach the driver.
-SAMPLE_PER_BUCKET = 64
-MAX_SAMPLE = 200_000
-# Buckets per shuffle partition: several small buckets per task even out hash placement.
-BUCKETS_PER_PARTITION = 4
-# Coarse buckets come from one compiled binary search, which stays under the
-# 64 KB generated-method limit (composite keys too) up to this many buckets.
-MAX_COARSE = 512
-# Each coarse bucket splits into up to this many fine buckets through a short
-# array of split points from a broadcast table of one row per coarse bucket.
-FINE_PER_COARSE = 16
-# Each bucket is numbered by one task: 8192 buckets put ~120 MB per task on a
-# 1 TB input and keep a large cluster busy.
-MAX_BUCKETS = MAX_COARSE * FINE_PER_COARSE
-# No bucket smaller than this: small inputs get few buckets and a small lookup.
-MIN_ROWS_PER_BUCKET = 10_000
-_SEED = 20240412
+from ..session import materialize, shuffle_partitions
+
+_TIE, _SAME, _PART, _AT, _RANK, _G = "_rk_tie", "_rk_same", "_rk_part", "_rk_at", "_rk_rank", "_rk_group"
 
 
 def with_prefix(prefix: str, number: Column) -> Column:
@@ -65,166 +41,42 @@ def dense_key(df: DataFrame, order, name: str, prefix: str | None = None) -> Dat
     return df.withColumn(name, with_prefix(prefix, number) if prefix is not None else number)
 
 
-def split_points(df: DataFrame, cols: list[str], buckets: int) -> list[tuple]:
-    """Up to ``buckets - 1`` ascending split points of ``cols`` (nulls first),
-    from a sample of at most about ``2 * buckets * SAMPLE_PER_BUCKET`` rows —
-    the only data that reaches the driver. Fewer buckets are used when the
-    input holds under ``MIN_ROWS_PER_BUCKET`` rows per bucket. A single
-    numeric or date key takes its points from one aggregation pass
-    (``percentile_approx``) instead."""
-    if len(cols) == 1 and isinstance(df.schema[cols[0]].dataType,
-                                     (IntegralType, FractionalType, DateType)):
-        return _quantile_points(df, cols[0], buckets)
-    keys = df.select(*cols)
-    total = keys.count()
-    buckets = min(buckets, MAX_BUCKETS, -(-total // MIN_ROWS_PER_BUCKET))
-    if buckets <= 1:
-        return []
-    fraction = min(1.0, min(MAX_SAMPLE, 2.0 * buckets * SAMPLE_PER_BUCKET) / total)
-    sample = keys.sample(False, fraction, _SEED).orderBy(*cols).collect()
-    points, last = [], None
-    for i in range(1, buckets):
-        if not sample:
-            break
-        point = tuple(sample[(i * len(sample)) // buckets])
-        if point != last:
-            points.append(point)
-            last = point
-    return points
-
-
-def _quantile_points(df: DataFrame, col: str, buckets: int) -> list[tuple]:
-    """Split points of one numeric or date column and its row count, in a
-    single aggregation (approximate quantiles; nulls are ignored and go to
-    bucket 0)."""
-    b = max(2, min(buckets, MAX_BUCKETS))
-    accuracy = min(1_000_000, max(10_000, 50 * b))
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(col, [i / b for i in range(1, b)], accuracy).alias("q")
-                 ).first()
-    want = min(b, -(-row.n // MIN_ROWS_PER_BUCKET))
-    if want <= 1 or not row.q:
-        return []
-    points, last = [], None
-    for i in range(1, want):
-        value = row.q[(i * b) // want - 1]
-        if value is not None and value != last:
-            points.append((value,))
-            last = value
-    return points
-
-
-def _quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _text(name: str) -> str:
-    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def with_bucket(df: DataFrame, cols: list[str], points: list[tuple], name: str) -> DataFrame:
-    """Add ``name`` = number of split points <= the sort key of the row.
-
-    Up to ``MAX_COARSE - 1`` points, the lookup is a balanced binary search
-    (depth log2 of the bucket count) written as one SQL CASE expression whose
-    split points are bound parameter markers. With more points, every
-    ``FINE_PER_COARSE``-th point goes into that search (the coarse bucket) and
-    the points in between sit, as one short sorted array per coarse bucket,
-    in a broadcast table of at most ``MAX_COARSE`` rows; the fine bucket is
-    the count of array points <= the key. A single key column is compared
-    directly, with nulls in bucket 0 (nulls sort first); several columns are
-    compared as structs, whose ordering puts nulls first too. Only
-    monotonicity in the sort order matters for the numbering; the split
-    points just balance the buckets.
-    """
-    if len(cols) == 1:
-        points = [p for p in points if p[0] is not None]
-    if len(points) < MAX_COARSE:
-        return _with_coarse_bucket(df, cols, points, name)
-    fine = FINE_PER_COARSE
-    coarse_points = points[fine - 1::fine]
-    coarse = "_rk_coarse"
-    out = _with_coarse_bucket(df, cols, coarse_points, coarse)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    element = (types[cols[0]] if len(cols) == 1 else
-               StructType([StructField(c, types[c], True) for c in cols]))
-    between = [(c, [p[0] if len(cols) == 1 else p for p in points[c * fine:c * fine + fine - 1]])
-               for c in range(len(coarse_points) + 1)]
-    table = df.sparkSession.createDataFrame(
-        between, StructType([StructField(coarse, IntegerType(), False),
-                             StructField("_rk_fine", ArrayType(element, True), False)]))
-    key = F.col(cols[0]) if len(cols) == 1 else F.struct(*[F.col(c) for c in cols])
-    below = F.size(F.filter("_rk_fine", lambda p: p <= key))
-    return (out.join(F.broadcast(table), on=coarse)
-            .withColumn(name, F.col(coarse) * fine + below)
-            .drop(coarse, "_rk_fine"))
-
-
-def _with_coarse_bucket(df: DataFrame, cols: list[str], points: list[tuple],
-                        name: str) -> DataFrame:
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    args: dict = {}
-
-    def param(i: int, j: int, value) -> str:
-        args[f"rk{i}_{j}"] = value
-        return f"CAST(:rk{i}_{j} AS {types[cols[j]]})"
-
-    if len(cols) == 1:
-        key = _quote(cols[0])
-        bounds = [param(i, 0, p[0]) for i, p in enumerate(points)]
-    else:
-        key = "named_struct(" + ", ".join(f"{_text(c)}, {_quote(c)}" for c in cols) + ")"
-        bounds = ["named_struct(" + ", ".join(f"{_text(c)}, {param(i, j, v)}"
-                                              for j, (c, v) in enumerate(zip(cols, p))) + ")"
-                  for i, p in enumerate(points)]
-
-    def search(lo: int, hi: int) -> str:  # the answer lies in [lo, hi]
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi + 1) // 2
-        return f"CASE WHEN {key} < {bounds[mid - 1]} THEN {search(lo, mid - 1)} " \
-               f"ELSE {search(mid, hi)} END"
-
-    expr = search(0, len(bounds))
-    if len(cols) == 1:
-        expr = f"CASE WHEN {key} IS NULL THEN 0 ELSE {expr} END"
-    return df.sparkSession.sql(f"SELECT *, {expr} AS {_quote(name)} FROM {{src}}",
-                               args=args or None, src=df)
-
-
 def row_number_scaled(df: DataFrame, order, name: str, partition_by=(),
                       buckets: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY partition_by ORDER BY order)`` as a
-    bigint (ascending, nulls first), without sending any group or the whole
-    input to one task. Give a total order for a reproducible numbering."""
+    bigint (ascending, nulls first), without sending any group, key or the
+    whole input to one task. Give a total order for a reproducible numbering;
+    ties follow a hash of the whole row. ``buckets`` is the number of ranges."""
     part, order = names(partition_by), names(order)
-    cols = [*part, *order]
-    n = buckets or BUCKETS_PER_PARTITION * shuffle_partitions(df.sparkSession)
-    tagged = with_bucket(df, cols, split_points(df, cols, n), _B)
-
-    # The group travels as one struct column: struct equality treats null
-    # fields as equal (the null-safe group match), and a plain equi-join on
-    # (bucket, group) is satisfied by the numbering window's partitioning.
+    n = buckets or shuffle_partitions(df.sparkSession)
+    sort = [*part, *order, _TIE, _SAME]
+    # _SAME tells rows apart that are equal in every column: any order will do.
+    ranged = (df.withColumn(_TIE, F.xxhash64(*[F.col(_quote(c)) for c in df.columns]))
+              .withColumn(_SAME, F.monotonically_increasing_id()))
+    ranged = (ranged.repartitionByRange(n, *[F.col(_quote(c)) for c in sort])
+              .sortWithinPartitions(*[F.col(_quote(c)) for c in sort]).drop(_TIE, _SAME))
+    # The low 33 bits of the id count the rows of a partition in their order.
+    ranged = materialize(
+        ranged.withColumn(_PART, F.spark_partition_id())
+        .withColumn(_AT, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) + 1), "ranged")
+    # One row per range: a window over them all is small by construction.
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(
+        ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n"))
+        .select(_PART, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")), "range_offsets")
+    ranked = ranged.join(F.broadcast(offsets), _PART).withColumn(_RANK, F.col("_off") + F.col(_AT))
+    number = F.col(_RANK)
     if part:
-        tagged = tagged.withColumn(_G, F.struct(*[F.col(c) for c in part]))
-    gcols = [_G] if part else []
-    stats = (tagged.groupBy(F.col(_B).alias(_SB), *[F.col(_G).alias(_SG)] * bool(part))
-             .agg(F.count(F.lit(1)).alias(_N)))
-    before = ((Window.partitionBy(_SG) if part else Window).orderBy(_SB)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    stats = stats.withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0))).drop(_N)
-
-    local = Window.partitionBy(_B, *gcols).orderBy(*[F.col(c) for c in order])
-    numbered = tagged.withColumn(_LOCAL, F.row_number().over(local))
-    cond = F.col(_B) == F.col(_SB)
-    if part:
-        cond = cond & (F.col(_G) == F.col(_SG))
-    # Without groups the offsets are one row per bucket, bounded by the bucket
-    # count; with groups there are up to buckets + groups rows and AQE decides
-    # from the measured size whether to broadcast them.
-    joined = numbered.join(stats if part else F.broadcast(stats), cond)
-    number = F.col(_OFF) + F.col(_LOCAL)
-    return joined.select(*[F.col(c) for c in df.columns], number.cast("bigint").alias(name))
+        # A struct keeps null groups equal; the least rank is partly aggregated.
+        ranked = ranked.withColumn(_G, F.struct(*[F.col(_quote(c)) for c in part]))
+        first = materialize(ranked.groupBy(_G).agg((F.min(_RANK) - 1).alias("_first")), "group_starts")
+        ranked = ranked.join(first, _G)
+        number = number - F.col("_first")
+    return ranked.select(*[F.col(_quote(c)) for c in df.columns], number.cast("bigint").alias(name))
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def dense_key_scaled(df: DataFrame, order, name: str, prefix: str | None = None,

@@ -19,22 +19,24 @@ def count_tables(tables: dict[str, DataFrame], name_col: str = "tbl",
     ])
 
 
-def profile(df: DataFrame, cols=None, digits: int | None = 4) -> DataFrame:
-    """count, mean, sample stddev, min and max of numeric columns, one row per
-    column (``describe`` with typed values). All statistics of all columns
-    come from one pass; the single result row is then unpivoted."""
+def profile(df: DataFrame, cols=None, digits: int | None = None) -> DataFrame:
+    """Profile of numeric and text columns, one row per column: count, mean and
+    sample stddev (null for text), min and max as exact text. All statistics of
+    all columns come from one pass; the single result row is then unpivoted.
+    ``digits`` rounds mean and stddev."""
     numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
     types = dict(df.dtypes)
-    cols = cols or [c for c, t in df.dtypes if t in numeric or t.startswith("decimal")]
+    number = lambda c: types[c] in numeric or types[c].startswith("decimal")
+    cols = cols or [c for c in df.columns if number(c) or types[c] == "string"]
+    assert all(c in types for c in cols), f"unknown column in {cols}"
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = F.col(c).cast("double") if number(c) else F.lit(None).cast("double")
         mean, std = F.avg(x), F.stddev_samp(x)
         if digits is not None:
             mean, std = F.round(mean, digits), F.round(std, digits)
         aggs += [F.count(F.col(c)).alias(f"c{i}"), mean.alias(f"m{i}"), std.alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    assert all(c in types for c in cols), f"unknown column in {cols}"
+                 F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
     row = df.agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(f"c{i}").alias("cnt"), F.col(f"m{i}").alias("mean"),
@@ -48,5 +50,5 @@ def profile(df: DataFrame, cols=None, digits: int | None = 4) -> DataFrame:
 def describe(df: DataFrame, cols=None) -> DataFrame:
     """count, mean, stddev, min, max of numeric *and* text columns, every
     statistic as text, one row per statistic (Spark's ``describe``: one
-    aggregation pass). ``profile`` is the typed form for numeric columns."""
+    aggregation pass). ``profile`` is the form with one row per column."""
     return df.describe(*(cols or []))

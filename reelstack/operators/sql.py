@@ -7,14 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 def run_sql(spark: SparkSession, views: dict[str, DataFrame], query: str,
             args: dict | None = None) -> DataFrame:
-    """Register ``views`` and run ``query``. Values go in as named parameter
-    markers (``:name``), never pasted into the text."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query, args=args or None)
+    """Run ``query`` over ``views``, which are registered only while it is
+    analysed. Values go in as named parameter markers (``:name``), never
+    pasted into the text."""
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(query, args=args or None)
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
 
 
 def in_list_markers(prefix: str, values) -> tuple[str, dict]:
-    """``(:p0, :p1, ...)`` text plus the matching ``args`` for an IN list."""
+    """``(:p0, :p1, ...)`` text plus the matching ``args`` for an IN list; an
+    empty list gives ``(NULL)``, which matches nothing."""
     args = {f"{prefix}{i}": v for i, v in enumerate(values)}
-    return "(" + ", ".join(f":{k}" for k in args) + ")", args
+    return "(" + (", ".join(f":{k}" for k in args) or "NULL") + ")", args

@@ -15,12 +15,6 @@ from reelstack.operators import keys as keys_mod
 from .conftest import rows
 
 
-@pytest.fixture(autouse=True)
-def many_buckets_on_small_inputs(monkeypatch):
-    """Exercise the multi-bucket path even on a few rows."""
-    monkeypatch.setattr(keys_mod, "MIN_ROWS_PER_BUCKET", 1)
-
-
 def test_dense_key_prefixed(spark):
     df = spark.createDataFrame([(2003,), (2001,), (2002,)], "ano int")
     assert rows(op.dense_key(df, "ano", "id_data", "dt")) == [(2001, "dt1"), (2002, "dt2"),
@@ -102,38 +96,28 @@ def test_scaled_numbering_key_types(spark, dtype, make):
     assert [r[1] for r in single] == list(range(1, len(single) + 1))
 
 
-@pytest.fixture()
-def two_level(monkeypatch):
-    """Force the coarse + fine bucket lookup on small inputs."""
-    monkeypatch.setattr(keys_mod, "MAX_COARSE", 4)
-    monkeypatch.setattr(keys_mod, "FINE_PER_COARSE", 4)
-
-
-def test_two_level_buckets_with_hot_group(spark, two_level):
-    df = spark.range(20_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 11).alias("g"),
-        (F.col("id") * 31 % 20_011).alias("o"))
-    w = Window.partitionBy("g").orderBy("o")
-    expected = df.withColumn("rn", F.row_number().over(w).cast("bigint"))
-    got = op.row_number_scaled(df, "o", "rn", partition_by="g", buckets=16)
-    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
-    tagged = keys_mod.with_bucket(df, ["g", "o"], keys_mod.split_points(df, ["g", "o"], 16), "b")
-    assert tagged.select("b").distinct().count() > 8  # really more than the coarse buckets
-
-
-@pytest.mark.parametrize("dtype, make", [
-    ("bigint", lambda i: i * 7919 % 1009),
-    ("string", lambda i: f"tt{i * 37 % 1000:07d}"),
-    ("timestamp_ntz", lambda i: datetime.datetime(2000, 1, 1, 0, 0, i % 60, i)),
-])
-def test_two_level_buckets_key_types(spark, two_level, dtype, make):
-    data = [(make(i) if i % 13 else None, i) for i in range(600)]
-    df = spark.createDataFrame(data, f"k {dtype}, i int")
-    expected = rows(df.withColumn("n", F.row_number().over(Window.orderBy("k", "i"))
-                                  .cast("bigint")))
-    assert rows(op.row_number_scaled(df, ["k", "i"], "n", buckets=16)) == expected
-    single = rows(op.row_number_scaled(df.select("k").distinct(), "k", "n", buckets=16))
-    assert [r[1] for r in single] == list(range(1, len(single) + 1))
+def test_null_and_repeated_keys_spread_over_ranges(spark, monkeypatch):
+    """Half the keys null, a quarter one value: no range holds much more than
+    its share, and the numbers are those of one window over the whole order."""
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(None)).when(F.col("id") % 4 == 1, F.lit("hot"))
+        .otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"), "id")
+    stored = []
+    real = keys_mod.materialize
+    monkeypatch.setattr(keys_mod, "materialize", lambda d, n: stored.append(real(d, n)) or stored[-1])
+    got = op.row_number_scaled(df, "k", "n", buckets=16)
+    sizes = [r["count"] for r in stored[0].groupBy("_rk_part").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 40_000 / 16
+    assert got.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first() == (1, 40_000, 40_000)
+    w = Window.orderBy("n")
+    down = got.withColumn("prev", F.lag("k").over(w)).filter("prev > k or (k is null and prev is not null)")
+    assert down.count() == 0
+
+
+def test_identical_rows_are_numbered_apart(spark):
+    df = spark.range(5000).select(F.lit("same").alias("k"))
+    out = op.dense_key_scaled(df, "k", "n", buckets=4)
+    assert out.select("n").distinct().count() == 5000 and out.agg(F.max("n")).first()[0] == 5000
 
 
 def test_scaled_numbering_with_awkward_column_names(spark):
