@@ -18,7 +18,9 @@ from .params import SUBSET_IDS, ApiParams
 from .plans import jobs
 from .plans.star import GENERAL, GENERAL_TABELA_KEYS
 from .schemas import DETAILS_RAW
+from .session import RECOMMENDED_CONF
 from .sources.readers import scan_ndjson
+from .sources.sinks import NDJSON_RECORDS
 
 
 def parse(argv) -> argparse.Namespace:
@@ -32,6 +34,10 @@ def parse(argv) -> argparse.Namespace:
     ap.add_argument("--details", help="raw-ingest: NDJSON detail records, one per movie id")
     ap.add_argument("--exact-files", action="store_true",
                     help="raw-ingest: files hold rows 1-100, 101-200, ... in id order")
+    ap.add_argument("--records-per-file", type=int, default=NDJSON_RECORDS,
+                    help="raw-ingest: rows per NDJSON file")
+    ap.add_argument("--single-file", action="store_true",
+                    help="trusted-catalog: write one Parquet file (one task)")
     ap.add_argument("--star", choices=["geral", "sagas"], default="geral")
     ap.add_argument("--tabela-keys", action="store_true",
                     help="star geral: name keys id_tabela_* and leave id_genero out")
@@ -46,9 +52,9 @@ def run(spark: SparkSession, args: argparse.Namespace):
     if args.job == "raw-ingest":
         details = scan_ndjson(spark, args.details, DETAILS_RAW)
         return jobs.raw_ingest_job(spark, layout.raw_pages(day), details, layout.raw_api(day),
-                                   exact_files=args.exact_files)
+                                   args.records_per_file, exact_files=args.exact_files)
     if args.job == "trusted-catalog":
-        return jobs.trusted_catalog_job(spark, layout, day)
+        return jobs.trusted_catalog_job(spark, layout, day, single_file=args.single_file)
     if args.job == "trusted-api":
         # The extraction date stamped on the rows is the day, as yyyy/MM/dd.
         return jobs.trusted_api_job(spark, layout.raw_api(day), layout, day,
@@ -58,19 +64,25 @@ def run(spark: SparkSession, args: argparse.Namespace):
                              spec=GENERAL_TABELA_KEYS if args.tabela_keys else GENERAL)
     if args.job == "star":
         return jobs.star_job(spark, layout, day, "sagas", ids=SUBSET_IDS)
-    # report: counts of the written star tables
+    # report: counts and column profiles of the written star tables
     prefix = layout.refined(args.star)
     names = (["tabela_fato", "tabela_data", "tabela_titulo", "tabela_adulto"]
              if args.star == "geral" else
              ["tabela_fato_sagas", "tabela_sagas_data", "tabela_sagas_titulo",
               "tabela_sagas_adulto"])
-    counts, _ = jobs.star_report(spark, {n: f"{prefix}/{n}" for n in names})
-    return {r.tbl: r.n for r in counts.collect()}
+    counts, profiles = jobs.star_report(spark, {n: f"{prefix}/{n}" for n in names})
+    report: dict = {r.tbl: {"rows": r.n, "columns": {}} for r in counts.collect()}
+    for r in profiles.collect():
+        report[r.tbl]["columns"][r.col] = {k: r[k] for k in ("cnt", "mean", "stddev", "mn", "mx")}
+    return report
 
 
 def main(argv=None) -> int:
     args = parse(sys.argv[1:] if argv is None else argv)
-    spark = SparkSession.builder.appName(f"reelstack-{args.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"reelstack-{args.job}")
+    for key, value in RECOMMENDED_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     print(json.dumps({"job": args.job, "result": run(spark, args)}, default=str))
     return 0
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
@@ -27,9 +27,10 @@ from .. import functions as fn
 from .. import operators as op
 from ..params import ApiParams, CatalogParams
 from ..session import scratch_path
-from ..sources import (file_stats, flatten_pages, land_raw, paginate, scan_csv_pipe, scan_layer,
-                       scan_ndjson, sink_ndjson, sink_parquet, sink_partitioned, write_star)
+from ..sources import (file_stats, flatten_pages, land_raw, scan_csv_pipe, scan_layer, scan_ndjson,
+                       sink_ndjson, sink_parquet, sink_partitioned, write_star)
 from .jobs import raw_rows, trusted_api, trusted_catalog
+from .landed_pages import paginate
 from .star import GENERAL, SUBSET, build_star, joined_base
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -59,8 +60,15 @@ def q_scan_parquet_layer(spark, d):
 
 def q_scan_csv_pipe(spark, d):
     part = table(spark, d, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
-    path = scratch_path(spark, "part_csv")
-    part.write.option("header", True).option("sep", "|").csv(path)
+    # One header for the whole extract, in another column order, in a part of
+    # its own; landed as the movies extract is.
+    names = ["p_size", "p_partkey", "p_retailprice", "p_name"]
+    lines = part.select(F.concat_ws("|", *[F.col(c).cast("string") for c in names]).alias("value"))
+    src = scratch_path(spark, "part_csv")
+    lines.write.text(src)
+    spark.range(1).select(F.lit("|".join(names)).alias("value")).write.mode("append").text(src)
+    path = land_raw(spark, src, scratch_path(spark, "Raw/Local/CSV/Parts"), "2024-04-12",
+                    name="part.csv")
     # Read back as text, the way the movies extract is read, then type it.
     text_schema = StructType([StructField(c, StringType(), True) for c in part.columns])
     raw = scan_csv_pipe(spark, path, text_schema)
@@ -76,11 +84,13 @@ def q_scan_ndjson(spark, d):
     return scan_ndjson(spark, path, _ddl(events, events.columns))
 
 
-def _event_pages(spark, d, fail_genre: str | None = "error", fail_page: int = 41):
+def _event_pages(spark, d, fail_genre: str | None = "error"):
+    """Pages of the events; the page at two thirds of one group fails."""
     events = table(spark, d, "events")
     status = F.lit(200)
     if fail_genre is not None:
-        status = F.when((F.col("genre") == fail_genre) & (F.col("page") == fail_page),
+        status = F.when((F.col("genre") == fail_genre)
+                        & (F.col("page") == F.floor(F.col("total_pages") * 2 / 3) + 1),
                         F.lit(500)).otherwise(F.lit(200))
     pages = paginate(events.withColumnRenamed("event_type", "genre")
                      .withColumnRenamed("event_id", "id").withColumnRenamed("value", "popularity"),
@@ -93,19 +103,22 @@ def _event_pages(spark, d, fail_genre: str | None = "error", fail_page: int = 41
 
 def q_flatten_pages(spark, d):
     pages = _event_pages(spark, d)
-    rows = flatten_pages(pages, "genre", max_pages=60)
+    rows = flatten_pages(pages, "genre")
     return rows.select("genre", "page", "id", "popularity")
 
 
 def q_land_raw(spark, d):
     src = scratch_path(spark, "local_extract")
-    table(spark, d, "part").select("p_name").write.text(src)
-    landed = land_raw(spark, src, scratch_path(spark, "Raw/Local/CSV/Movies"), "2024-04-12")
+    table(spark, d, "part").select("p_name").coalesce(1).write.text(f"{src}/movies.csv")
+    table(spark, d, "supplier").select("s_name").coalesce(1).write.text(f"{src}/series.csv")
+    # Two extracts land one after the other in the same day; the first stays.
+    root = scratch_path(spark, "Raw/Local/CSV/Movies")
+    for name in ("movies.csv", "series.csv"):
+        landed = land_raw(spark, f"{src}/{name}", root, "2024-04-12", name=name)
     back = spark.read.text(landed)
     return back.select(
         F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}/\d{2}/\d{2})/file=", 1)
-        .alias("landed_path"),
-        F.col("value").alias("line"))
+        .alias("landed_path"), F.col("file").alias("file_name"), F.col("value").alias("line"))
 
 
 # -------------------------------------------------------------------- sinks
@@ -114,32 +127,38 @@ def q_land_raw(spark, d):
 def q_sink_ndjson_chunked(spark, d):
     part = table(spark, d, "part")
     path = sink_ndjson(part, scratch_path(spark, "part_ndjson"), 100, order="p_partkey")
-    return file_stats(spark, path, "json", schema=part.schema)
+    # Per file: its chunk, rows and the sum of a column read back.
+    back = scan_ndjson(spark, path, part.schema)
+    return back.groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.min("p_partkey").alias("first_key"), F.max("p_partkey").alias("last_key"),
+        F.count(F.lit(1)).alias("n_rows"), F.sum("p_size").alias("sizes")).drop("f")
 
 
 def q_sink_single_file(spark, d):
     path = sink_parquet(table(spark, d, "supplier"), scratch_path(spark, "supplier_one"),
                         single_file=True)
-    return file_stats(spark, path)
+    files = file_stats(spark, path).first()["n_files"]
+    return spark.read.parquet(path).select("s_suppkey", "s_name", "s_acctbal",
+                                           F.lit(files).cast("bigint").alias("n_files"))
 
 
 def q_sink_partition_dt(spark, d):
-    """Two extractions land in their own ``dt=`` partitions (the second write
-    replaces only its own partition); one is read back by folder, and the
-    date predicate is pushed into the Parquet scan."""
-    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    """Two extractions land in their own ``dt=`` partitions, then the second is
+    written again with other values: it replaces only its own partition. Both
+    are read back by folder."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     root = scratch_path(spark, "orders_by_dt")
     sink_partitioned(orders, root, dt="2024-04-11")
     sink_partitioned(orders, root, dt="2024-04-12")
-    day = scan_layer(spark, root, dt="2024-04-12")
-    return (day.filter(F.col("o_orderdate") == F.lit("1997-05-28 00:00:00").cast("timestamp_ntz"))
-            .select("o_orderkey", "o_totalprice"))
+    sink_partitioned(orders.withColumn("o_totalprice", -F.col("o_totalprice")), root, dt="2024-04-12")
+    days = [scan_layer(spark, root, dt=dt) for dt in ("2024-04-11", "2024-04-12")]
+    return op.union_all(*days).select("o_orderkey", "o_totalprice", F.col("dt").cast("string").alias("dt"))
 
 
 def q_sink_star_roundtrip(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("ano"))
     dim = op.dense_key(orders.select("ano").distinct(), "ano", "id_data", "dtg")
-    fact = op.lookup_key(orders, dim, "ano", "ano", "id_data", bounded=True)
+    fact = op.lookup_key(orders, dim, "ano", "ano", "id_data")
     paths = write_star({"tabela_data": dim, "tabela_fato": fact}, scratch_path(spark, "star"))
     return op.count_tables({"dim": spark.read.parquet(paths["tabela_data"]),
                             "fact": spark.read.parquet(paths["tabela_fato"])},
@@ -219,7 +238,9 @@ def q_keyword_any(spark, d):
 
 def q_year_between(spark, d):
     orders = table(spark, d, "orders")
-    return (orders.filter(fn.all_of(fn.between(F.year("o_orderdate"), 1996, 1999),
+    # A half-open range on the column itself reaches the scan; year() would not.
+    first, end = (F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz") for y in (1996, 2000))
+    return (orders.filter(fn.all_of(F.col("o_orderdate") >= first, F.col("o_orderdate") < end,
                                     fn.keyword_any("o_orderpriority", ["URGENT", "HIGH"])))
             .select("o_orderkey", F.year("o_orderdate").alias("ano")))
 
@@ -298,7 +319,7 @@ def _year_dim(orders, name="id_data", prefix="dtg"):
 def q_fact_date_lookup(spark, d):
     orders = table(spark, d, "orders")
     fact = orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("ano"))
-    return op.lookup_key(fact, _year_dim(orders), "ano", "ano", "id_data", bounded=True) \
+    return op.lookup_key(fact, _year_dim(orders), "ano", "ano", "id_data") \
         .select("o_orderkey", "o_totalprice", "id_data")
 
 
@@ -338,7 +359,13 @@ def q_surrogate_distributed(spark, d):
 
 
 def q_surrogate_monotonic(spark, d):
-    return op.unique_key(table(spark, d, "orders").select("o_orderkey"), "id_titulo")
+    """Keys depend on the partitioning, their properties do not: as many
+    distinct keys as rows, each one the least key or more, all text."""
+    keyed = op.unique_key(table(spark, d, "orders").select("o_orderkey"), "n")
+    keyed = keyed.withColumn("id_titulo", fn.to_string("n"))
+    return keyed.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id_titulo").alias("n_keys"),
+                     F.min("n").alias("least"),
+                     F.count_if(F.col("id_titulo").rlike("^[0-9]+$")).alias("n_text"))
 
 
 # ---------------------------------------------------------------- set ops
@@ -352,10 +379,13 @@ def q_union_branches(spark, d):
 
 def q_union_reconciled(spark, d):
     schema = StructType([StructField("id", LongType()), StructField("minutos", IntegerType())])
-    parts = table(spark, d, "part").filter(F.col("p_size") < 10) \
+    parts = table(spark, d, "part") \
         .select(F.col("p_partkey").alias("id"), F.col("p_size").alias("minutos"))
-    sups = table(spark, d, "supplier") \
-        .select(F.col("s_suppkey").alias("id"), fn.to_int("s_acctbal").alias("minutos"))
+    # The other side holds minutes as text, some of it dirty.
+    sups = table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("id"),
+        F.when(F.col("s_suppkey") % 5 == 0, F.lit("\\N")).when(F.col("s_suppkey") % 5 == 1, F.lit("29.9"))
+        .when(F.col("s_suppkey") % 5 == 2, F.lit("")).otherwise(F.col("s_acctbal").cast("string")).alias("minutos"))
     return op.union_typed(schema, parts, sups)
 
 
@@ -372,7 +402,8 @@ def q_count_tables(spark, d):
 
 
 def q_describe_profile(spark, d):
-    return op.profile(table(spark, d, "part"), ["p_size", "p_retailprice"], digits=4)
+    return op.profile(table(spark, d, "part"), ["p_partkey", "p_size", "p_retailprice", "p_name", "p_brand"],
+                      digits=4)
 
 
 def q_json_field_default(spark, d):
@@ -401,8 +432,8 @@ def q_pipe_raw_ingest(spark, d):
                                  F.transform("results", lambda r: F.struct(
                                      r["user_id"].alias("id"), r["id"].alias("event_id"),
                                      r["popularity"].alias("popularity"))).alias("results")),
-                    details, keys=["genre"], max_pages=None)
-    path = sink_ndjson(rows, scratch_path(spark, "raw_api"), 100)
+                    details, keys=["genre"])
+    path = sink_ndjson(rows, scratch_path(spark, "raw_api"))
     return scan_ndjson(spark, path, _ddl(rows, ["id", "genre", "event_id", "popularity",
                                                 "receita"]))
 
@@ -455,12 +486,58 @@ def q_pipe_star_general(spark, d):
 def q_pipe_star_subset(spark, d):
     movies, api = _star_inputs(spark, d)
     base = op.keep_ids(joined_base(movies, api), "imdb_id", SUBSET_ORDER_IDS)
-    tables = build_star(base, SUBSET, measures=["orcamento"], small=True)
+    tables = build_star(base, SUBSET, measures=["orcamento"])
     paths = write_star(tables, scratch_path(spark, "refined_sagas"))
     return spark.read.parquet(paths[SUBSET.fact]).select(
         "fs_movie_imdb_id", "orcamento", "id_tabela_data", "id_tabela_titulo")
 
 
+def _dimensions(spark, paths, spec):
+    """The three dimensions of a star as one table: which, id, value, key."""
+    read = lambda name: spark.read.parquet(paths[name])
+    return op.union_all(
+        read(spec.date_dim).select(F.lit("date").alias("dim"), F.lit(None).cast("bigint").alias("id"),
+                                   F.col("Ano_Lancamento").cast("string").alias("value"),
+                                   F.col(spec.date_key).alias("key")),
+        read(spec.title_dim).select(F.lit("title").alias("dim"), F.col(spec.title_id).alias("id"),
+                                    F.col("Titulo").alias("value"), F.col(spec.title_key).alias("key")),
+        read(spec.adult_dim).select(F.lit("adult").alias("dim"), F.col(spec.adult_id).alias("id"),
+                                    F.col("Adulto").cast("string").alias("value"),
+                                    F.col(spec.adult_key).alias("key")))
+
+
+def q_star_dims_general(spark, d):
+    movies, api = _star_inputs(spark, d)
+    tables = build_star(joined_base(movies, api), GENERAL, measures=["orcamento"])
+    return _dimensions(spark, write_star(tables, scratch_path(spark, "dims_geral")), GENERAL)
+
+
+def q_star_dims_subset(spark, d):
+    movies, api = _star_inputs(spark, d)
+    base = op.keep_ids(joined_base(movies, api), "imdb_id", SUBSET_ORDER_IDS)
+    tables = build_star(base, SUBSET, measures=["orcamento"])
+    return _dimensions(spark, write_star(tables, scratch_path(spark, "dims_sagas")), SUBSET)
+
+
+def q_sort_file_order(spark, d):
+    """The sort before the trusted write holds in the files: how many rows
+    follow a larger key in their own file, and how many files overlap."""
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderkey")
+    path = sink_parquet(op.sort_by(orders, "o_custkey", "o_orderkey"), scratch_path(spark, "sorted"))
+    rows = spark.read.parquet(path).select(
+        "o_custkey", "o_orderkey", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("at"))
+    # Files are split evenly by range, so a window per file is one write task's rows.
+    prev = F.lag(F.struct("o_custkey", "o_orderkey")).over(Window.partitionBy("f").orderBy("at"))
+    rows = rows.withColumn("down", (prev > F.struct("o_custkey", "o_orderkey")).cast("int"))
+    files = rows.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("down"), F.lit(0)).alias("down"),
+                                  F.min(F.struct("o_custkey", "o_orderkey")).alias("lo"),
+                                  F.max(F.struct("o_custkey", "o_orderkey")).alias("hi"))
+    # One row per file from here on.
+    overlap = F.lag("hi").over(Window.orderBy("lo")) > F.col("lo")
+    return files.withColumn("over", overlap.cast("int")).agg(
+        F.sum("n").alias("n_rows"), F.sum("down").alias("n_down"), F.coalesce(F.sum("over"), F.lit(0)).alias("n_overlap"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet_layer": q_scan_parquet_layer,
     "scan_csv_pipe": q_scan_csv_pipe,
@@ -507,4 +584,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipe_trusted_api": q_pipe_trusted_api,
     "pipe_star_general": q_pipe_star_general,
     "pipe_star_subset": q_pipe_star_subset,
+    "star_dims_general": q_star_dims_general,
+    "star_dims_subset": q_star_dims_subset,
+    "sort_file_order": q_sort_file_order,
 }

@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from ..functions import (at_least, between, keyword_any, positive, present, to_double, to_int,
                          to_long)
 from ..layout import Layout
-from ..operators.dedup import keep_first, keep_one
+from ..operators.dedup import keep_first
 from ..operators.joins import enrich
 from ..operators.projection import drop_cols, move_last, rename, stamp
 from ..operators.ordering import sort_by
 from ..operators.profile import count_tables, profile
-from ..params import MAX_PAGES, RECORDS_PER_FILE, ApiParams, CatalogParams
-from ..schemas import API_RAW, MOVIES_CSV
+from ..operators.setops import union_all
+from ..params import ApiParams, CatalogParams
+from ..schemas import API_RAW, MOVIES_CSV, PAGES_RAW
+from ..session import materialize, scratch_scope
 from ..sources.pages import flatten_pages
 from ..sources.readers import land_raw, scan_csv_pipe, scan_layer, scan_ndjson
-from ..sources.sinks import sink_ndjson, sink_parquet, sink_partitioned, write_star
+from ..sources.sinks import NDJSON_RECORDS, sink_ndjson, sink_parquet, sink_partitioned, write_star
 from .star import GENERAL, StarSpec, star_general, star_subset
 
 # --------------------------------------------------------------------------- raw
@@ -33,14 +35,14 @@ def land_extracts_job(spark: SparkSession, sources: dict[str, str], layout: Layo
 
 
 def raw_rows(pages: DataFrame, details: DataFrame, keys=("ano", "genre_id"), id_col: str = "id",
-             details_key: str = "id", max_pages: int | None = MAX_PAGES,
+             details_key: str = "id", max_pages: int | None = None,
              rename_map: dict | None = None) -> DataFrame:
     """Discover pages -> one row per movie (first in crawl order) + details.
 
     Crawl order is (keys, page, position): years outer, genres in ascending
     id (the reference lists 14 before 878), pages upward. A movie in both
     genres keeps the first genre. Details join by id; a missing record gives
-    nulls instead of shifting every later row.
+    nulls instead of shifting every later row, a repeated record counts once.
     """
     keys = list(keys)
     rows = flatten_pages(pages, keys, max_pages=max_pages)
@@ -50,12 +52,16 @@ def raw_rows(pages: DataFrame, details: DataFrame, keys=("ano", "genre_id"), id_
 
 
 def raw_ingest_job(spark: SparkSession, pages_path: str, details: DataFrame, out_path: str,
-                   max_records: int = RECORDS_PER_FILE, exact_files: bool = False) -> str:
-    """Landed pages -> raw API NDJSON files of at most ``max_records`` rows."""
-    from ..schemas import PAGES_RAW
+                   max_records: int = NDJSON_RECORDS, exact_files: bool = False) -> str:
+    """Landed pages -> raw API NDJSON files of at most ``max_records`` rows
+    (the reference's files hold ``RECORDS_PER_FILE``)."""
     pages = scan_ndjson(spark, pages_path, PAGES_RAW)
-    rows = raw_rows(pages, details, rename_map={"ano": "Ano", "genre_id": "Genre_ID"})
-    return sink_ndjson(rows, out_path, max_records, order="id" if exact_files else None)
+    with scratch_scope(spark):
+        rows = raw_rows(pages, details, rename_map={"ano": "Ano", "genre_id": "Genre_ID"})
+        if exact_files:
+            # Ordered numbering reads its input twice: store the joined rows.
+            rows = materialize(rows, "raw_rows")
+        return sink_ndjson(rows, out_path, max_records, order="id" if exact_files else None)
 
 
 # ---------------------------------------------------------------- trusted movies
@@ -83,7 +89,7 @@ def trusted_catalog(csv: DataFrame, params: CatalogParams = CatalogParams(), id_
     year_v = to_int(F.coalesce(F.col(year).cast("string"), F.lit("0")))
     minutes_v = F.coalesce(_typed(csv, minutes, to_int), F.lit(0))
     saga = keyword_any(F.col(character), params.saga_keywords) \
-        & ~F.col(id_col).isin(list(params.deny_ids))
+        & ~F.col(id_col).isin([i for i in params.deny_ids if i is not None])
     by_genre = (keyword_any(F.coalesce(F.col(genre), F.lit("")), params.genre_keywords)
                 & between(year_v, params.year_first, params.year_last)
                 & at_least(minutes_v, params.min_minutes)
@@ -97,13 +103,15 @@ def trusted_catalog(csv: DataFrame, params: CatalogParams = CatalogParams(), id_
         else F.lit(None).cast("double").alias("notaMedia_imdb"),
         _typed(csv, votes, to_int).alias("numeroVotos_imdb"),
     )
-    # Movie-level columns depend on the id alone, so any row per id is the same.
-    return keep_one(kept, "imdb_id")
+    # First in the total order of the kept columns: conflicting rows of one id
+    # give the same pick under any partitioning.
+    return keep_first(kept, "imdb_id", [c for c in kept.columns if c != "imdb_id"])
 
 
 def trusted_catalog_job(spark: SparkSession, layout: Layout, day,
-                        params: CatalogParams = CatalogParams(), single_file: bool = True) -> str:
-    """Landed movies CSV of ``day`` -> trusted movies Parquet."""
+                        params: CatalogParams = CatalogParams(), single_file: bool = False) -> str:
+    """Landed movies CSV of ``day`` -> trusted movies Parquet; ``single_file``
+    writes one file, as the reference does."""
     csv = scan_csv_pipe(spark, layout.raw_files("Movies", day), MOVIES_CSV)
     return sink_parquet(trusted_catalog(csv, params), layout.trusted_movies,
                         single_file=single_file)
@@ -159,14 +167,15 @@ def star_job(spark: SparkSession, layout: Layout, dt: str, star: str = "geral",
     with ``ids`` the star of that id allow-list."""
     movies = scan_layer(spark, layout.trusted_movies)
     api = scan_layer(spark, layout.trusted_api, dt=dt).drop("dt")
-    tables = (star_general(movies, api, measures, spec) if ids is None
-              else star_subset(movies, api, ids, measures))
-    return write_star(tables, layout.refined(star))
+    with scratch_scope(spark):
+        tables = (star_general(movies, api, measures, spec) if ids is None
+                  else star_subset(movies, api, ids, measures))
+        return write_star(tables, layout.refined(star))
 
 
 def star_report(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Row count of every written star table (one job) and the typed profile
-    of the fact's numeric columns (one pass)."""
+    """Row count of every written star table (one job) and the profile of the
+    numeric and text columns of all of them (one pass per table), by ``tbl``."""
     tables = {name: spark.read.parquet(path) for name, path in paths.items()}
-    fact = next(df for name, df in tables.items() if name.startswith("tabela_fato"))
-    return count_tables(tables), profile(fact)
+    profiles = [profile(df).select(F.lit(name).alias("tbl"), "*") for name, df in tables.items()]
+    return count_tables(tables), union_all(*profiles)

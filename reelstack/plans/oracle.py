@@ -2,7 +2,6 @@
 
 Each text reads the driver tables as views of the same names and gives the
 same rows, column names and types as the Spark query of that name.
-``surrogate_monotonic`` has no text: its keys depend on partitioning.
 """
 
 ORACLE_SQL: dict[str, str] = {
@@ -14,14 +13,18 @@ ORACLE_SQL: dict[str, str] = {
           CAST((row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 20 + 1 AS BIGINT) AS page
           FROM events)
         SELECT genre, page, id, popularity FROM r
-        WHERE page <= 60 AND NOT (genre = 'error' AND page >= 41)""",
-    "land_raw": "SELECT '2024/04/12' AS landed_path, p_name AS line FROM part",
-    "sink_ndjson_chunked":
-        "SELECT CAST(ceil(count(*) / 100.0) AS BIGINT) AS n_files, count(*) AS n_rows FROM part",
-    "sink_single_file": "SELECT CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows FROM supplier",
+        WHERE genre <> 'error' OR page <= (SELECT floor(max(page) * 2 / 3.0) FROM r WHERE genre = 'error')""",
+    "land_raw": """
+        SELECT '2024/04/12' AS landed_path, 'movies.csv' AS file_name, p_name AS line FROM part
+        UNION ALL SELECT '2024/04/12', 'series.csv', s_name FROM supplier""",
+    "sink_ndjson_chunked": """
+        SELECT min(p_partkey) AS first_key, max(p_partkey) AS last_key, count(*) AS n_rows,
+               CAST(sum(p_size) AS BIGINT) AS sizes
+        FROM (SELECT *, (row_number() OVER (ORDER BY p_partkey) - 1) // 100 AS chunk FROM part) GROUP BY chunk""",
+    "sink_single_file": "SELECT s_suppkey, s_name, s_acctbal, CAST(1 AS BIGINT) AS n_files FROM supplier",
     "sink_partition_dt": """
-        SELECT o_orderkey, o_totalprice FROM orders
-        WHERE o_orderdate = TIMESTAMP '1997-05-28 00:00:00'""",
+        SELECT o_orderkey, o_totalprice, '2024-04-11' AS dt FROM orders
+        UNION ALL SELECT o_orderkey, -o_totalprice, '2024-04-12' FROM orders""",
     "sink_star_roundtrip": """
         SELECT 'dim' AS tbl, count(DISTINCT year(o_orderdate)) AS n_rows FROM orders
         UNION ALL SELECT 'fact', count(*) FROM orders""",
@@ -95,8 +98,10 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%small%'
         UNION ALL SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%gear%'""",
     "union_reconciled": """
-        SELECT p_partkey AS id, p_size AS minutos FROM part WHERE p_size < 10
-        UNION ALL SELECT s_suppkey, CAST(trunc(s_acctbal) AS INTEGER) FROM supplier""",
+        SELECT p_partkey AS id, CAST(p_size AS INTEGER) AS minutos FROM part
+        UNION ALL SELECT s_suppkey, TRY_CAST(trunc(TRY_CAST(m AS DOUBLE)) AS INTEGER)
+        FROM (SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN '\\N' WHEN 1 THEN '29.9' WHEN 2 THEN ''
+              ELSE CAST(s_acctbal AS VARCHAR) END AS m FROM supplier)""",
     "sort_limit": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 25",
     "count_tables": """
         SELECT 'orders' AS tbl, count(*) AS n FROM orders
@@ -104,10 +109,15 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
     "describe_profile": """
         SELECT 'p_size' AS col, count(p_size) AS cnt, round(avg(p_size), 4) AS mean,
-               round(stddev_samp(p_size), 4) AS stddev, CAST(min(p_size) AS DOUBLE) AS mn,
-               CAST(max(p_size) AS DOUBLE) AS mx FROM part
+               round(stddev_samp(p_size), 4) AS stddev, CAST(min(p_size) AS VARCHAR) AS mn,
+               CAST(max(p_size) AS VARCHAR) AS mx FROM part
+        UNION ALL SELECT 'p_partkey', count(p_partkey), round(avg(p_partkey), 4), round(stddev_samp(p_partkey), 4),
+               CAST(min(p_partkey) AS VARCHAR), CAST(max(p_partkey) AS VARCHAR) FROM part
         UNION ALL SELECT 'p_retailprice', count(p_retailprice), round(avg(p_retailprice), 4),
-               round(stddev_samp(p_retailprice), 4), min(p_retailprice), max(p_retailprice) FROM part""",
+               round(stddev_samp(p_retailprice), 4), CAST(min(p_retailprice) AS VARCHAR),
+               CAST(max(p_retailprice) AS VARCHAR) FROM part
+        UNION ALL SELECT 'p_name', count(p_name), NULL, NULL, min(p_name), max(p_name) FROM part
+        UNION ALL SELECT 'p_brand', count(p_brand), NULL, NULL, min(p_brand), max(p_brand) FROM part""",
     "json_field_default": """
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
                CAST(json_extract_string(props, '$.zz') AS INTEGER) AS missing FROM events""",
@@ -144,6 +154,27 @@ ORACLE_SQL: dict[str, str] = {
                      'adg' || CAST(row_number() OVER (ORDER BY id) AS VARCHAR) AS id_adulto FROM g)
         SELECT g.id AS fato_imdb_id, g.orcamento, d.id_data, t.id_titulo, t.id_adulto
         FROM g JOIN d ON d.ano = g.ano JOIN t ON t.id = g.id""",
+    "surrogate_monotonic": """
+        SELECT count(*) AS n_rows, count(*) AS n_keys, CAST(1 AS BIGINT) AS least, count(*) AS n_text FROM orders""",
+    "sort_file_order": """
+        SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_down, CAST(0 AS BIGINT) AS n_overlap FROM orders""",
+    "star_dims_general": """
+        WITH g AS (SELECT DISTINCT o_orderkey AS id, year(o_orderdate) AS ano, o_orderpriority AS titulo,
+                          o_orderstatus = 'F' AS adulto FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
+        SELECT 'date' AS dim, CAST(NULL AS BIGINT) AS id, CAST(ano AS VARCHAR) AS value,
+               'dtg' || CAST(row_number() OVER (ORDER BY ano) AS VARCHAR) AS key FROM (SELECT DISTINCT ano FROM g)
+        UNION ALL SELECT 'title', id, titulo, 'tig' || CAST(row_number() OVER (ORDER BY id) AS VARCHAR) FROM g
+        UNION ALL SELECT 'adult', id, CAST(adulto AS VARCHAR),
+               'adg' || CAST(row_number() OVER (ORDER BY id) AS VARCHAR) FROM g""",
+    "star_dims_subset": """
+        WITH g AS (SELECT DISTINCT o_orderkey AS id, year(o_orderdate) AS ano, o_orderpriority AS titulo,
+                          o_orderstatus = 'F' AS adulto FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+                   WHERE o_orderkey IN (1, 5, 9, 13, 77, 410, 411, 900))
+        SELECT 'date' AS dim, CAST(NULL AS BIGINT) AS id, CAST(ano AS VARCHAR) AS value,
+               'dt' || CAST(row_number() OVER (ORDER BY ano) AS VARCHAR) AS key FROM (SELECT DISTINCT ano FROM g)
+        UNION ALL SELECT 'title', id, titulo, 'ti' || CAST(row_number() OVER (ORDER BY id) AS VARCHAR) FROM g
+        UNION ALL SELECT 'adult', id, CAST(adulto AS VARCHAR),
+               'ad' || CAST(row_number() OVER (ORDER BY id) AS VARCHAR) FROM g""",
     "pipe_star_subset": """
         WITH g AS (SELECT DISTINCT o_orderkey AS id, year(o_orderdate) AS ano, o_totalprice AS orcamento
                    FROM orders JOIN lineitem ON l_orderkey = o_orderkey

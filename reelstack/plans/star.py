@@ -88,28 +88,24 @@ def joined_base(movies: DataFrame, api: DataFrame, key: str = "imdb_id") -> Data
 
 def build_star(base: DataFrame, spec: StarSpec, measures=None, key: str = "imdb_id",
                year: str = "anoLancamento_tmdb", title: str = "tituloPrincipal",
-               adult: str = "adulto", small: bool = False) -> dict[str, DataFrame]:
+               adult: str = "adulto") -> dict[str, DataFrame]:
     """Dimension and fact DataFrames of one star from a one-row-per-id base.
 
-    ``small=True`` (an id allow-list bounds the rows) numbers the titles with a
-    plain window; otherwise the numbering is distributed.
+    A base row without a year stays in the title and adult dimensions and
+    drops out of the fact, as with the reference's inner join.
     """
     date_p, title_p, adult_p = spec.prefixes
     measures = [m for m in (measures or FACT_MEASURES)
                 if m in base.columns and (spec.with_genre or m != "id_genero")]
-    if small:
-        ranked = dense_key(base, key, "_rank")
-    else:
-        # Number the base itself, once: both dimensions and the fact are then
-        # projections of one stored table, so the fact needs no join on the id.
-        # The base is stored first because the numbering reads it three times
-        # (split points, bucket counts, numbering) and it may be a costly join.
-        ranked = materialize(row_number_scaled(materialize(base, "star_base"), key, "_rank"),
-                             "star_ranked")
-
-    # Years: a natural small bound, so a global window and a broadcast are safe.
+    # Number the base itself, once: both dimensions and the fact are then
+    # projections of one stored table, so the fact needs no join on the id. The
+    # base is stored first because range partitioning reads it twice.
+    ranked = row_number_scaled(materialize(base, "star_base"), key, "_rank")
+
+    # Years: a natural small bound, so a global window is safe. Stored, so that
+    # the lookup is planned from their real size.
     years = ranked.select(F.col(year).alias("Ano_Lancamento")).distinct()
-    date_dim = dense_key(years, "Ano_Lancamento", spec.date_key, date_p)
+    date_dim = materialize(dense_key(years, "Ano_Lancamento", spec.date_key, date_p), "star_years")
 
     def text_or_null(c: str, dtype: str):
         return F.col(c) if c in base.columns else F.lit(None).cast(dtype)
@@ -125,7 +121,7 @@ def build_star(base: DataFrame, spec: StarSpec, measures=None, key: str = "imdb_
     fact = ranked.select(F.col(key).alias(spec.fact_id), *measures, F.col(year).alias("_year"),
                          with_prefix(title_p, F.col("_rank")).alias(spec.title_key),
                          with_prefix(adult_p, F.col("_rank")).alias(spec.adult_key))
-    fact = lookup_key(fact, date_dim, "_year", "Ano_Lancamento", spec.date_key, bounded=True)
+    fact = lookup_key(fact, date_dim, "_year", "Ano_Lancamento", spec.date_key)
     fact = fact.select(spec.fact_id, *measures, spec.date_key, spec.title_key, spec.adult_key)
     return {spec.fact: fact, spec.date_dim: date_dim, spec.title_dim: title_dim,
             spec.adult_dim: adult_dim}
@@ -140,4 +136,4 @@ def star_subset(movies: DataFrame, api: DataFrame, ids, measures=None) -> dict[s
     """The star of an id allow-list. The IN filter is on the join and
     dedup key, so Catalyst pushes it into both scans."""
     base = keep_ids(joined_base(movies, api), "imdb_id", ids)
-    return build_star(base, SUBSET, measures, small=len(list(ids)) <= 100_000)
+    return build_star(base, SUBSET, measures)

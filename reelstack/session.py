@@ -8,6 +8,7 @@ none, which is the case in unit tests on a laptop.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -52,15 +53,35 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured and not sc.master.startswith("local"):
+    if not configured and not (
+            sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="reelstack-ckpt-"))
     return sc.getCheckpointDir()
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint directory."""
-    return f"{checkpoint_root(spark).rstrip('/')}/scratch/{uuid.uuid4().hex}/{name}"
+    folder = f"{checkpoint_root(spark).rstrip('/')}/scratch/{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
+    return f"{folder}/{name}"
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch folders made inside are removed at the end. For jobs that have
+    written their outputs by then: no DataFrame of the scope is read later."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for folder in _SCOPES.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -17,14 +17,11 @@ def duck():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     res = compare(spark, duck, name, SF01, QUERIES[name], ORACLE_SQL.get(name))
-    assert res["status"] in ("match", "rows-only"), res
-    if name not in ORACLE_SQL:
-        assert res["spark_rows"] == duck.execute("SELECT count(*) FROM orders").fetchone()[0]
+    assert res["status"] == "match", res
 
 
-def test_every_query_but_the_partition_dependent_one_has_an_oracle():
-    assert set(QUERIES) - set(ORACLE_SQL) == {"surrogate_monotonic"}
-    assert set(ORACLE_SQL) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(ORACLE_SQL) == set(QUERIES)
 
 
 def test_entry_smoke(spark):
@@ -32,6 +29,6 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["fato_imdb_id", "orcamento", "id_data", "id_titulo", "id_adulto"]
     assert df.count() > 0
-    assert set(entry_mod.queries()) == set(QUERIES)
-    assert set(entry_mod.oracle_sql()) == set(ORACLE_SQL)
+    assert set(entry_mod.queries()) >= set(QUERIES)
+    assert set(entry_mod.oracle_sql()) >= set(ORACLE_SQL)
     assert SF001 in entry_mod.SMOKE_DIR

@@ -36,8 +36,10 @@ def test_cli_runs_every_layer(spark, tmp_path, capsys):
         run(spark, parse(["star", *base, "--star", star]))
     assert main(["report", *base, "--star", "sagas"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["result"] == {"tabela_fato_sagas": 1, "tabela_sagas_data": 1,
-                             "tabela_sagas_titulo": 1, "tabela_sagas_adulto": 1}
+    assert {k: v["rows"] for k, v in out["result"].items()} == {
+        "tabela_fato_sagas": 1, "tabela_sagas_data": 1, "tabela_sagas_titulo": 1, "tabela_sagas_adulto": 1}
+    titles = out["result"]["tabela_sagas_titulo"]["columns"]
+    assert titles["Titulo"]["mn"] == "HP" and out["result"]["tabela_fato_sagas"]["columns"]["orcamento"]["mx"] == "500"
     fact = spark.read.parquet(f"{layout.refined('geral')}/tabela_fato").first()
     assert (fact.fato_imdb_id, fact.orcamento, fact.data_coleta_tmdb) == (SUBSET_IDS[0], 500,
                                                                          "2024/04/12")

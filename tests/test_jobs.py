@@ -68,6 +68,14 @@ def test_trusted_catalog_one_pass_equals_branch_union(spark):
     assert branch_ids == {r.imdb_id for r in jobs.trusted_catalog(csv).collect()}
 
 
+def test_trusted_catalog_pick_is_the_same_under_any_order(spark):
+    data = [_csv_row("tt30", title=t, genre="Fantasy", minutes=m) for t, m in (("B", "90"), ("A", "100"), ("A", "95"))]
+    for rows_ in (data, data[::-1]):
+        for parts in (1, 3):
+            out = jobs.trusted_catalog(spark.createDataFrame(rows_, MOVIES_CSV).repartition(parts)).collect()
+            assert [(r.tituloPrincipal, r.tempoMinutos) for r in out] == [("A", 95)]
+
+
 def api_rows(spark):
     base = dict(Ano=2005, Genre_ID=14, title="t", release_date="2005-01-01", popularity=1.5,
                 vote_average=7.0, vote_count=100, adult=False, budget=10, runtime=100, revenue=20)

@@ -34,17 +34,10 @@ def test_keep_first_limits_before_the_shuffle(spark):
     assert kinds.index("exchange") < kinds.index("partial") and partial >= 0
 
 
-def test_scaled_key_never_funnels_rows_into_one_partition(spark, monkeypatch):
-    from reelstack.operators import keys as keys_mod
-    monkeypatch.setattr(keys_mod, "MIN_ROWS_PER_BUCKET", 1)
+def test_scaled_key_never_funnels_rows_into_one_partition(spark):
     df = table(spark, SF001, "orders").select("o_orderkey")
     text = plan(op.dense_key_scaled(df, "o_orderkey", "k", "tig"))
-    lines = text.splitlines()
-    singles = [i for i, ln in enumerate(lines) if "SinglePartition" in ln]
-    assert singles, "the per-bucket offsets are a tiny single-partition window"
-    for i in singles:  # ... and what enters it is the per-bucket aggregate only
-        assert "HashAggregate" in lines[i + 1]
-    assert "hashpartitioning(_rk_bucket" in text  # rows are spread by bucket
+    assert "SinglePartition" not in text and "Window" not in text
     plain = plan(op.dense_key(df, "o_orderkey", "k", "tig"))
     assert "SinglePartition" in plain  # the reason dense_key is for small inputs only
 
@@ -75,6 +68,15 @@ def test_id_in_is_pushed_to_parquet(spark):
 def test_union_branches_scans_once(spark):
     text = plan(QUERIES["union_branches"](spark, SF001))
     assert text.count("FileScan parquet") == 1 and "Union" not in text
+    pushed = [ln for ln in plan(QUERIES["union_branches"](spark, SF001), "formatted").splitlines()
+              if "PushedFilters" in ln]
+    assert "StringContains(p_name,ring)" in pushed[0], pushed
+
+
+def test_year_range_is_pushed(spark):
+    text = plan(QUERIES["year_between"](spark, SF001), "formatted")
+    pushed = [ln for ln in text.splitlines() if "PushedFilters" in ln][0]
+    assert "GreaterThanOrEqual(o_orderdate" in pushed and "LessThan(o_orderdate" in pushed
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -92,7 +94,7 @@ def test_star_fact_needs_no_shuffled_join(spark):
     fact = build_star(joined_base(movies, api), GENERAL, measures=["orcamento"])[GENERAL.fact]
     text = plan(fact)
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    # the only shuffle left is the tiny DISTINCT of years feeding the broadcast
+    # the only shuffle left is the tiny DISTINCT of years feeding the lookup
     exchanges = [ln for ln in text.splitlines() if "Exchange hashpartitioning" in ln]
     assert all("Ano_Lancamento" in ln or "anoLancamento_tmdb" in ln for ln in exchanges), exchanges
 

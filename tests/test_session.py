@@ -1,13 +1,10 @@
-"""Session helpers: shared scratch folder and size-checked broadcast."""
+"""Session helpers: shared scratch folder."""
 
 from types import SimpleNamespace
 
 import pytest
 
-from reelstack.operators import broadcast_if_small
-from reelstack.session import checkpoint_root, scratch_path
-
-from .test_plans import plan
+from reelstack.session import checkpoint_root, materialize, scratch_path, scratch_scope
 
 
 def _fake_session(master, configured=None):
@@ -28,13 +25,18 @@ def test_scratch_paths_are_fresh_and_under_the_checkpoint_dir(spark):
     assert a != b and a.startswith(root) and b.startswith(root)
 
 
-def test_broadcast_if_small_respects_its_bound(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    probe = spark.range(100).withColumnRenamed("id", "k")
-    joined_small = probe.join(broadcast_if_small(small, max_rows=100), "k")
-    joined_big = probe.join(broadcast_if_small(big, max_rows=100), "k")
-    def hints(df):
-        return [ln for ln in plan(df, "extended").splitlines() if "ResolvedHint" in ln]
-    assert any("broadcast" in ln for ln in hints(joined_small))
-    assert not hints(joined_big)
+def test_scratch_scope_removes_its_folders(spark):
+    import os
+    with scratch_scope(spark):
+        inner = materialize(spark.range(3), "x")
+        assert inner.count() == 3
+        folder = inner.inputFiles()[0].replace("file://", "").rsplit("/", 2)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    kept = materialize(spark.range(3), "y")
+    assert kept.count() == 3
+
+
+def test_local_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_fake_session("local-cluster[2,1,1024]"))
