@@ -9,6 +9,10 @@ In the bucket the windows are sorted by a hash and equal neighbours compared byt
 by byte, which counts them exactly: a window whose words also start in a document
 with a smaller doc_id is removed with all words it covers.
 
+Hot grams: the most frequent grams of a sample come last in the order, so they
+are minimisers only where a window has nothing else. The order decides where a
+window is counted, never its count.
+
 Hot passages: within a batch equal super-k-mers are combined before they are
 sent; only that of the smallest doc_id goes on, the others are known to be
 removed and their spans pass through as such. So a passage that a third of all
@@ -26,6 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -33,10 +38,16 @@ from reelstack.llm.common import only
 from reelstack.llm.tokens import U64, blocks, normal, rolling, seeded, mix, word_hashes, word_starts
 
 WINDOW = 13
-MINI = 4
+MINI = 3
 # Packed text that one bucket holds, and how often a word is sent, on average.
-BUCKET_BYTES = 12 << 20
-SENT = 3.2
+BUCKET_BYTES = 10 << 20
+SENT = 3.0
+# Text that is packed together: equal super-k-mers in it are combined.
+UNIT_BYTES = 12 << 20
+# Frequent grams that come last in the order, and the share of documents that
+# names them.
+HOT = 1 << 14
+SAMPLE = 64
 NO_ID = np.iinfo(np.int64).max
 PACKED = "bucket int, id long, print long, packed binary"
 
@@ -51,16 +62,29 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:len(out) - rest], out[rest:]) if rest else out
 
 
-def super_kmers(hashes: np.ndarray, counts: np.ndarray):
+def gram_ranks(hashes: np.ndarray) -> np.ndarray:
+    return mix(rolling(hashes, MINI) ^ seeded(1, 5)[0])
+
+
+def is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def super_kmers(hashes: np.ndarray, counts: np.ndarray, hot: np.ndarray):
     """Runs of windows that share a minimiser, for texts of ``counts`` words
-    laid end to end: (text, first word in the block, windows, minimiser)."""
+    laid end to end: (text, first word in the block, windows, minimiser). Grams
+    in ``hot`` come after all others in the order."""
     n = len(hashes) - WINDOW + 1
     ends = np.cumsum(counts)
     owner = np.repeat(np.arange(len(counts)), counts)
     if n <= 0:
         none = np.zeros(0, np.int64)
         return none, none, none, none.view(U64)
-    rank = mix(rolling(hashes, MINI) ^ seeded(1, 5)[0])
+    rank = gram_ranks(hashes)
+    late = is_in(rank, hot)
+    rank = (rank >> U64(1)) | (late.astype(U64) << U64(63))
     least = sliding_min(rank, WINDOW - MINI + 1)[:n]
     inside = np.arange(n) + WINDOW <= ends[owner[:n]]
     at = np.flatnonzero(inside)
@@ -75,58 +99,43 @@ def super_kmers(hashes: np.ndarray, counts: np.ndarray):
     return owner[start], start, size, least[start]
 
 
-class Packer:
-    """Collects the super-k-mers of one batch by bucket, equal ones combined."""
-
-    def __init__(self, buckets: int):
-        self.buckets = buckets
-        # Packed words -> smallest id and its occurrences [(doc, word, windows)].
-        self.least: dict[bytes, tuple[int, int, list]] = {}
-        self.known: dict[int, list[tuple[int, int]]] = {}
-
-    def add(self, buf: bytes, cuts: np.ndarray, doc0: int, ids: np.ndarray, counts: np.ndarray) -> None:
-        text, start, size, mini = super_kmers(word_hashes(buf), counts)
-        base = np.cumsum(counts) - counts
-        lo, hi = cuts[start], cuts[start + size + WINDOW - 1] - 1
-        bucket = (mini % U64(self.buckets)).astype(np.int64)
-        for t, w, k, a, b, z in zip(text.tolist(), (start - base[text]).tolist(), size.tolist(), lo.tolist(),
-                                    hi.tolist(), bucket.tolist()):
-            words, doc = buf[a:b], doc0 + t
-            i = ids[doc]
-            held = self.least.get(words)
-            if held is None:
-                self.least[words] = (i, z, [(doc, w, k)])
-            elif i == held[0]:
-                held[2].append((doc, w, k))
-            elif i > held[0]:
-                self.known.setdefault(doc, []).append((w, k))
-            else:
-                for d, x, n in held[2]:
-                    self.known.setdefault(d, []).append((x, n))
-                self.least[words] = (i, z, [(doc, w, k)])
-
-    def rows(self, ids: np.ndarray, prints: np.ndarray):
-        """(bucket, id, print, packed): one row per bucket, then one per text
-        with windows known to be removed (in buckets below zero)."""
-        by: dict[int, list] = {}
-        for words, (_, bucket, places) in self.least.items():
-            group = by.setdefault(bucket, [])
-            for place in places:
-                group.append((place, words))
-        squeeze = zstandard.ZstdCompressor(level=3)
-        for bucket, group in by.items():
-            group.sort(key=lambda g: g[0][0])
-            places = np.array([g[0] for g in group], np.int64)
-            docs, index = np.unique(places[:, 0], return_inverse=True)
-            head = np.array([len(group), len(docs)], np.int64).tobytes()
-            # Steps between texts and small numbers compress well.
-            parts = [head, ids[docs].tobytes(), prints[docs].tobytes(),
-                     np.diff(index, prepend=0).astype(np.int32).tobytes(), places[:, 1].astype(np.int32).tobytes(),
-                     places[:, 2].astype(np.int32).tobytes(), b" ".join([g[1] for g in group])]
-            yield bucket, None, None, squeeze.compress(b"".join(parts))
-        for doc, spans in self.known.items():
-            i = int(ids[doc])
-            yield -1 - i % self.buckets, i, int(prints[doc]), np.array(spans, np.int32).tobytes()
+def pack_unit(texts: list[bytes], ids: np.ndarray, prints: np.ndarray, buckets: int, hot: np.ndarray):
+    """Rows (bucket, id, print, packed) of some texts: one per bucket, then one
+    per text with windows known to be removed (in buckets below zero)."""
+    words: list[bytes] = []
+    columns = []
+    for lo, hi in blocks([len(t) for t in texts]):
+        part = texts[lo:hi]
+        buf = b" ".join(t for t in part if t)
+        counts = np.array([t.count(b" ") + 1 if t else 0 for t in part])
+        text, start, size, mini = super_kmers(word_hashes(buf), counts, hot)
+        cuts, base = word_starts(buf), np.cumsum(counts) - counts
+        words += [buf[a:b] for a, b in zip(cuts[start].tolist(), (cuts[start + size + WINDOW - 1] - 1).tolist())]
+        columns.append(np.stack([text + lo, start - base[text], size, (mini % U64(buckets)).astype(np.int64)]))
+    if not words:
+        return
+    text, first, size, bucket = np.concatenate(columns, axis=1)
+    # Equal super-k-mers: only those of the least id go on.
+    place: dict[bytes, int] = {}
+    same = np.fromiter((place.setdefault(w, k) for k, w in enumerate(words)), np.int64, len(words))
+    del place
+    least = np.full(len(words), NO_ID)
+    np.minimum.at(least, same, ids[text])
+    known = ids[text] > least[same]
+    sent = np.flatnonzero(~known)
+    order = sent[np.argsort(bucket[sent], kind="stable")]
+    squeeze = zstandard.ZstdCompressor(level=6)
+    for k in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+        docs, index = np.unique(text[k], return_inverse=True)
+        # Steps between texts and small numbers compress well.
+        parts = [np.array([len(k), len(docs)], np.int64), ids[docs], prints[docs],
+                 np.diff(index, prepend=0).astype(np.int32), first[k].astype(np.int32), size[k].astype(np.int32)]
+        yield int(bucket[k[0]]), None, None, squeeze.compress(
+            b"".join([*[x.tobytes() for x in parts], b" ".join([words[j] for j in k.tolist()])]))
+    known = np.flatnonzero(known)
+    for k in np.split(known, np.flatnonzero(np.diff(text[known])) + 1) if len(known) else ():
+        i = int(ids[text[k[0]]])
+        yield -1 - i % buckets, i, int(prints[text[k[0]]]), np.stack([first[k], size[k]], axis=1).astype(np.int32).tobytes()
 
 
 def unpack(packed: bytes):
@@ -146,24 +155,20 @@ def unpack(packed: bytes):
     return ids, prints, np.cumsum(fields[0]), fields[1], fields[2], raw[at:]
 
 
-def pack_batches(buckets: int):
+def pack_batches(buckets: int, frequent):
     """A function from (id, print, text) to rows of ``PACKED``."""
     def run(batches):
         for batch in batches:
             ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             prints = batch.column(1).to_numpy(zero_copy_only=False)
-            texts = [normal(t) for t in batch.column(2).to_pylist()]
-            packer = Packer(buckets)
-            for lo, hi in blocks([len(t) for t in texts]):
-                part = texts[lo:hi]
-                buf = b" ".join(t for t in part if t)
-                counts = np.array([t.count(b" ") + 1 if t else 0 for t in part])
-                packer.add(buf, word_starts(buf), lo, ids, counts)
-            rows = list(packer.rows(ids, prints))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary())],
-                names=["bucket", "id", "print", "packed"])
+            sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_pylist()
+            for lo, hi in blocks(sizes, UNIT_BYTES):
+                texts = [normal(t) for t in batch.column(2).slice(lo, hi - lo).to_pylist()]
+                rows = list(pack_unit(texts, ids[lo:hi], prints[lo:hi], buckets, frequent.value))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
+                     pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary())],
+                    names=["bucket", "id", "print", "packed"])
     return run
 
 
@@ -283,11 +288,27 @@ def strip_batches(batches):
             names=["doc_id", "n_words", "n_removed", "kept_text"])
 
 
+def gram_batches(batches):
+    for batch in batches:
+        grams = [gram_ranks(word_hashes(normal(t))) for t in batch.column(0).to_pylist()]
+        values, n = np.unique(np.concatenate(grams), return_counts=True) if grams else (np.zeros(0, U64), np.zeros(0, np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
+
+
+def hot_grams(docs: DataFrame) -> np.ndarray:
+    """The ``HOT`` most frequent grams of a sample, sorted."""
+    sample = docs.filter(F.pmod(F.xxhash64("id", "print"), F.lit(SAMPLE)) == 0).select("text")
+    top = (sample.mapInArrow(gram_batches, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+           .filter("n > 1").orderBy(F.col("n").desc(), "gram").limit(HOT).select("gram").toArrow())
+    return np.sort(top.column("gram").to_numpy().view(U64))
+
+
 def removed_windows(docs: DataFrame) -> DataFrame:
     """(id, print, spans) of ``docs`` (id, print, text)."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, math.ceil(size * SENT / BUCKET_BYTES))
-    packed = docs.select("id", "print", "text").mapInArrow(pack_batches(buckets), PACKED)
+    frequent = docs.sparkSession.sparkContext.broadcast(hot_grams(docs))
+    packed = docs.select("id", "print", "text").mapInArrow(pack_batches(buckets, frequent), PACKED)
     return (packed.repartition("bucket").sortWithinPartitions("bucket")
             .mapInArrow(bucket_batches, "id long, print long, spans binary"))
 

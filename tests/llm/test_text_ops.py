@@ -161,11 +161,9 @@ def test_windows_with_equal_hashes_are_told_apart(monkeypatch):
     ids = np.array([d[0] for d in docs])
     rows = []
     for k in range(0, 6, 2):
-        packer = substring_dedup.Packer(1)
         texts = [tokens.normal(d[1]) for d in docs[k:k + 2]]
-        buf = b" ".join(texts)
-        packer.add(buf, tokens.word_starts(buf), 0, ids[k:k + 2], np.array([t.count(b" ") + 1 for t in texts]))
-        rows += [r[3] for r in packer.rows(ids[k:k + 2], ids[k:k + 2]) if r[0] >= 0]
+        unit = substring_dedup.pack_unit(texts, ids[k:k + 2], ids[k:k + 2], 1, np.zeros(0, np.uint64))
+        rows += [r[3] for r in unit if r[0] >= 0]
     want = sorted(substring_dedup.removed_in_bucket(rows))
     assert want
     real = substring_dedup.rolling
