@@ -1,3 +1,140 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express.
 
-ORACLE_SQL: dict[str, str] = {}
+The other operators are tested against brute force: rounding by hashed draws
+(op4), near duplicates and alignment (op3, op9), float sums of two language
+models (op8) and a trained labeller (op1) have no SQL form with equal values.
+"""
+
+from reelstack.llm.quality_rules import NAMES, SLACK, SPREADS, TWO_SIDED
+from reelstack.llm.queries import HOSTILE_TEXT
+from reelstack.llm.secret_scans import RULES as SECRET_RULES
+from reelstack.llm.url_filters import RULES as URL_RULES
+
+WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+
+def quality_sql() -> str:
+    ratios = {"symbols": "n_symbols * 1000 // word_chars", "dup_lines": "n_dup_lines * 1000 // n_lines",
+              "repeats": "n_repeat_words * 1000 // n_words", "capitals": "n_upper * 1000 // word_chars",
+              "word_length": "word_chars * 100 // n_words"}
+    # A zero divisor gives null, which counts as step 0.
+    steps = ", ".join(f"coalesce(least(10000, {v}), 0) AS s_{k}" for k, v in ratios.items())
+    stacked = " UNION ALL ".join(
+        f"SELECT lang, source, '{k}' AS ratio, {SLACK[k]} AS slack, s_{k} AS step FROM s WHERE NOT base_failed"
+        for k in NAMES)
+    pick = ", ".join(f"max(high) FILTER (ratio = '{k}') AS high_{k}, max(low) FILTER (ratio = '{k}') AS low_{k}"
+                     for k in NAMES)
+    inside = " AND ".join([f"s_{k} <= high_{k}" for k in NAMES] + [f"s_{k} >= low_{k}" for k in TWO_SIDED])
+    return rf"""
+        WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, {WORDS} AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+        g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+        r AS (SELECT doc_id, count(DISTINCT i + k) AS n
+              FROM (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+                   (VALUES (0), (1), (2)) AS v(k) GROUP BY doc_id),
+        m AS (SELECT d.doc_id, lang, source, len(w) AS n_words, len(array_to_string(w, '')) AS word_chars,
+                     len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                     len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+                     len(l) AS n_lines, len(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) AS n_upper
+              FROM d LEFT JOIN r ON r.doc_id = d.doc_id),
+        s AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {steps} FROM m),
+        a AS ({stacked}),
+        o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, ratio ORDER BY step) AS k,
+                     count(*) OVER (PARTITION BY lang, source, ratio) AS n FROM a),
+        q AS (SELECT lang, source, ratio, any_value(slack) AS slack, min(step) FILTER (4 * k >= n) AS q1,
+                     min(step) FILTER (4 * k >= 2 * n) AS q2, min(step) FILTER (4 * k >= 3 * n) AS q3
+              FROM o GROUP BY lang, source, ratio),
+        f AS (SELECT lang, source, ratio, q2 + {SPREADS} * least(q2 - q1, slack) + slack AS high,
+                     q2 - {SPREADS} * least(q3 - q2, slack) - slack AS low FROM q),
+        b AS (SELECT lang AS bl, source AS bs, {pick} FROM f GROUP BY lang, source)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND coalesce({inside}, true) AS kept
+        FROM s LEFT JOIN b ON bl IS NOT DISTINCT FROM lang AND bs IS NOT DISTINCT FROM source"""
+
+
+def secrets_sql() -> str:
+    spans = []
+    for order, rule in enumerate(SECRET_RULES):
+        pattern = rule.pattern.replace("'", "''")
+        least = f"len(regexp_extract_all(t, '{pattern}', {rule.group})[i]) >= {rule.least}" if rule.group else "true"
+        spans.append(f"""
+            SELECT doc_id, {order} AS ord, '{rule.kind}' AS kind,
+                   len(array_to_string(p[1:i], '')) + len(array_to_string(h[1:i - 1], '')) AS a, len(h[i]) AS n
+            FROM (SELECT doc_id, t, string_split_regex(t, '{pattern}') AS p, h, unnest(range(1, len(h) + 1)) AS i
+                  FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS h FROM d)) WHERE {least}""")
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in SECRET_RULES)
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        s AS ({' UNION ALL '.join(spans)}),
+        j AS (SELECT doc_id, {counts}, string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, ord) AS x
+              FROM s GROUP BY doc_id)
+        SELECT d.doc_id, {', '.join(f'coalesce(n_{r.kind}, 0) AS n_{r.kind}' for r in SECRET_RULES)},
+               sha256(coalesce(x, '')) AS base_sha256, coalesce(x, '') AS spans
+        FROM d LEFT JOIN j ON j.doc_id = d.doc_id"""
+
+
+SUBSTRING = f"""
+    WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+    g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+    x AS (SELECT DISTINCT doc_id, i + k AS p
+          FROM (SELECT doc_id, i FROM g QUALIFY min(doc_id) OVER (PARTITION BY g) < doc_id), range(13) AS v(k)),
+    o AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+    k AS (SELECT o.doc_id, count(x.p) AS gone, string_agg(word, ' ' ORDER BY o.p) FILTER (x.p IS NULL) AS kept
+          FROM o LEFT JOIN x ON x.doc_id = o.doc_id AND x.p = o.p GROUP BY o.doc_id)
+    SELECT d.doc_id, len(w) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k ON k.doc_id = d.doc_id"""
+
+CHAT = f"""
+    WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, turn, role, '{HOSTILE_TEXT}' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)),
+    e AS (SELECT *, len(role) + len(text) + len(regexp_extract_all(role || chr(0) || text,
+                 '\\\\|<s>|</s>|\\[INST\\]|\\[/INST\\]')) + len('<s>[INST][/INST]</s>') AS n FROM t),
+    c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS x,
+                 coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+                 CAST(sum(n) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(x) AS turns_sha256, len(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+           formatted_chars FROM c"""
+
+
+def urls_sql() -> str:
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+    return rf"""
+        WITH RECURSIVE rules(verdict, rh, rp) AS (VALUES {rules}),
+        raw AS (
+          SELECT url, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'),
+                                     '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS x FROM pages WHERE contains(url, '://')
+          UNION ALL
+          SELECT url, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
+                                     '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM pages WHERE contains(url, '://')),
+        link AS (SELECT regexp_extract(url, '(?s)^([^#]*)', 1) AS u, regexp_extract(CASE
+                   WHEN regexp_matches(y, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN y
+                   WHEN starts_with(y, '//') THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || y
+                   WHEN starts_with(y, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || y END,
+                   '(?s)^([^#]*)', 1) AS v FROM (SELECT url, replace(x, '&amp;', '&') AS y FROM raw)),
+        edge AS (SELECT u, v FROM link WHERE v <> '' UNION SELECT v, u FROM link WHERE v <> ''),
+        reach(u, v) AS (SELECT u, u FROM edge UNION SELECT r.u, e.v FROM reach r JOIN edge e ON e.u = r.v),
+        node AS (SELECT u AS n FROM edge UNION SELECT regexp_extract(url, '(?s)^([^#]*)', 1) FROM pages),
+        part AS (SELECT n, regexp_extract(n, '(?s)^.*?://([^/?#]*)', 1) AS h0,
+                        regexp_extract(n, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM node),
+        host AS (SELECT n, translate(h0, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM part),
+        fit AS (SELECT n, host, path, arg_max(rh || rp, len(rh || rp)) AS rule, arg_max(verdict, len(rh || rp)) AS own
+                FROM host LEFT JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+                GROUP BY n, host, path),
+        alias AS (SELECT r.u AS n, min(f.own) AS verdict FROM reach r JOIN fit f ON f.n = r.v
+                  WHERE f.own IS NOT NULL GROUP BY r.u)
+        SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+               coalesce(own, alias.verdict, 'allow') AS verdict
+        FROM pages LEFT JOIN fit ON fit.n = regexp_extract(url, '(?s)^([^#]*)', 1)
+        LEFT JOIN alias ON alias.n = fit.n"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_secret_scans": secrets_sql(),
+    "op5_substring_dedup": SUBSTRING,
+    "op6_chat_format": CHAT,
+    "op7_url_filters": urls_sql(),
+    "op10_quality_rules": quality_sql(),
+}
