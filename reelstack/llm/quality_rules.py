@@ -27,7 +27,7 @@ SYMBOLS = "#*$%&|<>"
 
 # Ratio -> slack added to the fence, in grid steps. The grid is per mille for
 # the shares and a hundredth of a character for the mean word length.
-SLACK = {"symbols": 20, "dup_lines": 300, "repeats": 350, "capitals": 100, "word_length": 100}
+SLACK = {"symbols": 20, "dup_lines": 400, "repeats": 350, "capitals": 100, "word_length": 100}
 TWO_SIDED = ("word_length",)
 GRID_TOP = 10_000
 SPREADS = 6
