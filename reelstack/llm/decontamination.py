@@ -69,12 +69,17 @@ def lookup_bitmap(grams: DataFrame) -> np.ndarray:
     return out.view(U64)
 
 
+def in_bitmap(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which 64-bit hashes have both their bits in a bitmap of ``lookup_bitmap``."""
+    one, two = bit_places(hashes)
+    holds = lambda at: (table[at >> 6] >> (at & 63).astype(U64)) & U64(1)
+    return (holds(one) & holds(two)).astype(bool)
+
+
 def hit_batches(bitmap):
     """A function from (id, text) to (id, words, hits) of the texts with a
     gram in the bitmap."""
     def run(batches):
-        table = bitmap.value
-        holds = lambda at: (table[at >> 6] >> (at & 63).astype(U64)) & U64(1)
         for batch in batches:
             texts = [normal(t) for t in batch.column(1).to_pylist()]
             rows, words, hits = [], [], []
@@ -85,8 +90,7 @@ def hit_batches(bitmap):
                 grams = rolling(h, GRAM).view(np.int64)
                 if not len(grams):
                     continue
-                one, two = bit_places(grams)
-                found = np.flatnonzero((holds(one) & holds(two)).astype(bool))
+                found = np.flatnonzero(in_bitmap(grams, bitmap.value))
                 owner = np.searchsorted(ends, found, side="right")
                 inside = found + GRAM <= ends[owner]
                 found, owner = found[inside], owner[inside]

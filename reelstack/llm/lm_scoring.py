@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from reelstack.llm.common import only
-from reelstack.llm.decontamination import bit_places, lookup_bitmap
+from reelstack.llm.decontamination import in_bitmap, lookup_bitmap
 from reelstack.llm.tokens import U64, blocks, normal, word_hashes
 from reelstack.session import materialize
 
@@ -145,11 +145,9 @@ def target_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(lookup_bitmap(good.select(F.xxhash64("id").alias("gram"))))
 
     def thin(batches):
-        table = bits.value
-        holds = lambda at: (table[at >> 6] >> (at & 63).astype(U64)) & U64(1)
         for batch in batches:
-            one, two = bit_places(batch.column(2).to_numpy(zero_copy_only=False))
-            yield batch.select([0, 1]).filter(pa.array((holds(one) & holds(two)).astype(bool)))
+            known = in_bitmap(batch.column(2).to_numpy(zero_copy_only=False), bits.value)
+            yield batch.select([0, 1]).filter(pa.array(known))
 
     some = docs.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(thin, "id long, text string")
     return some.join(good, "id", "left_semi").select("text")

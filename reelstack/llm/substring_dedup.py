@@ -35,7 +35,9 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from reelstack.llm.common import only
+from reelstack.llm.decontamination import in_bitmap, lookup_bitmap
 from reelstack.llm.tokens import U64, blocks, normal, rolling, seeded, mix, word_hashes, word_starts
+from reelstack.session import materialize
 
 WINDOW = 13
 MINI = 3
@@ -313,17 +315,46 @@ def removed_windows(docs: DataFrame) -> DataFrame:
             .mapInArrow(bucket_batches, "id long, print long, spans binary"))
 
 
+def bitmap_batches(bits, wanted: bool):
+    """A function that keeps the rows whose first column, a hash, is in the
+    bitmap (or is not), without that column."""
+    def run(batches):
+        for batch in batches:
+            known = in_bitmap(batch.column(0).to_numpy(zero_copy_only=False), bits.value)
+            yield batch.select(range(1, batch.num_columns)).filter(pa.array(known == wanted))
+    return run
+
+
+def untouched_batches(bits):
+    """Rows (hash, doc_id, text) outside the bitmap lose nothing."""
+    def run(batches):
+        for batch in bitmap_batches(bits, False)(batches):
+            nothing = pa.nulls(batch.num_rows, pa.list_(pa.binary()))
+            yield from strip_batches([pa.RecordBatch.from_arrays([*batch.columns, nothing],
+                                                                 names=["doc_id", "text", "spans"])])
+    return run
+
+
 def strip(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_text of every document."""
+    """doc_id, n_words, n_removed and kept_text of every document. Only texts
+    with removed windows meet their spans in a shuffle: a bitmap of fixed size
+    sets the others apart before it (a full bitmap sends all, with the same
+    result)."""
     docs = only(docs, "doc_id", "text").select(
         "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
         F.xxhash64("text").alias("print"))
-    spans = (removed_windows(docs).groupBy("id", "print").agg(F.collect_list("spans").alias("spans"))
-             .withColumnsRenamed({"id": "_i", "print": "_p"}))
-    joined = docs.join(spans, (F.col("id") == F.col("_i")) & (F.col("print") == F.col("_p")), "left")
+    removed = materialize(removed_windows(docs), "removed_windows")
+    own = F.xxhash64("id", "print").alias("h")
+    bits = docs.sparkSession.sparkContext.broadcast(
+        lookup_bitmap(removed.select(own).distinct().withColumnRenamed("h", "gram")))
     kind = dict(docs.dtypes)["doc_id"]
-    return joined.select("doc_id", "text", "spans").mapInArrow(
-        strip_batches, f"doc_id {kind}, n_words long, n_removed long, kept_text string")
+    out = f"doc_id {kind}, n_words long, n_removed long, kept_text string"
+    whole = docs.select(own, "doc_id", "text").mapInArrow(untouched_batches(bits), out)
+    touched = docs.select(own, "doc_id", "text", "id", "print").mapInArrow(
+        bitmap_batches(bits, True), f"doc_id {kind}, text string, id long, print long")
+    spans = removed.groupBy("id", "print").agg(F.collect_list("spans").alias("spans"))
+    joined = touched.join(spans, ["id", "print"], "left")
+    return whole.unionByName(joined.select("doc_id", "text", "spans").mapInArrow(strip_batches, out))
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
