@@ -42,10 +42,10 @@ from reelstack.session import materialize
 WINDOW = 13
 MINI = 3
 # Packed text that one bucket holds, and how often a word is sent, on average.
-BUCKET_BYTES = 10 << 20
+BUCKET_BYTES = 6 << 20
 SENT = 3.0
 # Text that is packed together: equal super-k-mers in it are combined.
-UNIT_BYTES = 12 << 20
+UNIT_BYTES = 6 << 20
 # Frequent grams that come last in the order, and the share of documents that
 # names them.
 HOT = 1 << 14
