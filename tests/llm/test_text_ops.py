@@ -268,6 +268,12 @@ def test_lm_scores(spark, docs):
         assert any(n == len(s) - 1 and abs(v - score) < 1e-4 for n, v in got[d[0]])
 
 
+def test_lm_scores_beyond_the_broadcast_words(spark, docs, monkeypatch):
+    """Words outside the table that every task has keep their own counts."""
+    monkeypatch.setattr(lm_scoring, "FREQUENT", 40)
+    test_lm_scores(spark, docs)
+
+
 def test_labeller_on_held_out_layouts(spark):
     model = html_extract.Labeller(html_extract.trained())
     pages = html_training.pages(300, 12345)
