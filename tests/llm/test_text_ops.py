@@ -115,6 +115,38 @@ def test_near_dedup_mixed_bucket_comes_apart(spark):
     assert got == {i: i - i % 2 for i in range(80)}
 
 
+def linked(spark, texts, values):
+    """Classes among texts (id to words) that have the given sketch values."""
+    docs = edge.frame(spark, [(i, " ".join(w), "en", "s", 0) for i, w in texts.items()]).withColumn("id", F.col("doc_id"))
+    table = spark.createDataFrame(list(values.items()), "id long, sketch array<long>")
+    found = near_dedup.links(docs, table).collect()
+    root = {i: i for i in texts}
+    for _ in texts:
+        for x in found:
+            root[x.u] = root[x.v] = min(root[x.u], root[x.v])
+    return root
+
+
+def test_near_dedup_chain_in_one_bucket(spark, monkeypatch):
+    """L-B-A, where B is similar to L and A only to B, with one sketch in
+    common and an unlike text before them in the bucket."""
+    monkeypatch.setattr(near_dedup, "SKETCHES", 4)
+    base = edge.prose(100, 31).split()
+    b = [f"b{k}" if k < 15 else w for k, w in enumerate(base)]
+    a = [f"a{k}" if 50 <= k < 65 else w for k, w in enumerate(b)]
+    texts = {1: edge.prose(100, 32).split(), 2: base, 3: b, 4: a}
+    assert linked(spark, texts, {i: [7, *range(10 * i, 10 * i + 3)] for i in texts}) == {1: 1, 2: 2, 3: 2, 4: 2}
+
+
+def test_near_dedup_goes_on_when_all_sketches_are_used(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SKETCHES", 2)
+    texts = {}
+    for i in range(7):
+        texts[2 * i] = edge.prose(40, 60 + i).split()
+        texts[2 * i + 1] = [*texts[2 * i], "end"]
+    assert linked(spark, texts, {i: [5, 6] for i in texts}) == {i: i - i % 2 for i in texts}
+
+
 def test_near_dedup_keeps_one_row_with_its_columns(spark):
     kept = near_dedup.keep_first(edge.frame(spark, clash=True))
     rows = kept.collect()
