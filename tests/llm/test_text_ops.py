@@ -115,6 +115,20 @@ def test_near_dedup_mixed_bucket_comes_apart(spark):
     assert got == {i: i - i % 2 for i in range(80)}
 
 
+def test_near_dedup_finds_scattered_edits_near_the_threshold(spark):
+    """Edit similarity 0.80 to 0.85: nearly all pairs are proposed."""
+    r = random.Random(12)
+    rows, n = [], 120
+    for i in range(n):
+        w = edge.prose(300, 2000 + i).split()
+        rows.append((i, " ".join(w), "en", "s", 0))
+        for k in r.sample(range(300), r.randint(45, 60)):
+            w[k] = f"edit{r.randint(0, 9999)}"
+        rows.append((1000 + i, " ".join(w), "en", "s", 0))
+    got = {x.doc_id: x.class_id for x in near_dedup.near_dedup(edge.frame(spark, rows)).collect()}
+    assert sum(got[1000 + i] == i for i in range(n)) >= 0.98 * n
+
+
 def linked(spark, texts, values):
     """Classes among texts (id to words) that have the given sketch values."""
     docs = edge.frame(spark, [(i, " ".join(w), "en", "s", 0) for i, w in texts.items()]).withColumn("id", F.col("doc_id"))
