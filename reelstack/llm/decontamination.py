@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Test items are cut into 4-word grams. A bitmap of fixed size over their hashes
 goes to the executors; each text looks its own grams up in it, so only texts
 with a possible hit leave the scan (with their words packed to four bytes each).
-Their hits are joined to the items exactly. A gram that is far more frequent in
-the corpus than the item's median gram is no seed: it is ordinary language, not
-a trace of the item. Each (document, item) pair with a seed is aligned locally
-around the seeds' diagonals, which scores edited and paraphrased copies too.
+Their hits are joined to the items exactly, and every hit is a seed, however many
+documents hold its gram: whether a document is contaminated does not depend on
+the others. Each (document, item) pair with a seed is aligned locally around the
+seeds' diagonals, which scores edited and paraphrased copies too.
 
 A pair counts as contaminated when its alignment reaches ``LEAST_SHARE`` of the
 score of a whole copy, or the score of ``LEAST_RUN`` copied words.
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from reelstack.llm.common import only, with_row
 from reelstack.llm.near_dedup import keyed, working_id
@@ -32,8 +32,6 @@ GRAM = 4
 LEAST_SHARE = 0.5
 LEAST_RUN = 13
 MATCH, MISMATCH, GAP = 2, -1, -1
-# A seed is at most this many times as frequent as the item's median gram.
-RARE = 10
 # Bits of the lookup: 4 MB, whatever the benchmark's size.
 BITS = 25
 HIT = "array<struct<pos:int,gram:bigint>>"
@@ -160,14 +158,6 @@ def align_batches(batches):
             names=["id", "item", "score", "start", "end"])
 
 
-def seeds(grams: DataFrame, hits: DataFrame) -> DataFrame:
-    """(item, pos, gram) of the rare grams, by their number of documents."""
-    freq = hits.select("id", "gram").distinct().groupBy("gram").agg(F.count("*").alias("n"))
-    known = grams.join(freq, "gram")
-    median = F.percentile(F.col("n"), 0.5).over(Window.partitionBy("item"))
-    return known.withColumn("_m", median).filter(F.col("n") <= RARE * F.greatest("_m", F.lit(1))).drop("n", "_m")
-
-
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(id, item, score, start, end) of contaminated pairs; ``docs`` has id and
     text, the span is in words of the text, the score 1 for a whole copy."""
@@ -181,8 +171,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = materialize(docs.select("id", "text").mapInArrow(
         hit_batches(bitmap), f"id long, words binary, hits {HIT}"), "bench_hits")
     hits = found.select("id", F.inline("hits"))
-    rare = materialize(seeds(grams, hits), "bench_seeds")
-    pairs = (hits.join(rare, "gram").groupBy("id", "item")
+    seeds = materialize(grams, "bench_seeds")
+    pairs = (hits.join(seeds, "gram").groupBy("id", "item")
              .agg(F.collect_set(F.col("pos") - F.col("ipos")).alias("diagonals")))
     pairs = (pairs.join(found.select("id", "words"), "id")
              .join(items.select("item", F.col("words").alias("iwords")), "item")

@@ -282,6 +282,16 @@ def test_decontamination_against_all_pairs(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == want and want
 
 
+def test_decontamination_of_a_hot_partial_passage(spark):
+    """Part of an item in many documents is found in each of them, also where
+    its grams are far more frequent than the rest of the item's."""
+    item = edge.prose(60, 950).split()
+    docs = [(0, f"{edge.prose(40, 1)} {' '.join(item)} {edge.prose(40, 2)}", "en", "s", 0), (99, edge.prose(90, 3), "en", "s", 0)]
+    docs += [(i, f"{edge.prose(30, 10 + i)} {' '.join(item[20:45])} {edge.prose(30, 80 + i)}", "en", "s", 0) for i in range(1, 31)]
+    found = decontamination.contaminated(edge.frame(spark, docs), bench(spark, [(7, " ".join(item))]))
+    assert {(x.doc_id, x.item_id) for x in found.collect()} == {(i, 7) for i in range(31)}
+
+
 def test_lm_scores(spark, docs):
     r = random.Random(2)
     labels = [(d[0], r.choice([0, 1, 1, None])) for d in docs] + [(99_999, 1), (docs[0][0], 1), (None, 1)]
