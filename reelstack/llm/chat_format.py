@@ -146,13 +146,20 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 def chat_format(conversations: DataFrame) -> DataFrame:
     """Format conversations given as rows (conv_id, turn, role, text): each row
-    is a record of the single-turn layout and takes the path of any other."""
-    rows = only(conversations, "conv_id", "turn", "role", "text")
-    record = F.to_json(F.struct(F.coalesce("role", F.lit("")).alias("role"),
-                                F.coalesce("text", F.lit("")).alias("text")))
-    turns = canonical_turns(rows.select("conv_id", "turn", record.alias("record")))
-    turns = turns.select("conv_id", "turn", F.posexplode("turns").alias("k", "t")).select(
-        "conv_id", F.struct("turn", "k").alias("turn"), F.col("t.role").alias("role"), F.col("t.text").alias("text"))
+    is a record of the single-turn layout and takes the path of any other. Rows
+    (conv_id, turn, record), without role and text, may hold any layout."""
+    if {"role", "text"} <= set(conversations.columns):
+        rows = only(conversations, "conv_id", "turn", "role", "text")
+        record = F.to_json(F.struct(F.coalesce("role", F.lit("")).alias("role"),
+                                    F.coalesce("text", F.lit("")).alias("text")))
+        rows = rows.select("conv_id", "turn", record.alias("record"))
+    else:
+        rows = only(conversations, "conv_id", "turn", "record")
+    # Roles of single turns are as given; other layouts have names of their own.
+    given = F.col("fingerprint") == fingerprint(F.lit(LAYOUTS[0].schema))
+    turns = canonical_turns(rows).select("conv_id", "turn", given.alias("given"), F.posexplode("turns").alias("k", "t"))
+    role = F.when(F.col("given"), F.col("t.role")).otherwise(role_name(F.col("t.role")))
+    turns = turns.select("conv_id", F.struct("turn", "k").alias("turn"), role.alias("role"), F.col("t.text").alias("text"))
     return format_turns(turns)
 
 

@@ -236,6 +236,15 @@ def test_chat_layouts(spark):
         spark.createDataFrame(records, "n int, record string"))).count() >= 2
 
 
+def test_chat_roles_of_other_layouts_reach_the_loss(spark):
+    records = [(1, 0, '{"conversations":[{"from":"human","value":"q"},{"from":"gpt","value":"answer"}]}'),
+               (1, 1, '{"role":"gpt","text":"as given"}'), (2, 0, '{"prompt":"p","completion":"c"}')]
+    rows = chat_format.chat_format(spark.createDataFrame(records, "conv_id int, turn int, record string"))
+    out = {r.conv_id: r for r in chat_format.read_back(rows).collect()}
+    assert [tuple(t) for t in out[1].turns] == [("user", "q"), ("assistant", "answer"), ("gpt", "as given")]
+    assert out[1].loss_texts == ["answer"] and out[2].loss_texts == ["c"]
+
+
 def judged(url):
     m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
     host = re.sub("[A-Z]", lambda c: c[0].lower(), m[1]) if m else ""
