@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelstack.llm import (chat_format, decontamination, html_extract, lm_scoring, mixing, near_dedup, quality_rules, secret_scans,
-                           substring_dedup, url_filters)
+from reelstack.llm import (chat_format, decontamination, embedding_dedup, html_extract, lm_scoring, mixing, near_dedup,
+                           prefix_trie, quality_rules, secret_scans, structure_repair, substring_dedup, url_filters)
+from reelstack.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +63,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(materialize(sequences, "trie_sequences")))
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = structure_repair.damaged(table(spark, sf_dir, "conversations"))
+    return structure_repair.digests(structure_repair.repair(damaged))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_secret_scans": op2_secret_scans,
@@ -73,4 +88,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
