@@ -5,6 +5,7 @@ The other operators are tested against brute force: rounding by hashed draws
 models (op8) and a trained labeller (op1) have no SQL form with equal values.
 """
 
+from reelstack.llm.embedding_dedup import THRESHOLD
 from reelstack.llm.quality_rules import NAMES, SLACK, SPREADS, TWO_SIDED
 from reelstack.llm.queries import HOSTILE_TEXT
 from reelstack.llm.secret_scans import RULES as SECRET_RULES
@@ -131,10 +132,113 @@ def urls_sql() -> str:
         LEFT JOIN alias ON alias.n = fit.n"""
 
 
+def crc32_sql(text: str) -> str:
+    """The checksum of an ASCII text, bit by bit."""
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))"
+    bytes_ = f"list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {bytes_}), lambda c, b: {bits}), 4294967295)"
+
+
+TRIE = f"""
+    WITH t AS (SELECT conv_id, turn, len(coalesce(text, '')) AS size, left(sha256(concat(
+                      len(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))), 32) AS name
+               FROM conversations WHERE conv_id IS NOT NULL),
+    o AS (SELECT conv_id, name, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name) AS p FROM t),
+    h AS (SELECT conv_id, conv_id - conv_id % 100 AS head, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h
+          FROM (SELECT DISTINCT conv_id FROM t)),
+    b AS (SELECT h.conv_id, p, name, size FROM h JOIN o ON o.conv_id = head AND p <= h
+          UNION ALL SELECT h.conv_id, p + 5, name, size FROM h JOIN o ON o.conv_id = h.conv_id AND p > h),
+    s AS (SELECT conv_id, size, row_number() OVER (PARTITION BY conv_id ORDER BY p) AS d,
+                 string_agg(name, '') OVER (PARTITION BY conv_id ORDER BY p) AS k FROM b
+          UNION ALL SELECT conv_id, 0, 0, '' FROM h),
+    n AS (SELECT k, d, any_value(size) AS size, count(*) AS members, min(conv_id) AS c FROM s GROUP BY k, d),
+    m AS (SELECT n.*, left(n.k, len(n.k) - 32) AS up, coalesce(kids, 0) AS kids, (members - 1) * size AS v
+          FROM n LEFT JOIN (SELECT left(k, len(k) - 32) AS k, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1) x ON x.k = n.k),
+    z AS (SELECT s.k, count(*) FILTER (kids = 0) AS leaves, CAST(sum(v) AS BIGINT) AS saved
+          FROM m JOIN s ON s.conv_id = m.c AND s.d <= m.d GROUP BY s.k),
+    e AS (SELECT k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS x
+          FROM (SELECT conv_id, arg_max(k, d) AS k FROM s GROUP BY conv_id) GROUP BY k)
+    SELECT m.c AS conv_id, m.d AS depth, p.c AS parent_conv_id, m.members AS n_convs, m.kids AS n_children,
+           leaves AS n_leaves, saved AS saved_tokens, coalesce(x, sha256('')) AS ends_sha256
+    FROM m LEFT JOIN n p ON m.d > 0 AND p.k = m.up JOIN z ON z.k = m.k LEFT JOIN e ON e.k = m.k"""
+
+
+def repair_sql() -> str:
+    """The cheapest repair by the states of the grammar, from the last turn up: a
+    state's value is its cost in eight digits followed by its least audit."""
+    add = lambda x, edit, cost: f"lpad(CAST(CAST(left({x}, 8) AS BIGINT) + {cost} AS VARCHAR), 8, '0') || '{edit}' || substr({x}, 9)"
+    follows = {"st": "u", "s": "u", "a": "u", "u": "a"}
+
+    def taken(state: str) -> str:
+        to = follows[state]
+        fit = f"CASE WHEN i0 = '{to}' THEN {add('f.' + to, 'K', 'extra')} ELSE {add('f.' + to, 'R', '3 + extra')} END"
+        lead = f", CASE WHEN i0 = 's' THEN {add('f.s', 'K', 'extra')} ELSE '99999999' END" if state == "st" else ""
+        gone = add("f." + state, "D", 4)
+        return f"CASE WHEN must THEN {gone} ELSE least({gone}, {fit}{lead}) END AS b_{state}"
+
+    def inserted(state: str) -> str:
+        one = follows[state]
+        return f"least(b_{state}, {add('b_' + one, 'I', 3)}, {add('b_' + follows[one], 'II', 6)}) AS {state}"
+
+    states = list(follows)
+    spaces = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    draw = crc32_sql("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")
+    return f"""
+        WITH RECURSIVE r AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {draw} % 20 AS k
+                             FROM conversations),
+        x AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+                     CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                     unnest(CASE k WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM r),
+        o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                     left(role, 1) AS i0, right(rtrim(text, {spaces}), 1) AS last FROM x),
+        q AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                     lag(i0) OVER (PARTITION BY conv_id ORDER BY i) AS prev FROM o),
+        g AS (SELECT *, last = '' OR again AS must, CASE WHEN last <> '' AND NOT again AND last NOT IN ('.', '!', '?')
+                     THEN 3 ELSE 0 END AS extra FROM q),
+        c AS (SELECT ids.conv_id, count(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                     count(*) FILTER (last = '') AS blank, count(*) FILTER (last <> '' AND again) AS duplicate,
+                     count(*) FILTER (extra = 3) AS truncated,
+                     count(*) FILTER (prev IS NOT NULL AND prev || i0 NOT IN ('su', 'ua', 'au')) AS illegal
+              FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM ids.conv_id
+              GROUP BY ids.conv_id),
+        f(conv_id, i, {', '.join(states)}) AS (
+          SELECT conv_id, n + 1, '00000000', '00000006II', '00000003I', '00000000' FROM c
+          UNION ALL
+          SELECT conv_id, i, {', '.join(inserted(x) for x in states)}
+          FROM (SELECT g.conv_id, g.i, {', '.join(taken(x) for x in states)}
+                FROM f JOIN g ON g.conv_id IS NOT DISTINCT FROM f.conv_id AND g.i = f.i - 1)),
+        w AS (SELECT conv_id, CAST(left(st, 8) AS BIGINT) AS cost, substr(st, 9) AS audit FROM f WHERE i = 1),
+        l AS (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS j FROM w),
+        a AS (SELECT conv_id, j, audit[j] AS edit, len(replace(audit[1:j], 'I', '')) AS i,
+                     len(replace(audit[j:], 'D', '')) AS rest FROM l),
+        y AS (SELECT a.conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN g.role WHEN rest % 2 = 0 THEN 'user'
+                       ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE g.text END, chr(10) ORDER BY j)) AS digest
+              FROM a LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM a.conv_id AND g.i = a.i WHERE edit <> 'D' GROUP BY a.conv_id)
+        SELECT c.conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, coalesce(digest, sha256('')) AS repaired_sha256
+        FROM c JOIN w ON w.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+VECTORS = f"""
+    WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    l AS MATERIALIZED (SELECT a.vec_id AS u, b.vec_id AS v FROM e a JOIN e b ON a.label = b.label AND len(a.v) = len(b.v)
+          WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= {THRESHOLD}),
+    reach(u, v) AS (SELECT u, v FROM l UNION SELECT r.u, l.v FROM reach r JOIN l ON l.u = r.v),
+    n AS (SELECT u, count(*) AS n FROM l GROUP BY u),
+    m AS (SELECT u, min(v) AS least FROM reach GROUP BY u)
+    SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+           vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+    FROM embeddings LEFT JOIN n ON n.u = vec_id LEFT JOIN m ON m.u = vec_id"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_secret_scans": secrets_sql(),
     "op5_substring_dedup": SUBSTRING,
     "op6_chat_format": CHAT,
     "op7_url_filters": urls_sql(),
     "op10_quality_rules": quality_sql(),
+    "op11_prefix_trie": TRIE,
+    "op12_structure_repair": repair_sql(),
+    "op13_embedding_dedup": VECTORS,
 }
