@@ -202,7 +202,7 @@ def repair_sql() -> str:
               FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM ids.conv_id
               GROUP BY ids.conv_id),
         f(conv_id, i, {', '.join(states)}) AS (
-          SELECT conv_id, n + 1, '00000000', '00000006II', '00000003I', '00000000' FROM c
+          SELECT conv_id, n + 1, '00000000', '00000006II', '00000000', '00000003I' FROM c
           UNION ALL
           SELECT conv_id, i, {', '.join(inserted(x) for x in states)}
           FROM (SELECT g.conv_id, g.i, {', '.join(taken(x) for x in states)}
