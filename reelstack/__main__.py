@@ -20,7 +20,7 @@ from .plans.star import GENERAL, GENERAL_TABELA_KEYS
 from .schemas import DETAILS_RAW
 from .session import RECOMMENDED_CONF
 from .sources.readers import scan_ndjson
-from .sources.sinks import NDJSON_RECORDS
+from .sources.sinks import NDJSON_RECORDS, star_paths
 
 
 def parse(argv) -> argparse.Namespace:
@@ -38,6 +38,10 @@ def parse(argv) -> argparse.Namespace:
                     help="raw-ingest: rows per NDJSON file")
     ap.add_argument("--single-file", action="store_true",
                     help="trusted-catalog: write one Parquet file (one task)")
+    ap.add_argument("--buckets", type=int,
+                    help="trusted-*, star: trusted tables bucketed by title id, joined without a shuffle")
+    ap.add_argument("--stable-keys", action="store_true",
+                    help="star: keys from append-only registries, the same in every extraction")
     ap.add_argument("--star", choices=["geral", "sagas"], default="geral")
     ap.add_argument("--tabela-keys", action="store_true",
                     help="star geral: name keys id_tabela_* and leave id_genero out")
@@ -54,23 +58,21 @@ def run(spark: SparkSession, args: argparse.Namespace):
         return jobs.raw_ingest_job(spark, layout.raw_pages(day), details, layout.raw_api(day),
                                    args.records_per_file, exact_files=args.exact_files)
     if args.job == "trusted-catalog":
-        return jobs.trusted_catalog_job(spark, layout, day, single_file=args.single_file)
+        return jobs.trusted_catalog_job(spark, layout, day, single_file=args.single_file,
+                                        buckets=args.buckets)
     if args.job == "trusted-api":
         # The extraction date stamped on the rows is the day, as yyyy/MM/dd.
         return jobs.trusted_api_job(spark, layout.raw_api(day), layout, day,
-                                    ApiParams(extraction_date=day.replace("-", "/")))
+                                    ApiParams(extraction_date=day.replace("-", "/")), buckets=args.buckets)
     if args.job == "star" and args.star == "geral":
         return jobs.star_job(spark, layout, day, "geral",
-                             spec=GENERAL_TABELA_KEYS if args.tabela_keys else GENERAL)
+                             spec=GENERAL_TABELA_KEYS if args.tabela_keys else GENERAL,
+                             stable_keys=args.stable_keys, buckets=args.buckets)
     if args.job == "star":
-        return jobs.star_job(spark, layout, day, "sagas", ids=SUBSET_IDS)
-    # report: counts and column profiles of the written star tables
-    prefix = layout.refined(args.star)
-    names = (["tabela_fato", "tabela_data", "tabela_titulo", "tabela_adulto"]
-             if args.star == "geral" else
-             ["tabela_fato_sagas", "tabela_sagas_data", "tabela_sagas_titulo",
-              "tabela_sagas_adulto"])
-    counts, profiles = jobs.star_report(spark, {n: f"{prefix}/{n}" for n in names})
+        return jobs.star_job(spark, layout, day, "sagas", ids=SUBSET_IDS,
+                             stable_keys=args.stable_keys, buckets=args.buckets)
+    # report: counts and column profiles of the published star's tables
+    counts, profiles = jobs.star_report(spark, star_paths(spark, layout.refined(args.star)))
     report: dict = {r.tbl: {"rows": r.n, "columns": {}} for r in counts.collect()}
     for r in profiles.collect():
         report[r.tbl]["columns"][r.col] = {k: r[k] for k in ("cnt", "mean", "stddev", "mn", "mx")}

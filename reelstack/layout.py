@@ -45,5 +45,19 @@ class Layout:
         """Partitioned by ``dt``; read the root and filter on ``dt``."""
         return f"{self.root}/TRT/API"
 
+    def registry(self, star: str = "geral") -> str:
+        """Key registries of a star's dimensions (stable keys)."""
+        return f"{self.root}/Refined/_keys/{star}"
+
+    @property
+    def profiles_api(self) -> str:
+        """Mergeable profiles of the trusted API table, one per ``dt``."""
+        return f"{self.root}/TRT/_profiles/API"
+
+    @property
+    def quarantine_api(self) -> str:
+        """Raw API records that did not decode in full, partitioned by ``dt``."""
+        return f"{self.root}/TRT/_quarantine/API"
+
     def refined(self, star: str = "geral") -> str:
         return f"{self.root}/Refined/{star}"

@@ -8,15 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 def run_sql(spark: SparkSession, views: dict[str, DataFrame], query: str,
             args: dict | None = None) -> DataFrame:
     """Run ``query`` over ``views``, which are registered only while it is
-    analysed. Values go in as named parameter markers (``:name``), never
+    analysed; a temp view of the session that has one of these names is put back
+    afterwards. Values go in as named parameter markers (``:name``), never
     pasted into the text."""
+    held = {name: spark.table(name) for name in views if _is_temp_view(spark, name)}
     try:
         for name, df in views.items():
             df.createOrReplaceTempView(name)
         return spark.sql(query, args=args or None)
     finally:
         for name in views:
-            spark.catalog.dropTempView(name)
+            if name in held:
+                held[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
+
+
+def _is_temp_view(spark: SparkSession, name: str) -> bool:
+    return any(t.isTemporary and t.name.lower() == name.lower() for t in spark.catalog.listTables(pattern=name))
 
 
 def in_list_markers(prefix: str, values) -> tuple[str, dict]:

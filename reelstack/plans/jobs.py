@@ -14,14 +14,17 @@ from ..operators.dedup import keep_first
 from ..operators.joins import enrich
 from ..operators.projection import drop_cols, move_last, rename, stamp
 from ..operators.ordering import sort_by
-from ..operators.profile import count_tables, profile
+from ..operators.profile import merge_profiles, profile_state
 from ..operators.setops import union_all
 from ..params import ApiParams, CatalogParams
 from ..schemas import API_RAW, MOVIES_CSV, PAGES_RAW
 from ..session import materialize, scratch_scope
 from ..sources.pages import flatten_pages
-from ..sources.readers import land_raw, scan_csv_pipe, scan_layer, scan_ndjson
-from ..sources.sinks import NDJSON_RECORDS, sink_ndjson, sink_parquet, sink_partitioned, write_star
+from ..sources.bucketed import scan_bucketed, sink_bucketed
+from ..sources.landing import land_raw
+from ..sources.readers import scan_csv_pipe, scan_layer, scan_ndjson, scan_ndjson_checked
+from ..sources.sinks import (NDJSON_RECORDS, sink_ndjson, sink_parquet, sink_partitioned, star_states,
+                             write_star)
 from .star import GENERAL, StarSpec, star_general, star_subset
 
 # --------------------------------------------------------------------------- raw
@@ -109,12 +112,14 @@ def trusted_catalog(csv: DataFrame, params: CatalogParams = CatalogParams(), id_
 
 
 def trusted_catalog_job(spark: SparkSession, layout: Layout, day,
-                        params: CatalogParams = CatalogParams(), single_file: bool = False) -> str:
+                        params: CatalogParams = CatalogParams(), single_file: bool = False,
+                        buckets: int | None = None) -> str:
     """Landed movies CSV of ``day`` -> trusted movies Parquet; ``single_file``
-    writes one file, as the reference does."""
-    csv = scan_csv_pipe(spark, layout.raw_files("Movies", day), MOVIES_CSV)
-    return sink_parquet(trusted_catalog(csv, params), layout.trusted_movies,
-                        single_file=single_file)
+    writes one file, as the reference does, ``buckets`` a table bucketed by the id."""
+    movies = trusted_catalog(scan_csv_pipe(spark, layout.raw_files("Movies", day), MOVIES_CSV), params)
+    if buckets:
+        return sink_bucketed(movies, layout.trusted_movies, "imdb_id", buckets)
+    return sink_parquet(movies, layout.trusted_movies, single_file=single_file)
 
 
 # ------------------------------------------------------------------- trusted api
@@ -152,30 +157,72 @@ def trusted_api(raw: DataFrame, params: ApiParams = ApiParams()) -> DataFrame:
 
 
 def trusted_api_job(spark: SparkSession, src: str, layout: Layout, dt: str,
-                    params: ApiParams = ApiParams()) -> str:
-    api = trusted_api(scan_ndjson(spark, src, API_RAW), params)
-    return sink_partitioned(api, layout.trusted_api, dt=dt)
+                    params: ApiParams = ApiParams(), buckets: int | None = None) -> str:
+    """Raw API rows of one extraction -> the ``dt`` partition of the trusted
+    table (``buckets``: bucketed by the title id), and its mergeable profile.
+    Records that do not decode in full go to ``layout.quarantine_api`` of the same
+    ``dt`` with the fields that were lost; what decodes of them is processed like
+    any other row, a line that is no JSON object is only there."""
+    raw, rejects = scan_ndjson_checked(spark, src, API_RAW)
+    sink_partitioned(rejects, layout.quarantine_api, dt=dt)
+    day = f"{layout.trusted_api}/dt={str(dt).replace('/', '-')}"
+    if buckets:
+        sink_bucketed(stamp(trusted_api_rows(raw, params), "data_coleta_tmdb", params.extraction_date),
+                      day, "imdb_id", buckets)
+    else:
+        sink_partitioned(trusted_api(raw, params), layout.trusted_api, dt=dt)
+    sink_partitioned(profile_state(spark.read.parquet(day)), layout.profiles_api, dt=dt)
+    return layout.trusted_api
+
+
+def api_profile(spark: SparkSession, layout: Layout, by_day: bool = False) -> DataFrame:
+    """Profile of the whole trusted API table (or of each ``dt``), merged from
+    what every extraction stored; reads none of its rows."""
+    states = spark.read.parquet(layout.profiles_api)
+    return merge_profiles(states, ["dt"] if by_day else []).filter("col <> '*'")
+
+
+def quarantine_report(spark: SparkSession, layout: Layout, dt: str) -> DataFrame:
+    """Undecodable records of one extraction: how many by source file and lost
+    field (``-`` for lines that are no JSON object)."""
+    rejects = scan_layer(spark, layout.quarantine_api, dt=dt)
+    fields = F.when(F.size("fields") == 0, F.array(F.lit("-"))).otherwise(F.col("fields"))
+    return rejects.select("file", F.explode(fields).alias("field")).groupBy("file", "field").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 # ----------------------------------------------------------------------- refined
 
 
 def star_job(spark: SparkSession, layout: Layout, dt: str, star: str = "geral",
-             ids=None, measures=None, spec: StarSpec = GENERAL) -> dict[str, str]:
-    """Read both trusted tables, build the star, write its four tables.
+             ids=None, measures=None, spec: StarSpec = GENERAL, stable_keys: bool = False,
+             buckets: int | None = None) -> dict[str, str]:
+    """Read both trusted tables, build the star, publish its four tables.
     Without ``ids`` it is the general star (``spec`` picks the key naming),
-    with ``ids`` the star of that id allow-list."""
-    movies = scan_layer(spark, layout.trusted_movies)
-    api = scan_layer(spark, layout.trusted_api, dt=dt).drop("dt")
+    with ``ids`` the star of that id allow-list. ``stable_keys`` takes the keys from
+    the star's registries, ``buckets`` tells that both trusted tables were
+    written in that many buckets, which are then joined without a shuffle."""
+    if buckets:
+        movies = scan_bucketed(spark, layout.trusted_movies, "imdb_id", buckets)
+        api = scan_bucketed(spark, f"{layout.trusted_api}/dt={str(dt).replace('/', '-')}", "imdb_id", buckets)
+    else:
+        movies = scan_layer(spark, layout.trusted_movies)
+        api = scan_layer(spark, layout.trusted_api, dt=dt).drop("dt")
+    registry = layout.registry(star) if stable_keys else None
     with scratch_scope(spark):
-        tables = (star_general(movies, api, measures, spec) if ids is None
-                  else star_subset(movies, api, ids, measures))
+        tables = (star_general(movies, api, measures, spec, registry) if ids is None
+                  else star_subset(movies, api, ids, measures, registry))
         return write_star(tables, layout.refined(star))
 
 
 def star_report(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Row count of every written star table (one job) and the profile of the
-    numeric and text columns of all of them (one pass per table), by ``tbl``."""
-    tables = {name: spark.read.parquet(path) for name, path in paths.items()}
-    profiles = [profile(df).select(F.lit(name).alias("tbl"), "*") for name, df in tables.items()]
-    return count_tables(tables), union_all(*profiles)
+    """Row count of every table of a published star and the profile of their
+    numeric and text columns, by ``tbl``, from the profiles kept with it: no table
+    is read. Tables written otherwise are profiled in one pass each."""
+    states = star_states(spark, next(iter(paths.values())).rsplit("/", 1)[0])
+    if states is None:
+        states = union_all(*[profile_state(spark.read.parquet(p)).select(F.lit(n).alias("tbl"), "*")
+                             for n, p in paths.items()])
+    merged = merge_profiles(states.filter(F.col("tbl").isin(list(paths))), ["tbl"])
+    return (merged.filter("col = '*'").select("tbl", F.col("n_rows").alias("n")),
+            merged.filter("col <> '*'").drop("n_rows"))

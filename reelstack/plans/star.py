@@ -25,6 +25,7 @@ from ..operators.dedup import distinct_rows, keep_first
 from ..operators.filters import keep_ids
 from ..operators.joins import join_on_key, lookup_key
 from ..operators.keys import dense_key, row_number_scaled, with_prefix
+from ..operators.registry import registered_key
 from ..params import GENERAL_PREFIXES, SUBSET_PREFIXES
 from ..session import materialize
 
@@ -88,11 +89,15 @@ def joined_base(movies: DataFrame, api: DataFrame, key: str = "imdb_id") -> Data
 
 def build_star(base: DataFrame, spec: StarSpec, measures=None, key: str = "imdb_id",
                year: str = "anoLancamento_tmdb", title: str = "tituloPrincipal",
-               adult: str = "adulto") -> dict[str, DataFrame]:
+               adult: str = "adulto", registry: str | None = None) -> dict[str, DataFrame]:
     """Dimension and fact DataFrames of one star from a one-row-per-id base.
 
     A base row without a year stays in the title and adult dimensions and
     drops out of the fact, as with the reference's inner join.
+
+    With ``registry`` (a folder) the keys are stable: they come from append-only
+    registries of titles and years there, so a later extraction keeps every key of
+    an earlier one. Without it they are dense over this base alone.
     """
     date_p, title_p, adult_p = spec.prefixes
     measures = [m for m in (measures or FACT_MEASURES)
@@ -100,12 +105,16 @@ def build_star(base: DataFrame, spec: StarSpec, measures=None, key: str = "imdb_
     # Number the base itself, once: both dimensions and the fact are then
     # projections of one stored table, so the fact needs no join on the id. The
     # base is stored first because range partitioning reads it twice.
-    ranked = row_number_scaled(materialize(base, "star_base"), key, "_rank")
+    base = materialize(base, "star_base")
+    ranked = (registered_key(base, key, "_rank", f"{registry}/titles") if registry
+              else row_number_scaled(base, key, "_rank"))
 
     # Years: a natural small bound, so a global window is safe. Stored, so that
     # the lookup is planned from their real size.
     years = ranked.select(F.col(year).alias("Ano_Lancamento")).distinct()
-    date_dim = materialize(dense_key(years, "Ano_Lancamento", spec.date_key, date_p), "star_years")
+    date_dim = materialize(
+        registered_key(years.filter("Ano_Lancamento is not null"), "Ano_Lancamento", spec.date_key, f"{registry}/years", date_p)
+        if registry else dense_key(years, "Ano_Lancamento", spec.date_key, date_p), "star_years")
 
     def text_or_null(c: str, dtype: str):
         return F.col(c) if c in base.columns else F.lit(None).cast(dtype)
@@ -128,12 +137,13 @@ def build_star(base: DataFrame, spec: StarSpec, measures=None, key: str = "imdb_
 
 
 def star_general(movies: DataFrame, api: DataFrame, measures=None,
-                 spec: StarSpec = GENERAL) -> dict[str, DataFrame]:
-    return build_star(joined_base(movies, api), spec, measures)
+                 spec: StarSpec = GENERAL, registry: str | None = None) -> dict[str, DataFrame]:
+    return build_star(joined_base(movies, api), spec, measures, registry=registry)
 
 
-def star_subset(movies: DataFrame, api: DataFrame, ids, measures=None) -> dict[str, DataFrame]:
+def star_subset(movies: DataFrame, api: DataFrame, ids, measures=None,
+                registry: str | None = None) -> dict[str, DataFrame]:
     """The star of an id allow-list. The IN filter is on the join and
     dedup key, so Catalyst pushes it into both scans."""
     base = keep_ids(joined_base(movies, api), "imdb_id", ids)
-    return build_star(base, SUBSET, measures)
+    return build_star(base, SUBSET, measures, registry=registry)

@@ -9,10 +9,11 @@ none, which is the case in unit tests on a laptop.
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale. AQE re-plans joins from runtime sizes (it only
 # broadcasts a side whose measured size is under autoBroadcastJoinThreshold),
@@ -60,14 +61,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_SCOPES: list[list[str]] = []
+# Folders of the innermost scope. A context variable: jobs in other threads have
+# scopes of their own.
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch_scope", default=None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint directory."""
     folder = f"{checkpoint_root(spark).rstrip('/')}/scratch/{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(folder)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(folder)
     return f"{folder}/{name}"
 
 
@@ -75,13 +79,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def scratch_scope(spark: SparkSession):
     """Scratch folders made inside are removed at the end. For jobs that have
     written their outputs by then: no DataFrame of the scope is read later."""
-    _SCOPES.append([])
+    folders: list[str] = []
+    token = _SCOPE.set(folders)
     try:
         yield
     finally:
-        for folder in _SCOPES.pop():
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _SCOPE.reset(token)
+        remove_scratch(spark, folders)
+
+
+def remove_scratch(spark: SparkSession, folders) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -95,3 +105,12 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def settled(spark: SparkSession, name: str, make) -> DataFrame:
+    """``make()`` written as Parquet and read back, like ``materialize``; all
+    scratch that making it took is removed as soon as it is written."""
+    path = scratch_path(spark, name)
+    with scratch_scope(spark):
+        make().write.parquet(path)
+    return spark.read.parquet(path)

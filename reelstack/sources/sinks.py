@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import row_number_scaled
+from ..operators.profile import profile_state
+from ..operators.setops import union_all
 from ..session import shuffle_partitions
+from ..storage import Store, staging_folder
 
 # Rows per NDJSON file unless the caller asks for another number.
 NDJSON_RECORDS = 100_000
+_CHUNK = "_parte"
+# Mergeable profiles of a star's tables, beside them.
+STATES = "_profile"
 
 
 def sink_ndjson(df: DataFrame, path: str, max_records: int = NDJSON_RECORDS, order=None,
@@ -18,23 +24,36 @@ def sink_ndjson(df: DataFrame, path: str, max_records: int = NDJSON_RECORDS, ord
     fewer rows than that: something is always written).
 
     Without ``order`` each task rolls its own files. With ``order`` the files
-    are exact chunks of the ordered rows (with 100: rows 1-100 in one file,
-    101-200 in the next, ...), so there are ceil(n / max_records) files. The chunk of each
-    row comes from a distributed row number; rows are hash partitioned by
-    chunk (a chunk never splits) and sorted by row number inside each task,
-    so every chunk is a run of ``max_records`` rows (only the very last one
-    is shorter, and it comes last) and a file boundary always meets a chunk
-    boundary.
+    are exact chunks of the ordered rows, named by their number: with 100, rows 1-100
+    are ``parte_0.json``, 101-200 ``parte_1.json``, ... (no file for no rows). The chunk
+    of each row comes from a distributed row number; each chunk is one folder
+    of a partitioned write, sorted by row number, so it is one file of one task. All
+    of it happens in a hidden folder beside ``path``, whose committed files are
+    then given their names and put in place of ``path`` in one move: a task or job
+    that fails leaves the earlier files as they were.
     """
-    writer_df = df
-    if order is not None:
-        cols = df.columns
+    if order is None:
+        df.write.mode(mode).option("maxRecordsPerFile", max_records).json(path)
+        return path
+    assert mode == "overwrite", "numbered files are written as a whole"
+    spark, cols = df.sparkSession, df.columns
+    assert _CHUNK not in cols, f"{_CHUNK} names the chunks"
+    store = Store(spark, path)
+    staging = staging_folder(path.rstrip("/").rsplit("/", 1)[0])
+    try:
         numbered = row_number_scaled(df, order, "_nd_rn")
-        chunked = numbered.withColumn("_nd_chunk", F.floor((F.col("_nd_rn") - 1) / max_records))
-        writer_df = (chunked.repartition(shuffle_partitions(df.sparkSession), "_nd_chunk")
-                     .sortWithinPartitions("_nd_rn")
-                     .select(*cols))
-    (writer_df.write.mode(mode).option("maxRecordsPerFile", max_records).json(path))
+        chunked = numbered.withColumn(_CHUNK, F.floor((F.col("_nd_rn") - 1) / max_records))
+        (chunked.repartition(shuffle_partitions(spark), _CHUNK).sortWithinPartitions(_CHUNK, "_nd_rn")
+         .select(*cols, _CHUNK).write.partitionBy(_CHUNK).option("maxRecordsPerFile", 0).json(f"{staging}/chunks"))
+        store.make(f"{staging}/named")
+        for folder in store.names(f"{staging}/chunks"):
+            if folder.startswith(f"{_CHUNK}="):
+                file, = [n for n in store.names(f"{staging}/chunks/{folder}") if n.startswith("part-")]
+                number = folder.split("=", 1)[1]
+                store.rename(f"{staging}/chunks/{folder}/{file}", f"{staging}/named/parte_{number}.json")
+        store.replace(f"{staging}/named", path.rstrip("/"))
+    finally:
+        store.delete(staging)
     return path
 
 
@@ -64,13 +83,56 @@ def sink_partitioned(df: DataFrame, path: str, dt=None, partition_col: str = "dt
     return path
 
 
-def write_star(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> dict[str, str]:
-    """Write each table to ``{root}/{name}``; returns the paths."""
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = f"{root}/{name}"
-        df.write.format("parquet").mode(mode).save(paths[name])
-    return paths
+def write_star(tables: dict[str, DataFrame], root: str, keep: int = 2) -> dict[str, str]:
+    """Publish the tables of a star together, as ``{root}/v={number}/{name}``.
+
+    All tables are written into a hidden folder first; one move gives it the next
+    number, and readers (``star_paths``, ``read_star``) take the highest. So a
+    reader never sees new keys against old dimensions, and a job that dies
+    leaves the star before it. The last ``keep`` versions stay, for readers
+    that still read one. Of two writers at once, the later move fails. The mergeable
+    profile of every table is kept with it (``star_states``). Returns the paths of
+    the new tables.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    store, staging = Store(spark, root), staging_folder(root)
+    try:
+        for name, df in tables.items():
+            df.write.parquet(f"{staging}/{name}")
+        states = [profile_state(spark.read.parquet(f"{staging}/{n}")).select(F.lit(n).alias("tbl"), "*") for n in tables]
+        union_all(*states).coalesce(1).write.parquet(f"{staging}/{STATES}")
+        old = _versions(store, root)
+        number = old[-1] + 1 if old else 1
+        store.rename(staging, f"{root}/v={number}")
+    finally:
+        store.delete(staging)
+    for gone in old[:max(0, len(old) + 1 - keep)]:
+        store.delete(f"{root}/v={gone}")
+    return {name: f"{root}/v={number}/{name}" for name in tables}
+
+
+def _versions(store: Store, root: str) -> list[int]:
+    return sorted(int(n[2:]) for n in store.names(root) if n.startswith("v=") and n[2:].isdigit())
+
+
+def star_paths(spark: SparkSession, root: str) -> dict[str, str]:
+    """Paths of the published star's tables, by name, all of one version."""
+    store = Store(spark, root)
+    versions = _versions(store, root)
+    if not versions:
+        raise FileNotFoundError(f"{root}: no star was published")
+    current = f"{root}/v={versions[-1]}"
+    return {name: f"{current}/{name}" for name in store.names(current) if name[0] not in "._"}
+
+
+def star_states(spark: SparkSession, root: str) -> DataFrame | None:
+    """Mergeable profiles (``profile_state``) of the tables of the star version
+    at ``root``, one row per table and column; None where none are kept."""
+    return spark.read.parquet(f"{root}/{STATES}") if Store(spark, root).exists(f"{root}/{STATES}") else None
+
+
+def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(path) for name, path in star_paths(spark, root).items()}
 
 
 def file_stats(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..params import ApiParams
 from ..plans.jobs import trusted_api_rows
 from ..schemas import API_RAW
+from ..sources.readers import text_schema, typed_columns
 
 _DAY = r"/(\d{4}/\d{2}/\d{2})/[^/]*$"
 
@@ -29,12 +30,12 @@ _DAY = r"/(\d{4}/\d{2}/\d{2})/[^/]*$"
 def trusted_api_stream(spark: SparkSession, raw_root: str, params: ApiParams = ApiParams(),
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of trusted API rows from ``raw_root/yyyy/MM/dd/*``."""
-    reader = spark.readStream.schema(API_RAW).option("pathGlobFilter", "*.json")
+    reader = spark.readStream.schema(text_schema(API_RAW)).option("pathGlobFilter", "*.json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(f"{raw_root}/*/*/*")
     day = F.regexp_extract(F.col("_metadata.file_path"), _DAY, 1)
-    rows = trusted_api_rows(raw.withColumn("_day", day), params)
+    rows = trusted_api_rows(raw.select(*typed_columns(API_RAW), day.alias("_day")), params)
     return (rows.withColumn("data_coleta_tmdb", F.col("_day"))
             .withColumn("dt", F.to_date("_day", "yyyy/MM/dd"))
             .drop("_day"))

@@ -2,6 +2,7 @@
 
 import json
 
+from reelstack.sources import read_star
 from reelstack.__main__ import main, parse, run
 from reelstack.layout import Layout
 from reelstack.params import SUBSET_IDS
@@ -40,6 +41,6 @@ def test_cli_runs_every_layer(spark, tmp_path, capsys):
         "tabela_fato_sagas": 1, "tabela_sagas_data": 1, "tabela_sagas_titulo": 1, "tabela_sagas_adulto": 1}
     titles = out["result"]["tabela_sagas_titulo"]["columns"]
     assert titles["Titulo"]["mn"] == "HP" and out["result"]["tabela_fato_sagas"]["columns"]["orcamento"]["mx"] == "500"
-    fact = spark.read.parquet(f"{layout.refined('geral')}/tabela_fato").first()
+    fact = read_star(spark, layout.refined("geral"))["tabela_fato"].first()
     assert (fact.fato_imdb_id, fact.orcamento, fact.data_coleta_tmdb) == (SUBSET_IDS[0], 500,
                                                                          "2024/04/12")

@@ -190,7 +190,7 @@ def test_land_then_trusted_catalog_from_split_parts(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert landed["Movies"].endswith("Movies/2024/04/12")
-    parts = glob.glob(landed["Movies"].replace("file:", "") + "/file=movies.csv/part-*")
+    parts = glob.glob(landed["Movies"].replace("file:", "") + "/file=movies.csv/at=*/part-*")
     assert len(parts) > 1, parts
     out = jobs.trusted_catalog_job(spark, layout, "2024-04-12")
     movies = spark.read.parquet(out)
