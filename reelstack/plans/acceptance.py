@@ -21,15 +21,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from .. import functions as fn
 from .. import operators as op
 from ..params import ApiParams, CatalogParams
-from ..session import scratch_path
-from ..sources import (file_stats, flatten_pages, land_raw, scan_csv_pipe, scan_layer, scan_ndjson,
-                       sink_ndjson, sink_parquet, sink_partitioned, write_star)
-from .jobs import raw_rows, trusted_api, trusted_catalog
+from ..layout import Layout
+from ..session import scratch_path, shuffle_partitions
+from ..sources import (file_stats, flatten_pages, land_raw, manifest, read_star, scan_bucketed, scan_csv_pipe, scan_layer,
+                       scan_ndjson, scan_ndjson_checked, sink_bucketed, sink_ndjson, sink_parquet, sink_partitioned,
+                       star_paths, verify_landing, write_star)
+from .jobs import raw_rows, star_report, trusted_api_job, trusted_catalog
 from .landed_pages import paginate
 from .star import GENERAL, SUBSET, build_star, joined_base
 
@@ -59,16 +61,21 @@ def q_scan_parquet_layer(spark, d):
 
 
 def q_scan_csv_pipe(spark, d):
+    """Two extracts of one day whose headers order the columns differently, each
+    in several parts with its header in one of its own; every tenth name holds
+    a line break inside quotes."""
     part = table(spark, d, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
-    # One header for the whole extract, in another column order, in a part of
-    # its own; landed as the movies extract is.
-    names = ["p_size", "p_partkey", "p_retailprice", "p_name"]
-    lines = part.select(F.concat_ws("|", *[F.col(c).cast("string") for c in names]).alias("value"))
-    src = scratch_path(spark, "part_csv")
-    lines.write.text(src)
-    spark.range(1).select(F.lit("|".join(names)).alias("value")).write.mode("append").text(src)
-    path = land_raw(spark, src, scratch_path(spark, "Raw/Local/CSV/Parts"), "2024-04-12",
-                    name="part.csv")
+    quoted = part.withColumn("p_name", F.when(F.col("p_partkey") % 10 == 0, F.concat(
+        F.lit('"'), "p_name", F.lit('\n""again""|"'))).otherwise(F.col("p_name")))
+    root = scratch_path(spark, "Raw/Local/CSV/Parts")
+    for k, names in enumerate((["p_size", "p_partkey", "p_retailprice", "p_name"],
+                               ["p_name", "p_retailprice", "p_partkey", "p_size"])):
+        lines = quoted.filter(F.col("p_partkey") % 2 == k).select(
+            F.concat_ws("|", *[F.col(c).cast("string") for c in names]).alias("value"))
+        src = scratch_path(spark, f"part_csv_{k}")
+        lines.write.text(src)
+        spark.range(1).select(F.lit("|".join(names)).alias("value")).write.mode("append").text(src)
+        path = land_raw(spark, src, root, "2024-04-12", name=f"part_{k}.csv")
     # Read back as text, the way the movies extract is read, then type it.
     text_schema = StructType([StructField(c, StringType(), True) for c in part.columns])
     raw = scan_csv_pipe(spark, path, text_schema)
@@ -78,14 +85,40 @@ def q_scan_csv_pipe(spark, d):
 
 
 def q_scan_ndjson(spark, d):
+    """Two files of one folder write the same numbers differently: whole numbers
+    as ``7`` and ``7.0``, doubles as numbers and as text."""
     events = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
     path = scratch_path(spark, "events_json")
-    events.write.json(path)
+    even = F.col("event_id") % 2 == 0
+    events.filter(even).write.json(path)
+    (events.filter(~even).select(F.col("event_id").cast("double"), F.col("user_id").cast("string"), "event_type",
+                                 F.col("value").cast("string"))
+     .write.mode("append").json(path))
     return scan_ndjson(spark, path, _ddl(events, events.columns))
 
 
-def _event_pages(spark, d, fail_genre: str | None = "error"):
-    """Pages of the events; the page at two thirds of one group fails."""
+def q_json_quarantine(spark, d):
+    """Records that do not decode in full, by lost field: every 11th line is cut
+    short, every 7th budget is text, every 13th flag a word."""
+    orders = table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    fields = F.struct(key.alias("id"), F.when(key % 7 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("budget"),
+                      F.when(key % 13 == 0, F.lit("perhaps")).otherwise(F.lit("true")).alias("adult"))
+    line = F.to_json(fields)
+    path = scratch_path(spark, "dirty_json")
+    orders.select(F.when(key % 11 == 0, F.left(line, F.lit(9))).otherwise(line).alias("value")).write.text(path)
+    schema = StructType([StructField("id", LongType()), StructField("budget", LongType()), StructField("adult", BooleanType())])
+    rows, rejects = scan_ndjson_checked(spark, path, schema)
+    lost = F.when(F.size("fields") == 0, F.array(F.lit("-"))).otherwise(F.col("fields"))
+    return op.union_all(
+        rows.agg(F.lit("rows").alias("field"), F.count(F.lit(1)).alias("n"), F.sum("budget").alias("total")),
+        rejects.select(F.explode(lost).alias("field")).groupBy("field").agg(
+            F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("total")))
+
+
+def _event_pages(spark, d, fail_genre: str | None = "error", lost_genre: str | None = None):
+    """Pages of the events; the page at two thirds of one group fails, the one
+    at a third of another never landed."""
     events = table(spark, d, "events")
     status = F.lit(200)
     if fail_genre is not None:
@@ -96,29 +129,48 @@ def _event_pages(spark, d, fail_genre: str | None = "error"):
                      .withColumnRenamed("event_id", "id").withColumnRenamed("value", "popularity"),
                      group_by="genre", order="id", page_size=20,
                      result_cols=["id", "popularity", "user_id"], status=status)
+    if lost_genre is not None:
+        pages = pages.filter((F.col("genre") != lost_genre) | (F.col("page") != F.floor(F.col("total_pages") / 3) + 1))
     # Land the page documents as NDJSON (the raw layer) and read them back.
     path = sink_ndjson(pages, scratch_path(spark, "pages"), max_records=10_000)
     return scan_ndjson(spark, path, pages.schema)
 
 
 def q_flatten_pages(spark, d):
-    pages = _event_pages(spark, d)
+    pages = _event_pages(spark, d, lost_genre="click")
     rows = flatten_pages(pages, "genre")
     return rows.select("genre", "page", "id", "popularity")
 
 
 def q_land_raw(spark, d):
+    """Two extracts land in one day under given names, then the numbered files
+    of a third under their own; all stay."""
     src = scratch_path(spark, "local_extract")
     table(spark, d, "part").select("p_name").coalesce(1).write.text(f"{src}/movies.csv")
     table(spark, d, "supplier").select("s_name").coalesce(1).write.text(f"{src}/series.csv")
-    # Two extracts land one after the other in the same day; the first stays.
     root = scratch_path(spark, "Raw/Local/CSV/Movies")
     for name in ("movies.csv", "series.csv"):
-        landed = land_raw(spark, f"{src}/{name}", root, "2024-04-12", name=name)
+        land_raw(spark, f"{src}/{name}", root, "2024-04-12", name=name)
+    keys = sink_ndjson(table(spark, d, "supplier").select("s_suppkey"), f"{src}/keys", 40, order="s_suppkey")
+    landed = land_raw(spark, keys, root, "2024-04-12")
     back = spark.read.text(landed)
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}/\d{2}/\d{2})/file=", 1)
     return back.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}/\d{2}/\d{2})/file=", 1)
-        .alias("landed_path"), F.col("file").alias("file_name"), F.col("value").alias("line"))
+        day.alias("landed_path"), (day == fn.date_path(F.lit("2024-04-12").cast("date"))).alias("on_day"),
+        F.col("file").alias("file_name"), F.col("value").alias("line"))
+
+
+def q_landing_manifest(spark, d):
+    """What the manifest says of a landed extract, and how many of its parts are
+    no longer what was landed."""
+    src = scratch_path(spark, "extract")
+    lines = table(spark, d, "part").select(F.concat("p_name", F.lit(' "'), "p_brand", F.lit("\r")).alias("value"))
+    lines.write.text(src)
+    landed = land_raw(spark, src, scratch_path(spark, "Raw"), "2024-04-12", name="part.csv")
+    changed = verify_landing(spark, landed).agg(F.count(F.lit(1)).alias("n_changed"))
+    return manifest(spark, landed).agg(
+        F.sum("bytes").alias("n_bytes"), F.sum("lines").alias("n_lines"), F.sum("odd_quotes").alias("n_odd"),
+        F.min(F.length("sha256")).alias("digest_chars")).crossJoin(changed)
 
 
 # -------------------------------------------------------------------- sinks
@@ -127,11 +179,12 @@ def q_land_raw(spark, d):
 def q_sink_ndjson_chunked(spark, d):
     part = table(spark, d, "part")
     path = sink_ndjson(part, scratch_path(spark, "part_ndjson"), 100, order="p_partkey")
-    # Per file: its chunk, rows and the sum of a column read back.
+    # Per file: its name, chunk, rows and the sum of a column read back.
     back = scan_ndjson(spark, path, part.schema)
     return back.groupBy(F.col("_metadata.file_path").alias("f")).agg(
         F.min("p_partkey").alias("first_key"), F.max("p_partkey").alias("last_key"),
-        F.count(F.lit(1)).alias("n_rows"), F.sum("p_size").alias("sizes")).drop("f")
+        F.count(F.lit(1)).alias("n_rows"), F.sum("p_size").alias("sizes")) \
+        .select(fn.base_name("f").alias("file_name"), "first_key", "last_key", "n_rows", "sizes")
 
 
 def q_sink_single_file(spark, d):
@@ -156,13 +209,18 @@ def q_sink_partition_dt(spark, d):
 
 
 def q_sink_star_roundtrip(spark, d):
+    """A star of the orders before 1996 is published, then that of all orders;
+    readers see the tables of the second one, counted from its kept profile."""
     orders = table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("ano"))
-    dim = op.dense_key(orders.select("ano").distinct(), "ano", "id_data", "dtg")
-    fact = op.lookup_key(orders, dim, "ano", "ano", "id_data")
-    paths = write_star({"tabela_data": dim, "tabela_fato": fact}, scratch_path(spark, "star"))
-    return op.count_tables({"dim": spark.read.parquet(paths["tabela_data"]),
-                            "fact": spark.read.parquet(paths["tabela_fato"])},
-                           name_col="tbl", count_col="n_rows")
+    root = scratch_path(spark, "star")
+    for some in (orders.filter("ano < 1996"), orders):
+        dim = op.dense_key(some.select("ano").distinct(), "ano", "id_data", "dtg")
+        fact = op.lookup_key(some, dim, "ano", "ano", "id_data")
+        write_star({"tabela_data": dim, "tabela_fato": fact}, root)
+    tables = read_star(spark, root)
+    kept, _ = star_report(spark, star_paths(spark, root))
+    counted = op.count_tables({"dim": tables["tabela_data"], "fact": tables["tabela_fato"]}, name_col="tbl", count_col="n_rows")
+    return counted.union(kept.select(F.concat(F.lit("kept:"), "tbl"), "n"))
 
 
 # -------------------------------------------------------------- projections
@@ -296,6 +354,16 @@ def q_join_inner_key(spark, d):
     return op.distinct_rows(op.join_on_key(orders, lines, "imdb_id"))
 
 
+def q_join_bucketed(spark, d):
+    """Both sides stored in buckets of the title id, joined bucket by bucket."""
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("imdb_id"), "o_totalprice", "o_orderstatus")
+    lines = op.distinct_rows(table(spark, d, "lineitem"), ["l_orderkey"]).withColumnRenamed("l_orderkey", "imdb_id")
+    n = shuffle_partitions(spark)
+    sides = [scan_bucketed(spark, sink_bucketed(df, scratch_path(spark, name), "imdb_id", n), "imdb_id", n)
+             for name, df in (("orders", orders), ("lines", lines))]
+    return op.join_on_key(*sides, "imdb_id")
+
+
 def q_join_left_details(spark, d):
     details = (table(spark, d, "lineitem").groupBy("l_orderkey")
                .agg(F.max("l_quantity").alias("runtime")))
@@ -358,6 +426,17 @@ def q_surrogate_distributed(spark, d):
                                "o_orderkey", "id_tabela_titulo", "tig")
 
 
+def q_surrogate_registry(spark, d):
+    """Keys over two extractions: the orders of even customers come first, then
+    the second one brings those of every third customer. Old keys stay."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    root = scratch_path(spark, "keys")
+    first = op.register(orders.filter("o_custkey % 2 = 0"), "o_orderkey", root)
+    first = first.select(F.col("id").alias("o_orderkey"), F.col("number").alias("n_first"))
+    second = op.registered_key(orders.filter("o_custkey % 3 = 0"), "o_orderkey", "id_titulo", root, prefix="tig")
+    return second.join(first, "o_orderkey", "left").select("o_orderkey", "id_titulo", "n_first")
+
+
 def q_surrogate_monotonic(spark, d):
     """Keys depend on the partitioning, their properties do not: as many
     distinct keys as rows, each one the least key or more, all text."""
@@ -406,6 +485,15 @@ def q_describe_profile(spark, d):
                       digits=4)
 
 
+def q_profile_merged(spark, d):
+    """Profiles of three writes of the orders, stored and merged."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    path = scratch_path(spark, "states")
+    for k in range(3):
+        op.profile_state(orders.filter(F.col("o_orderkey") % 3 == k)).write.mode("append").parquet(path)
+    return op.merge_profiles(spark.read.parquet(path), digits=4).filter("col <> '*'")
+
+
 def q_json_field_default(spark, d):
     events = table(spark, d, "events")
     parsed = events.select("event_id", fn.json_fields("props", {"k": "int", "zz": "int"})
@@ -459,9 +547,17 @@ def q_pipe_trusted_catalog(spark, d):
 
 
 def q_pipe_trusted_api(spark, d):
-    api = trusted_api(_api_raw(spark, d), ApiParams(extraction_date=STAMP))
-    path = sink_partitioned(api, scratch_path(spark, "trusted_api"), dt="2024-04-12")
-    back = scan_layer(spark, path, dt="2024-04-12")
+    """The job on a raw layer whose files write the same fields as whole numbers
+    and as doubles, as a writer does that saw a missing value."""
+    raw = _api_raw(spark, d).drop("title", "release_date")
+    layout = Layout(scratch_path(spark, "lake"))
+    src = layout.raw_api("2024-04-12")
+    whole = ["budget", "revenue", "runtime", "vote_count"]
+    odd = F.col("id") % 2 == 1
+    raw.filter(odd).withColumns({c: F.col(c).cast("bigint") for c in whole}).write.json(src)
+    raw.filter(~odd).withColumns({c: F.col(c).cast("double") for c in whole}).write.mode("append").json(src)
+    trusted_api_job(spark, src, layout, "2024-04-12", ApiParams(extraction_date=STAMP))
+    back = scan_layer(spark, layout.trusted_api, dt="2024-04-12")
     return back.select("id_tmdb", "orcamento", "receita", "anoLancamento_tmdb", "imdb_id",
                        "data_coleta_tmdb")
 
@@ -542,8 +638,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet_layer": q_scan_parquet_layer,
     "scan_csv_pipe": q_scan_csv_pipe,
     "scan_ndjson": q_scan_ndjson,
+    "json_quarantine": q_json_quarantine,
     "flatten_pages": q_flatten_pages,
     "land_raw": q_land_raw,
+    "landing_manifest": q_landing_manifest,
     "sink_ndjson_chunked": q_sink_ndjson_chunked,
     "sink_single_file": q_sink_single_file,
     "sink_partition_dt": q_sink_partition_dt,
@@ -562,12 +660,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "id_in": q_id_in,
     "id_not_in": q_id_not_in,
     "join_inner_key": q_join_inner_key,
+    "join_bucketed": q_join_bucketed,
     "join_left_details": q_join_left_details,
     "dedup_keep_first": q_dedup_keep_first,
     "dedup_key": q_dedup_key,
     "select_distinct": q_select_distinct,
     "surrogate_prefixed": q_surrogate_prefixed,
     "surrogate_distributed": q_surrogate_distributed,
+    "surrogate_registry": q_surrogate_registry,
     "surrogate_monotonic": q_surrogate_monotonic,
     "fact_date_lookup": q_fact_date_lookup,
     "fact_date_fanout": q_fact_date_fanout,
@@ -577,6 +677,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sort_limit": q_sort_limit,
     "count_tables": q_count_tables,
     "describe_profile": q_describe_profile,
+    "profile_merged": q_profile_merged,
     "json_field_default": q_json_field_default,
     "sql_view_query": q_sql_view_query,
     "pipe_raw_ingest": q_pipe_raw_ingest,

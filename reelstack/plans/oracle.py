@@ -6,19 +6,35 @@ same rows, column names and types as the Spark query of that name.
 
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet_layer": "SELECT p_partkey, p_name, p_size FROM part",
-    "scan_csv_pipe": "SELECT p_partkey, p_name, p_size, p_retailprice FROM part",
+    "scan_csv_pipe": """
+        SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN p_name || chr(10) || '"again"|' ELSE p_name END AS p_name,
+               p_size, p_retailprice FROM part""",
     "scan_ndjson": "SELECT event_id, user_id, event_type, value FROM events",
+    "json_quarantine": """
+        SELECT 'rows' AS field, count(*) AS n,
+               CAST(sum(CASE WHEN o_orderkey % 7 <> 0 THEN CAST(trunc(o_totalprice) AS BIGINT) END) AS BIGINT) AS total
+        FROM orders WHERE o_orderkey % 11 <> 0
+        UNION ALL SELECT 'budget', count(*), NULL FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 7 = 0
+        UNION ALL SELECT 'adult', count(*), NULL FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 = 0
+        UNION ALL SELECT '-', count(*), NULL FROM orders WHERE o_orderkey % 11 = 0""",
     "flatten_pages": """
         WITH r AS (SELECT event_type AS genre, event_id AS id, value AS popularity,
           CAST((row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 20 + 1 AS BIGINT) AS page
           FROM events)
         SELECT genre, page, id, popularity FROM r
-        WHERE genre <> 'error' OR page <= (SELECT floor(max(page) * 2 / 3.0) FROM r WHERE genre = 'error')""",
+        WHERE (genre <> 'error' OR page <= (SELECT floor(max(page) * 2 / 3.0) FROM r WHERE genre = 'error'))
+          AND (genre <> 'click' OR page <= (SELECT floor(max(page) / 3.0) FROM r WHERE genre = 'click'))""",
     "land_raw": """
-        SELECT '2024/04/12' AS landed_path, 'movies.csv' AS file_name, p_name AS line FROM part
-        UNION ALL SELECT '2024/04/12', 'series.csv', s_name FROM supplier""",
+        SELECT '2024/04/12' AS landed_path, true AS on_day, 'movies.csv' AS file_name, p_name AS line FROM part
+        UNION ALL SELECT '2024/04/12', true, 'series.csv', s_name FROM supplier
+        UNION ALL SELECT '2024/04/12', true, 'parte_' || CAST((row_number() OVER (ORDER BY s_suppkey) - 1) // 40 AS VARCHAR)
+          || '.json', '{"s_suppkey":' || CAST(s_suppkey AS VARCHAR) || '}' FROM supplier""",
+    "landing_manifest": """
+        SELECT CAST(sum(strlen(p_name) + strlen(p_brand) + 4) AS BIGINT) AS n_bytes, count(*) AS n_lines,
+               count(*) AS n_odd, 64 AS digest_chars, CAST(0 AS BIGINT) AS n_changed FROM part""",
     "sink_ndjson_chunked": """
-        SELECT min(p_partkey) AS first_key, max(p_partkey) AS last_key, count(*) AS n_rows,
+        SELECT 'parte_' || CAST(chunk AS VARCHAR) || '.json' AS file_name,
+               min(p_partkey) AS first_key, max(p_partkey) AS last_key, count(*) AS n_rows,
                CAST(sum(p_size) AS BIGINT) AS sizes
         FROM (SELECT *, (row_number() OVER (ORDER BY p_partkey) - 1) // 100 AS chunk FROM part) GROUP BY chunk""",
     "sink_single_file": "SELECT s_suppkey, s_name, s_acctbal, CAST(1 AS BIGINT) AS n_files FROM supplier",
@@ -27,7 +43,9 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT o_orderkey, -o_totalprice, '2024-04-12' FROM orders""",
     "sink_star_roundtrip": """
         SELECT 'dim' AS tbl, count(DISTINCT year(o_orderdate)) AS n_rows FROM orders
-        UNION ALL SELECT 'fact', count(*) FROM orders""",
+        UNION ALL SELECT 'fact', count(*) FROM orders
+        UNION ALL SELECT 'kept:tabela_data', count(DISTINCT year(o_orderdate)) FROM orders
+        UNION ALL SELECT 'kept:tabela_fato', count(*) FROM orders""",
     "project_alias": "SELECT o_orderkey AS imdb_id, o_orderpriority AS titulo FROM orders",
     "rename_drop": "SELECT p_partkey AS imdb_id, p_name AS titulo, p_retailprice AS nota FROM part",
     "stamp_literal": "SELECT c_custkey, c_name, '2024/04/12' AS data_coleta FROM customer",
@@ -107,6 +125,27 @@ ORACLE_SQL: dict[str, str] = {
         SELECT 'orders' AS tbl, count(*) AS n FROM orders
         UNION ALL SELECT 'part', count(*) FROM part
         UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
+    "profile_merged": """
+        SELECT 'o_orderkey' AS col, count(*) AS n_rows, count(o_orderkey) AS cnt, round(avg(o_orderkey), 4) AS mean,
+               round(stddev_samp(o_orderkey), 4) AS stddev, CAST(min(o_orderkey) AS VARCHAR) AS mn,
+               CAST(max(o_orderkey) AS VARCHAR) AS mx FROM orders
+        UNION ALL SELECT 'o_custkey', count(*), count(o_custkey), round(avg(o_custkey), 4), round(stddev_samp(o_custkey), 4),
+               CAST(min(o_custkey) AS VARCHAR), CAST(max(o_custkey) AS VARCHAR) FROM orders
+        UNION ALL SELECT 'o_totalprice', count(*), count(o_totalprice), round(avg(o_totalprice), 4),
+               round(stddev_samp(o_totalprice), 4), CAST(min(o_totalprice) AS VARCHAR), CAST(max(o_totalprice) AS VARCHAR)
+               FROM orders
+        UNION ALL SELECT 'o_orderpriority', count(*), count(o_orderpriority), NULL, NULL, min(o_orderpriority),
+               max(o_orderpriority) FROM orders""",
+    "surrogate_registry": """
+        WITH a AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders WHERE o_custkey % 2 = 0),
+        b AS (SELECT o_orderkey, (SELECT count(*) FROM a) + row_number() OVER (ORDER BY o_orderkey) AS n FROM orders
+              WHERE o_custkey % 3 = 0 AND o_custkey % 2 <> 0)
+        SELECT o.o_orderkey, 'tig' || CAST(coalesce(a.n, b.n) AS VARCHAR) AS id_titulo, a.n AS n_first
+        FROM orders o LEFT JOIN a ON a.o_orderkey = o.o_orderkey LEFT JOIN b ON b.o_orderkey = o.o_orderkey
+        WHERE o_custkey % 3 = 0""",
+    "join_bucketed": """
+        SELECT o_orderkey AS imdb_id, o_totalprice, o_orderstatus
+        FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
     "describe_profile": """
         SELECT 'p_size' AS col, count(p_size) AS cnt, round(avg(p_size), 4) AS mean,
                round(stddev_samp(p_size), 4) AS stddev, CAST(min(p_size) AS VARCHAR) AS mn,
