@@ -131,9 +131,13 @@ def test_near_dedup_finds_scattered_edits_near_the_threshold(spark):
 
 def linked(spark, texts, values):
     """Classes among texts (id to words) that have the given sketch values."""
-    docs = edge.frame(spark, [(i, " ".join(w), "en", "s", 0) for i, w in texts.items()]).withColumn("id", F.col("doc_id"))
-    table = spark.createDataFrame(list(values.items()), "id long, sketch array<long>")
-    found = near_dedup.links(docs, table).collect()
+    docs = edge.frame(spark, [(i, " ".join(w), "en", "s", 0) for i, w in texts.items()]).select(
+        F.col("doc_id").alias("id"), F.xxhash64("text").alias("tx"), "text")
+    schema = "id long, tx long, copy binary, n int, sketch array<long>, words binary"
+    sketched = docs.mapInArrow(near_dedup.sketch_batches, schema)
+    given = spark.createDataFrame(list(values.items()), "id long, sketch array<long>")
+    table = sketched.drop("sketch").join(given, "id").withColumn("node", F.col("id"))
+    found = near_dedup.links(sketched, table).collect()
     root = {i: i for i in texts}
     for _ in texts:
         for x in found:
@@ -141,10 +145,9 @@ def linked(spark, texts, values):
     return root
 
 
-def test_near_dedup_chain_in_one_bucket(spark, monkeypatch):
+def test_near_dedup_chain_in_one_bucket(spark):
     """L-B-A, where B is similar to L and A only to B, with one sketch in
     common and an unlike text before them in the bucket."""
-    monkeypatch.setattr(near_dedup, "SKETCHES", 4)
     base = edge.prose(100, 31).split()
     b = [f"b{k}" if k < 15 else w for k, w in enumerate(base)]
     a = [f"a{k}" if 50 <= k < 65 else w for k, w in enumerate(b)]
@@ -152,8 +155,7 @@ def test_near_dedup_chain_in_one_bucket(spark, monkeypatch):
     assert linked(spark, texts, {i: [7, *range(10 * i, 10 * i + 3)] for i in texts}) == {1: 1, 2: 2, 3: 2, 4: 2}
 
 
-def test_near_dedup_goes_on_when_all_sketches_are_used(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "SKETCHES", 2)
+def test_near_dedup_classes_that_meet_in_one_group_only(spark):
     texts = {}
     for i in range(7):
         texts[2 * i] = edge.prose(40, 60 + i).split()
@@ -161,6 +163,64 @@ def test_near_dedup_goes_on_when_all_sketches_are_used(spark, monkeypatch):
     assert linked(spark, texts, {i: [5, 6] for i in texts}) == {i: i - i % 2 for i in texts}
 
 
+def test_near_dedup_copies_in_a_large_mixed_group(spark):
+    """Two large classes and many single texts share all of their values; each
+    class is tied by one of the leads."""
+    texts, at = {}, 10
+    for k, size in ((1, 90), (2, 70)):
+        base = edge.prose(60, 90 + k).split()
+        for i in range(size):
+            texts[at] = [f"e{i}" if j == i % 60 else w for j, w in enumerate(base)] + ["x"] * (i // 60)
+            at += 1
+    for i in range(80):
+        texts[1000 + i] = edge.prose(60, 300 + i).split()
+    got = linked(spark, texts, {i: [5, 6] for i in texts})
+    assert got == {i: 10 if i < 100 else 100 if i < 170 else i for i in texts}
+
+
+@pytest.mark.parametrize("shared,own_only", [(0, False), (90, False), (150, False), (90, True)])
+def test_near_dedup_recall_beside_a_common_passage(spark, shared, own_only):
+    """Pairs of similarity 0.80 to 0.85 whose texts hold a passage that hundreds
+    of others hold, too; the edits are anywhere, or in the rest alone."""
+    r = random.Random(21)
+    passage = edge.prose(150, 4000).split()[:shared]
+    rows, n = [], 60
+    for i in range(n):
+        w = edge.prose(300 - shared, 5000 + i).split()
+        rows.append((i, " ".join(w + passage), "en", "s", 0))
+        edited = w + passage
+        for k in r.sample(range(len(w) if own_only else 300), r.randint(45, 58)):
+            edited[k] = f"edit{r.randint(0, 9999)}"
+        rows.append((1000 + i, " ".join(edited), "en", "s", 0))
+    for i in range(300):
+        rows.append((2000 + i, " ".join(edge.prose(200 + i % 90, 7000 + i).split() + passage), "en", "s", 0))
+    got = {x.doc_id: x.class_id for x in near_dedup.near_dedup(edge.frame(spark, rows)).collect()}
+    assert sum(got[1000 + i] == i for i in range(n)) >= 0.98 * n
+    assert all(got[2000 + i] == 2000 + i for i in range(300))
+
+
+def test_near_dedup_texts_of_one_word_take_few_jobs(spark):
+    """2,000 texts of one repeated word, each similar to the next: one class."""
+    rows = [(i, "w " * (5 + i), "en", "s", 0) for i in range(2000)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one-word", "")
+    got = {x.doc_id: x.class_id for x in near_dedup.near_dedup(edge.frame(spark, rows)).collect()}
+    spark.sparkContext.setJobGroup("", "")
+    # 5 to 6, 6 to 7, ... words: 5/6 and all later ratios are 0.8 or more.
+    assert set(got.values()) == {0}
+    assert len(tracker.getJobIdsForGroup("one-word")) < 500
+
+
+def test_near_dedup_one_id_with_several_texts(spark):
+    a, b = edge.prose(60, 1), edge.prose(60, 2)
+    rows = [(1, a, "en", "s", 0), (1, b, "en", "s", 0), (2, b + " end", "en", "s", 0), (3, a + " end", "en", "s", 0),
+            (4, edge.prose(60, 3), "en", "s", 0), (4, edge.prose(60, 3) + " end", "en", "s", 0)]
+    got = sorted((x.doc_id, x.class_id) for x in near_dedup.near_dedup(edge.frame(spark, rows)).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
+    kept = [(r.doc_id, r.text) for r in near_dedup.keep_first(edge.frame(spark, rows)).collect()]
+    assert sorted(i for i, _ in kept) == [1, 1, 4] and {t for i, t in kept if i == 1} == {a, b}
+
+
 def test_near_dedup_keeps_one_row_with_its_columns(spark):
     kept = near_dedup.keep_first(edge.frame(spark, clash=True))
     rows = kept.collect()
