@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed values of the contracts: a word is a run of characters outside these.
 SPACES = " \t\n\u000b\f\r"
 NON_WORD = r"[\x20\x09-\x0D]+"
+# Elements per run of a running fold, as a power of two.
+RUN_BITS = 6
 
 
 def text_or_empty(col: str | Column = "text") -> Column:
@@ -27,6 +31,29 @@ def unit_random(*cols) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / F.lit(float(2 ** 53))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running_before(values: Column, combine: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """Per element of an array the combination (a sum, a maximum) of all elements
+    before it. Whole runs of ``1 << RUN_BITS`` elements are combined first, so the
+    cost is a few dozen steps per element; appending to an array in a fold would
+    copy it at every step."""
+    fold = lambda part: F.aggregate(part, zero, lambda a, b: combine(a, b))
+    run = lambda v, r: F.slice(v, F.shiftleft(r, RUN_BITS) + 1, F.lit(1 << RUN_BITS))
+
+    def starts(v: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.shiftright(F.size(v) - 1, RUN_BITS)), lambda r: fold(run(v, r)))
+        return let(runs, lambda whole: let(
+            F.transform(whole, lambda _, r: fold(F.slice(whole, F.lit(1), r))),
+            lambda upto: F.transform(v, lambda _, i: combine(
+                F.get(upto, F.shiftright(i, RUN_BITS)),
+                fold(F.slice(v, F.shiftleft(F.shiftright(i, RUN_BITS), RUN_BITS) + 1, i.bitwiseAND((1 << RUN_BITS) - 1)))))))
+    return F.when(F.size(values) > 0, let(values, starts)).otherwise(F.slice(values, 1, 0))
+
+
 def only(df: DataFrame, *cols: str) -> DataFrame:
     """The named columns alone: extra columns of the input cannot clash with
     the working columns of an operator."""

@@ -20,7 +20,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reelstack.llm.common import only, text_or_empty, with_row
+from reelstack.llm.common import let, only, running_before, text_or_empty, with_row
 from reelstack.session import materialize, scratch_path
 
 
@@ -66,15 +66,15 @@ def rule_matches(df: DataFrame, rule: Rule, order: int) -> DataFrame:
     if rule.group:
         df = df.withColumn(group, find(rule.group))
     # Running offsets: the text before match i, then match i.
-    df = df.withColumn(lens, F.when(some, F.aggregate(
-        F.arrays_zip(F.slice(parts, F.lit(1), F.size(hits)).alias("p"), F.col(hits).alias("h")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")),
-        lambda a, x: F.struct(
-            (a["at"] + F.char_length(x["p"]) + F.char_length(x["h"])).alias("at"),
-            F.concat(a["spans"], F.array(F.struct(
-                (a["at"] + F.char_length(x["p"])).alias("start"),
-                (a["at"] + F.char_length(x["p"]) + F.char_length(x["h"])).alias("end")))).alias("spans")),
-        lambda a: a["spans"])))
+    pieces = F.arrays_zip(F.slice(parts, F.lit(1), F.size(hits)).alias("p"), F.col(hits).alias("h"))
+    sizes = F.transform(pieces, lambda x: F.struct(F.char_length(x["p"]).alias("p"), F.char_length(x["h"]).alias("h")))
+
+    def placed(sizes: Column) -> Column:
+        before = running_before(F.transform(sizes, lambda x: x["p"] + x["h"]), lambda a, b: a + b, F.lit(0))
+        return F.zip_with(before, sizes, lambda at, x: F.struct(
+            (at + x["p"]).alias("start"), (at + x["p"] + x["h"]).alias("end")))
+
+    df = df.withColumn(lens, F.when(some, let(sizes, placed)))
     spans = F.transform(lens, lambda s, i: F.struct(
         s["start"].alias("start"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"),
         s["end"].alias("end"), F.lit(rule.version).alias("version")))
@@ -138,7 +138,8 @@ def secret_scans(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
     blob is its doc_id; without a ledger a fresh one is kept in the scratch folder."""
     docs = only(docs, "doc_id", "text")
     ledger_path = ledger_path or scratch_path(docs.sparkSession, "secret_ledger")
-    found = scan(docs, ledger_path)
+    # Stored, so that the join is planned from its size, and split where a blob is hot.
+    found = materialize(scan(docs, ledger_path), "secret_found")
     paths = docs.select("doc_id", blob_id(text_or_empty()).alias("blob"))
     spans = F.coalesce("found", F.array().cast(FOUND))
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -152,20 +153,18 @@ def redact(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
     (where present) follows the new text. Texts without findings are unchanged
     (a null text stays null)."""
     ledger_path = ledger_path or scratch_path(docs.sparkSession, "secret_ledger")
-    found = scan(docs, ledger_path)
+    # Stored, so that the join is planned from its size, and split where a blob is hot.
+    found = materialize(scan(docs, ledger_path), "secret_found")
     keyed = with_row(docs, "text").withColumn("blob", blob_id(text_or_empty()))
     text = F.col("text")
-    # Walk the spans by start; one inside an earlier span is already gone.
-    piece = lambda a, upto: F.concat(a["out"], F.array(F.substring(text, a["at"] + 1, upto - a["at"])))
-    state = "struct<at:int,out:array<string>>"
-    clean = F.aggregate(
-        "found", F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(state),
-        lambda a, s: F.when(s["start"] < a["at"], F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(F.struct(
-                s["end"].alias("at"), F.concat(piece(a, s["start"]), F.array(
-                    F.concat(F.lit("["), s["kind"], F.lit("]")))).alias("out"))).cast(state),
-        lambda a: F.array_join(F.concat(a["out"], F.array(F.substring(
-            text, a["at"] + 1, F.greatest(F.char_length(text) - a["at"], F.lit(0))))), ""))
+    # The spans go by start; ``at`` is the end of all before, and a span that
+    # begins before it is already gone.
+    at = running_before(F.transform("found", lambda s: s["end"]), F.greatest, F.lit(0))
+    pieces = F.zip_with("found", at, lambda s, at: F.when(s["start"] >= at, F.concat(
+        F.substring(text, at + 1, s["start"] - at), F.lit("["), s["kind"], F.lit("]"))).otherwise(""))
+    last = F.array_max(F.transform("found", lambda s: s["end"]))
+    clean = F.concat(F.array_join(pieces, ""), F.substring(
+        text, last + 1, F.greatest(F.char_length(text) - last, F.lit(0))))
     hit = F.col("found").isNotNull()
     joined = keyed.join(found, "blob", "left").withColumn("text", F.when(hit, clean).otherwise(text))
     row = F.col("row").withField("text", F.col("text"))
