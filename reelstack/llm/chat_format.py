@@ -15,7 +15,8 @@ loss mask is a list of spans of the formatted string, one per assistant text.
 Defined results: null role or text is empty; turns are ordered by turn (nulls
 first), then role and text; a null conversation id is one conversation; a record
 of an unknown layout gives no turns and keeps its fingerprint (``unknown`` lists
-them); an empty table gives an empty result; extra columns are ignored.
+them), its conversation stays; a text given in a column may have any length; an
+empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reelstack.llm.common import only
+from reelstack.llm.common import only, running_before
 
 # Fixed values of the template.
 OPEN, HEAD, BODY, CLOSE = "<s>", "[INST]", "[/INST]", "</s>"
@@ -64,6 +65,10 @@ def fingerprint(schema: Column) -> Column:
     return F.sha2(schema, 256)
 
 
+def turn(role: Column, text: Column) -> Column:
+    return F.struct(F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+
+
 def canonical_turns(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
     """All columns of ``records`` but ``record`` (a JSON string), plus its
     ``fingerprint`` and its ``turns`` (null when the layout is unknown)."""
@@ -71,8 +76,6 @@ def canonical_turns(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
     parsed = records.select(*others, F.try_parse_json("record").alias("_v"))
     parsed = parsed.withColumn("fingerprint", fingerprint(F.schema_of_variant("_v")))
     turns = F.lit(None).cast(TURNS)
-    turn = lambda role, text: F.struct(F.coalesce(role, F.lit("")).alias("role"),
-                                       F.coalesce(text, F.lit("")).alias("text"))
     for layout in layouts:
         if layout.turns:
             found = F.array(*[turn(F.lit(r), F.try_variant_get("_v", p, "string")) for r, p in layout.turns])
@@ -85,6 +88,25 @@ def canonical_turns(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
     return parsed.select(*others, "fingerprint", turns.alias("turns"))
 
 
+def canonical_columns(rows: DataFrame, fields: list[str], layouts=LAYOUTS) -> DataFrame:
+    """The same of records whose fields are columns, texts of any length: their
+    paths are the columns' names, and the mapping reads the columns themselves,
+    without a detour over JSON. All columns but ``fields``, plus ``fingerprint`` and
+    ``turns``; a null field is empty."""
+    schema = f"OBJECT<{', '.join(f'{f}: STRING' for f in sorted(fields))}>"
+    mark = fingerprint(F.lit(schema))
+    turns = F.lit(None).cast(TURNS)
+    for layout in layouts:
+        if layout.list_path not in ("", "$") or layout.schema != schema:
+            continue
+        pairs = ([(F.lit(r), F.col(p[len("$."):])) for r, p in layout.turns]
+                 or [(F.col(layout.role), F.col(layout.text))])
+        found = F.array(*[turn(role, text.cast("string")) for role, text in pairs])
+        turns = F.when(mark == fingerprint(F.lit(layout.schema)), found).otherwise(turns)
+    others = [F.col(f"`{c}`") for c in rows.columns if c not in fields]
+    return rows.select(*others, mark.alias("fingerprint"), turns.alias("turns"))
+
+
 def unknown(canonical: DataFrame) -> DataFrame:
     """Fingerprints without a mapping, with their number of records."""
     return canonical.filter("turns is null").groupBy("fingerprint").agg(F.count("*").alias("n"))
@@ -111,12 +133,11 @@ def format_turns(turns: DataFrame) -> DataFrame:
     body = escape(F.col("text"))
     rows = turns.select("conv_id", F.struct(
         F.col("turn").alias("turn"), F.col("role").alias("role"), head.alias("head"), body.alias("body")).alias("t"))
-    convs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    # A record without turns (a null role) only names its conversation.
+    turn = F.when(F.col("t.role").isNotNull(), F.col("t"))
+    convs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("ts"))
     total = lambda t: F.char_length(t["head"]) + F.char_length(t["body"]) + len(CLOSE)
-    starts = F.aggregate(
-        "ts", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("all")),
-        lambda a, t: F.struct((a["at"] + total(t)).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all")),
-        lambda a: a["all"])
+    starts = running_before(F.transform("ts", lambda t: total(t).cast("long")), lambda a, b: a + b, F.lit(0).cast("long"))
     convs = convs.select("conv_id", "ts", starts.alias("turn_starts"))
     loss = F.filter(F.transform("ts", lambda t, i: F.struct(
         i.alias("turn"), (F.get("turn_starts", i) + F.char_length(t["head"])).alias("start"),
@@ -145,19 +166,18 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def chat_format(conversations: DataFrame) -> DataFrame:
-    """Format conversations given as rows (conv_id, turn, role, text): each row
-    is a record of the single-turn layout and takes the path of any other. Rows
-    (conv_id, turn, record), without role and text, may hold any layout."""
+    """Format conversations given as rows (conv_id, turn, role, text), each a
+    record of the single-turn layout whose fields are columns, or as rows (conv_id,
+    turn, record), whose JSON records may hold any layout. A record of no known
+    layout, or too long for the JSON reader (20 million characters), has no turns;
+    a conversation without any is kept and formatted as nothing."""
     if {"role", "text"} <= set(conversations.columns):
-        rows = only(conversations, "conv_id", "turn", "role", "text")
-        record = F.to_json(F.struct(F.coalesce("role", F.lit("")).alias("role"),
-                                    F.coalesce("text", F.lit("")).alias("text")))
-        rows = rows.select("conv_id", "turn", record.alias("record"))
+        rows = canonical_columns(only(conversations, "conv_id", "turn", "role", "text"), ["role", "text"])
     else:
-        rows = only(conversations, "conv_id", "turn", "record")
+        rows = canonical_turns(only(conversations, "conv_id", "turn", "record"))
     # Roles of single turns are as given; other layouts have names of their own.
     given = F.col("fingerprint") == fingerprint(F.lit(LAYOUTS[0].schema))
-    turns = canonical_turns(rows).select("conv_id", "turn", given.alias("given"), F.posexplode("turns").alias("k", "t"))
+    turns = rows.select("conv_id", "turn", given.alias("given"), F.posexplode_outer("turns").alias("k", "t"))
     role = F.when(F.col("given"), F.col("t.role")).otherwise(role_name(F.col("t.role")))
     turns = turns.select("conv_id", F.struct("turn", "k").alias("turn"), role.alias("role"), F.col("t.text").alias("text"))
     return format_turns(turns)
