@@ -133,10 +133,10 @@ def linked(spark, texts, values):
     """Classes among texts (id to words) that have the given sketch values."""
     docs = edge.frame(spark, [(i, " ".join(w), "en", "s", 0) for i, w in texts.items()]).select(
         F.col("doc_id").alias("id"), F.xxhash64("text").alias("tx"), "text")
-    schema = "id long, tx long, copy binary, n int, sketch array<long>, words binary"
+    schema = "id long, tx long, copy binary, n int, sketch array<long>, bins binary, words binary"
     sketched = docs.mapInArrow(near_dedup.sketch_batches, schema)
     given = spark.createDataFrame(list(values.items()), "id long, sketch array<long>")
-    table = sketched.drop("sketch").join(given, "id").withColumn("node", F.col("id"))
+    table = sketched.drop("sketch", "bins", "words").join(given, "id").withColumn("node", F.col("id"))
     found = near_dedup.links(sketched, table).collect()
     root = {i: i for i in texts}
     for _ in texts:
@@ -163,9 +163,10 @@ def test_near_dedup_classes_that_meet_in_one_group_only(spark):
     assert linked(spark, texts, {i: [5, 6] for i in texts}) == {i: i - i % 2 for i in texts}
 
 
-def test_near_dedup_copies_in_a_large_mixed_group(spark):
+def test_near_dedup_copies_in_a_large_mixed_group(spark, monkeypatch):
     """Two large classes and many single texts share all of their values; each
     class is tied by one of the leads."""
+    monkeypatch.setattr(near_dedup, "SMALL", 64)
     texts, at = {}, 10
     for k, size in ((1, 90), (2, 70)):
         base = edge.prose(60, 90 + k).split()
