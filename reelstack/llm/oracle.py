@@ -6,7 +6,7 @@ models (op8) and a trained labeller (op1) have no SQL form with equal values.
 """
 
 from reelstack.llm.embedding_dedup import THRESHOLD
-from reelstack.llm.quality_rules import NAMES, SLACK, SPREADS, TWO_SIDED
+from reelstack.llm.quality_rules import GRID_TOP, NAMES, SHRINK, SLACK, SPREADS, TWO_SIDED
 from reelstack.llm.queries import HOSTILE_TEXT
 from reelstack.llm.secret_scans import RULES as SECRET_RULES
 from reelstack.llm.url_filters import RULES as URL_RULES
@@ -19,10 +19,13 @@ def quality_sql() -> str:
               "repeats": "n_repeat_words * 1000 // n_words", "capitals": "n_upper * 1000 // word_chars",
               "word_length": "word_chars * 100 // n_words"}
     # A zero divisor gives null, which counts as step 0.
-    steps = ", ".join(f"coalesce(least(10000, {v}), 0) AS s_{k}" for k, v in ratios.items())
+    steps = ", ".join(f"coalesce(least({GRID_TOP}, {v}), 0) AS s_{k}" for k, v in ratios.items())
     stacked = " UNION ALL ".join(
-        f"SELECT lang, source, '{k}' AS ratio, {SLACK[k]} AS slack, s_{k} AS step FROM s WHERE NOT base_failed"
-        for k in NAMES)
+        f"SELECT lang, source, '{k}' AS ratio, {SLACK[k][0]} AS low_end, {SLACK[k][1]} AS slack, s_{k} AS step "
+        "FROM s WHERE NOT base_failed" for k in NAMES)
+    two_sided = ", ".join(f"'{k}'" for k in TWO_SIDED)
+    covers = lambda k, n, q: f"min(step) FILTER (4 * {k} >= {q} * {n})"
+    drawn = lambda o, l: f"CAST(floor(({o} * n_some + {l} * {SHRINK}) / (n_some + {SHRINK})) AS BIGINT)"
     pick = ", ".join(f"max(high) FILTER (ratio = '{k}') AS high_{k}, max(low) FILTER (ratio = '{k}') AS low_{k}"
                      for k in NAMES)
     inside = " AND ".join([f"s_{k} <= high_{k}" for k in NAMES] + [f"s_{k} >= low_{k}" for k in TWO_SIDED])
@@ -44,11 +47,25 @@ def quality_sql() -> str:
         a AS ({stacked}),
         o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, ratio ORDER BY step) AS k,
                      count(*) OVER (PARTITION BY lang, source, ratio) AS n FROM a),
-        q AS (SELECT lang, source, ratio, any_value(slack) AS slack, min(step) FILTER (4 * k >= n) AS q1,
-                     min(step) FILTER (4 * k >= 2 * n) AS q2, min(step) FILTER (4 * k >= 3 * n) AS q3
+        q0 AS (SELECT lang, source, ratio, any_value(low_end) AS low_end, any_value(slack) AS slack, any_value(n) AS n,
+                     {covers('k', 'n', 1)} AS q1, {covers('k', 'n', 2)} AS q2, {covers('k', 'n', 3)} AS q3
               FROM o GROUP BY lang, source, ratio),
-        f AS (SELECT lang, source, ratio, q2 + {SPREADS} * least(q2 - q1, slack) + slack AS high,
-                     q2 - {SPREADS} * least(q3 - q2, slack) - slack AS low FROM q),
+        q AS (SELECT * REPLACE (CASE WHEN ratio IN ({two_sided}) THEN greatest(slack, q2 // 4) ELSE slack END AS slack) FROM q0),
+        p AS (SELECT *, row_number() OVER (PARTITION BY lang, source, ratio ORDER BY step) AS k,
+                     count(*) OVER (PARTITION BY lang, source, ratio) AS n,
+                     row_number() OVER (PARTITION BY lang, ratio ORDER BY step) AS lk,
+                     count(*) OVER (PARTITION BY lang, ratio) AS ln FROM a WHERE step > 0),
+        po AS (SELECT lang, source, ratio, any_value(n) AS n_some, {covers('k', 'n', 1)} AS o1, {covers('k', 'n', 3)} AS o3
+               FROM p GROUP BY lang, source, ratio),
+        pl AS (SELECT lang, ratio, {covers('lk', 'ln', 1)} AS l1, {covers('lk', 'ln', 3)} AS l3 FROM p GROUP BY lang, ratio),
+        z AS (SELECT po.lang AS zl, source AS zs, po.ratio AS zr, n_some, {drawn('o1', 'l1')} AS n1, {drawn('o3', 'l3')} AS n3
+              FROM po JOIN pl ON pl.lang IS NOT DISTINCT FROM po.lang AND pl.ratio = po.ratio),
+        f AS (SELECT lang, source, ratio, CASE WHEN q2 > 0 THEN q2 + {SPREADS} * least(q2 - q1, slack) + slack
+                     WHEN n_some IS NULL THEN slack
+                     ELSE least(greatest(slack, slack + CAST(floor(2 * n_some * (n1 - slack) / n) AS BIGINT)),
+                                greatest(low_end, n3 + {SPREADS} * (n3 - n1))) END AS high,
+                     q2 - {SPREADS} * least(q3 - q2, slack) - slack AS low
+              FROM q LEFT JOIN z ON zl IS NOT DISTINCT FROM lang AND zs IS NOT DISTINCT FROM source AND zr = ratio),
         b AS (SELECT lang AS bl, source AS bs, {pick} FROM f GROUP BY lang, source)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND coalesce({inside}, true) AS kept

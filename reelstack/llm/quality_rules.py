@@ -5,8 +5,21 @@ capitals, mean word length). For each (language, source) and ratio a quantile
 sketch is built: counts on a fixed grid of the ratio. Two sketches merge by
 adding their counts, so the sketch is a plain partial aggregation, its error is
 one grid step, and its answer does not depend on the order of merging. The
-quartiles of the group give its thresholds, and the thresholds are joined back
-to the documents.
+sketch of a group gives its fence, and the fences are joined back to the
+documents:
+
+* where at least half of the documents have a ratio above zero (capitals, word
+  length), the fence lies ``SPREADS`` quarter spreads and a slack from the median;
+* where most have none (symbols, repeats), quartiles of all are zero and tell
+  nothing. The fence then comes from the documents that have some: it lies
+  above their upper quartile by ``SPREADS`` times its distance from the lower one,
+  and, as such documents are outliers where they are few, no further up than the
+  slack and the lower quartile, weighed by how common they are. Quartiles of few
+  documents are drawn towards those of the language, whose sketch is the merged
+  one of its groups.
+
+Ratios beyond the grid's top share its last step; the grid reaches up to a mean
+word length of 10,000 characters.
 
 Defined results: null text counts as empty (no words, base rules reject it);
 null language or source is a group of its own; repeated rows each get their
@@ -25,12 +38,15 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 
-# Ratio -> slack added to the fence, in grid steps. The grid is per mille for
-# the shares and a hundredth of a character for the mean word length.
-SLACK = {"symbols": 20, "dup_lines": 400, "repeats": 350, "capitals": 100, "word_length": 100}
+# Ratio -> (least fence, slack) in grid steps. The grid is per mille for the
+# shares and a hundredth of a character for the mean word length.
+SLACK = {"symbols": (20, 20), "dup_lines": (100, 400), "repeats": (100, 350), "capitals": (100, 100),
+         "word_length": (100, 100)}
 TWO_SIDED = ("word_length",)
-GRID_TOP = 10_000
+GRID_TOP = 1_000_000
 SPREADS = 6
+# Documents with some of a ratio whose quartiles weigh as much as the language's.
+SHRINK = 32
 NAMES = tuple(SLACK)
 
 
@@ -100,24 +116,47 @@ def merge_sketches(sketch: DataFrame, *by: str) -> DataFrame:
     return sketch.groupBy(*by, "ratio", "step").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame) -> DataFrame:
+def quartiles(sketch: DataFrame, *by: str) -> DataFrame:
     """Smallest grid step that covers each quarter of a group's documents."""
-    group = Window.partitionBy("lang", "source", "ratio")
+    by = by or ("lang", "source")
+    group = Window.partitionBy(*by, "ratio")
     below = F.sum("n").over(group.orderBy("step"))
     ranked = sketch.select("*", below.alias("below"), F.sum("n").over(group).alias("total"))
     at = lambda q: F.min(F.when(4 * F.col("below") >= q * F.col("total"), F.col("step")))
-    return ranked.groupBy("lang", "source", "ratio").agg(
-        at(1).alias("q1"), at(2).alias("q2"), at(3).alias("q3"))
+    return ranked.groupBy(*by, "ratio").agg(
+        at(1).alias("q1"), at(2).alias("q2"), at(3).alias("q3"), F.max("total").alias("total"))
+
+
+def of_some(sketch: DataFrame) -> DataFrame:
+    """Per group and ratio the quartiles n1 and n3 of the documents above zero,
+    drawn towards the language's, and how many there are (``some``)."""
+    some = sketch.filter("step > 0")
+    own = quartiles(some, "lang", "source").select("lang", "source", "ratio", "q1", "q3", F.col("total").alias("some"))
+    lang = quartiles(merge_sketches(some, "lang"), "lang").select(
+        F.col("lang").alias("_lang"), F.col("ratio").alias("_ratio"), F.col("q1").alias("l1"), F.col("q3").alias("l3"))
+    both = own.join(lang, own["lang"].eqNullSafe(F.col("_lang")) & (own["ratio"] == F.col("_ratio")))
+    drawn = lambda o, l: F.floor((F.col(o) * F.col("some") + F.col(l) * SHRINK) / (F.col("some") + SHRINK))
+    return both.select("lang", "source", "ratio", "some", drawn("q1", "l1").alias("n1"), drawn("q3", "l3").alias("n3"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """One row per (lang, source): ``low_*``/``high_*`` of each ratio. A fence
-    lies ``SPREADS`` quarter spreads and the slack away from the median, so a
-    uniform group loses nothing, and up to half a group may be junk."""
-    slack = F.create_map(*[x for k, v in SLACK.items() for x in (F.lit(k), F.lit(v))])[F.col("ratio")]
-    fences = quartiles(sketch).select(
+    """One row per (lang, source): ``low_*``/``high_*`` of each ratio (the
+    module's text tells how). A uniform group loses nothing, and up to half a
+    group may be junk."""
+    given = lambda i: F.create_map(*[x for k, v in SLACK.items() for x in (F.lit(k), F.lit(v[i]))])[F.col("ratio")]
+    # A length has no scale of its own: its slack grows with the median.
+    least = given(0)
+    slack = F.when(F.col("ratio").isin(*TWO_SIDED), F.greatest(given(1), F.floor(F.col("q2") / 4))).otherwise(given(1))
+    q = quartiles(sketch, "lang", "source").alias("q")
+    some = of_some(sketch).select(*[F.col(c).alias(f"_{c}") for c in ("lang", "source", "ratio", "some", "n1", "n3")])
+    q = q.join(some, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
+               & (F.col("ratio") == F.col("_ratio")), "left")
+    common = F.col("q2") + SPREADS * F.least(F.col("q2") - F.col("q1"), slack) + slack
+    near = F.greatest(slack, slack + F.floor(2 * F.col("_some") * (F.col("_n1") - slack) / F.col("total")))
+    far = F.greatest(least, F.col("_n3") + SPREADS * (F.col("_n3") - F.col("_n1")))
+    fences = q.select(
         "lang", "source", "ratio",
-        (F.col("q2") + SPREADS * F.least(F.col("q2") - F.col("q1"), slack) + slack).alias("high"),
+        F.when(F.col("q2") > 0, common).otherwise(F.coalesce(F.least(near, far), slack)).alias("high"),
         (F.col("q2") - SPREADS * F.least(F.col("q3") - F.col("q2"), slack) - slack).alias("low"))
     pick = lambda k, side: F.max(F.when(F.col("ratio") == k, F.col(side))).alias(f"{side}_{k}")
     return fences.groupBy("lang", "source").agg(

@@ -313,3 +313,33 @@ def test_empty_pages_and_conversations(spark):
     assert url_filters.url_filters(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.digests(chat_format.chat_format(empty)).collect() == []
+
+
+def test_quality_fences_follow_their_group(spark):
+    """Two sources of one language where few and where many texts hold symbols,
+    and a small one that leans on the language."""
+    def doc(i, source, marks):
+        w = edge.prose(120, i).split()
+        for k in range(marks):
+            w[7 * k] += "#" * 6
+        return (i, " ".join(w), "en", source, 0)
+    rows = [doc(i, "few", 15 if i % 20 == 0 else 0) for i in range(200)]
+    rows += [doc(1000 + i, "many", 15 if i % 5 < 2 else 0) for i in range(200)]
+    rows += [doc(2000 + i, "small", 15 if i == 0 else 0) for i in range(8)]
+    m = quality_rules.document_metrics(edge.frame(spark, rows), ["doc_id", "lang", "source"])
+    got = {r.source: r for r in quality_rules.thresholds(quality_rules.quantile_sketch(materialize(m, "m"))).collect()}
+    high = {s: r.high_symbols for s, r in got.items()}
+    some = next(r._symbols for r in materialize(m, "m2").filter("doc_id = 0").collect())
+    least, slack = quality_rules.SLACK["symbols"]
+    assert slack < high["few"] < high["small"] < high["many"] < some
+    assert high["few"] == pytest.approx(slack + 2 * 0.05 * (some - slack), abs=5)
+    assert high["many"] == pytest.approx(slack + 2 * 0.4 * (some - slack), abs=20)
+
+
+def test_quality_word_lengths_beyond_a_line(spark):
+    """Texts without spaces have ratios of their own, far up the grid."""
+    rows = [(i, " ".join("x" * (150 + 5 * i) for _ in range(60)), "zh", "s", 0) for i in range(30)]
+    rows.append((99, " ".join("x" * 9000 for _ in range(60)), "zh", "s", 0))
+    kept = {r.doc_id for r in quality_rules.quality_rules(edge.frame(spark, [
+        (i, " ".join(f"{j}{w}" for j, w in enumerate(t.split())), *rest) for i, t, *rest in rows])).collect() if r.kept}
+    assert kept == set(range(30))
