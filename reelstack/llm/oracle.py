@@ -119,6 +119,18 @@ CHAT = f"""
 
 def urls_sql() -> str:
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+    lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+    def node(url: str) -> str:
+        path = rf"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+        kept = (f"list_reduce(list_transform(string_split({path}, '/'), lambda s: [s]), lambda a, s: CASE s[1] WHEN '.' THEN a "
+                "WHEN '..' THEN a[1:greatest(len(a) - 1, 1)] ELSE list_concat(a, s) END)")
+        plain = f"""CASE WHEN contains({path}, '/.') THEN array_to_string({kept}, '/') ||
+            CASE WHEN regexp_matches({path}, '/[.][.]?$') THEN '/' ELSE '' END ELSE {path} END"""
+        return rf"""CASE WHEN regexp_extract({url}, '(?s)^(.*?://[^/?#]*)', 1) <> ''
+            THEN translate(regexp_extract({url}, '(?s)^(.*?://[^/?#]*)', 1), {lower}) || {plain} ||
+                 regexp_extract({url}, '(?s)^[^#]*?://[^?#]*(\?[^#]*)', 1)
+            ELSE regexp_extract({url}, '(?s)^([^#]*)', 1) END"""
     return rf"""
         WITH RECURSIVE rules(verdict, rh, rp) AS (VALUES {rules}),
         raw AS (
@@ -127,26 +139,33 @@ def urls_sql() -> str:
           UNION ALL
           SELECT url, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
                                      '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM pages WHERE contains(url, '://')),
-        link AS (SELECT regexp_extract(url, '(?s)^([^#]*)', 1) AS u, regexp_extract(CASE
+        abs AS (SELECT url, CASE
                    WHEN regexp_matches(y, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN y
                    WHEN starts_with(y, '//') THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || y
-                   WHEN starts_with(y, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || y END,
-                   '(?s)^([^#]*)', 1) AS v FROM (SELECT url, replace(x, '&amp;', '&') AS y FROM raw)),
+                   WHEN starts_with(y, '/') THEN site || y
+                   WHEN starts_with(y, '?') THEN site || path || y
+                   WHEN y <> '' AND NOT starts_with(y, '#') AND NOT regexp_matches(y, '^[A-Za-z][A-Za-z0-9+.-]*:')
+                     THEN site || CASE WHEN path = '' THEN '/' ELSE regexp_extract(path, '(?s)^(.*/)[^/]*$', 1) END || y END AS t
+                 FROM (SELECT url, trim(regexp_replace(x, '&(?:amp|#38|#[xX]26);', '&', 'g')) AS y,
+                              regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS site,
+                              regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM raw)),
+        link AS (SELECT {node('url')} AS u, {node('t')} AS v FROM abs WHERE t IS NOT NULL),
         edge AS (SELECT u, v FROM link WHERE v <> '' UNION SELECT v, u FROM link WHERE v <> ''),
         reach(u, v) AS (SELECT u, u FROM edge UNION SELECT r.u, e.v FROM reach r JOIN edge e ON e.u = r.v),
-        node AS (SELECT u AS n FROM edge UNION SELECT regexp_extract(url, '(?s)^([^#]*)', 1) FROM pages),
-        part AS (SELECT n, regexp_extract(n, '(?s)^.*?://([^/?#]*)', 1) AS h0,
-                        regexp_extract(n, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM node),
-        host AS (SELECT n, translate(h0, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM part),
-        fit AS (SELECT n, host, path, arg_max(rh || rp, len(rh || rp)) AS rule, arg_max(verdict, len(rh || rp)) AS own
-                FROM host LEFT JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
-                GROUP BY n, host, path),
-        alias AS (SELECT r.u AS n, min(f.own) AS verdict FROM reach r JOIN fit f ON f.n = r.v
-                  WHERE f.own IS NOT NULL GROUP BY r.u)
-        SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+        -- Rules see the url as it stands; aliases meet at their nodes.
+        pg AS (SELECT page_id, regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) AS h0,
+                      regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, {node('url')} AS n FROM pages),
+        nd AS (SELECT DISTINCT u AS n, regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1) AS h0,
+                      regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM edge),
+        hp AS (SELECT DISTINCT h0, path, translate(h0, {lower}) AS host FROM (SELECT h0, path FROM pg UNION SELECT h0, path FROM nd)),
+        fit AS (SELECT h0, path, host, arg_max(rh || rp, len(rh || rp)) AS rule, arg_max(verdict, len(rh || rp)) AS own
+                FROM hp LEFT JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+                GROUP BY h0, path, host),
+        alias AS (SELECT r.u AS n, min(f.own) AS verdict FROM reach r JOIN nd ON nd.n = r.v
+                  JOIN fit f ON f.h0 = nd.h0 AND f.path = nd.path WHERE f.own IS NOT NULL GROUP BY r.u)
+        SELECT page_id, coalesce(host, '') AS host, coalesce(pg.path, '') AS path, rule,
                coalesce(own, alias.verdict, 'allow') AS verdict
-        FROM pages LEFT JOIN fit ON fit.n = regexp_extract(url, '(?s)^([^#]*)', 1)
-        LEFT JOIN alias ON alias.n = fit.n"""
+        FROM pg LEFT JOIN fit ON fit.h0 = pg.h0 AND fit.path = pg.path LEFT JOIN alias ON alias.n = pg.n"""
 
 
 def crc32_sql(text: str) -> str:

@@ -46,18 +46,39 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> Column:
     return F.get(F.sort_array(F.filter(F.array(*fit), lambda r: r.isNotNull())), F.lit(0)) if fit else F.lit(None)
 
 
+def without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments, which climb no further than the root."""
+    segments = F.split(path, "/", -1)
+    last = F.element_at(segments, -1).isin(".", "..")
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda a, s: F.when(s == ".", a).when(
+        s == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(1)))).otherwise(F.concat(a, F.array(s))))
+    return F.when(F.contains(path, F.lit("/.")), F.concat(
+        F.array_join(kept, "/"), F.when(last, F.lit("/")).otherwise(""))).otherwise(path)
+
+
 def node(url: Column) -> Column:
-    """Address without its fragment, which never reaches the server."""
-    return F.regexp_extract(url, r"(?s)^([^#]*)", 1)
+    """The address that a url names: scheme and host in lower case, no dot
+    segments, and no fragment, which never reaches the server."""
+    site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    query = F.regexp_extract(url, r"(?s)^[^#]*?://[^?#]*(\?[^#]*)", 1)
+    return F.when(site != "", F.concat(F.translate(site, UPPER, LOWER), without_dots(path), query)).otherwise(
+        F.regexp_extract(url, r"(?s)^([^#]*)", 1))
 
 
 def link_target(url: Column, link: Column) -> Column:
-    """Absolute form of a link: absolute, scheme-relative or root-relative
-    links are known; others, and empty ones, give null."""
-    link = F.btrim(F.regexp_replace(link, "&amp;", "&"))
+    """Absolute form of a link on the page ``url``: absolute, scheme-relative,
+    root-relative, relative to the page's folder, or a query alone. Links of other
+    schemes, to a place on the page itself, and empty ones give null."""
+    link = F.btrim(F.regexp_replace(link, r"&(?:amp|#38|#[xX]26);", "&"))
+    site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    folder = F.concat(site, F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)^(.*/)[^/]*$", 1)))
     return (F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
             .when(link.startswith("//"), F.concat(F.regexp_extract(url, r"(?s)^(.*?:)//", 1), link))
-            .when(link.startswith("/"), F.concat(F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1), link)))
+            .when(link.startswith("/"), F.concat(site, link))
+            .when(link.startswith("?"), F.concat(site, path, link))
+            .when((link != "") & ~link.startswith("#") & ~link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(folder, link)))
 
 
 def page_links(pages: DataFrame) -> DataFrame:

@@ -343,3 +343,44 @@ def test_quality_word_lengths_beyond_a_line(spark):
     kept = {r.doc_id for r in quality_rules.quality_rules(edge.frame(spark, [
         (i, " ".join(f"{j}{w}" for j, w in enumerate(t.split())), *rest) for i, t, *rest in rows])).collect() if r.kept}
     assert kept == set(range(30))
+
+
+LINKS = ["http://www.M.org/1", "HTTP://WWW.m.ORG/1#x", "//cdn.org/a", "/root/x", "page.html", "?id=3&amp;k=4", "../up/./y", "a/b/../../c",
+         "../../../../top", "./", "..", "#here", "", "mailto:a@b.c", "javascript:void(0)", "dir/", "x?y=../z", "/a/./b/../c/.", "&#38;q"]
+BASES = ["http://Host.org/one/two/three.html?q=1#f", "https://host.org", "http://host.org/", "http://host.org/d/", "ftp://x/y"]
+
+
+def test_url_links_resolve_like_a_browser(spark):
+    from urllib.parse import urljoin, urlsplit
+    rows = [(b, x) for b in BASES for x in LINKS]
+    df = spark.createDataFrame(rows, "url string, link string").select(
+        "url", "link", url_filters.link_target(F.col("url"), F.col("link")).alias("t"))
+    for r in df.select("*", url_filters.node(F.col("t")).alias("n")).collect():
+        plain = r.link.replace("&amp;", "&").replace("&#38;", "&")
+        if plain == "" or plain[0] == "#" or plain.startswith(("mailto:", "javascript:")):
+            assert r.t is None and r.n is None
+            continue
+        want = urlsplit(urljoin(r.url, plain))
+        query = f"?{want.query}" if want.query else ""
+        path = want.path if want.path or not plain.startswith("?") else ""
+        assert r.n == f"{want.scheme}://{want.netloc.lower()}{path}{query}", (r.url, r.link)
+
+
+def test_url_verdicts_over_links_equal_sql(spark):
+    """The SQL of the query on pages that link to one another in every way."""
+    import duckdb
+    from reelstack.llm.oracle import urls_sql
+    tags = ['<link rel="canonical" href="{}">', "<LINK  href='{}' rel=canonical>", '<meta http-equiv="Refresh" content="0; URL={}">']
+    rows, at = [], 0
+    for b in BASES + ["HTTP://WWW.m.org/1", "http://x.net/es/1", "http://a.org/es/../1", "no url", None]:
+        for k, x in enumerate([*LINKS, "http://x.net/es/1", "http://A.org/1"]):
+            rows.append((at, b if k % 3 else f"{b}?p={k}" if b else None, "<html>" + tags[k % 3].format(x) + "</html>" if k % 4 else None))
+            at += 1
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filters.url_filters(df).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    want = sorted(con.execute(urls_sql()).fetchall())
+    assert got == want
+    assert {v for *_, rule, v in want if rule is None} == {"allow", "block"}
