@@ -16,7 +16,9 @@ window is counted, never its count.
 Hot passages: within a batch equal super-k-mers are combined before they are
 sent; only that of the smallest doc_id goes on, the others are known to be
 removed and their spans pass through as such. So a passage that a third of all
-documents hold arrives once per batch.
+documents hold arrives once per batch, and a bucket that outgrows ``HELD_BYTES``
+combines what has arrived in the same way: it holds each super-k-mer of different
+text once, however many documents and batches it comes from.
 
 Defined results: null text has no words; texts under ``WINDOW`` words lose
 nothing; repeated rows (same doc_id) are judged alike and do not remove each
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 from reelstack.llm.common import only
 from reelstack.llm.decontamination import in_bitmap, lookup_bitmap
 from reelstack.llm.tokens import U64, blocks, normal, rolling, seeded, mix, word_hashes, word_starts
-from reelstack.session import materialize
+from reelstack.session import materialize, shuffle_partitions
 
 WINDOW = 13
 MINI = 3
@@ -46,6 +48,10 @@ BUCKET_BYTES = 6 << 20
 SENT = 3.0
 # Text that is packed together: equal super-k-mers in it are combined.
 UNIT_BYTES = 6 << 20
+# Text of a bucket that is held before equal super-k-mers in it are combined.
+HELD_BYTES = 32 << 20
+# Buckets of one task, on average.
+BUCKETS_PER_TASK = 8
 # Frequent grams that come last in the order, and the share of documents that
 # names them.
 HOT = 1 << 14
@@ -126,18 +132,54 @@ def pack_unit(texts: list[bytes], ids: np.ndarray, prints: np.ndarray, buckets:
     known = ids[text] > least[same]
     sent = np.flatnonzero(~known)
     order = sent[np.argsort(bucket[sent], kind="stable")]
-    squeeze = zstandard.ZstdCompressor(level=6)
     for k in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-        docs, index = np.unique(text[k], return_inverse=True)
-        # Steps between texts and small numbers compress well.
-        parts = [np.array([len(k), len(docs)], np.int64), ids[docs], prints[docs],
-                 np.diff(index, prepend=0).astype(np.int32), first[k].astype(np.int32), size[k].astype(np.int32)]
-        yield int(bucket[k[0]]), None, None, squeeze.compress(
-            b"".join([*[x.tobytes() for x in parts], b" ".join([words[j] for j in k.tolist()])]))
-    known = np.flatnonzero(known)
+        yield int(bucket[k[0]]), None, None, pack(k, ids, prints, text, first, size, words)
+    for i, p, spans in known_spans(np.flatnonzero(known), ids, prints, text, first, size):
+        yield -1 - i % buckets, i, p, spans
+
+
+def pack(k: np.ndarray, ids, prints, text, first, size, words) -> bytes:
+    """Super-k-mers ``k`` as one compressed row: of each its text, first word in
+    it, windows and words."""
+    docs, index = np.unique(text[k], return_inverse=True)
+    # Steps between texts and small numbers compress well.
+    parts = [np.array([len(k), len(docs)], np.int64), ids[docs], prints[docs],
+             np.diff(index, prepend=0).astype(np.int32), first[k].astype(np.int32), size[k].astype(np.int32)]
+    return zstandard.ZstdCompressor(level=6).compress(
+        b"".join([*[x.tobytes() for x in parts], b" ".join([words[j] for j in k.tolist()])]))
+
+
+def known_spans(known: np.ndarray, ids, prints, text, first, size):
+    """(id, print, spans) of super-k-mers whose windows are known to go."""
+    known = known[np.argsort(text[known], kind="stable")]
     for k in np.split(known, np.flatnonzero(np.diff(text[known])) + 1) if len(known) else ():
-        i = int(ids[text[k[0]]])
-        yield -1 - i % buckets, i, int(prints[text[k[0]]]), np.stack([first[k], size[k]], axis=1).astype(np.int32).tobytes()
+        yield (int(ids[text[k[0]]]), int(prints[text[k[0]]]),
+               np.stack([first[k], size[k]], axis=1).astype(np.int32).tobytes())
+
+
+def combined(rows: list[bytes]) -> tuple[bytes, list[tuple]]:
+    """Packed rows of one bucket as one: of equal super-k-mers only those of the
+    least id stay, the spans of the others are known."""
+    parts = [unpack(r) for r in rows]
+    offset = np.cumsum([0] + [len(p[0]) for p in parts])
+    ids, prints = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    text = np.concatenate([p[2] + offset[k] for k, p in enumerate(parts)])
+    first, size = (np.concatenate([p[k] for p in parts]) for k in (3, 4))
+    words: list[bytes] = []
+    for p in parts:
+        cuts = word_starts(p[5])
+        ends = np.cumsum(p[4] + WINDOW - 1)
+        starts = ends - (p[4] + WINDOW - 1)
+        words += [p[5][a:b] for a, b in zip(cuts[starts].tolist(), (cuts[ends] - 1).tolist())]
+    place: dict[bytes, int] = {}
+    same = np.fromiter((place.setdefault(w, k) for k, w in enumerate(words)), np.int64, len(words))
+    least = np.full(len(words), NO_ID)
+    np.minimum.at(least, same, ids[text])
+    known = ids[text] > least[same]
+    kept = np.flatnonzero(~known)
+    kept = kept[np.argsort(text[kept], kind="stable")]
+    return (pack(kept, ids, prints, text, first, size, words),
+            list(known_spans(np.flatnonzero(known), ids, prints, text, first, size)))
 
 
 def unpack(packed: bytes):
@@ -157,6 +199,10 @@ def unpack(packed: bytes):
     return ids, prints, np.cumsum(fields[0]), fields[1], fields[2], raw[at:]
 
 
+def text_size(packed: bytes) -> int:
+    return zstandard.frame_content_size(packed)
+
+
 def pack_batches(buckets: int, frequent):
     """A function from (id, print, text) to rows of ``PACKED``."""
     def run(batches):
@@ -247,7 +293,7 @@ def bucket_batches(batches):
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
              pa.array([r[2] for r in rows], pa.binary())], names=["id", "print", "spans"])
 
-    current, held = None, []
+    current, held, size, most = None, [], 0, HELD_BYTES
     for batch in batches:
         known = []
         for bucket, i, p, packed in zip(*[c.to_pylist() for c in batch.columns]):
@@ -256,9 +302,16 @@ def bucket_batches(batches):
                 continue
             if bucket != current and held:
                 yield out(removed_in_bucket(held))
-                held = []
+                held, size, most = [], 0, HELD_BYTES
             current = bucket
             held.append(packed)
+            size += text_size(packed)
+            if size > most:
+                row, gone = combined(held)
+                held, size = [row], text_size(row)
+                # What is left is text of its own.
+                most = max(HELD_BYTES, 2 * size)
+                known += gone
         if known:
             yield out(known)
     if held:
@@ -311,7 +364,8 @@ def removed_windows(docs: DataFrame) -> DataFrame:
     buckets = max(16, math.ceil(size * SENT / BUCKET_BYTES))
     frequent = docs.sparkSession.sparkContext.broadcast(hot_grams(docs))
     packed = docs.select("id", "print", "text").mapInArrow(pack_batches(buckets, frequent), PACKED)
-    return (packed.repartition("bucket").sortWithinPartitions("bucket")
+    tasks = max(shuffle_partitions(docs.sparkSession), math.ceil(buckets / BUCKETS_PER_TASK))
+    return (packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
             .mapInArrow(bucket_batches, "id long, print long, spans binary"))
 
 

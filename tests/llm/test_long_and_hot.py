@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from reelstack.llm import chat_format, common, decontamination, secret_scans
+from reelstack.llm import chat_format, common, decontamination, secret_scans, substring_dedup
 from tests.llm import edge
 from tests.llm.test_native_ops import secrets
 from tests.llm.test_text_ops import smith_waterman
@@ -130,3 +130,33 @@ def test_an_item_in_a_very_long_text(spark):
     item = edge.prose(40, 8)
     docs = [(1, edge.prose(150_000, 4) + " " + item, "en", "s", 0), (2, edge.prose(150_000, 5), "en", "s", 0)]
     assert found(spark, docs, [(7, item)]) == {(1, 7)}
+
+
+def test_a_bucket_combines_what_has_arrived(spark, monkeypatch):
+    """A passage in two thirds of all documents, packed in many units that meet
+    in buckets which may hold next to nothing."""
+    passage = edge.prose(80, 1).split()
+    r = random.Random(4)
+    rows = []
+    for i in range(300):
+        own = edge.prose(60, 100 + i).split()
+        cut = r.randint(0, 30)
+        rows.append((i, " ".join(own[:30] + (passage[cut:] if i % 3 else []) + own[30:]), "en", "s", 0))
+    monkeypatch.setattr(substring_dedup, "UNIT_BYTES", 4000)
+    want = {x.doc_id: tuple(x) for x in substring_dedup.substring_dedup(edge.frame(spark, rows)).collect()}
+    monkeypatch.setattr(substring_dedup, "HELD_BYTES", 2000)
+    called = substring_dedup.combined([next(p for b, _, _, p in substring_dedup.pack_unit(
+        [rows[k][1].encode()], *substring_dedup.np.array([[k], [7]]), 1, substring_dedup.np.zeros(0, "u8"))) for k in (1, 2, 4)])
+    assert sum(len(s) for _, _, s in called[1]) > 0
+    got = {x.doc_id: tuple(x) for x in substring_dedup.substring_dedup(edge.frame(spark, rows)).collect()}
+    assert got == want
+    seen, removed = {}, 0
+    for i, t, *_ in rows:
+        w = t.split()
+        gone = set()
+        for k in range(len(w) - 12):
+            if seen.setdefault(tuple(w[k:k + 13]), i) < i:
+                gone |= set(range(k, k + 13))
+        assert got[i][2] == len(gone)
+        removed += len(gone)
+    assert removed > 5000
