@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, functions as F
 from reelstack.llm.common import only
 from reelstack.llm.decontamination import in_bitmap, lookup_bitmap
 from reelstack.llm.tokens import U64, blocks, mix, normal, word_hashes
-from reelstack.session import materialize
+from reelstack.session import materialize, shuffle_partitions
 
 # Words whose counts every task has.
 FREQUENT = 1 << 17
@@ -54,6 +54,8 @@ HEAD = 1 << 16
 SAMPLE = 32
 # Entries a bucket holds on average, and texts that share a packed row.
 BUCKET_ENTRIES = 2 << 20
+# Buckets of one task, on average.
+BUCKETS_PER_TASK = 4
 UNIT_BYTES = 8 << 20
 PACKED = "bucket int, unit long, packed binary"
 
@@ -413,9 +415,11 @@ def cross_entropy_difference(docs: DataFrame, good: DataFrame) -> DataFrame:
             entry_batches(model, head, buckets, rare_buckets, True), PACKED))
     # Unit tables (bucket -1) need no bucket: they are dealt out by unit.
     place = F.when(F.col("bucket") < 0, -1 - F.pmod("unit", F.lit(buckets)).cast("int")).otherwise(F.col("bucket"))
-    sums = (packed.withColumn("bucket", place).repartition("bucket").sortWithinPartitions("bucket", "unit")
+    # The number of tasks follows the entries, as that of the buckets does.
+    tasks = max(shuffle_partitions(docs.sparkSession), math.ceil((buckets + rare_buckets) / BUCKETS_PER_TASK))
+    sums = (packed.withColumn("bucket", place).repartition(tasks, "bucket").sortWithinPartitions("bucket", "unit")
             .mapInArrow(bucket_batches(model, buckets), PACKED))
-    return (sums.repartition("unit").sortWithinPartitions("unit", "bucket")
+    return (sums.repartition(tasks, "unit").sortWithinPartitions("unit", "bucket")
             .mapInArrow(unit_batches, "doc_id long, n_tokens long, score double"))
 
 
