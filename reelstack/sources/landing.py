@@ -14,6 +14,8 @@ begins a source file. The CSV reader takes the header from it.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,7 +71,8 @@ def land_raw(spark: SparkSession, src: str, layer: str, as_of, file_col: str = "
 
     ``src`` must be readable by the executors (an upload or staging area on
     shared storage), not a folder on the driver machine only. A file that does
-    not end in a line end must end in a UTF-8 character.
+    not end in a line end must end in a UTF-8 character; two source files of one
+    base name raise, as they would land as one.
     """
     target = f"{layer}/{date_path(as_of)}"
     staging = staging_folder(target)
@@ -92,6 +95,10 @@ def land_raw(spark: SparkSession, src: str, layer: str, as_of, file_col: str = "
 def _copy(spark: SparkSession, src: str, out: str, file_col: str, name: str | None) -> None:
     files = source_files(spark, src)
     reader, target = Store(spark, src), Store(spark, out)
+    named = [unquote(f.rsplit("/", 1)[1]) for f in files]
+    twice = next((n for n in named if named.count(n) > 1), None) if len(set(named)) < len(named) else None
+    if twice:
+        raise ValueError(f"{src}: two files are named {twice}")
     # Files the line reader would not give back whole: a byte order mark is
     # skipped, and a last line without an end looks like one with it.
     ends = {f: reader.ends(f, tail=4) for f in files}
@@ -101,8 +108,8 @@ def _copy(spark: SparkSession, src: str, out: str, file_col: str, name: str | No
     at = F.lpad(F.col("block").cast("string"), 18, "0")
     if name is not None:
         at = F.concat_ws("-", decoded(base_name("source")), at)
-    named = F.lit(name) if name is not None else decoded(base_name("source"))
-    place = {file_col: named, "at": at}
+    file = F.lit(name) if name is not None else decoded(base_name("source"))
+    place = {file_col: file, "at": at}
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for empty in reader.empty_files(src) if name is None else ():
         target.make(f"{out}/{file_col}={escape(empty)}")

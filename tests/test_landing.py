@@ -180,3 +180,11 @@ def test_repeated_and_blank_header_names(spark, tmp_path):
     header = [*NAMES, "", "id"]
     write(tmp_path / "a.csv", header, [line + "|x|other" for line in csv(NAMES, ["a1"])])
     assert rows(read(spark, tmp_path, True), "id") == [("a1",)]
+
+
+def test_two_files_of_one_name_raise(spark, tmp_path):
+    for folder in ("x", "y"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.csv").write_text("h\n")
+    with pytest.raises(ValueError, match="two files"):
+        src.land_raw(spark, str(tmp_path), scratch_path(spark, "Raw"), DAY)
