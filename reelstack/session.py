@@ -104,7 +104,8 @@ def materialize(df, name: str):
     not from the inputs), and later passes read only the columns they use."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known: no job that reads it from the files.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def settled(spark: SparkSession, name: str, make) -> DataFrame:
@@ -112,5 +113,7 @@ def settled(spark: SparkSession, name: str, make) -> DataFrame:
     scratch that making it took is removed as soon as it is written."""
     path = scratch_path(spark, name)
     with scratch_scope(spark):
-        make().write.parquet(path)
-    return spark.read.parquet(path)
+        made = make()
+        made.write.parquet(path)
+        schema = made.schema
+    return spark.read.schema(schema).parquet(path)

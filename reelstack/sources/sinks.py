@@ -99,7 +99,8 @@ def write_star(tables: dict[str, DataFrame], root: str, keep: int = 2) -> dict[s
     try:
         for name, df in tables.items():
             df.write.parquet(f"{staging}/{name}")
-        states = [profile_state(spark.read.parquet(f"{staging}/{n}")).select(F.lit(n).alias("tbl"), "*") for n in tables]
+        written = {n: spark.read.schema(df.schema).parquet(f"{staging}/{n}") for n, df in tables.items()}
+        states = [profile_state(df).select(F.lit(n).alias("tbl"), "*") for n, df in written.items()]
         union_all(*states).coalesce(1).write.parquet(f"{staging}/{STATES}")
         old = _versions(store, root)
         number = old[-1] + 1 if old else 1
