@@ -14,7 +14,10 @@ ASCII-least edit that stays optimal, and the least of these audits wins. An audi
 fixes the repaired turns.
 
 Cells are kept for every ``sqrt(turns)``-th turn and filled again block by block
-for the trace, so memory grows with band times the root of the turns. Rows are
+for the trace, so memory grows with band times the root of the turns. A
+conversation so long and damaged that its band would hold more than ``CELLS`` cells
+has the same table with all lengths of one parity in one cell: as every length is
+feasible, only the awaited role matters then, and the result is the same. Rows are
 partitioned by conversation and sorted by turn; the turns of one conversation are
 held by one task at a time, as its repaired text is one result.
 
@@ -41,6 +44,8 @@ NAMES = {"u": "user", "a": "assistant"}
 STOPS = ".!?"
 
 INF = np.int32(1 << 29)
+# Cells of a banded table; beyond them lengths of one parity share a cell.
+CELLS = 1 << 26
 
 SCHEMA = ("conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, "
           "audit string, repaired array<struct<role: string, text: string>>")
@@ -68,6 +73,16 @@ def incumbent(initials: str) -> int:
     return cost + INSERT * (want == "a")
 
 
+def band(initials: str, truncated: list[bool]) -> tuple[int, int]:
+    """(down, width) of the band: how far the rest may fall behind the turns that
+    are left by deletions, and how many cells a row has."""
+    excess, cheap = incumbent(initials), sum(truncated)
+    over = DELETE - TRUNCATED  # what deleting a truncated turn costs over the unavoidable
+    spent = min(cheap, excess // over)
+    down = min(len(initials), spent + (excess - spent * over) // DELETE)
+    return down, down + excess // INSERT + 1
+
+
 class Table:
     """Banded costs of aligning turns i.. (initials, truncated flags) to the last
     r characters: cell k of row i is r = n - i - down + k."""
@@ -75,12 +90,7 @@ class Table:
     def __init__(self, initials: str, truncated: list[bool]):
         self.n = len(initials)
         self.extra = [TRUNCATED * t for t in truncated]
-        excess = incumbent(initials)
-        cheap = sum(truncated)  # deleting one costs DELETE - TRUNCATED over the unavoidable
-        over = DELETE - TRUNCATED
-        spent = min(cheap, excess // over)
-        self.down = min(self.n, spent + (excess - spent * over) // DELETE)
-        self.width = self.down + excess // INSERT + 1
+        self.down, self.width = band(initials, truncated)
         self.match = {c: np.array([REROLE * (c != awaited(r)) for r in (0, 1)], np.int32) for c in set(initials)}
         self.initials = initials
         self.step = max(1, math.isqrt(self.n))
@@ -169,6 +179,54 @@ def audits(table: Table, before: list[int]) -> tuple[int, str]:
     return cost, min("".join(audit) + "I" * rest for _, rest, audit in traces)
 
 
+def shared_cells(initials: str, truncated: list[bool], before: list[int]) -> tuple[int, str]:
+    """``audits`` of the table whose cells hold the least cost over all rests of
+    one parity (0: a user's turn is awaited, or nothing), and over those of two
+    characters and more."""
+    n = len(initials)
+    cells = np.zeros((n + 1, 2), np.int64)
+    some = np.zeros(n + 1, np.int64)
+    cells[n], some[n] = (0, INSERT), 2 * INSERT
+    heads = []
+    for i in range(n - 1, -1, -1):
+        extra, c = TRUNCATED * truncated[i], initials[i]
+        even, odd = int(cells[i + 1, 0]), int(cells[i + 1, 1])
+        user, assistant = REROLE * (c != "u") + extra + odd, REROLE * (c != "a") + extra + even
+        low_even, low_odd = min(DELETE + even, user), min(DELETE + odd, assistant)
+        cells[i] = min(low_even, INSERT + low_odd), min(low_odd, INSERT + low_even)
+        some[i] = min(DELETE + int(some[i + 1]), user, INSERT + int(cells[i, 1]))
+        if c == "s":
+            heads.append((DELETE * i + extra + int(some[i + 1]), i + 1))
+    cost = min([int(cells[0, 0]), *[c for c, _ in heads]])
+    found = [walk(initials, truncated, before, cells, some, 0, False)] if cells[0, 0] == cost else []
+    for c, i in heads:
+        if c == cost:
+            head = "D" * (i - 1 + sum(before[:i])) + "K"
+            found.append(head + walk(initials, truncated, before, cells, some, i, True))
+    return cost, min(found)
+
+
+def walk(initials, truncated, before, cells, some, i: int, must: bool) -> str:
+    """The ASCII-least audit from turn i on; ``must`` while a rest of two
+    characters at least is due."""
+    n, parity, out = len(initials), 0, ["D" * before[i]]
+    at = lambda i, parity, must: int(some[i]) if must else int(cells[i, parity])
+    while i < n or parity or must:
+        here = at(i, parity, must)
+        if i < n and here == DELETE + at(i + 1, parity, must):
+            out.append("D")
+        elif here == INSERT + at(i, 1 - parity, False):
+            out.append("I")
+            parity, must = 1 - parity, False
+            continue
+        else:
+            out.append("K" if initials[i] == "ua"[parity] else "R")
+            parity, must = 1 - parity, False
+        i += 1
+        out.append("D" * before[i])
+    return "".join(out)
+
+
 def least_audit(initials: list[str], must: list[bool], truncated: list[bool]) -> tuple[int, str]:
     """Cost and audit of the cheapest repair; ``must`` turns are deleted."""
     before, free, cut = [0], [], []
@@ -179,7 +237,9 @@ def least_audit(initials: list[str], must: list[bool], truncated: list[bool]) ->
             free.append(c if c in ("s", "u", "a") else "?")
             cut.append(short)
             before.append(0)
-    cost, audit = audits(Table("".join(free), cut), before)
+    initials = "".join(free)
+    wide = len(free) * band(initials, cut)[1] > CELLS
+    cost, audit = shared_cells(initials, cut, before) if wide else audits(Table(initials, cut), before)
     return cost + DELETE * sum(must), audit
 
 

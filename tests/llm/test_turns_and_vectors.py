@@ -167,6 +167,26 @@ def test_alignment_matches_all_repairs(seed):
         assert sr.least_audit(initials, must, cut) == brute_repair(tuple(initials), tuple(must), tuple(cut)), (initials, must, cut)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_shared_cells_give_the_same_audits(seed, monkeypatch):
+    monkeypatch.setattr(sr, "CELLS", -1)
+    test_alignment_matches_all_repairs(seed + 20)
+    test_long_alignment_in_blocks()
+
+
+def test_a_very_long_damaged_conversation():
+    r = random.Random(2)
+    initials = [r.choice("uast") if r.random() < 0.3 else "ua"[i % 2] for i in range(60_000)]
+    must, cut = [r.random() < 0.1 for _ in initials], [r.random() < 0.1 for _ in initials]
+    cut = [c and not m for c, m in zip(cut, must)]
+    cost, audit = sr.least_audit(initials, must, cut)
+    turns = [({"u": "user", "a": "assistant", "s": "system", "t": "tool"}[c], "x.") for c in initials]
+    roles = "".join(t["role"][0] for t in sr.applied(turns, audit))
+    assert roles.lstrip("s") == "ua" * (len(roles.lstrip("s")) // 2) and roles.count("s") <= 1
+    left = [c for c, e in zip(cut, audit.replace("I", "")) if e != "D"]
+    assert cost == 3 * (audit.count("R") + audit.count("I") + sum(left)) + 4 * audit.count("D")
+
+
 def test_long_alignment_in_blocks():
     r = random.Random(9)
     initials = [r.choice("ua") if r.random() < 0.2 else "ua"[i % 2] for i in range(180)]
