@@ -21,8 +21,8 @@ its number of links there and the least vector it hangs together with. Links are
 summed and components closed by ``graph.components``.
 
 The frame only steers the pruning, which leaves a margin of ``EPS``; a length
-without a frame (beyond the ``FRAMES`` most frequent ones) uses its first
-coordinates as they are. What the driver sees is one frame of LEAD directions
+without a frame (beyond the ``FRAMES`` most frequent ones, or over ``FRAME_DIM``)
+uses its first coordinates as they are. What the driver sees is one frame of LEAD directions
 per such length.
 
 Defined results: a null, zero or empty vector, one that holds a null, NaN or
@@ -54,7 +54,9 @@ CODED = 8
 BINS = (-1.15, -0.67, -0.32, 0.0, 0.32, 0.67, 1.15)
 TILE = 256
 BLOCK_BYTES = 4 << 20
+# Lengths that get a frame: the most frequent ones up to FRAME_DIM components.
 FRAMES = 16
+FRAME_DIM = 2048
 EPS = 1e-9
 
 BLOCK_SCHEMA = ("label {label}, dim int, block long, n int, ids binary, id_null binary, vectors binary, "
@@ -127,11 +129,17 @@ def principal(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def frames(vectors: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Leading directions and spreads of the most frequent lengths."""
+    """Leading directions and spreads of the most frequent lengths. A task sums one
+    square matrix for each of them."""
+    size = F.size("embedding")
+    lengths = (vectors.filter(F.col("label").isNotNull() & size.between(1, FRAME_DIM)).groupBy(size.alias("dim"))
+               .agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(FRAMES).collect())
+    if not lengths:
+        return {}
+    vectors = vectors.filter(size.isin([r.dim for r in lengths]))
     moments = (vectors.mapInArrow(moment_batches, "dim int, at long, s double")
                .groupBy("dim", "at").agg(F.sum("s").alias("s")))
-    found = (moments.groupBy("dim").applyInPandas(principal, "dim int, n long, frame binary, spread binary")
-             .orderBy(F.desc("n"), "dim").limit(FRAMES).collect())
+    found = moments.groupBy("dim").applyInPandas(principal, "dim int, n long, frame binary, spread binary").collect()
     return {r.dim: (np.frombuffer(r.frame).reshape(r.dim, -1), np.frombuffer(r.spread)) for r in found}
 
 
