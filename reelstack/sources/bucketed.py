@@ -26,6 +26,8 @@ def sink_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> str:
     try:
         (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
          .option("path", staging).saveAsTable(name))
+        # An empty table has no files that tell its columns.
+        spark.createDataFrame([], df.schema).write.parquet(f"{staging}/_schema")
         store.replace(staging, path.rstrip("/"))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -35,7 +37,7 @@ def sink_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> str:
 
 def scan_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
     """Read a table of ``sink_bucketed`` with its buckets known to the planner."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(f"{path}/_schema").schema.fields)
     name = f"reelstack_{uuid.uuid4().hex}"
     place = path.replace("'", "\\'")
     try:
