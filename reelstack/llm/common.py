@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Fixed values of the contracts: a word is a run of characters outside these.
 SPACES = " \t\n\u000b\f\r"
@@ -31,6 +32,19 @@ def unit_random(*cols) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / F.lit(float(2 ** 53))
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000):
+    """Jobs run inside hand Python at most ``rows`` rows of long texts at once,
+    which bounds what a task holds on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often it is used."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
