@@ -9,24 +9,26 @@ shingles of one hash propose pairs, too.
 
 Copies (equal word sequences) are collapsed first. Texts that share a sketch
 value and are of like length form a group: lengths of similar texts lie within
-a factor of 1.25, so a text stands in the group of its length class and of the next.
-Groups of the same members count once. Then, whatever the data, a fixed number of
-steps (each a Spark job over all groups):
+a factor of 1.25, so a text stands in the group of its own length class and of the
+next; two texts that are both guests from the class below meet in that one.
+Groups of the same members count once. All pairs of different classes in a group,
+whatever its size, are judged, in a fixed number of steps (each a Spark job over all
+groups):
 
 * every member is aligned with the group's lead, its least text;
-* groups that still hold texts no accepted links tie together are dealt to tasks:
-  all pairs of different classes of a group of up to ``SMALL`` members are judged;
-* a larger one is cut to runs of about that many members of nearest length,
-  each treated in the same way, and its texts propose once more with ``DEEP`` shingles.
-  Texts with a common passage share several such groups; a text stands in the
-  ``LARGE`` least of its own, which are mostly the same for all of them.
+* groups that still hold texts no accepted links tie together are dealt to tasks,
+  one of up to ``SMALL`` members whole, a larger one in cells of up to about ``CELL``
+  members of nearest length, and the pairs inside are judged;
+* larger groups that are still mixed then deal every two of their cells whose
+  lengths allow a similar pair to a task, which judges the pairs across.
 
 An alignment is a banded one of the words; bounds that are exact come before it:
 first the lengths, then histograms of the words, a few times smaller than the
-words, which rule nearly all unlike pairs out before any words travel. No pair is
-judged with a lead twice. Accepted links are closed to classes by connected components. Two texts are never
-compared if they share none of the values, or only values that more than ``SMALL``
-texts of their length share, in whose groups they are not in one run.
+words, which rule nearly all unlike pairs out before any words travel. Accepted links
+are closed to classes by connected components. Two texts are never compared only if
+they share none of the values. The pairs of a large group of unlike texts grow with
+the square of its size; what a task holds does not, and a group's rows travel once for
+each of its cells.
 
 Similar means a word edit similarity of ``SIMILARITY`` or more:
 1 - distance / longer length.
@@ -56,12 +58,12 @@ SHINGLE = 5
 SAMPLE = 2
 PAIRED = 12
 SINGLES = 32
-DEEP = 64
 SIMILARITY = 0.8
-# Members of a group, or of a run of a larger one, whose pairs one task judges.
+# Members of a group that one task judges whole.
 SMALL = 256
-# Larger groups a text stands in, after the leads.
-LARGE = 4
+# Members of a cell of a larger group, and bytes of their words.
+CELL = 2048
+CELL_BYTES = 8 << 20
 # A little over 1 / SIMILARITY: like lengths are in the same class or the next.
 CLASS_STEP = 1.26
 # Bins of a text's histogram, at most.
@@ -104,7 +106,7 @@ def paired(labelled: np.ndarray, flat: np.ndarray, starts: np.ndarray, owner: np
 
 
 def sketches(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Of a block of normal texts: the paired values, the up to ``DEEP`` least
+    """Of a block of normal texts: the paired values, the up to ``SINGLES`` least
     labelled shingles in order, and the hashes of the words."""
     hashes = [word_hashes(t) for t in texts]
     grams = [rolling(h, SHINGLE) if len(h) >= SHINGLE else rolling(h, len(h)) if len(h) else np.zeros(1, U64)
@@ -115,7 +117,7 @@ def sketches(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], list[np.
     flat = np.concatenate(grams)
     with np.errstate(over="ignore"):
         labelled = mix(flat + occurrence_labels(flat, owner).astype(U64) * U64(0xD1B54A32D192ED03))
-    least = [labelled[s:s + c] if c <= DEEP else np.partition(labelled[s:s + c], DEEP)[:DEEP]
+    least = [labelled[s:s + c] if c <= SINGLES else np.partition(labelled[s:s + c], SINGLES)[:SINGLES]
              for s, c in zip(starts, counts)]
     return paired(labelled, flat, starts, owner, len(texts)), [np.sort(v) for v in least], hashes
 
@@ -248,29 +250,45 @@ def near_batches(batches):
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def near_pairs(members: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int]]:
-    """Places of the pairs of different classes in one group, given as (node,
-    class, length, bins), that pass both bounds."""
-    sized = [len(m[3]) // 2 for m in members if m[3]]
+def near_pairs(members: list[tuple]):
+    """(place, later places) of the pairs of different classes in one group that pass
+    both bounds. A member is (node, class, length, own, side, bins, ...): two guests
+    (not ``own``) meet elsewhere, and so do two of one side but 0."""
+    sized = [len(m[5]) // 2 for m in members if m[5]]
     size = min(sized, default=1)
-    none = np.zeros(size, np.int64)
-    n = np.array([m[2] for m in members])
-    group = np.array([m[1] for m in members])
-    bins = np.array([folded(m[3], size) if m[3] else none for m in members])
-    known = np.array([bool(m[3]) for m in members])
-    found = []
+    bins = np.zeros((len(members), size), np.int32)
+    for row, m in zip(bins, members):
+        if m[5]:
+            row[:] = folded(m[5], size)
+    group, n, own, side = (np.array([m[k] for m in members]) for k in (1, 2, 3, 4))
+    known = np.array([bool(m[5]) for m in members])
     for i in range(len(members) - 1):
         limit = (1 - SIMILARITY) * np.maximum(n[i + 1:], n[i]) + 1e-9
         near = (np.abs(n[i + 1:] - n[i]) <= limit) & (group[i + 1:] != group[i])
-        apart = np.abs(bins[i + 1:] - bins[i]).sum(axis=1) > 2 * limit
-        near &= ~(apart & known[i + 1:] & known[i])
-        found += [(i, int(j)) for j in np.flatnonzero(near) + i + 1]
-    return found
-
-
-def tied(members: list[tuple[int, int, int, bytes, bytes]]) -> list[tuple[int, int]]:
-    """Links (node, node) that tie the similar texts of one group, given as (node,
-    class, length, bins, words); pairs in one class by then are not aligned."""
+        if not own[i]:
+            near &= own[i + 1:]
+        if side[i]:
+            near &= side[i + 1:] != side[i]
+        at = np.flatnonzero(near)
+        if known[i] and len(at):
+            apart = np.abs(bins[at + i + 1] - bins[i]).sum(axis=1) > 2 * limit[at]
+            at = at[~(apart & known[at + i + 1])]
+        if len(at):
+            yield i, at + i + 1
+
+
+def in_near_pairs(members: list[tuple]) -> list[int]:
+    """Nodes of one group that are in a pair of ``near_pairs``."""
+    found = np.zeros(len(members), bool)
+    for i, others in near_pairs(members):
+        found[i] = True
+        found[others] = True
+    return [members[i][0] for i in np.flatnonzero(found)]
+
+
+def tied(members: list[tuple]) -> list[tuple[int, int]]:
+    """Links (node, node) that tie the similar texts of one group, given as for
+    ``near_pairs`` with their words; pairs in one class by then are not aligned."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -278,13 +296,14 @@ def tied(members: list[tuple[int, int, int, bytes, bytes]]) -> list[tuple[int, i
             root[x] = x = root[root[x]]
         return x
 
-    words = [np.frombuffer(m[4], np.uint32) for m in members]
+    words = [np.frombuffer(m[6], np.uint32) for m in members]
     found = []
-    for i, j in near_pairs([m[:4] for m in members]):
-        a, b = find(members[i][1]), find(members[j][1])
-        if a != b and similar(words[i], words[j]):
-            root[b] = a
-            found.append((members[i][0], members[j][0]))
+    for i, others in near_pairs(members):
+        for j in others.tolist():
+            a, b = find(members[i][1]), find(members[j][1])
+            if a != b and similar(words[i], words[j]):
+                root[b] = a
+                found.append((members[i][0], members[j][0]))
     return found
 
 
@@ -311,37 +330,38 @@ def number_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def near_batches_of_groups(batches):
-    """(g, node, class, n, bins) sorted by group to the members (g, node) of a
-    pair that passes the bounds."""
-    return by_group(batches, lambda g, members: [
-        (g, members[i][0]) for i in sorted({i for pair in near_pairs(members) for i in pair})], ["g", "node"])
+    """(g, node, class, n, own, side, bins) sorted by group to the members (g, node)
+    of a pair that passes the bounds."""
+    return by_group(batches, lambda g, members: [(g, node) for node in in_near_pairs(members)], ["g", "node"])
 
 
 def tied_batches(batches):
-    """(g, node, class, n, bins, words) sorted by group to links (u, v)."""
+    """(g, node, class, n, own, side, bins, words) sorted by group to links (u, v)."""
     return by_group(batches, lambda g, members: tied(members), ["u", "v"])
 
 
-def proposals(texts: DataFrame, singles: int, paired: int = PAIRED) -> DataFrame:
-    """(key, node, n) of the first sketch values of every text."""
-    values = F.concat(F.slice(F.transform("sketch", lambda s, j: F.xxhash64(j, s)), 1, paired),
-                      F.slice("sketch", PAIRED + 1, singles))
+def proposals(texts: DataFrame) -> DataFrame:
+    """(key, node, n) of the sketch values of every text."""
+    values = F.slice(F.transform("sketch", lambda s, j: F.xxhash64(j, s)), 1, PAIRED)
+    values = F.concat(values, F.slice("sketch", PAIRED + 1, SINGLES))
     return texts.select("node", "n", F.explode(values).alias("key"))
 
 
 def grouped(rows: DataFrame) -> DataFrame:
-    """(g, node, n) of the groups of like length that share a value; those of
+    """(g, node, n, own) of the groups of like length that share a value; ``own``
+    tells texts of the group's length class from guests of the one below. Groups of
+    guests alone hold no pair that the class below lacks; those of
     the same members are kept once. The counts come from partial aggregates and are
     stored, so that the joins on them are of two plain exchanges, which can split a
     hot group over tasks."""
     shared = rows.groupBy("key").agg(F.count("*").alias("_c")).filter("_c > 1").select("key")
     rows = rows.join(materialize(shared, "omh_shared"), "key")
     length = F.floor(F.log(F.greatest("n", F.lit(1))) / F.log(F.lit(CLASS_STEP)))
-    rows = materialize(rows.withColumn("_l", F.explode(F.array(length, length + 1))).select(
-        F.xxhash64("key", "_l").alias("g"), "node", "n"), "omh_classes")
+    rows = materialize(rows.select("key", "node", "n", F.posexplode(F.array(length, length + 1)).alias("_p", "_l")).select(
+        F.xxhash64("key", "_l").alias("g"), "node", "n", (F.col("_p") == 0).alias("own")), "omh_classes")
     h = F.xxhash64("node")
-    groups = rows.groupBy("g").agg(F.count("*").alias("_c"), F.bit_xor(h).alias("_x"),
-                                   F.sum(F.shiftright(h, 24)).alias("_s")).filter("_c > 1")
+    groups = rows.groupBy("g").agg(F.count("*").alias("_c"), F.bit_xor(h).alias("_x"), F.sum(F.shiftright(h, 24)).alias("_s"),
+                                   F.max("own").alias("_o")).filter("_c > 1 AND _o")
     once = groups.groupBy("_c", "_x", "_s").agg(F.min("g").alias("g")).select("g")
     return materialize(rows.join(materialize(once, "omh_once"), "g"), "omh_groups")
 
@@ -352,92 +372,100 @@ def sides(pairs: DataFrame, words: DataFrame, column: str) -> DataFrame:
     return pairs.join(of("u"), "u").join(of("v"), "v").select(*pairs.columns, "_u", "_v")
 
 
-def led(pairs: DataFrame, words: DataFrame, judged: DataFrame | None, step: str) -> tuple[DataFrame, DataFrame]:
-    """Links (u, v) among pairs (lead, node, their lengths), and all pairs judged
-    so far. Pairs of unlike length and pairs judged before are left out."""
+def led(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Links (u, v) among pairs (lead, node, their lengths). Pairs of unlike length
+    are left out."""
     longer = F.greatest("n", "lead_n")
     pairs = pairs.filter(F.abs(F.col("n") - F.col("lead_n")) <= (1 - SIMILARITY) * longer + 1e-9)
     pairs = pairs.select(F.least("lead", "node").alias("u"), F.greatest("lead", "node").alias("v"), longer.alias("longer")).distinct()
-    if judged is not None:
-        pairs = pairs.join(judged, ["u", "v"], "left_anti")
-    pairs = materialize(pairs, f"omh_pairs_{step}")
-    near = materialize(sides(pairs, words, "bins").mapInArrow(near_batches, "u long, v long"), f"omh_near_{step}")
-    links = materialize(sides(near, words, "words").mapInArrow(align_batches, "u long, v long"), f"omh_links_{step}")
-    pairs = pairs.select("u", "v")
-    return links, pairs if judged is None else judged.unionByName(pairs)
-
-
-def with_class(members: DataFrame, leads: DataFrame, firsts: DataFrame, known: DataFrame) -> DataFrame:
-    """Members with their text's class, by what is ``known`` (node, class) and
-    by the links to their group's lead: those take the lead's class."""
-    ends = lambda u, v: firsts.select(F.col(u).alias("lead"), F.col(v).alias("node"))
-    linked = ends("u", "v").unionByName(ends("v", "u")).withColumn("_linked", F.lit(True))
-    members = members.join(leads.select("g", "lead"), "g").join(linked, ["lead", "node"], "left")
-    of_lead = known.select(F.col("node").alias("lead"), F.col("class").alias("_lead_class"))
-    members = members.join(known, "node", "left").join(of_lead, "lead", "left")
-    own, lead = F.coalesce("class", "node"), F.coalesce("_lead_class", "lead")
-    return members.select("g", "node", "n", F.when(F.col("_linked"), lead).otherwise(own).alias("class"))
-
-
-def link_groups(members: DataFrame, words: DataFrame, judged: DataFrame | None, known: DataFrame | None,
-                step: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Links found in the groups, the judged pairs, the known classes (node, class),
-    and the texts of large groups that stayed mixed."""
-    lead = members.groupBy("g").agg(F.min(F.struct("node", "n")).alias("_l")).select(
-        "g", F.col("_l.node").alias("lead"), F.col("_l.n").alias("lead_n"))
-    leads = materialize(lead, f"omh_leads_{step}")
-    firsts, judged = led(members.join(leads, "g").filter("node <> lead"), words, judged, f"{step}_1")
-    if known is None:
-        known = components(firsts).withColumnRenamed("component", "class")
-    # What the lead left open: members of different classes, the lead apart.
-    rest = materialize(with_class(members, leads, firsts, known), f"omh_rest_{step}")
+    near = materialize(sides(materialize(pairs, "omh_pairs"), words, "bins").mapInArrow(near_batches, "u long, v long"), "omh_near")
+    return materialize(sides(near, words, "words").mapInArrow(align_batches, "u long, v long"), "omh_links")
+
+
+def mixed(members: DataFrame, links: DataFrame, step: str) -> DataFrame:
+    """Members of the groups whose texts are of several classes by the links, with
+    the class and whether the group is a large one. A lead settles a group of two."""
+    known = components(links).withColumnRenamed("component", "class")
+    rest = members.join(known, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    rest = materialize(rest, f"omh_rest_{step}")
     state = rest.groupBy("g").agg(F.count("*").alias("_c"), F.min("class").alias("_a"), F.max("class").alias("_b"))
-    state = materialize(state.filter("_a < _b AND _c > 2").select("g", (F.col("_c") > SMALL).alias("large")), f"omh_open_{step}")
-    rest = materialize(rest.join(state, "g"), f"omh_mixed_{step}")
-    least = F.row_number().over(Window.partitionBy("node").orderBy("g"))
-    large = materialize(rest.filter("large").withColumn("_k", least).filter(F.col("_k") <= LARGE).drop("_k"), f"omh_large_{step}")
-    dealt = rest.filter("NOT large").unionByName(large.join(runs(large, step), ["g", "n"]).select(
-        F.xxhash64("g", "run", F.pmod(F.xxhash64("node"), "parts")).alias("g"), "node", "n", "class", "large"))
-    # First which members are in a pair that the bounds leave, by their histograms
-    # alone; then these with their words.
-    tasks = shuffle_partitions(members.sparkSession)
-    grouped_rows = lambda rows: rows.repartition(tasks, "g").sortWithinPartitions("g", "node")
-    dealt = materialize(dealt.select("g", "node", "class", "n"), f"omh_dealt_{step}")
-    near = grouped_rows(dealt.join(words.select("node", "bins"), "node").select("g", "node", "class", "n", "bins")).mapInArrow(
+    state = state.filter("_a < _b AND _c > 2").select("g", (F.col("_c") > SMALL).alias("large"))
+    return materialize(rest.join(materialize(state, f"omh_open_{step}"), "g"), f"omh_mixed_{step}")
+
+
+def inside(dealt: DataFrame, words: DataFrame, step: str) -> DataFrame:
+    """Links (u, v) among the members (g, node, class, n, own, side) of each g: first
+    which of them are in a pair that the bounds leave, by their histograms alone;
+    then these with their words."""
+    tasks = shuffle_partitions(dealt.sparkSession)
+    rows = lambda df: df.repartition(tasks, "g").sortWithinPartitions("g", "node")
+    cols = ["g", "node", "class", "n", "own", "side"]
+    dealt = materialize(dealt.select(*cols), f"omh_dealt_{step}")
+    near = rows(dealt.join(words.select("node", "bins"), "node").select(*cols, "bins")).mapInArrow(
         near_batches_of_groups, "g long, node long")
-    near = dealt.join(materialize(near, f"omh_near_{step}_2"), ["g", "node"]).join(words, "node").select(
-        "g", "node", "class", "n", "bins", "words")
-    inside = materialize(grouped_rows(near).mapInArrow(tied_batches, "u long, v long"), f"omh_links_{step}_2")
-    return firsts.unionByName(inside), judged, known, rest.filter("large").select("node").distinct()
+    near = dealt.join(materialize(near, f"omh_near_{step}"), ["g", "node"]).join(words, "node").select(*cols, "bins", "words")
+    return materialize(rows(near).mapInArrow(tied_batches, "u long, v long"), f"omh_links_{step}")
 
 
-def runs(large: DataFrame, step: str) -> DataFrame:
+def link_groups(members: DataFrame, words: DataFrame) -> DataFrame:
+    """Links (u, v) that tie all similar texts of every group."""
+    lead = members.groupBy("g").agg(F.min(F.struct("node", "n")).alias("_l")).select(
+        "g", F.col("_l.node").alias("lead"), F.col("_l.n").alias("lead_n"))
+    found = led(members.join(materialize(lead, "omh_leads"), "g").filter("node <> lead"), words)
+    rest = mixed(members, found, "a")
+    large = rest.filter("large").drop("large")
+    large = materialize(large.join(runs(large), ["g", "n"]).withColumn(
+        "cell", F.shiftleft("run", 20) + F.pmod(F.xxhash64("node"), "parts")).drop("run", "parts"), "omh_cells")
+    dealt = rest.filter("NOT large").drop("large").unionByName(
+        large.withColumn("g", F.xxhash64("g", "cell")).drop("cell"))
+    found = found.unionByName(inside(dealt.withColumn("side", F.lit(0)), words, "a"))
+    if large.isEmpty():
+        return found
+    rest = mixed(large.drop("class"), found, "b")
+    return found.unionByName(inside(across(rest), words, "b"))
+
+
+def runs(large: DataFrame) -> DataFrame:
     """(g, n, run, parts) of large groups: lengths next to one another make runs of
-    about ``SMALL`` members, and members of one length are dealt to parts where they
+    one cell's members, and members of one length are dealt to parts where they
     are more. Only counts by group and length meet in a window."""
-    counts = large.groupBy("g", "n").agg(F.count("*").alias("_c"))
+    room = F.greatest(F.lit(1), F.least(F.lit(CELL), F.floor(F.lit(CELL_BYTES) / (4 * F.greatest("n", F.lit(1))))))
+    counts = large.groupBy("g", "n").agg((F.count("*") / room).alias("_c"))
     before = Window.partitionBy("g").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     return materialize(counts.select(
-        "g", "n", F.floor(F.coalesce(F.sum("_c").over(before), F.lit(0)) / SMALL).alias("run"),
-        F.ceil(F.col("_c") / SMALL).alias("parts")), f"omh_runs_{step}")
+        "g", "n", F.floor(F.coalesce(F.sum("_c").over(before), F.lit(0))).alias("run"),
+        F.ceil("_c").alias("parts")), "omh_runs")
+
+
+def across(large: DataFrame) -> DataFrame:
+    """Members (g, node, class, n, own, side) of every two cells of a group that may
+    hold a similar pair, one cell on side 1, the other on side 2. The pairs are of
+    cells, whose number is a small part of that of the members."""
+    cells = materialize(large.groupBy("g", "cell").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("class").alias("a"), F.max("class").alias("b"),
+        F.max("own").alias("o")), "omh_cell_list")
+    x, y = cells.alias("x"), cells.alias("y")
+    later = F.greatest("x.lo", "y.lo")
+    pairs = x.join(y, F.col("x.g") == F.col("y.g")).filter(
+        (F.col("x.cell") < F.col("y.cell")) & (F.col("x.o") | F.col("y.o"))
+        & (later - F.least("x.hi", "y.hi") <= (1 - SIMILARITY) * later + 1e-9)
+        & (F.least("x.a", "y.a") < F.greatest("x.b", "y.b")))
+    key = F.xxhash64("x.g", "x.cell", "y.cell").alias("key")
+    both = F.array(*[F.struct(F.col(f"{c}.cell").alias("cell"), F.lit(k).alias("side")) for k, c in ((1, "x"), (2, "y"))])
+    dealt = materialize(pairs.select(F.col("x.g").alias("g"), key, F.explode(both).alias("_s")).select("g", "key", "_s.*"), "omh_cell_pairs")
+    return large.join(dealt, ["g", "cell"]).select(F.col("key").alias("g"), "node", "class", "n", "own", "side")
 
 
 def links(texts: DataFrame) -> DataFrame:
     """Accepted pairs (u, v) among distinct texts (node, n, sketch, bins, words)."""
-    members = grouped(proposals(texts, SINGLES))
+    members = grouped(proposals(texts))
     wanted = materialize(members.select("node").distinct(), "omh_wanted")
     # Bucketed by text: the joins that fetch histograms and words move the pairs
     # and groups, never the whole table again.
     spark = texts.sparkSession
     path = sink_bucketed(texts.select("node", "bins", "words").join(wanted, "node"),
                          scratch_path(spark, "omh_words"), "node", shuffle_partitions(spark))
-    words = scan_bucketed(spark, path, "node", shuffle_partitions(spark))
-    found, judged, known, open_texts = link_groups(members, words, None, None, "a")
-    open_texts = materialize(open_texts, "omh_deep")
-    if open_texts.isEmpty():
-        return found
-    again = grouped(proposals(texts.join(open_texts, "node"), DEEP, 0))
-    return found.unionByName(link_groups(again, words, judged, known, "b")[0])
+    return link_groups(members, scan_bucketed(spark, path, "node", shuffle_partitions(spark)))
 
 
 def classes(docs: DataFrame) -> DataFrame:

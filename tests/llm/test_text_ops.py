@@ -179,6 +179,19 @@ def test_near_dedup_copies_in_a_large_mixed_group(spark, monkeypatch):
     assert linked(spark, texts, {i: [5, 6, kind(i)] for i in texts}) == {i: kind(i) for i in texts}
 
 
+def test_near_dedup_judges_all_pairs_of_a_large_group(spark, monkeypatch):
+    """Similar texts far apart in the lengths of a group of many unlike texts,
+    with no other value in common, and two of one length."""
+    for name, size in (("SMALL", 16), ("CELL", 16)):
+        monkeypatch.setattr(near_dedup, name, size, raising=False)
+    texts = {i: edge.prose(100 + i % 24, 400 + i).split() for i in range(2, 120)}
+    texts[200] = [*texts[24 * 2], *(f"more{k}" for k in range(20))]
+    texts[201] = [f"new{k}" if k < 9 else w for k, w in enumerate(texts[50])]
+    texts[202] = [f"last{k}" if k > 90 else w for k, w in enumerate(texts[201])]
+    same = {200: 48, 201: 50, 202: 50}
+    assert linked(spark, texts, {i: [5] for i in texts}) == {i: same.get(i, i) for i in texts}
+
+
 @pytest.mark.parametrize("shared,own_only", [(0, False), (90, False), (150, False), (90, True)])
 def test_near_dedup_recall_beside_a_common_passage(spark, shared, own_only):
     """Pairs of similarity 0.80 to 0.85 whose texts hold a passage that hundreds
