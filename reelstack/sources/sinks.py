@@ -9,7 +9,7 @@ from ..operators.keys import row_number_scaled
 from ..operators.profile import profile_state
 from ..operators.setops import union_all
 from ..session import shuffle_partitions
-from ..storage import Store, staging_folder
+from ..storage import TASKS_PLACE_FILES, Store, staging_folder
 
 # Rows per NDJSON file unless the caller asks for another number.
 NDJSON_RECORDS = 100_000
@@ -44,13 +44,14 @@ def sink_ndjson(df: DataFrame, path: str, max_records: int = NDJSON_RECORDS, ord
         numbered = row_number_scaled(df, order, "_nd_rn")
         chunked = numbered.withColumn(_CHUNK, F.floor((F.col("_nd_rn") - 1) / max_records))
         (chunked.repartition(shuffle_partitions(spark), _CHUNK).sortWithinPartitions(_CHUNK, "_nd_rn")
-         .select(*cols, _CHUNK).write.partitionBy(_CHUNK).option("maxRecordsPerFile", 0).json(f"{staging}/chunks"))
+         .select(*cols, _CHUNK).write.partitionBy(_CHUNK).option("maxRecordsPerFile", 0).options(**TASKS_PLACE_FILES).json(f"{staging}/chunks"))
         store.make(f"{staging}/named")
-        for folder in store.names(f"{staging}/chunks"):
-            if folder.startswith(f"{_CHUNK}="):
-                file, = [n for n in store.names(f"{staging}/chunks/{folder}") if n.startswith("part-")]
-                number = folder.split("=", 1)[1]
-                store.rename(f"{staging}/chunks/{folder}/{file}", f"{staging}/named/parte_{number}.json")
+        # A listing by Spark, no contents; a chunk of two files would be a broken one.
+        written = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{staging}/chunks").select("_metadata.file_path")
+        files = [row[0].rsplit("/", 2)[1:] for row in written.collect()]
+        assert len({folder for folder, _ in files}) == len(files), f"{path}: a chunk is in several files"
+        store.rename_all([(f"{staging}/chunks/{folder}/{file}", f"{staging}/named/parte_{folder.split('=', 1)[1]}.json")
+                          for folder, file in files])
         store.replace(f"{staging}/named", path.rstrip("/"))
     finally:
         store.delete(staging)

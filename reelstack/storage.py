@@ -11,6 +11,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# For writes into a staging folder: each task puts its files in place, instead of the
+# driver all of them one by one. Nobody reads the folder before the job is through.
+TASKS_PLACE_FILES = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
 
 def staging_folder(parent: str) -> str:
     """A fresh folder under ``parent`` that Spark's readers skip."""
@@ -41,6 +45,13 @@ class Store:
         if self.exists(dst) or not self._fs.rename(self._path(src), self._path(dst)):
             raise FileExistsError(f"cannot move {src} to {dst}")
 
+    def rename_all(self, moves: list[tuple[str, str]]) -> None:
+        """``rename`` of many, to places of different names in folders that are there."""
+        path = self._jvm.org.apache.hadoop.fs.Path
+        for src, dst in moves:
+            if not self._fs.rename(path(src), path(dst)):
+                raise FileExistsError(f"cannot move {src} to {dst}")
+
     def replace(self, src: str, dst: str) -> None:
         """Move ``src`` to ``dst``, which is removed first."""
         self.delete(dst)

@@ -67,6 +67,15 @@ def test_sink_ndjson_exact_chunks(spark, n):
     assert all(r.lo % 100 == 0 and r.c <= 100 for r in per_file)
 
 
+def test_sink_ndjson_asks_the_store_once_for_all_chunks(spark, monkeypatch):
+    from reelstack.storage import Store
+    listed, names = [], Store.names
+    monkeypatch.setattr(Store, "names", lambda self, path: listed.append(path) or names(self, path))
+    path = src.sink_ndjson(spark.range(300), scratch_path(spark, "nd3"), 10, order="id")
+    assert spark.read.json(path).count() == 300
+    assert len(listed) < 5
+
+
 def test_sink_ndjson_unordered_respects_max_records(spark):
     df = spark.range(250).repartition(3)
     path = src.sink_ndjson(df, scratch_path(spark, "nd2"), 100)
