@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType,
                                LongType, ShortType, StringType, StructField, StructType)
 
+from ..functions.casts import whole
 from ..schemas import MOVIES_CSV
 from ..session import materialize
 from .landing import manifest, odd_quotes, text_lines
@@ -39,18 +40,20 @@ def _typed(c: Column, dtype: DataType) -> Column:
     if isinstance(dtype, ArrayType):
         return F.transform(c, lambda x: _typed(x, dtype.elementType))
     if isinstance(dtype, _WHOLE):
-        return F.coalesce(c.try_cast(dtype), c.try_cast("double").try_cast(dtype))
+        return whole(c, dtype)
     return c.try_cast(dtype) if isinstance(dtype, _READ_AS_TEXT) else c
 
 
-def _lost(c: Column, dtype: DataType) -> Column:
-    """Whether a value is there whose type cannot be had from its text."""
+def _lost(c: Column, dtype: DataType, typed: Column) -> Column:
+    """Whether a value is there whose type cannot be had from its text, given what
+    was had from it."""
     if isinstance(dtype, StructType):
-        return reduce(lambda a, b: a | b, [_lost(c[f.name], f.dataType) for f in dtype.fields], F.lit(False))
+        return reduce(lambda a, b: a | b, [_lost(c[f.name], f.dataType, typed[f.name]) for f in dtype.fields], F.lit(False))
     if isinstance(dtype, ArrayType):
-        return F.coalesce(F.exists(c, lambda x: _lost(x, dtype.elementType)), F.lit(False))
+        both = F.arrays_zip(c.alias("c"), typed.alias("t"))
+        return F.coalesce(F.exists(both, lambda x: _lost(x["c"], dtype.elementType, x["t"])), F.lit(False))
     if isinstance(dtype, _READ_AS_TEXT):
-        return c.isNotNull() & _typed(c, dtype).isNull()
+        return c.isNotNull() & typed.isNull()
     return F.lit(False)
 
 
@@ -73,18 +76,27 @@ def scan_ndjson_checked(spark: SparkSession, path: str, schema: StructType) -> t
     """The rows of ``scan_ndjson`` but for lines that are no JSON object, and the
     records that did not decode in full: ``file``, ``record`` (the line) and
     ``fields`` (the names whose value was lost; empty for a line that is no
-    object, which is in no row)."""
+    object, which is in no row). Every line is decoded once, when this is called."""
+    decoded = materialize(decode_ndjson(spark, path, schema), "ndjson")
+    return decoded.filter("NOT broken").select("row.*"), decoded.filter("record IS NOT NULL").select("file", "record", "fields")
+
+
+def decode_ndjson(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """(file, row, broken, fields, record) per line that is not blank: the typed
+    fields, whether the line is no JSON object, the names of the lost fields,
+    and the line where something was lost. A filter on these columns would go
+    below the decoding and decode the line again for each field it names: store
+    them first."""
     options = {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}
     as_text = StructType([*text_schema(schema).fields, StructField("_bad", StringType(), True)])
     lines = spark.read.text(path).filter(F.trim("value") != "")
     read = lines.select("value", F.col("_metadata.file_path").alias("file"), F.from_json("value", as_text, options).alias("r"))
     field = lambda f: F.col(f"r.{_quoted(f.name)}")
-    broken = F.col("r").isNull() | F.col("r._bad").isNotNull()
-    rows = read.filter(~broken).select(*[_typed(field(f), f.dataType).alias(f.name) for f in schema.fields])
-    lost = F.array_compact(F.array(*[F.when(_lost(field(f), f.dataType), F.lit(f.name)) for f in schema.fields]))
-    rejects = read.select("file", F.col("value").alias("record"),
-                          F.when(broken, F.array().cast("array<string>")).otherwise(lost).alias("fields"), broken.alias("_b"))
-    return rows, rejects.filter(F.col("_b") | (F.size("fields") > 0)).drop("_b")
+    read = read.withColumn("row", F.struct(*[_typed(field(f), f.dataType).alias(f.name) for f in schema.fields]))
+    lost = F.array_compact(F.array(*[F.when(_lost(field(f), f.dataType, F.col(f"row.{_quoted(f.name)}")), F.lit(f.name)) for f in schema.fields]))
+    read = read.select("value", "file", "row", (F.col("r").isNull() | F.col("r._bad").isNotNull()).alias("broken"), lost.alias("lost"))
+    return read.select("file", "row", "broken", F.when(F.col("broken"), F.array().cast("array<string>")).otherwise(F.col("lost")).alias("fields"),
+                       F.when(F.col("broken") | (F.size("lost") > 0), F.col("value")).alias("record"))
 
 
 def _quoted(name: str) -> str:

@@ -1,8 +1,10 @@
 """Column functions: lenient casts, keywords, JSON fields, paths (FIXTURES A4 edge values)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from reelstack import functions as fn
+from reelstack.functions import casts
 
 
 def test_lenient_int_never_throws(spark):
@@ -65,3 +67,15 @@ def test_predicates(spark):
     assert sorted(r.i for r in keep.collect()) == ["tt1", "tt2"]
     assert df.filter(fn.any_of(fn.id_in("i", ["tt1"]), fn.id_not_in("y", [2000, 2001, 2015]))) \
         .count() == 2
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "int", "bigint"])
+def test_whole_is_the_plain_casts(spark, kind):
+    texts = [None, "", " ", "7", " 7 ", "+7", "-7", "7.", "7.0", ".5", "7.9", "-0", "1e3", "1E3", "7d", "7L", "0x1F", "NaN", "Infinity",
+             "\\N", "n/a", "--7", "7-", "7 7", "\t7\n", "9" * 30, "9007199254740993", "9007199254740993.0", "300", "\u0667", "7,5", "7\u00a0"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.coalesce(F.col("t").try_cast(kind), F.col("t").try_cast("double").try_cast(kind))
+    got = rows.select("t", plain.alias("a"), casts.whole("t", kind).alias("b")).collect()
+    assert [(r.t, r.b) for r in got] == [(r.t, r.a) for r in got]
+    money = spark.range(1).select(F.lit("9007199254740993.50").cast("decimal(20,2)").alias("m"), F.lit(7.9).alias("d"))
+    assert tuple(money.select(casts.whole("m", "bigint"), casts.whole("d", kind)).first()) == (9007199254740993, 7)

@@ -5,10 +5,12 @@ import io
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from reelstack import operators as op
 from reelstack.plans.acceptance import QUERIES, table
 from reelstack.session import scratch_path
+from reelstack.sources.readers import decode_ndjson, scan_ndjson_checked
 
 from .conftest import SF001
 
@@ -112,3 +114,16 @@ def test_flatten_pages_never_shuffles_pages_by_group(spark):
     text = plan(flatten_pages(landed, ["ano", "genre_id"]))
     kept_side = text.split("BroadcastExchange")[0]
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in kept_side
+
+
+def test_checked_lines_are_decoded_once(spark):
+    """Filters on decoded columns must not decode a line once per field."""
+    path = scratch_path(spark, "lines")
+    spark.range(3).select(F.to_json(F.struct("id", (F.col("id") * 2.0).alias("budget"))).alias("value")).write.text(path)
+    schema = StructType([StructField("id", LongType()), StructField("budget", LongType())])
+    rows, rejects = scan_ndjson_checked(spark, path, schema)
+    for df in (rows.filter("budget > 0 AND id >= 0"), rejects):
+        assert plan(df, "extended").split("Optimized Logical Plan")[1].count("from_json(") <= 2  # both plans name it
+    assert sorted(rows.collect()) == [(0, 0), (1, 2), (2, 4)]
+    decoded = decode_ndjson(spark, path, schema)
+    assert plan(decoded, "extended").split("Optimized Logical Plan")[1].split("Physical Plan")[0].count("from_json(") == 1
