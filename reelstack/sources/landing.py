@@ -21,10 +21,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import base_name
 from ..layout import date_path
-from ..storage import Store, staging_folder
+from ..session import shuffle_partitions
+from ..storage import TASKS_PLACE_FILES, Store, staging_folder
 
 MANIFEST = "_manifest"
 BOM = b"\xef\xbb\xbf"
+# Files of which a task may hold all bytes.
+SMALL_FILE = 1 << 20
 
 
 def text_lines(spark: SparkSession, path) -> DataFrame:
@@ -81,17 +84,42 @@ def land_raw(spark: SparkSession, src: str, layer: str, as_of, file_col: str = "
         _copy(spark, src, f"{staging}/files", file_col, name)
         _write_manifest(spark, f"{staging}/files", f"{staging}/{MANIFEST}", file_col)
         _check(spark, src, staging)
-        for folder in store.names(f"{staging}/files"):
-            if folder.startswith(f"{file_col}="):
-                for part in ("files", MANIFEST):
-                    dst = f"{target}/{folder}" if part == "files" else f"{target}/{MANIFEST}/{folder}"
-                    if store.exists(f"{staging}/{part}/{folder}"):
-                        store.replace(f"{staging}/{part}/{folder}", dst)
+        _place(store, staging, target, file_col)
     finally:
         store.delete(staging)
     return target
 
 
+def _place(store: Store, staging: str, target: str, file_col: str) -> None:
+    """Each landed folder, then its manifest, in place of the earlier one. What is
+    there is listed once; a new folder takes one move."""
+    places = {"files": target, MANIFEST: f"{target}/{MANIFEST}"}
+    new = {part: set(store.names(f"{staging}/{part}")) for part in places}
+    old = {part: set(store.names(place)) for part, place in places.items()}
+    for part, place in places.items():
+        if new[part]:
+            store.make(place)
+    for folder in sorted(n for n in new["files"] if n.startswith(f"{file_col}=")):
+        for part, place in places.items():
+            if folder in new[part]:
+                if folder in old[part]:
+                    store.delete(f"{place}/{folder}")
+                store.rename_all([(f"{staging}/{part}/{folder}", f"{place}/{folder}")])
+
+
+def _ends(spark: SparkSession, src: str, files: dict[str, int]) -> dict[str, tuple[bytes, bytes]]:
+    """The first three and last four bytes of every file: tasks take them from
+    the files of up to ``SMALL_FILE`` bytes, which may be many, the driver from
+    the others."""
+    small = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(src)
+             .filter(F.col("length") <= SMALL_FILE)
+             .select(F.col("_metadata.file_path").alias("f"), F.substring("content", 1, 3).alias("head"),
+                     F.expr("substring(content, greatest(length(content) - 3, 1), 4)").alias("tail")))
+    ends = {r.f: (bytes(r.head), bytes(r.tail)) for r in small.collect()}
+    reader = Store(spark, src)
+    return {f: ends[f] if f in ends else reader.ends(f, tail=4) for f in files}
+
+
 def _copy(spark: SparkSession, src: str, out: str, file_col: str, name: str | None) -> None:
     files = source_files(spark, src)
     reader, target = Store(spark, src), Store(spark, out)
@@ -101,7 +129,7 @@ def _copy(spark: SparkSession, src: str, out: str, file_col: str, name: str | No
         raise ValueError(f"{src}: two files are named {twice}")
     # Files the line reader would not give back whole: a byte order mark is
     # skipped, and a last line without an end looks like one with it.
-    ends = {f: reader.ends(f, tail=4) for f in files}
+    ends = _ends(spark, src, files)
     marked = [f for f, (head, _) in ends.items() if head == BOM]
     unended = {f: tail for f, (_, tail) in ends.items() if not tail.endswith(b"\n")}
     lines = text_lines(spark, src)
@@ -130,7 +158,7 @@ def _copy(spark: SparkSession, src: str, out: str, file_col: str, name: str | No
     # by folder alone.
     body = lines.filter(~F.coalesce("last", F.lit(False))).withColumns(place)
     (body.sortWithinPartitions(file_col, "at", "no").select("value", file_col, "at")
-     .write.mode("append").option("lineSep", "\n").partitionBy(file_col, "at").text(out))
+     .write.mode("append").option("lineSep", "\n").options(**TASKS_PLACE_FILES).partitionBy(file_col, "at").text(out))
     # A last line without an end is written as its text up to the last
     # character, with that character as the line end.
     for char in sorted({_last_char(f, tail) for f, tail in unended.items()}):
@@ -138,7 +166,7 @@ def _copy(spark: SparkSession, src: str, out: str, file_col: str, name: str | No
         ending = (lines.filter("last").filter(F.col("source").isin(tails)).withColumns(place)
                   .withColumn("at", F.concat("at", F.lit("-end"))))
         (ending.select(F.expr("substring(value, 1, length(value) - 1)").alias("value"), file_col, "at")
-         .write.mode("append").option("lineSep", char).partitionBy(file_col, "at").text(out))
+         .write.mode("append").option("lineSep", char).options(**TASKS_PLACE_FILES).partitionBy(file_col, "at").text(out))
 
 
 def _last_char(file: str, tail: bytes) -> str:
@@ -165,7 +193,9 @@ def _write_manifest(spark: SparkSession, files: str, out: str, file_col: str) ->
     rows = digests.join(texts, "part").select(
         value.alias(file_col), F.regexp_extract("part", r"/(at=[^/]*/[^/]*)$", 1).alias("part"), "bytes", "lines",
         "sha256", "odd_quotes", F.when(begins, F.col("first_line")).alias("first_line"))
-    rows.write.partitionBy(file_col).json(out)
+    # The rows are few and their files many: a number of its own keeps them from one task.
+    (rows.repartition(shuffle_partitions(spark), file_col)
+     .write.options(**TASKS_PLACE_FILES).partitionBy(file_col).json(out))
 
 
 def manifest(spark: SparkSession, landed: str) -> DataFrame | None:

@@ -8,6 +8,8 @@ import pytest
 from reelstack import sources as src
 from reelstack.schemas import MOVIES_CSV
 from reelstack.session import scratch_path
+from reelstack.sources.landing import BOM
+from reelstack.storage import Store
 
 from .conftest import rows
 
@@ -188,3 +190,23 @@ def test_two_files_of_one_name_raise(spark, tmp_path):
         (tmp_path / folder / "a.csv").write_text("h\n")
     with pytest.raises(ValueError, match="two files"):
         src.land_raw(spark, str(tmp_path), scratch_path(spark, "Raw"), DAY)
+
+
+def test_the_driver_calls_do_not_grow_with_the_files(spark, tmp_path, monkeypatch):
+    calls = []
+    for name in ("exists", "ends", "delete", "make", "names"):
+        plain = getattr(Store, name)
+        monkeypatch.setattr(Store, name, lambda self, *a, _f=plain, _n=name, **k: (calls.append(_n), _f(self, *a, **k))[1])
+    counts, root = [], scratch_path(spark, "Raw")
+    for n in (3, 30):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"{n}_{i}.csv").write_bytes(BOM * (i % 2) + b"k|v\n%d|x" % i + b"\n" * (i % 3))
+        calls.clear()
+        landed = src.land_raw(spark, str(folder), root, DAY)
+        counts.append(len(calls))
+        assert src.verify_landing(spark, landed).count() == 0
+        for i in range(n):
+            assert landed_bytes(f"{landed}/file={n}_{i}.csv") == (folder / f"{n}_{i}.csv").read_bytes()
+    assert counts[0] == counts[1]
