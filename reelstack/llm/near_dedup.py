@@ -43,12 +43,13 @@ empty table gives an empty result; extra columns are ignored or carried along.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reelstack.llm.common import only, small_batches, with_row
+from reelstack.llm.common import maybe_in, only, small_batches, with_row
 from reelstack.llm.graph import components
 from reelstack.llm.tokens import U64, blocks, mix, normal, rolling, seeded, word_hashes
 from reelstack.session import materialize, scratch_path, settled, shuffle_partitions
@@ -66,8 +67,10 @@ CELL = 2048
 CELL_BYTES = 8 << 20
 # A little over 1 / SIMILARITY: like lengths are in the same class or the next.
 CLASS_STEP = 1.26
-# Bins of a text's histogram, at most.
+# Bins of a text's histogram, at most; of that of its word pairs, which only the
+# members of one group at a time have.
 BINS = 8192
+PAIR_BINS = 1024
 
 
 def occurrence_labels(grams: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -161,6 +164,20 @@ def sketch_batches(batches):
                 names=["id", "tx", "copy", "n", "sketch", "bins", "words"])
 
 
+def word_batches(batches):
+    """(id, tx, text) to (id, tx, words as in ``sketch_batches``); repeats in a
+    batch are left out."""
+    for batch in batches:
+        found = {}
+        for i, tx, text in zip(*[c.to_pylist() for c in batch.columns]):
+            if (i, tx) not in found:
+                found[i, tx] = (word_hashes(normal(text)) >> U64(32)).astype(np.uint32).tobytes()
+        if found:
+            yield pa.RecordBatch.from_arrays([
+                pa.array([i for i, _ in found], pa.int64()), pa.array([tx for _, tx in found], pa.int64()),
+                pa.array(list(found.values()), pa.binary())], names=["id", "tx", "words"])
+
+
 def banded_distance(a: list, b: list, band: int) -> int:
     """Edit distance of ``a`` (the longer) and ``b`` if it is at most ``band``,
     else ``band + 1``. One diagonal band of the alignment table is kept as bit
@@ -277,18 +294,32 @@ def near_pairs(members: list[tuple]):
             yield i, at + i + 1
 
 
-def in_near_pairs(members: list[tuple]) -> list[int]:
-    """Nodes of one group that are in a pair of ``near_pairs``."""
+def in_near_pairs(members: list[tuple]) -> list[tuple]:
+    """Members of one group that are in a pair of ``near_pairs``."""
     found = np.zeros(len(members), bool)
     for i, others in near_pairs(members):
         found[i] = True
         found[others] = True
-    return [members[i][0] for i in np.flatnonzero(found)]
+    return [members[i] for i in np.flatnonzero(found)]
+
 
+def pair_bins(words: list[np.ndarray]) -> np.ndarray:
+    """How many pairs of neighbouring words fall on each bin, for every text: an edit
+    changes the counts by four at most, two pairs that go and two that come."""
+    longest = max((len(w) for w in words), default=0)
+    size = min(1 << max(6, longest.bit_length()), PAIR_BINS)
+    bins = np.zeros((len(words), size), np.int32)
+    for row, w in zip(bins, words):
+        pairs = mix(w[:-1].astype(U64) << U64(32) | w[1:].astype(U64))
+        row[:] = np.bincount((pairs & U64(size - 1)).astype(np.int64), minlength=size)
+    return bins
 
-def tied(members: list[tuple]) -> list[tuple[int, int]]:
+
+def tied(g: int, members: list[tuple]) -> list[tuple[int, int]]:
     """Links (node, node) that tie the similar texts of one group, given as for
-    ``near_pairs`` with their words; pairs in one class by then are not aligned."""
+    ``near_pairs`` with their words and the groups they are in: sorted, 1 as last bit
+    where the text is no guest. Pairs in one class by then are not aligned, and texts that
+    meet in several groups are aligned in the first of them alone."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -297,11 +328,24 @@ def tied(members: list[tuple]) -> list[tuple[int, int]]:
         return x
 
     words = [np.frombuffer(m[6], np.uint32) for m in members]
+    bins, n = pair_bins(words), np.array([len(w) for w in words])
+    groups = [{x & ~1: x & 1 for x in m[7]} for m in members]
+
+    def met_before(i: int, j: int) -> bool:
+        for x, own in groups[i].items():
+            if x == g & ~1:
+                return False
+            if x in groups[j] and (own or groups[j][x]):
+                return True
+        return False
+
     found = []
     for i, others in near_pairs(members):
+        apart = np.abs(bins[others] - bins[i]).sum(axis=1, dtype=np.int64)
+        others = others[apart <= 4 * ((1 - SIMILARITY) * np.maximum(n[others], n[i]) + 1e-9)]
         for j in others.tolist():
             a, b = find(members[i][1]), find(members[j][1])
-            if a != b and similar(words[i], words[j]):
+            if a != b and not met_before(i, j) and similar(words[i], words[j]):
                 root[b] = a
                 found.append((members[i][0], members[j][0]))
     return found
@@ -330,14 +374,15 @@ def number_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def near_batches_of_groups(batches):
-    """(g, node, class, n, own, side, bins) sorted by group to the members (g, node)
-    of a pair that passes the bounds."""
-    return by_group(batches, lambda g, members: [(g, node) for node in in_near_pairs(members)], ["g", "node"])
+    """(g, node, class, n, own, side, bins) sorted by group to the members, less the
+    histogram, of a pair that passes the bounds."""
+    return by_group(batches, lambda g, members: [(g, *m[:3], int(m[3]), m[4]) for m in in_near_pairs(members)],
+                    ["g", "node", "class", "n", "own", "side"])
 
 
 def tied_batches(batches):
-    """(g, node, class, n, own, side, bins, words) sorted by group to links (u, v)."""
-    return by_group(batches, lambda g, members: tied(members), ["u", "v"])
+    """(g, node, class, n, own, side, bins, words, groups) sorted by group to links (u, v)."""
+    return by_group(batches, tied, ["u", "v"])
 
 
 def proposals(texts: DataFrame) -> DataFrame:
@@ -355,15 +400,16 @@ def grouped(rows: DataFrame) -> DataFrame:
     stored, so that the joins on them are of two plain exchanges, which can split a
     hot group over tasks."""
     shared = rows.groupBy("key").agg(F.count("*").alias("_c")).filter("_c > 1").select("key")
-    rows = rows.join(materialize(shared, "omh_shared"), "key")
+    shared = materialize(shared, "omh_shared")
+    rows = maybe_in(rows, shared, "key").join(shared, "key")
     length = F.floor(F.log(F.greatest("n", F.lit(1))) / F.log(F.lit(CLASS_STEP)))
     rows = materialize(rows.select("key", "node", "n", F.posexplode(F.array(length, length + 1)).alias("_p", "_l")).select(
         F.xxhash64("key", "_l").alias("g"), "node", "n", (F.col("_p") == 0).alias("own")), "omh_classes")
     h = F.xxhash64("node")
     groups = rows.groupBy("g").agg(F.count("*").alias("_c"), F.bit_xor(h).alias("_x"), F.sum(F.shiftright(h, 24)).alias("_s"),
                                    F.max("own").alias("_o")).filter("_c > 1 AND _o")
-    once = groups.groupBy("_c", "_x", "_s").agg(F.min("g").alias("g")).select("g")
-    return materialize(rows.join(materialize(once, "omh_once"), "g"), "omh_groups")
+    once = materialize(groups.groupBy("_c", "_x", "_s").agg(F.min("g").alias("g")).select("g"), "omh_once")
+    return materialize(maybe_in(rows, once, "g").join(once, "g"), "omh_groups")
 
 
 def sides(pairs: DataFrame, words: DataFrame, column: str) -> DataFrame:
@@ -372,13 +418,22 @@ def sides(pairs: DataFrame, words: DataFrame, column: str) -> DataFrame:
     return pairs.join(of("u"), "u").join(of("v"), "v").select(*pairs.columns, "_u", "_v")
 
 
-def led(pairs: DataFrame, words: DataFrame) -> DataFrame:
+def bucketed(texts: DataFrame, name: str) -> DataFrame:
+    """``texts`` stored by ``node``: joins that fetch its columns move the pairs and
+    groups, never the whole table again."""
+    spark = texts.sparkSession
+    path = sink_bucketed(texts, scratch_path(spark, name), "node", shuffle_partitions(spark))
+    return scan_bucketed(spark, path, "node", shuffle_partitions(spark))
+
+
+def led(pairs: DataFrame, bins: DataFrame, words_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links (u, v) among pairs (lead, node, their lengths). Pairs of unlike length
     are left out."""
     longer = F.greatest("n", "lead_n")
     pairs = pairs.filter(F.abs(F.col("n") - F.col("lead_n")) <= (1 - SIMILARITY) * longer + 1e-9)
     pairs = pairs.select(F.least("lead", "node").alias("u"), F.greatest("lead", "node").alias("v"), longer.alias("longer")).distinct()
-    near = materialize(sides(materialize(pairs, "omh_pairs"), words, "bins").mapInArrow(near_batches, "u long, v long"), "omh_near")
+    near = materialize(sides(materialize(pairs, "omh_pairs"), bins, "bins").mapInArrow(near_batches, "u long, v long"), "omh_near")
+    words = words_of(near.select(F.explode(F.array("u", "v")).alias("node")).distinct())
     return materialize(sides(near, words, "words").mapInArrow(align_batches, "u long, v long"), "omh_links")
 
 
@@ -390,39 +445,48 @@ def mixed(members: DataFrame, links: DataFrame, step: str) -> DataFrame:
     rest = materialize(rest, f"omh_rest_{step}")
     state = rest.groupBy("g").agg(F.count("*").alias("_c"), F.min("class").alias("_a"), F.max("class").alias("_b"))
     state = state.filter("_a < _b AND _c > 2").select("g", (F.col("_c") > SMALL).alias("large"))
-    return materialize(rest.join(materialize(state, f"omh_open_{step}"), "g"), f"omh_mixed_{step}")
+    state = materialize(state, f"omh_open_{step}")
+    return materialize(maybe_in(rest, state, "g").join(state, "g"), f"omh_mixed_{step}")
 
 
-def inside(dealt: DataFrame, words: DataFrame, step: str) -> DataFrame:
+def inside(dealt: DataFrame, bins: DataFrame, words_of: Callable[[DataFrame], DataFrame], step: str, whole: bool) -> DataFrame:
     """Links (u, v) among the members (g, node, class, n, own, side) of each g: first
     which of them are in a pair that the bounds leave, by their histograms alone;
-    then these with their words."""
+    then these with their words. ``whole``: a text is in few g and on no side, so that
+    it takes the list of them along."""
     tasks = shuffle_partitions(dealt.sparkSession)
     rows = lambda df: df.repartition(tasks, "g").sortWithinPartitions("g", "node")
     cols = ["g", "node", "class", "n", "own", "side"]
     dealt = materialize(dealt.select(*cols), f"omh_dealt_{step}")
-    near = rows(dealt.join(words.select("node", "bins"), "node").select(*cols, "bins")).mapInArrow(
-        near_batches_of_groups, "g long, node long")
-    near = dealt.join(materialize(near, f"omh_near_{step}"), ["g", "node"]).join(words, "node").select(*cols, "bins", "words")
+    near = rows(dealt.join(bins, "node").select(*cols, "bins")).mapInArrow(
+        near_batches_of_groups, "g long, node long, class long, n long, own long, side long")
+    near = materialize(near, f"omh_near_{step}").withColumn("own", F.col("own") == 1)
+    words = words_of(near.select("node").distinct())
+    if whole:
+        place = F.col("g").bitwiseAND(F.lit(-2)) + F.col("own").cast("long")
+        near = near.join(near.groupBy("node").agg(F.sort_array(F.collect_list(place)).alias("groups")), "node")
+    else:
+        near = near.withColumn("groups", F.array().cast("array<long>"))
+    near = near.join(bins, "node").join(words, "node").select(*cols, "bins", "words", "groups")
     return materialize(rows(near).mapInArrow(tied_batches, "u long, v long"), f"omh_links_{step}")
 
 
-def link_groups(members: DataFrame, words: DataFrame) -> DataFrame:
+def link_groups(members: DataFrame, bins: DataFrame, words_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links (u, v) that tie all similar texts of every group."""
     lead = members.groupBy("g").agg(F.min(F.struct("node", "n")).alias("_l")).select(
         "g", F.col("_l.node").alias("lead"), F.col("_l.n").alias("lead_n"))
-    found = led(members.join(materialize(lead, "omh_leads"), "g").filter("node <> lead"), words)
+    found = led(members.join(materialize(lead, "omh_leads"), "g").filter("node <> lead"), bins, words_of)
     rest = mixed(members, found, "a")
     large = rest.filter("large").drop("large")
     large = materialize(large.join(runs(large), ["g", "n"]).withColumn(
         "cell", F.shiftleft("run", 20) + F.pmod(F.xxhash64("node"), "parts")).drop("run", "parts"), "omh_cells")
     dealt = rest.filter("NOT large").drop("large").unionByName(
         large.withColumn("g", F.xxhash64("g", "cell")).drop("cell"))
-    found = found.unionByName(inside(dealt.withColumn("side", F.lit(0)), words, "a"))
+    found = found.unionByName(inside(dealt.withColumn("side", F.lit(0)), bins, words_of, "a", True))
     if large.isEmpty():
         return found
     rest = mixed(large.drop("class"), found, "b")
-    return found.unionByName(inside(across(rest), words, "b"))
+    return found.unionByName(inside(across(rest), bins, words_of, "b", False))
 
 
 def runs(large: DataFrame) -> DataFrame:
@@ -456,22 +520,39 @@ def across(large: DataFrame) -> DataFrame:
     return large.join(dealt, ["g", "cell"]).select(F.col("key").alias("g"), "node", "class", "n", "own", "side")
 
 
-def links(texts: DataFrame) -> DataFrame:
-    """Accepted pairs (u, v) among distinct texts (node, n, sketch, bins, words)."""
+def links(texts: DataFrame, words_of: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Accepted pairs (u, v) among distinct texts (node, n, sketch, bins).
+    ``words_of`` gives a bucketed table (node, words) with the texts of a table of
+    nodes at least; else ``texts`` has the words, too."""
     members = grouped(proposals(texts))
     wanted = materialize(members.select("node").distinct(), "omh_wanted")
-    # Bucketed by text: the joins that fetch histograms and words move the pairs
-    # and groups, never the whole table again.
-    spark = texts.sparkSession
-    path = sink_bucketed(texts.select("node", "bins", "words").join(wanted, "node"),
-                         scratch_path(spark, "omh_words"), "node", shuffle_partitions(spark))
-    return link_groups(members, scan_bucketed(spark, path, "node", shuffle_partitions(spark)))
+    bins = bucketed(maybe_in(texts.select("node", "bins"), wanted, "node").join(wanted, "node"), "omh_bins")
+    return link_groups(members, bins, words_of or (
+        lambda nodes: bucketed(texts.select("node", "words").join(nodes, "node"), "omh_words")))
+
+
+def names(copies: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(id, tx, node) of all texts of the ids that have several among the rows (id,
+    tx); a text that is none of ``firsts`` (id, tx, _n) has no node. Any other text is
+    named by its id, these by numbers out of the ids' way."""
+    several = copies.groupBy("id").agg(F.min("tx").alias("_a"), F.max("tx").alias("_b")).filter("_a < _b").select("id")
+    of = copies.select("id", "tx").distinct().join(materialize(several, "omh_several"), "id")
+    return materialize(of.join(firsts, ["id", "tx"], "left").select(
+        "id", "tx", (F.col("_n") + F.lit(-2 ** 63)).alias("node")), "omh_names")
+
+
+def named(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows (id, tx, ...) of texts that have a node, with it."""
+    of = names.withColumn("_t", F.lit(True))
+    node = F.when(F.col("_t"), F.col("node")).otherwise(F.col("id"))
+    return rows.join(of, ["id", "tx"], "left").withColumn("node", node).drop("_t").filter("node IS NOT NULL")
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """(id, tx, component, class_id) per row of ``docs`` (id, text): the class
     and its least id. ``tx`` tells the texts of one id apart, ``component`` the
-    classes of one least id."""
+    classes of one least id. The words of a text are made anew where they are needed:
+    few texts are ever aligned, and the sketches without the words are a small table."""
     spark = docs.sparkSession
 
     def make() -> DataFrame:
@@ -479,7 +560,7 @@ def classes(docs: DataFrame) -> DataFrame:
         copies = scratch_path(spark, "omh_ids")
 
         def make_texts() -> DataFrame:
-            sketched = materialize(rows.mapInArrow(sketch_batches, SKETCHED), "omh_sketches")
+            sketched = materialize(rows.mapInArrow(sketch_batches, SKETCHED).drop("words"), "omh_sketches")
             sketched.select("id", "tx", "copy").write.parquet(copies)
             first = F.row_number().over(Window.partitionBy("copy").orderBy("id", "tx"))
             return sketched.withColumn("_r", first).filter("_r = 1").drop("_r").withColumn(
@@ -487,19 +568,23 @@ def classes(docs: DataFrame) -> DataFrame:
 
         # The sketches of all rows go when those of the distinct texts are stored.
         texts = settled(spark, "omh_copies", make_texts)
-        # A text is named by its id; where another text has the same one, by a
-        # number out of the ids' way.
-        twice = materialize(texts.groupBy("id").agg(F.count("*").alias("_c")).filter("_c > 1").select(
-            "id", F.lit(True).alias("_t")), "omh_twice")
-        texts = texts.join(twice, "id", "left").withColumn("node", F.when(
-            F.col("_t"), F.col("_n") + F.lit(-2 ** 63)).otherwise(F.col("id"))).drop("_t", "_n")
-        groups = components(links(texts))
-        named = texts.select("node", "id", "copy").join(groups, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        least = materialize(named.groupBy("component").agg(F.min("id").alias("class_id")), "omh_least")
-        named = named.join(least, "component").select("copy", "component", "class_id")
         ids = spark.read.schema("id long, tx long, copy binary").parquet(copies)
-        return ids.join(named, "copy").select("id", "tx", "component", "class_id")
+        other = names(ids, texts.select("id", "tx", "_n"))
+        texts = named(texts.drop("_n"), other)
+
+        def words_of(nodes: DataFrame) -> DataFrame:
+            wanted = materialize(nodes.join(other.select("node", F.col("id").alias("_i")).filter("node IS NOT NULL"), "node", "left").select(
+                F.coalesce("_i", "node").alias("id")), "omh_aligned")
+            words = maybe_in(docs.select("id", "text"), wanted, "id").select("id", F.xxhash64("text").alias("tx"), "text")
+            words = words.mapInArrow(word_batches, "id long, tx long, words binary")
+            return bucketed(named(words, other).select("node", "words"), "omh_words").dropDuplicates(["node"])
+
+        groups = components(links(texts, words_of))
+        known = texts.select("node", "id", "copy").join(groups, "node", "left").withColumn(
+            "component", F.coalesce("component", "node"))
+        least = materialize(known.groupBy("component").agg(F.min("id").alias("class_id")), "omh_least")
+        known = known.join(least, "component").select("copy", "component", "class_id")
+        return ids.join(known, "copy").select("id", "tx", "component", "class_id")
 
     with small_batches(spark):
         return settled(spark, "omh_result", make)

@@ -192,6 +192,33 @@ def test_near_dedup_judges_all_pairs_of_a_large_group(spark, monkeypatch):
     assert linked(spark, texts, {i: [5] for i in texts}) == {i: same.get(i, i) for i in texts}
 
 
+def test_near_dedup_aligns_a_pair_in_the_first_of_its_groups(monkeypatch):
+    """Two unlike texts that pass the bounds of the words and meet in three groups; in
+    the first both are guests."""
+    aligned, similar = [], near_dedup.similar
+    monkeypatch.setattr(near_dedup, "similar", lambda a, b: aligned.append(1) or similar(a, b))
+    a = np.arange(100, dtype=np.uint32)
+    b = np.concatenate([a[:60], a[60:][::-1]])
+    pair = [near_dedup.histogram(x) for x in (a, b)]
+    found = {}
+    for g, own in ((2, False), (6, True), (10, True)):
+        before = len(aligned)
+        near_dedup.tied(g, [(k, k, 100, own, 0, pair[k], (a, b)[k].tobytes(), [2, 7, 11]) for k in (0, 1)])
+        found[g] = len(aligned) - before
+    assert found == {2: 0, 6: 1, 10: 0}
+
+
+def test_near_dedup_word_pairs_rule_out_only_unlike_texts():
+    r = random.Random(8)
+    for n in (1, 2, 30, 200):
+        a = np.array([r.randint(0, 30) for _ in range(n)], np.uint32)
+        b = a.copy()
+        for k in r.sample(range(n), n // 5):
+            b[k] = 1000 + k
+        bins = near_dedup.pair_bins([a, b])
+        assert np.abs(bins[0] - bins[1]).sum() <= 4 * (n // 5)
+
+
 @pytest.mark.parametrize("shared,own_only", [(0, False), (90, False), (150, False), (90, True)])
 def test_near_dedup_recall_beside_a_common_passage(spark, shared, own_only):
     """Pairs of similarity 0.80 to 0.85 whose texts hold a passage that hundreds
