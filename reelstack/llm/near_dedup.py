@@ -49,7 +49,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reelstack.llm.common import maybe_in, only, small_batches, with_row
+from reelstack.llm.common import maybe_in, only, small_batches, with_maybe_in, with_row
 from reelstack.llm.graph import components
 from reelstack.llm.tokens import U64, blocks, mix, normal, rolling, seeded, word_hashes
 from reelstack.session import materialize, scratch_path, settled, shuffle_partitions
@@ -609,7 +609,13 @@ def keep_first(docs: DataFrame) -> DataFrame:
     columns; of one id with several texts in the class one stays, and repeated rows of
     it collapse."""
     rows = with_row(docs, "doc_id", "text").withColumn("id", working_id())
-    kept = classes(rows).filter("id = class_id").groupBy("component").agg(
+    found = classes(rows)
+    kept = found.filter("id = class_id").groupBy("component").agg(
         F.min(F.struct("id", "tx")).alias("k")).select("k.*")
-    rows = rows.select("id", F.xxhash64("text").alias("tx"), "row")
-    return rows.join(kept, ["id", "tx"], "left_semi").dropDuplicates(["id", "tx"]).select("row.*")
+    # The only row of an id that is its class's stays where it is; the others are
+    # looked up, which moves them.
+    open_ids = materialize(found.groupBy("id").agg(F.count("*").alias("_c"), F.max("class_id").alias("_k")).filter(
+        "_c > 1 OR id <> _k").select("id"), "omh_open_ids")
+    rows = with_maybe_in(rows.select("id", F.xxhash64("text").alias("tx"), "row"), open_ids, "id", "_open")
+    moved = rows.filter("_open").join(kept, ["id", "tx"], "left_semi").dropDuplicates(["id", "tx"])
+    return rows.filter("NOT _open").select("row.*").unionByName(moved.select("row.*"))

@@ -192,6 +192,31 @@ def test_near_dedup_judges_all_pairs_of_a_large_group(spark, monkeypatch):
     assert linked(spark, texts, {i: [5] for i in texts}) == {i: same.get(i, i) for i in texts}
 
 
+def test_near_dedup_moves_neither_words_nor_kept_texts(spark, monkeypatch):
+    """The words of all rows are not stored or dealt by copy, only those of aligned
+    texts; of the documents only those are looked up that may go."""
+    stored, found = {}, {}
+
+    def watched(make):
+        def made(df, name):
+            out = make(df, name)
+            stored.setdefault(name, []).append((out.columns, out.count()))
+            if name == "omh_open_ids":
+                found["ids"] = sorted(r.id for r in out.collect())
+            return out
+        return made
+    for name in ("materialize", "bucketed"):
+        monkeypatch.setattr(near_dedup, name, watched(getattr(near_dedup, name)))
+    near = edge.prose(60, 900)
+    rows = [(i, edge.prose(60, 700 + i), "en", "s", 0) for i in range(100)]
+    rows += [(200, near, "en", "s", 0), (201, near + " end", "en", "s", 0), (202, near, "en", "s", 0), (5, rows[5][1], "en", "s", 0)]
+    kept = near_dedup.keep_first(edge.frame(spark, rows))
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(100), 200]
+    assert "words" not in stored["omh_sketches"][0][0]
+    assert all(n <= 4 for _, n in stored["omh_words"])
+    assert found["ids"] == [5, 201, 202]
+
+
 def test_near_dedup_aligns_a_pair_in_the_first_of_its_groups(monkeypatch):
     """Two unlike texts that pass the bounds of the words and meet in three groups; in
     the first both are guests."""
