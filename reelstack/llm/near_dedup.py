@@ -16,7 +16,8 @@ whatever its size, are judged, in a fixed number of steps (each a Spark job over
 groups):
 
 * every member is aligned with the group's lead, its least text;
-* groups that still hold texts no accepted links tie together are dealt to tasks,
+* of the groups that still hold texts no accepted links tie together, those of one lead
+  and length class become one where that is no more pairs; they are dealt to tasks,
   one of up to ``SMALL`` members whole, a larger one in cells of up to about ``CELL``
   members of nearest length, and the pairs inside are judged;
 * larger groups that are still mixed then deal every two of their cells whose
@@ -402,7 +403,7 @@ def grouped(rows: DataFrame) -> DataFrame:
     shared = rows.groupBy("key").agg(F.count("*").alias("_c")).filter("_c > 1").select("key")
     shared = materialize(shared, "omh_shared")
     rows = maybe_in(rows, shared, "key").join(shared, "key")
-    length = F.floor(F.log(F.greatest("n", F.lit(1))) / F.log(F.lit(CLASS_STEP)))
+    length = length_class(F.col("n"))
     rows = materialize(rows.select("key", "node", "n", F.posexplode(F.array(length, length + 1)).alias("_p", "_l")).select(
         F.xxhash64("key", "_l").alias("g"), "node", "n", (F.col("_p") == 0).alias("own")), "omh_classes")
     h = F.xxhash64("node")
@@ -437,18 +438,37 @@ def led(pairs: DataFrame, bins: DataFrame, words_of: Callable[[DataFrame], DataF
     return materialize(sides(near, words, "words").mapInArrow(align_batches, "u long, v long"), "omh_links")
 
 
+def length_class(n: Column) -> Column:
+    return F.floor(F.log(F.greatest(n, F.lit(1))) / F.log(F.lit(CLASS_STEP)))
+
+
 def mixed(members: DataFrame, links: DataFrame, step: str) -> DataFrame:
-    """Members of the groups whose texts are of several classes by the links, with
-    the class and whether the group is a large one. A lead settles a group of two."""
+    """Members of the groups whose texts are of several classes by the links, with the
+    class and the group's lead and size. A lead settles a group of two."""
     known = components(links).withColumnRenamed("component", "class")
     rest = members.join(known, "node", "left").withColumn("class", F.coalesce("class", "node"))
     rest = materialize(rest, f"omh_rest_{step}")
-    state = rest.groupBy("g").agg(F.count("*").alias("_c"), F.min("class").alias("_a"), F.max("class").alias("_b"))
-    state = state.filter("_a < _b AND _c > 2").select("g", (F.col("_c") > SMALL).alias("large"))
+    state = rest.groupBy("g").agg(F.count("*").alias("size"), F.min("node").alias("lead"), F.min("class").alias("_a"), F.max("class").alias("_b"))
+    state = state.filter("_a < _b AND size > 2").select("g", "lead", "size")
     state = materialize(state, f"omh_open_{step}")
     return materialize(maybe_in(rest, state, "g").join(state, "g"), f"omh_mixed_{step}")
 
 
+def merged(rest: DataFrame) -> DataFrame:
+    """Members (g, node, class, n, own, size) of open groups, those of one lead and one
+    length class as one group where that is no more pairs: texts with a passage in common
+    share many values, which makes many groups of nearly the same members. Every pair
+    of a group is in the group that takes it in, where its texts are guests as before."""
+    block = F.xxhash64("lead", length_class(F.col("n")) + F.when(F.col("own"), 0).otherwise(1))
+    rest = rest.withColumn("block", block)
+    once = materialize(rest.groupBy("block", "node", "class", "n", "own").agg(F.sum("size").alias("_s")), "omh_blocks")
+    fewer = once.groupBy("block").agg(F.count("*").alias("_u"), F.sum("_s").alias("_s")).filter("_u * _u <= _s")
+    fewer = materialize(fewer.select("block", F.col("_u").alias("size")), "omh_fewer")
+    cols = ["g", "node", "class", "n", "own", "size"]
+    return materialize(once.join(fewer, "block").withColumnRenamed("block", "g").select(*cols).unionByName(
+        rest.join(fewer, "block", "left_anti").select(*cols)), "omh_merged")
+
+
 def inside(dealt: DataFrame, bins: DataFrame, words_of: Callable[[DataFrame], DataFrame], step: str, whole: bool) -> DataFrame:
     """Links (u, v) among the members (g, node, class, n, own, side) of each g: first
     which of them are in a pair that the bounds leave, by their histograms alone;
@@ -464,10 +484,12 @@ def inside(dealt: DataFrame, bins: DataFrame, words_of: Callable[[DataFrame], Da
     words = words_of(near.select("node").distinct())
     if whole:
         place = F.col("g").bitwiseAND(F.lit(-2)) + F.col("own").cast("long")
-        near = near.join(near.groupBy("node").agg(F.sort_array(F.collect_list(place)).alias("groups")), "node")
+        texts = near.groupBy("node").agg(F.sort_array(F.collect_list(place)).alias("groups"))
     else:
-        near = near.withColumn("groups", F.array().cast("array<long>"))
-    near = near.join(bins, "node").join(words, "node").select(*cols, "bins", "words", "groups")
+        texts = near.select("node", F.array().cast("array<long>").alias("groups")).distinct()
+    # A text gets its columns once, then goes to its groups.
+    texts = texts.join(bins, "node").join(words, "node")
+    near = near.join(texts, "node").select(*cols, "bins", "words", "groups")
     return materialize(rows(near).mapInArrow(tied_batches, "u long, v long"), f"omh_links_{step}")
 
 
@@ -476,11 +498,11 @@ def link_groups(members: DataFrame, bins: DataFrame, words_of: Callable[[DataFra
     lead = members.groupBy("g").agg(F.min(F.struct("node", "n")).alias("_l")).select(
         "g", F.col("_l.node").alias("lead"), F.col("_l.n").alias("lead_n"))
     found = led(members.join(materialize(lead, "omh_leads"), "g").filter("node <> lead"), bins, words_of)
-    rest = mixed(members, found, "a")
-    large = rest.filter("large").drop("large")
+    rest = merged(mixed(members, found, "a"))
+    large = rest.filter(F.col("size") > SMALL).drop("size")
     large = materialize(large.join(runs(large), ["g", "n"]).withColumn(
         "cell", F.shiftleft("run", 20) + F.pmod(F.xxhash64("node"), "parts")).drop("run", "parts"), "omh_cells")
-    dealt = rest.filter("NOT large").drop("large").unionByName(
+    dealt = rest.filter(F.col("size") <= SMALL).drop("size").unionByName(
         large.withColumn("g", F.xxhash64("g", "cell")).drop("cell"))
     found = found.unionByName(inside(dealt.withColumn("side", F.lit(0)), bins, words_of, "a", True))
     if large.isEmpty():

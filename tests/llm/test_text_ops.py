@@ -192,6 +192,48 @@ def test_near_dedup_judges_all_pairs_of_a_large_group(spark, monkeypatch):
     assert linked(spark, texts, {i: [5] for i in texts}) == {i: same.get(i, i) for i in texts}
 
 
+def test_near_dedup_deals_a_text_once_to_groups_of_like_members(spark, monkeypatch):
+    """Unlike texts share up to 20 values, each value's texts are part of those of the
+    one before: not a row per text and value is dealt, but one per text. The similar
+    pair shares all but the last values."""
+    dealt, stored = [], near_dedup.materialize
+
+    def watched(df, name):
+        out = stored(df, name)
+        if name == "omh_dealt_a":
+            dealt.append(out.count())
+        return out
+    monkeypatch.setattr(near_dedup, "materialize", watched)
+    texts = {i: edge.prose(100, 600 + i).split() for i in range(80)}
+    texts[41] = [f"new{k}" if k < 9 else w for k, w in enumerate(texts[40])]
+    assert linked(spark, texts, {i: [*range(20 - i // 4)] for i in texts}) == {i: 40 if i == 41 else i for i in texts}
+    assert dealt == [80]
+
+
+def test_near_dedup_merged_groups_keep_every_pair(spark):
+    """Groups are merged where that is no more pairs, and no pair is lost by it."""
+    r = random.Random(5)
+    groups = {g: {1 + 100 * (g // 8), *r.sample(range(2 + 100 * (g // 8), 100 * (g // 8) + (24, 99)[g // 16]), 12)} for g in range(32)}
+    n = lambda node: 100 + node % 40
+    low = np.floor(np.log([n(node) for node in range(400)]) / np.log(near_dedup.CLASS_STEP))
+    upper = max(low)
+    rows = [(g, node, node, n(node), bool(low[node] == upper), len(nodes), min(nodes))
+            for g, nodes in groups.items() for node in nodes if low[node] >= upper - 1]
+    given = spark.createDataFrame(rows, "g long, node long, class long, n int, own boolean, size long, lead long")
+    got = near_dedup.merged(given).collect()
+
+    def pairs(rows):
+        found = {}
+        for x in rows:
+            found.setdefault(x[0], []).append((x[1], x[4]))
+        return [{(a, b) for a, own in m for b, other in m if a < b and (own or other)} for m in found.values()]
+    before, after = pairs(rows), pairs([(x.g, x.node, 0, 0, x.own) for x in got])
+    assert set().union(*before) <= set().union(*after)
+    assert len(after) < len(before) and len(got) < len(rows)
+    assert sum(map(len, after)) < sum(map(len, before))
+    assert len({(x.g, x.node) for x in got}) == len(got)
+
+
 def test_near_dedup_moves_neither_words_nor_kept_texts(spark, monkeypatch):
     """The words of all rows are not stored or dealt by copy, only those of aligned
     texts; of the documents only those are looked up that may go."""
